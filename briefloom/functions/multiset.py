@@ -1,0 +1,101 @@
+"""Multiset algebra inside one row.
+
+A metric row carries both texts, so counting shared n-grams needs no explode and
+no shuffle: each array is sorted, equal neighbours become runs, and the k-th copy
+of an item gets the tag ``k item``. Tags are unique per side, so plain set
+functions on them give multiset results in O(n log n).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from briefloom.functions.text import let
+
+
+def _run_starts(ordered: Column, same) -> Column:
+    """Indexes at which a new run of equal items begins."""
+    marks = F.transform(
+        ordered,
+        lambda item, i: F.when((i == 0) | ~same(F.get(ordered, i - 1), item), i),
+    )
+    return F.filter(marks, lambda i: i.isNotNull())
+
+
+def _numbered_runs(ordered: Column, same, label) -> Column:
+    """``label(item, k)`` for the k-th member of every run."""
+    return let(
+        _run_starts(ordered, same),
+        lambda starts: F.flatten(
+            F.transform(
+                starts,
+                lambda start, j: F.transform(
+                    F.slice(
+                        ordered,
+                        start + 1,
+                        F.coalesce(F.get(starts, j + 1), F.size(ordered)) - start,
+                    ),
+                    label,
+                ),
+            )
+        ),
+    )
+
+
+def copy_tags(items: Column) -> Column:
+    """``['a','b','a'] -> ['0 a','1 a','0 b']`` (order follows the sorted items)."""
+    return let(
+        F.sort_array(items),
+        lambda ordered: _numbered_runs(
+            ordered,
+            lambda left, right: left == right,
+            lambda item, k: F.concat_ws(" ", k.cast("string"), item),
+        ),
+    )
+
+
+def multiset_overlap(left: Column, right: Column) -> Column:
+    """Sum over items of ``min(count left, count right)``."""
+    return F.size(F.array_intersect(copy_tags(left), copy_tags(right)))
+
+
+def _positioned_copies(tokens: Column, side: int) -> Column:
+    """Structs ``(word, copy, side, pos)``, the copies of a word numbered in text order."""
+    placed = F.transform(tokens, lambda word, i: F.struct(word.alias("word"), i.alias("pos")))
+    return let(
+        F.sort_array(placed),
+        lambda ordered: _numbered_runs(
+            ordered,
+            lambda left, right: left["word"] == right["word"],
+            lambda item, k: F.struct(
+                item["word"].alias("word"),
+                k.alias("copy"),
+                F.lit(side).alias("side"),
+                item["pos"].alias("pos"),
+            ),
+        ),
+    )
+
+
+def aligned_positions(left: Column, right: Column) -> Column:
+    """Pair the k-th copy of each word on the left with its k-th copy on the right.
+
+    Returns ``array<struct<left int, right int>>`` ordered by the left position.
+    """
+    merged = F.sort_array(F.concat(_positioned_copies(left, 0), _positioned_copies(right, 1)))
+
+    def neighbours(both: Column) -> Column:
+        pairs = F.transform(
+            both,
+            lambda item, i: let(
+                F.get(both, i + 1),
+                lambda after: F.when(
+                    (item["word"] == after["word"]) & (item["copy"] == after["copy"]),
+                    F.struct(item["pos"].alias("left"), after["pos"].alias("right")),
+                ),
+            ),
+        )
+        return F.sort_array(F.filter(pairs, lambda pair: pair.isNotNull()))
+
+    return let(merged, neighbours)
