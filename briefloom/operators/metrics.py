@@ -45,10 +45,6 @@ def _prf(matches: Column, n_prediction: Column, n_reference: Column) -> Column:
     return F.struct(precision.alias("p"), recall.alias("r"), f.alias("f"))
 
 
-def _counted(grams: Column) -> Column:
-    return F.size(grams)
-
-
 def rouge_n(prediction: Column, reference: Column, n: int) -> Column:
     """ROUGE-n struct from two token arrays."""
     return let(

@@ -75,12 +75,14 @@ def pairs_from_turns(turns: DataFrame, chunk_turns: int = 512) -> DataFrame:
 
 
 def _head_and_rest(parts: Column) -> Column:
-    return F.struct(
-        F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), " ").alias(
-            "dialogue"
+    return F.when(
+        F.size(parts) >= 2,
+        F.array(
+            F.struct(
+                F.array_join(F.slice(parts, F.lit(2), F.size(parts)), " ").alias("dialogue"),
+                F.get(parts, F.lit(0)).alias("summary"),
+            )
         ),
-        F.get(parts, F.lit(0)).alias("summary"),
-        F.size(parts).alias("n"),
     )
 
 
@@ -88,8 +90,9 @@ def pairs_from_documents(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Documents of two or more sentences: summary = the first, dialogue = the rest."""
-    split = documents.select(
+    # inline() evaluates the sentences once; a filter on them would be pushed below the
+    # projection and split every text a second time.
+    return documents.select(
         F.col(id_col).cast("string").alias("id"),
-        let(sentences(F.col(text_col)), _head_and_rest).alias("pair"),
+        F.inline(let(sentences(F.col(text_col)), _head_and_rest)),
     )
-    return split.filter(F.col("pair.n") >= 2).select("id", "pair.dialogue", "pair.summary")

@@ -76,9 +76,13 @@ def _cut_points(
             (F.col("_w.rank") - F.col("_before")).alias("_rank_in_bucket"),
         )
     )
-    cut_buckets = materialise(cut_buckets)
-    if row_count_at_most(cut_buckets, MAX_BROADCAST_ROWS):
+    if not strata:
+        # One bucket per cut: two rows at most.
         cut_buckets = F.broadcast(cut_buckets)
+    else:
+        cut_buckets = materialise(cut_buckets)
+        if row_count_at_most(cut_buckets, MAX_BROADCAST_ROWS):
+            cut_buckets = F.broadcast(cut_buckets)
     same = F.col("_bucket") == F.col("_cut_bucket")
     for i, s in enumerate(strata):
         same = same & F.col(s).eqNullSafe(F.col(f"_s{i}"))
@@ -113,7 +117,7 @@ def split_exact(
 
     Rows that share an id always land in the same split.
     """
-    cuts = materialise(_cut_points(df, id_col, strata, ratios))
+    cuts = _cut_points(df, id_col, strata, ratios)
     here = F.struct(
         order_key(F.col(id_col), ratios.seed).alias("_key"), F.col(id_col).alias("_id")
     )
@@ -135,6 +139,7 @@ def split_exact(
         return df.withColumn(
             "split", F.when(in_test, "test").when(in_hold, "val").otherwise("train")
         )
+    cuts = materialise(cuts)
     if row_count_at_most(cuts, MAX_BROADCAST_ROWS):
         cuts = F.broadcast(cuts)
     same = F.lit(True)

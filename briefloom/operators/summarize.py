@@ -29,9 +29,13 @@ def lead_k(
 
 
 def document_frequencies(df: DataFrame, text_col: str) -> DataFrame:
-    """(word, df): each text lists a word once, so a plain combined count is enough."""
+    """(word, df): each text lists a word once, so a plain combined count is enough.
+
+    Every text also lists the empty word, whose count is the number of texts.
+    """
+    listed = F.array_append(F.array_distinct(word_tokens(F.col(text_col))), F.lit(""))
     return (
-        df.select(F.explode(F.array_distinct(word_tokens(F.col(text_col)))).alias("word"))
+        df.select(F.explode(listed).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -39,8 +43,9 @@ def document_frequencies(df: DataFrame, text_col: str) -> DataFrame:
 
 def tfidf_scores(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, pos, score): mean smoothed idf of the sentence's tokens, rounded to 6 places."""
-    n_docs = df.count()
     frequencies = materialise(document_frequencies(df, text_col))
+    counted = frequencies.filter(F.col("word") == "").first()
+    n_docs = counted["df"] if counted else 0
     idf = frequencies.select(
         "word",
         "df",

@@ -49,7 +49,7 @@ def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
         casts = have and name in wanted and not same
         entries.append(
             F.struct(
-                F.lit(name).alias("column"),
+                F.lit(name).alias("column_name"),
                 F.lit(wanted[name].simpleString() if name in wanted else None)
                 .cast("string")
                 .alias("expected"),
