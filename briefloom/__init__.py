@@ -1,0 +1 @@
+"""Preparing and scoring dialogue and document summarisation corpora on Spark."""
