@@ -142,13 +142,13 @@ def encode_by_join(
         id_col,
         F.posexplode_outer(kept_tokens(F.col(text_col), max_length, unicode)).alias("pos", "word"),
     )
-    table = materialise(vocab.select("word", "id", "count"))
+    table = materialise(vocab.select("word", F.col("id").alias("_word_id"), "count"))
     coded = left_lookup(tokens, table, "word", "count", max_rows)
-    place = F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
+    place = F.struct("pos", F.coalesce("_word_id", F.lit(UNKNOWN_ID)).alias("code"))
     return coded.groupBy(id_col).agg(
         F.transform(
             F.sort_array(F.collect_list(F.when(F.col("word").isNotNull(), place))),
-            lambda entry: entry["id"],
+            lambda entry: entry["code"],
         ).alias(name)
     )
 

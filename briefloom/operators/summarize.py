@@ -111,9 +111,9 @@ def textrank_scores(parts: list[list[str]], damping: float = DAMPING, rounds: in
             for word in set(part):
                 rows.append(i)
                 cols.append(words.setdefault(word, len(words)))
-    score = np.full(n, 1.0)
     if not rows:
-        return score
+        return np.full(n, 1 - damping)
+    score = np.ones(n)
     row, col = np.array(rows), np.array(cols)
     sizes, size_of = np.unique(lengths, return_inverse=True)
     logs = np.log(np.maximum(sizes, 1))
