@@ -36,10 +36,6 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def empty_strings() -> Column:
-    return F.array().cast("array<string>")
-
-
 def split_nonempty(text: Column, separator: str) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), separator), lambda part: part != "")
 
@@ -71,18 +67,3 @@ def sentences(text: Column) -> Column:
     return F.filter(
         F.transform(F.split(marked, "\n"), lambda part: F.trim(part)), lambda part: part != ""
     )
-
-
-def ngrams(tokens: Column, n: int) -> Column:
-    """All n-grams as space-joined strings; shorter inputs give an empty array."""
-    if n == 1:
-        return tokens
-    return let(
-        tokens,
-        lambda words: F.when(F.size(words) < n, empty_strings()).otherwise(
-            F.transform(
-                F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0))),
-                lambda _, i: F.array_join(F.slice(words, i + 1, F.lit(n)), " "),
-            )
-        ),
-    )

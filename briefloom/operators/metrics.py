@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from briefloom.functions.lcs import lcs_length, union_lcs_hits
-from briefloom.functions.multiset import aligned_positions, multiset_overlap
-from briefloom.functions.text import bleu_tokens, let, ngrams, split_nonempty, word_tokens
+from briefloom.functions.overlap import alignment, in_steps, ngram_matches
+from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
 
 # Longest BLEU n-gram; METEOR weights (Banerjee & Lavie 2005).
 BLEU_ORDER = 4
@@ -23,6 +23,32 @@ METEOR_PENALTY = 0.5
 ROW_METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum", "meteor")
 
 
+def _struct_of(names) -> T.StructType:
+    return T.StructType([T.StructField(n, T.IntegerType()) for n in names])
+
+
+def _counting_udf(names: list[str], kernel):
+    """Arrow function (left tokens, right tokens) -> struct of one integer per name."""
+
+    @F.arrow_udf(_struct_of(names))
+    def count(left: pa.Array, right: pa.Array) -> pa.Array:
+        columns = in_steps(kernel, left, right)
+        return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], names)
+
+    return count
+
+
+def shared_ngrams(left: Column, right: Column, orders: int) -> Column:
+    """Struct ``match1 .. match<orders>`` of clipped n-gram matches."""
+    names = [f"match{n}" for n in range(1, orders + 1)]
+    return _counting_udf(names, lambda a, b: ngram_matches(a, b, orders))(left, right)
+
+
+def aligned_words(left: Column, right: Column) -> Column:
+    """Struct (matches, chunks) of the exact word alignment."""
+    return _counting_udf(["matches", "chunks"], alignment)(left, right)
+
+
 @F.arrow_udf(T.IntegerType())
 def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
     pairs = zip(left.to_pylist(), right.to_pylist())
@@ -45,40 +71,12 @@ def _prf(matches: Column, n_prediction: Column, n_reference: Column) -> Column:
     return F.struct(precision.alias("p"), recall.alias("r"), f.alias("f"))
 
 
-def rouge_n(prediction: Column, reference: Column, n: int) -> Column:
-    """ROUGE-n struct from two token arrays."""
-    return let(
-        F.struct(ngrams(prediction, n).alias("a"), ngrams(reference, n).alias("b")),
-        lambda g: let(
-            multiset_overlap(g["a"], g["b"]), lambda m: _prf(m, F.size(g["a"]), F.size(g["b"]))
-        ),
-    )
-
-
-def meteor(prediction: Column, reference: Column) -> Column:
-    """METEOR of two token arrays, exact matches (k-th copy to k-th copy)."""
-
-    def score(pairs: Column) -> Column:
-        m = F.size(pairs)
-        breaks = F.filter(
-            F.transform(
-                pairs,
-                lambda pair, i: let(
-                    F.get(pairs, i - 1),
-                    lambda before: (i > 0)
-                    & (pair["left"] == before["left"] + 1)
-                    & (pair["right"] == before["right"] + 1),
-                ),
-            ),
-            lambda joined: ~F.coalesce(joined, F.lit(False)),
-        )
-        p = m / F.size(prediction)
-        r = m / F.size(reference)
-        mean = (1 + METEOR_RECALL_WEIGHT) * p * r / (r + METEOR_RECALL_WEIGHT * p)
-        penalty = METEOR_PENALTY * F.pow(F.size(breaks) / m, F.lit(3))
-        return F.when(m == 0, F.lit(0.0)).otherwise(mean * (1 - penalty))
-
-    return let(aligned_positions(prediction, reference), score)
+def _meteor(matches: Column, chunks: Column, n_prediction: Column, n_reference: Column) -> Column:
+    p = matches / n_prediction
+    r = matches / n_reference
+    mean = (1 + METEOR_RECALL_WEIGHT) * p * r / (r + METEOR_RECALL_WEIGHT * p)
+    penalty = METEOR_PENALTY * F.pow(chunks / matches, F.lit(3))
+    return F.when(matches == 0, F.lit(0.0)).otherwise(mean * (1 - penalty))
 
 
 def row_metrics(
@@ -88,34 +86,47 @@ def row_metrics(
     reference: str = "reference",
     unicode: bool = False,
 ) -> DataFrame:
-    """Add one struct (p, r, f) per ROUGE metric and one number for METEOR."""
+    """Add one struct (p, r, f) per ROUGE metric and one number for METEOR.
+
+    METEOR matches exact words, k-th copy to k-th copy.
+    """
     unknown = set(metrics) - set(ROW_METRICS)
     if unknown:
         raise ValueError(f"not a row metric: {sorted(unknown)}")
-    out = df.withColumns(
+    h, r = F.col("_h"), F.col("_r")
+    tokens = df.withColumns(
         {
             "_h": word_tokens(F.col(prediction), unicode),
             "_r": word_tokens(F.col(reference), unicode),
         }
     )
-    h, r = F.col("_h"), F.col("_r")
-    computed = {}
-    for n in (1, 2):
-        if f"rouge{n}" in metrics:
-            computed[f"rouge{n}"] = rouge_n(h, r, n)
+    orders = max([n for n in (1, 2) if f"rouge{n}" in metrics], default=0)
+    counts = {}
+    if orders:
+        counts["_grams"] = shared_ngrams(h, r, orders)
     if "rougeL" in metrics:
-        computed["rougeL"] = _prf(_lcs(h, r), F.size(h), F.size(r))
+        counts["_lcs"] = _lcs(h, r)
     if "rougeLsum" in metrics:
         lines = [
-            F.transform(
-                split_nonempty(F.col(c), "\n"), lambda line: word_tokens(line, unicode)
-            )
+            F.transform(split_nonempty(F.col(c), "\n"), lambda line: word_tokens(line, unicode))
             for c in (reference, prediction)
         ]
-        computed["rougeLsum"] = _prf(_union_lcs(*lines), F.size(h), F.size(r))
+        counts["_lcs_sum"] = _union_lcs(*lines)
+    if "meteor" in metrics:
+        counts["_aligned"] = aligned_words(h, r)
+    counted = tokens.withColumns(counts)
+    n_h, n_r = F.size(h), F.size(r)
+    scores = {}
+    for n in (1, 2):
+        if f"rouge{n}" in metrics:
+            scores[f"rouge{n}"] = _prf(F.col(f"_grams.match{n}"), n_h - (n - 1), n_r - (n - 1))
+    if "rougeL" in metrics:
+        scores["rougeL"] = _prf(F.col("_lcs"), n_h, n_r)
+    if "rougeLsum" in metrics:
+        scores["rougeLsum"] = _prf(F.col("_lcs_sum"), n_h, n_r)
     if "meteor" in metrics:
-        computed["meteor"] = meteor(h, r)
-    return out.withColumns(computed).drop("_h", "_r")
+        scores["meteor"] = _meteor(F.col("_aligned.matches"), F.col("_aligned.chunks"), n_h, n_r)
+    return counted.withColumns(scores).drop("_h", "_r", *counts)
 
 
 def metric_value(name: str) -> Column:
@@ -123,19 +134,25 @@ def metric_value(name: str) -> Column:
     return F.col(name)["f"] if name.startswith("rouge") else F.col(name)
 
 
-def bleu_counts(prediction: Column, reference: Column) -> Column:
-    """Sufficient numbers of one row: lengths, clipped matches and totals for n = 1..4."""
+BLEU_COUNTS = (
+    "sys_len", "ref_len", "match1", "total1", "match2", "total2", "match3", "total3", "match4", "total4",
+)
+
+
+def with_bleu_counts(df: DataFrame, prediction: str, reference: str) -> DataFrame:
+    """Add the numbers corpus BLEU is made of: lengths, clipped matches, totals."""
+    tokens = df.withColumns(
+        {"_h": bleu_tokens(F.col(prediction)), "_r": bleu_tokens(F.col(reference))}
+    ).withColumn("_grams", shared_ngrams(F.col("_h"), F.col("_r"), BLEU_ORDER))
+    counts = {"sys_len": F.size("_h"), "ref_len": F.size("_r")}
+    for n in range(1, BLEU_ORDER + 1):
+        counts[f"match{n}"] = F.col(f"_grams.match{n}")
+        counts[f"total{n}"] = F.greatest(F.size("_h") - (n - 1), F.lit(0))
+    return tokens.withColumns(counts).drop("_h", "_r", "_grams")
 
-    def counts(t: Column) -> Column:
-        fields = [F.size(t["h"]).alias("sys_len"), F.size(t["r"]).alias("ref_len")]
-        for n in range(1, BLEU_ORDER + 1):
-            fields.append(
-                multiset_overlap(ngrams(t["h"], n), ngrams(t["r"], n)).alias(f"match{n}")
-            )
-            fields.append(F.greatest(F.size(t["h"]) - (n - 1), F.lit(0)).alias(f"total{n}"))
-        return F.struct(*fields)
 
-    return let(F.struct(bleu_tokens(prediction).alias("h"), bleu_tokens(reference).alias("r")), counts)
+def _bleu_sums() -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in BLEU_COUNTS]
 
 
 def _bleu_score() -> Column:
@@ -164,16 +181,8 @@ def bleu_corpus(
     df: DataFrame, by=(), prediction: str = "prediction", reference: str = "reference"
 ) -> DataFrame:
     """Corpus BLEU (per group): sums over all rows, never a mean of row scores."""
-    names = ["sys_len", "ref_len"]
-    for n in range(1, BLEU_ORDER + 1):
-        names += [f"match{n}", f"total{n}"]
-    counted = df.select(
-        *by, bleu_counts(F.col(prediction), F.col(reference)).alias("_c")
-    )
-    sums = counted.groupBy(*by).agg(
-        *[F.coalesce(F.sum(f"_c.{c}"), F.lit(0)).cast("long").alias(c) for c in names]
-    )
-    return sums.withColumn("bleu", _bleu_score())
+    counted = with_bleu_counts(df.select(*by, prediction, reference), prediction, reference)
+    return counted.groupBy(*by).agg(*_bleu_sums()).withColumn("bleu", _bleu_score())
 
 
 # The reported metrics, and the subset that is logged to tracking.
@@ -186,15 +195,11 @@ def evaluation_report(
 ) -> DataFrame:
     """(model, metric, value): mean row metrics and corpus BLEU, in long form."""
     rowwise = [m for m in metrics if m != "bleu"]
-    wide = row_metrics(predictions, rowwise)
-    if "bleu" in metrics:
-        wide = wide.withColumn("_c", bleu_counts(F.col("prediction"), F.col("reference")))
+    wide = row_metrics(predictions.select(model_col, "prediction", "reference"), rowwise)
     aggregates = [F.avg(metric_value(m)).alias(m) for m in rowwise]
     if "bleu" in metrics:
-        fields = ["sys_len", "ref_len"]
-        for n in range(1, BLEU_ORDER + 1):
-            fields += [f"match{n}", f"total{n}"]
-        aggregates += [F.sum(f"_c.{c}").cast("long").alias(c) for c in fields]
+        wide = with_bleu_counts(wide, "prediction", "reference")
+        aggregates += _bleu_sums()
     summed = wide.groupBy(model_col).agg(*aggregates)
     if "bleu" in metrics:
         summed = summed.withColumn("bleu", _bleu_score())

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from briefloom.functions.overlap import steps
 from briefloom.functions.text import let, sentences, word_tokens
+from briefloom.operators.encode import regroup
 from briefloom.session import left_lookup, materialise
 
 # TextRank damping (Mihalcea & Tarau 2004) and number of rounds.
 DAMPING = 0.85
 ROUNDS = 20
+SENTENCES_PER_STEP = 50_000
 
 
 def lead_k(
@@ -95,61 +99,88 @@ def tfidf_extract(
     )
 
 
-def textrank_scores(parts: list[list[str]], damping: float = DAMPING, rounds: int = ROUNDS):
-    """Rank sentences by shared distinct words / (ln|a| + ln|b|), without listing pairs.
+def _inverse(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(keys, return_inverse=True)
 
-    The weight of a pair depends on the words they share and on the two lengths only, so
-    neighbours are summed per (word, length) instead of per pair: exact, and linear in the
-    tokens times the number of different lengths.
+
+def textrank_scores(
+    doc_of: np.ndarray,
+    sentence_of: np.ndarray,
+    codes: np.ndarray,
+    lengths: np.ndarray,
+    damping: float = DAMPING,
+    rounds: int = ROUNDS,
+) -> np.ndarray:
+    """TextRank of all sentences of many documents at once.
+
+    Two sentences of a document are tied by shared distinct words / (ln|a| + ln|b|). That
+    depends on the words and the two lengths only, so neighbours are summed per (document,
+    word, length) and no sentence is paired with another: exact, at a cost that follows the
+    tokens. ``doc_of`` and ``lengths`` are per sentence, ``sentence_of`` and ``codes`` (word
+    numbers) per token.
     """
-    n = len(parts)
-    lengths = np.array([len(p) for p in parts])
-    words: dict[str, int] = {}
-    rows, cols = [], []
-    for i, part in enumerate(parts):
-        if lengths[i] > 1:
-            for word in set(part):
-                rows.append(i)
-                cols.append(words.setdefault(word, len(words)))
-    if not rows:
-        return np.full(n, 1 - damping)
-    score = np.ones(n)
-    row, col = np.array(rows), np.array(cols)
-    sizes, size_of = np.unique(lengths, return_inverse=True)
-    logs = np.log(np.maximum(sizes, 1))
-    own_words = np.bincount(row, minlength=n)
-    own_weight = np.where(lengths > 1, own_words / np.maximum(2 * np.log(np.maximum(lengths, 2)), 1e-300), 0.0)
-    spread_rows = [np.flatnonzero(size_of[row] == s) for s in range(len(sizes))]
+    n = len(lengths)
+    linked = lengths[sentence_of] > 1
+    width = int(codes.max(initial=0)) + 1
+    entries = np.unique(sentence_of[linked] * width + codes[linked])
+    sentence, word = entries // width, entries % width
+    _, word_in_doc = _inverse(doc_of[sentence] * width + word)
+    longest = int(lengths.max(initial=0)) + 1
+    groups, group = _inverse(word_in_doc * longest + lengths[sentence])
+    group_word, group_length = groups // longest, groups % longest
+    # Lengths that meet in one word of one document; groups of a word are neighbours.
+    words, starts, per_word = np.unique(group_word, return_index=True, return_counts=True)
+    fan = np.repeat(per_word, per_word)
+    here = np.repeat(np.arange(len(groups)), fan)
+    step = np.arange(len(here)) - np.repeat(np.cumsum(fan) - fan, fan)
+    there = np.repeat(np.repeat(starts, per_word), fan) + step
+    logs = np.log(np.maximum(group_length, 1))
+    weight = 1.0 / (logs[here] + logs[there]) if len(here) else np.zeros(0)
+    own = np.bincount(sentence, minlength=n) / np.maximum(2 * np.log(np.maximum(lengths, 2)), 1.0)
 
     def neighbour_sum(values: np.ndarray) -> np.ndarray:
-        total = np.zeros(n)
-        for s, members in enumerate(spread_rows):
-            if len(members) == 0:
-                continue
-            per_word = np.bincount(col[members], values[row[members]], minlength=len(words))
-            reach = np.bincount(row, per_word[col], minlength=n)
-            total += reach / np.maximum(logs[size_of] + logs[s], 1e-300) * (lengths > 1)
-        return total - own_weight * values
+        given = np.bincount(group, values[sentence], len(groups))
+        met = np.bincount(here, weight * given[there], len(groups))
+        return np.bincount(sentence, met[group], n) - own * values
 
     out = neighbour_sum(np.ones(n))
+    score = np.ones(n)
     for _ in range(rounds):
-        flow = np.divide(score, out, out=np.zeros(n), where=out > 1e-12)
+        flow = np.divide(score, out, out=np.zeros(n), where=out > 1e-9)
         score = (1 - damping) + damping * neighbour_sum(flow)
     return score
 
 
+def best_sentences(docs: pa.Array, k: int) -> pa.Array:
+    """Positions of the k best sentences of each list of tokenised sentences, in order."""
+    counts = _sizes(docs)
+    sentences_ = docs.flatten()
+    lengths = _sizes(sentences_)
+    codes = sentences_.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    doc_of = np.repeat(np.arange(len(counts)), counts)
+    sentence_of = np.repeat(np.arange(len(lengths)), lengths)
+    scores = np.round(textrank_scores(doc_of, sentence_of, codes.astype(np.int64), lengths), 6)
+    place = np.arange(len(lengths)) - np.repeat(np.cumsum(counts) - counts, counts)
+    ranked = np.lexsort((place, -scores, doc_of))
+    kept = np.sort(ranked[place < k])
+    return regroup(pa.array(place[kept], pa.int32()), pa.array(np.minimum(counts, k), pa.int32()))
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def textrank(
     df: DataFrame, k: int = 3, text_col: str = "dialogue", output_col: str = "prediction"
 ) -> DataFrame:
     """The k best sentences by TextRank, in text order. A text is one row, so this is local."""
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def choose(tokens: pd.Series) -> pd.Series:
-        def best(parts) -> list[int]:
-            scores = np.round(textrank_scores([list(p) for p in parts]), 6)
-            return sorted(sorted(range(len(scores)), key=lambda i: (-scores[i], i))[:k])
-
-        return tokens.map(best)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def choose(tokens: pa.Array) -> pa.Array:
+        # Sentences, not tokens, are counted here: a batch holds whole documents.
+        ranges = steps(_sizes(tokens), SENTENCES_PER_STEP)
+        parts = [best_sentences(tokens[r], k) for r in ranges]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     parts = sentences(F.col(text_col))
     chosen = choose(F.transform(parts, lambda s: word_tokens(s)))

@@ -4,7 +4,7 @@ import math
 import random
 
 import numpy as np
-import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from briefloom.operators import pairs, summarize
@@ -30,11 +30,22 @@ def pairwise_textrank(parts, d=0.85, rounds=20):
 
 
 def test_textrank_equals_the_pairwise_definition():
+    """Many documents in one call, some empty, against each document on its own."""
     rng = random.Random(2)
-    for _ in range(100):
-        parts = [rng.choices("abcdefghij", k=rng.randint(0, 9)) for _ in range(rng.randint(0, 12))]
-        got = summarize.textrank_scores(parts)
-        assert np.allclose(got, pairwise_textrank(parts), atol=1e-9)
+    docs = [[rng.choices("abcdefghij", k=rng.randint(0, 9)) for _ in range(rng.randint(0, 12))] for _ in range(150)]
+    sentences = [s for d in docs for s in d]
+    doc_of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    lengths = np.array([len(s) for s in sentences])
+    got = summarize.textrank_scores(
+        doc_of, np.repeat(np.arange(len(sentences)), lengths), np.array([ord(w) - 97 for s in sentences for w in s]), lengths
+    )
+    assert np.allclose(got, [v for d in docs for v in pairwise_textrank(d)], atol=1e-9)
+    table = pa.array(docs, pa.list_(pa.list_(pa.string())))
+    best = summarize.best_sentences(table, 3).to_pylist()
+    for doc, chosen in zip(docs, best):
+        scores = np.round(pairwise_textrank(doc), 6)
+        assert chosen == sorted(sorted(range(len(doc)), key=lambda i: (-scores[i], i))[:3])
+    assert summarize.best_sentences(table[5:9], 3).to_pylist() == best[5:9]
 
 
 def test_textrank_picks_the_connected_sentences(spark):
