@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 
 from briefloom.functions.overlap import steps
 from briefloom.functions.text import let, sentences, word_tokens
-from briefloom.operators.encode import regroup
-from briefloom.session import left_lookup, materialise
+from briefloom.operators.encode import column_of, regroup, send_table
+from briefloom.session import MAX_BROADCAST_ROWS, left_lookup, materialise
 
 # TextRank damping (Mihalcea & Tarau 2004) and number of rounds.
 DAMPING = 0.85
 ROUNDS = 20
 SENTENCES_PER_STEP = 50_000
+POSITIONS = T.ArrayType(T.IntegerType())
 
 
 def lead_k(
@@ -45,58 +46,124 @@ def document_frequencies(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def tfidf_scores(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, score): mean smoothed idf of the sentence's tokens, rounded to 6 places."""
+def idf_table(df: DataFrame, text_col: str) -> DataFrame:
+    """(word, df, idf): smoothed inverse document frequency, stored in the shared folder."""
     frequencies = materialise(document_frequencies(df, text_col))
     counted = frequencies.filter(F.col("word") == "").first()
     n_docs = counted["df"] if counted else 0
-    idf = frequencies.select(
-        "word",
-        "df",
-        (F.ln(F.lit(float(n_docs + 1)) / (F.col("df") + 1)) + 1).alias("idf"),
+    return frequencies.select(
+        "word", "df", (F.ln(F.lit(float(n_docs + 1)) / (F.col("df") + 1)) + 1).alias("idf")
     )
+
+
+def tfidf_scores(df: DataFrame, idf: DataFrame, id_col: str, text_col: str, **limits) -> DataFrame:
+    """(id, pos, score): mean idf of the sentence's tokens, rounded to 6 places."""
     tokens = df.select(
         F.col(id_col), F.posexplode(sentences(F.col(text_col))).alias("pos", "sentence")
     ).select(id_col, "pos", F.explode(word_tokens(F.col("sentence"))).alias("word"))
     return (
-        left_lookup(tokens, idf, "word", "df")
+        left_lookup(tokens, idf, "word", "df", **limits)
         .groupBy(id_col, "pos")
         .agg(F.round(F.avg("idf"), 6).alias("score"))
     )
 
 
+def _chosen_by_join(
+    df: DataFrame, idf: DataFrame, k: int, id_col: str, text_col: str, **limits
+) -> DataFrame:
+    """Add ``_chosen`` with a word join: only (id, position, score) rows are ranked, and the
+    texts take part in one join, with the k chosen positions."""
+    best = Window.partitionBy(id_col).orderBy(F.desc("score"), F.asc("pos"))
+    chosen = (
+        tfidf_scores(df, idf, id_col, text_col, **limits)
+        .withColumn("_r", F.row_number().over(best))
+        .filter(F.col("_r") <= k)
+        .groupBy(id_col)
+        .agg(F.sort_array(F.collect_list("pos")).alias("_chosen"))
+    )
+    return df.join(chosen, id_col, "left")
+
+
+def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
+    """Add ``_chosen`` with an idf table that was sent to the executors: no shuffle."""
+
+    @F.arrow_udf(POSITIONS)
+    def choose(docs: pa.Array) -> pa.Array:
+        table = sent.value
+        words = column_of(table, "word", pa.string())
+        idf = column_of(table, "idf", pa.float64())
+
+        def best(part: pa.Array) -> pa.Array:
+            parts = part.flatten()
+            lengths = _sizes(parts)
+            where = pc.index_in(pc.cast(parts.flatten(), pa.string()), value_set=words)
+            values = idf.take(where).to_numpy(zero_copy_only=False)
+            sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), values, len(lengths))
+            scores = np.round(sums / np.maximum(lengths, 1), 6)
+            return top_positions(_sizes(part), scores, k, lengths > 0)
+
+        return _in_ranges(docs, best)
+
+    parts = F.transform(sentences(F.col(text_col)), lambda s: word_tokens(s))
+    return df.withColumn("_chosen", choose(parts))
+
+
+def _with_chosen(
+    df: DataFrame, columns: list[str], text_col: str, output_col: str
+) -> DataFrame:
+    """Replace ``_chosen`` positions by those sentences of the text."""
+    text = let(
+        sentences(F.col(text_col)),
+        lambda parts: F.array_join(
+            F.transform(F.col("_chosen"), lambda p: F.get(parts, p)), " "
+        ),
+    )
+    return df.select(*columns, F.coalesce(text, F.lit("")).alias(output_col))
+
+
 def tfidf_extract(
     df: DataFrame,
     k: int = 3,
     id_col: str = "id",
     text_col: str = "dialogue",
     output_col: str = "prediction",
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """The k best sentences by tf-idf score (earlier wins ties), in text order.
+    """The k best sentences by mean idf (earlier wins ties), in text order.
 
-    Scoring moves (id, position, score) only; the texts take part in one join, with the
-    k chosen positions.
+    An idf table of measured size is sent to the executors and every text is scored where
+    it lies; a larger one is joined.
     """
-    best = Window.partitionBy(id_col).orderBy(F.desc("score"), F.asc("pos"))
-    chosen = (
-        tfidf_scores(df, id_col, text_col)
-        .withColumn("_r", F.row_number().over(best))
-        .filter(F.col("_r") <= k)
-        .groupBy(id_col)
-        .agg(F.sort_array(F.collect_list("pos")).alias("_chosen"))
-    )
-    return df.join(chosen, id_col, "left").select(
-        *df.columns,
-        F.coalesce(
-            let(
-                sentences(F.col(text_col)),
-                lambda parts: F.array_join(
-                    F.transform(F.col("_chosen"), lambda p: F.get(parts, p)), " "
-                ),
-            ),
-            F.lit(""),
-        ).alias(output_col),
+    idf = idf_table(df, text_col)
+    sent = send_table(idf.select("word", "idf"), max_rows)
+    scored = (
+        _chosen_by_join(df, idf, k, id_col, text_col, max_rows=max_rows)
+        if sent is None
+        else _chosen_in_place(df, sent, k, text_col)
     )
+    return _with_chosen(scored, df.columns, text_col, output_col)
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _in_ranges(docs: pa.Array, best) -> pa.Array:
+    """Apply ``best`` to runs of documents with a limited number of sentences."""
+    parts = [best(docs[r]) for r in steps(_sizes(docs), SENTENCES_PER_STEP)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+
+def top_positions(counts: np.ndarray, scores: np.ndarray, k: int, eligible: np.ndarray) -> pa.Array:
+    """Per document the positions of its k best eligible sentences, in text order."""
+    doc_of = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(scores)) - np.repeat(np.cumsum(counts) - counts, counts)
+    rows = np.flatnonzero(eligible)
+    usable = np.bincount(doc_of[rows], minlength=len(counts))
+    ranked = rows[np.lexsort((place[rows], -scores[rows], doc_of[rows]))]
+    turn = np.arange(len(rows)) - np.repeat(np.cumsum(usable) - usable, usable)
+    kept = np.sort(ranked[turn < k])
+    return regroup(pa.array(place[kept], pa.int32()), pa.array(np.minimum(usable, k), pa.int32()))
 
 
 def _inverse(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,20 +221,13 @@ def textrank_scores(
 def best_sentences(docs: pa.Array, k: int) -> pa.Array:
     """Positions of the k best sentences of each list of tokenised sentences, in order."""
     counts = _sizes(docs)
-    sentences_ = docs.flatten()
-    lengths = _sizes(sentences_)
-    codes = sentences_.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    parts = docs.flatten()
+    lengths = _sizes(parts)
+    codes = parts.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
     doc_of = np.repeat(np.arange(len(counts)), counts)
     sentence_of = np.repeat(np.arange(len(lengths)), lengths)
     scores = np.round(textrank_scores(doc_of, sentence_of, codes.astype(np.int64), lengths), 6)
-    place = np.arange(len(lengths)) - np.repeat(np.cumsum(counts) - counts, counts)
-    ranked = np.lexsort((place, -scores, doc_of))
-    kept = np.sort(ranked[place < k])
-    return regroup(pa.array(place[kept], pa.int32()), pa.array(np.minimum(counts, k), pa.int32()))
-
-
-def _sizes(lists: pa.Array) -> np.ndarray:
-    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return top_positions(counts, scores, k, np.ones(len(scores), bool))
 
 
 def textrank(
@@ -175,19 +235,9 @@ def textrank(
 ) -> DataFrame:
     """The k best sentences by TextRank, in text order. A text is one row, so this is local."""
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def choose(tokens: pa.Array) -> pa.Array:
-        # Sentences, not tokens, are counted here: a batch holds whole documents.
-        ranges = steps(_sizes(tokens), SENTENCES_PER_STEP)
-        parts = [best_sentences(tokens[r], k) for r in ranges]
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
-
-    parts = sentences(F.col(text_col))
-    chosen = choose(F.transform(parts, lambda s: word_tokens(s)))
-    return df.withColumn("_chosen", chosen).select(
-        *df.columns,
-        let(
-            parts,
-            lambda ps: F.array_join(F.transform(F.col("_chosen"), lambda p: F.get(ps, p)), " "),
-        ).alias(output_col),
-    )
+    @F.arrow_udf(POSITIONS)
+    def choose(docs: pa.Array) -> pa.Array:
+        return _in_ranges(docs, lambda part: best_sentences(part, k))
+
+    parts = F.transform(sentences(F.col(text_col)), lambda s: word_tokens(s))
+    return _with_chosen(df.withColumn("_chosen", choose(parts)), df.columns, text_col, output_col)

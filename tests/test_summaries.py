@@ -64,12 +64,14 @@ def test_tfidf_prefers_rare_words_and_keeps_order(spark):
     assert got == {"1": "Unusual zebra. Peculiar quokka.", "2": "Common words here.", "3": ""}
 
 
-def test_tfidf_without_broadcast_is_the_same(spark, monkeypatch):
+def test_tfidf_with_a_large_word_table_is_the_same(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("id"), F.col("text").alias("dialogue"))
-    want = sorted(map(tuple, summarize.tfidf_scores(docs, "id", "dialogue").collect()))
-    original = summarize.left_lookup
-    monkeypatch.setattr(summarize, "left_lookup", lambda *a: original(*a, max_rows=10, hot_rows=20))
-    assert sorted(map(tuple, summarize.tfidf_scores(docs, "id", "dialogue").collect())) == want
+    want = sorted(map(tuple, summarize.tfidf_extract(docs).collect()))
+    assert sorted(map(tuple, summarize.tfidf_extract(docs, max_rows=1000).collect())) == want
+    idf = summarize.idf_table(docs, "dialogue")
+    tight = summarize.tfidf_scores(docs, idf, "id", "dialogue", max_rows=10, hot_rows=20)
+    plain = summarize.tfidf_scores(docs, idf, "id", "dialogue")
+    assert sorted(map(tuple, tight.collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_lead(spark):
