@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from briefloom.functions.text import word_tokens
 from briefloom.operators.split import SplitRatios, split_exact
 from briefloom.operators.vocab import EOS_ID, PAD_ID, UNKNOWN_ID
-from briefloom.session import MAX_BROADCAST_ROWS, left_lookup, materialise
+from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise, row_count_at_most
 
 # Default limits of the input and target sequences.
 MAX_INPUT = 1024
@@ -37,10 +37,9 @@ class Limits:
 
 def send_table(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS):
     """Broadcast a lookup table of measured size; ``None`` if it has too many rows."""
-    fetched = table.limit(max_rows + 1).toArrow()
-    if fetched.num_rows > max_rows:
+    if not row_count_at_most(table, max_rows):
         return None
-    return table.sparkSession.sparkContext.broadcast(fetched.combine_chunks())
+    return table.sparkSession.sparkContext.broadcast(table.toArrow().combine_chunks())
 
 
 def regroup(values: pa.Array, lengths) -> pa.ListArray:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from briefloom.functions.ordering import hex_prefix, order_key, unit_interval
-from briefloom.session import MAX_BROADCAST_ROWS, materialise, row_count_at_most
+from briefloom.scaling import MAX_BROADCAST_ROWS, materialise, row_count_at_most
 
 HISTOGRAM_DIGITS = 4
 
@@ -46,7 +46,11 @@ class SplitRatios:
 def _cut_points(
     df: DataFrame, id_col: str, strata: Sequence[str], ratios: SplitRatios
 ) -> DataFrame:
-    """Per stratum the (key, id) of the last test row and of the last held-out row."""
+    """Per stratum the ids at which the test rows and the held-out rows end.
+
+    ``_test`` and ``_holdout`` are structs (at, take, copies): the (key, id) reached, how
+    many of its rows are still inside, and how many rows it has.
+    """
     strata = list(strata)
     keys = df.select(
         *strata, order_key(F.col(id_col), ratios.seed).alias("_key"), F.col(id_col).alias("_id")
@@ -86,25 +90,67 @@ def _cut_points(
     same = F.col("_bucket") == F.col("_cut_bucket")
     for i, s in enumerate(strata):
         same = same & F.col(s).eqNullSafe(F.col(f"_s{i}"))
-    ranked = keys.join(cut_buckets, same).withColumn(
-        "_rank",
-        F.row_number().over(
-            Window.partitionBy(*strata, "_bucket", "_cut").orderBy("_key", "_id")
-        ),
+    # Rows are counted per id first (map side): copies of one id never meet in one task.
+    owners = [f"_s{i}" for i, _ in enumerate(strata)]
+    ids = (
+        keys.join(cut_buckets, same)
+        .groupBy(*owners, "_cut", "_rank_in_bucket", "_key", "_id")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+    upto = F.sum("_copies").over(
+        Window.partitionBy(*owners, "_cut")
+        .orderBy("_key", "_id")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    take = F.col("_rank_in_bucket") - (F.col("_upto") - F.col("_copies"))
+    reached = (
+        ids.withColumn("_upto", upto)
+        .withColumn("_take", take)
+        .filter((F.col("_take") > 0) & (F.col("_take") <= F.col("_copies")))
     )
-    cut = F.when(F.col("_rank") == F.col("_rank_in_bucket"), F.struct("_key", "_id"))
-    return ranked.groupBy(*[F.col(f"_s{i}") for i, _ in enumerate(strata)]).agg(
-        F.max(F.when(F.col("_cut") == "test", cut)).alias("_test_cut"),
-        F.max(F.when(F.col("_cut") == "holdout", cut)).alias("_holdout_cut"),
+    entry = F.struct(
+        F.struct("_key", "_id").alias("at"),
+        F.col("_take").alias("take"),
+        F.col("_copies").alias("copies"),
+    )
+    return reached.groupBy(*owners).agg(
+        F.max(F.when(F.col("_cut") == "test", entry)).alias("_test"),
+        F.max(F.when(F.col("_cut") == "holdout", entry)).alias("_holdout"),
     )
 
 
-def _label(here: Column, test_cut: Column, holdout_cut: Column) -> Column:
-    return (
-        F.when(F.coalesce(here <= test_cut, F.lit(False)), "test")
-        .when(F.coalesce(here <= holdout_cut, F.lit(False)), "val")
-        .otherwise("train")
-    )
+def _attach_cuts(
+    df: DataFrame, id_col: str, strata: Sequence[str], ratios: SplitRatios
+) -> tuple[DataFrame, bool]:
+    """Add the cut structs to every row; also whether some cut falls between copies."""
+    cuts = _cut_points(df, id_col, strata, ratios)
+    torn = F.lit(False)
+    for c in ("_test", "_holdout"):
+        torn = torn | F.coalesce(F.col(c)["take"] < F.col(c)["copies"], F.lit(False))
+    if strata:
+        cuts = materialise(cuts)
+        any_torn = bool(cuts.agg(F.bool_or(torn)).first()[0])
+        if row_count_at_most(cuts, MAX_BROADCAST_ROWS):
+            cuts = F.broadcast(cuts)
+        same = F.lit(True)
+        for i, s in enumerate(strata):
+            same = same & F.col(s).eqNullSafe(F.col(f"_s{i}"))
+        return df.join(cuts, same, "left"), any_torn
+    # Two cuts for the whole table: they become constants of the plan.
+    types = {f.name: f.dataType for f in cuts.schema}
+    found = cuts.select("_test", "_holdout", torn.alias("torn")).first()
+
+    def constant(name: str) -> Column:
+        cut = found[name] if found else None
+        if cut is None:
+            return F.lit(None).cast(types[name])
+        at = F.struct(F.lit(cut["at"]["_key"]).alias("_key"), F.lit(cut["at"]["_id"]).alias("_id"))
+        return F.struct(
+            at.alias("at"), F.lit(cut["take"]).alias("take"), F.lit(cut["copies"]).alias("copies")
+        ).cast(types[name])
+
+    with_cuts = df.withColumns({n: constant(n) for n in ("_test", "_holdout")})
+    return with_cuts, bool(found and found["torn"])
 
 
 def split_exact(
@@ -113,43 +159,46 @@ def split_exact(
     ratios: SplitRatios = SplitRatios(),
     strata: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``split``; sizes are exact (per stratum) when ids are unique.
+    """Add ``split``; sizes are exact (per stratum), also when ids repeat.
 
-    Rows that share an id always land in the same split.
+    Only if a cut falls between the copies of one id are those rows stored, numbered and
+    ranked among themselves; all others are labelled where they lie.
     """
-    cuts = _cut_points(df, id_col, strata, ratios)
+    marked, torn = _attach_cuts(df, id_col, strata, ratios)
     here = F.struct(
         order_key(F.col(id_col), ratios.seed).alias("_key"), F.col(id_col).alias("_id")
     )
-    if not strata:
-        found = cuts.select(
-            "_test_cut._key", "_test_cut._id", "_holdout_cut._key", "_holdout_cut._id"
-        ).first()
-        id_type = df.schema[id_col].dataType
-
-        def fixed(key, row_id) -> Column:
-            return F.struct(
-                F.lit(key).cast("string").alias("_key"), F.lit(row_id).cast(id_type).alias("_id")
-            )
-
-        test_key, test_id, hold_key, hold_id = found if found else (None,) * 4
-        none = F.lit(False)
-        in_test = here <= fixed(test_key, test_id) if test_key is not None else none
-        in_hold = here <= fixed(hold_key, hold_id) if hold_key is not None else none
-        return df.withColumn(
-            "split", F.when(in_test, "test").when(in_hold, "val").otherwise("train")
-        )
-    cuts = materialise(cuts)
-    if row_count_at_most(cuts, MAX_BROADCAST_ROWS):
-        cuts = F.broadcast(cuts)
-    same = F.lit(True)
-    for i, s in enumerate(strata):
-        same = same & F.col(s).eqNullSafe(F.col(f"_s{i}"))
-    return (
-        df.join(cuts, same, "left")
-        .withColumn("split", _label(here, F.col("_test_cut"), F.col("_holdout_cut")))
-        .select(*df.columns, "split")
+
+    def holds(condition: Column) -> Column:
+        return F.coalesce(condition, F.lit(False))
+
+    def upto(cut: str) -> Column:
+        return holds(here <= F.col(cut)["at"])
+
+    label = F.when(upto("_test"), "test").when(upto("_holdout"), "val").otherwise("train")
+    columns = [*df.columns, "split"]
+    if not torn:
+        return marked.withColumn("split", label).select(columns)
+
+    def at_torn(cut: str) -> Column:
+        c = F.col(cut)
+        return holds((here == c["at"]) & (c["take"] < c["copies"]))
+
+    between = at_torn("_test") | at_torn("_holdout")
+    apart = marked.filter(~between).withColumn("split", label)
+    copies = materialise(marked.filter(between)).withColumn(
+        "_copy", F.monotonically_increasing_id()
+    )
+    turn = seeded_rank(copies, "_copy", ratios.seed, [*strata, id_col], "_turn")
+
+    def inside(cut: str) -> Column:
+        c = F.col(cut)
+        return upto(cut) & holds((here != c["at"]) | (F.col("_turn") <= c["take"]))
+
+    ranked = turn.withColumn(
+        "split", F.when(inside("_test"), "test").when(inside("_holdout"), "val").otherwise("train")
     )
+    return apart.select(columns).unionByName(ranked.select(columns))
 
 
 def split_stratified(
@@ -179,6 +228,8 @@ def seeded_rank(
 ) -> DataFrame:
     """Exact 1-based position of every row in the seeded order (per ``within`` group).
 
+    Ids must be unique (``validate_pairs`` counts repeats).
+
     The position is the row's place in its own key bucket plus the rows in earlier
     buckets. The buckets are even whatever the data looks like, so a group holding most
     rows is still ranked by thousands of tasks.

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from briefloom.functions.overlap import steps
 from briefloom.functions.text import let, sentences, word_tokens
 from briefloom.operators.encode import column_of, regroup, send_table
-from briefloom.session import MAX_BROADCAST_ROWS, left_lookup, materialise
+from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
 
 # TextRank damping (Mihalcea & Tarau 2004) and number of rounds.
 DAMPING = 0.85

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from briefloom.functions.text import word_tokens
+from briefloom.scaling import heaviest, materialise
 
 # Special ids of the summarisation checkpoint family.
 PAD_ID = 0
@@ -25,21 +26,18 @@ def word_counts(df: DataFrame, text_col: str = "text", unicode: bool = False) ->
     )
 
 
-def _ranked(df: DataFrame, size: int, weight: str, name: str) -> DataFrame:
-    """The ``size`` heaviest rows with a 1-based rank; only those rows meet in one task."""
-    order = (F.desc(weight), F.asc(name))
-    top = df.orderBy(*order).limit(size)
-    return top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+def _next_id(name: str) -> Column:
+    """Ids by falling count; used on a vocabulary's rows only, whose number is limited."""
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), F.asc(name))
+    return (F.row_number().over(order) + (FIRST_WORD_ID - 1)).cast("int")
 
 
 def build_vocab(
     df: DataFrame, text_col: str = "text", size: int = DEFAULT_VOCAB_SIZE, unicode: bool = False
 ) -> DataFrame:
     """(word, count, id): the ``size`` most frequent words, ids from 106 in that order."""
-    ranked = _ranked(word_counts(df, text_col, unicode), size, "count", "word")
-    return ranked.select(
-        "word", "count", (F.col("rank") + (FIRST_WORD_ID - 1)).cast("int").alias("id")
-    )
+    top = heaviest(materialise(word_counts(df, text_col, unicode)), size, "count", "word")
+    return top.select("word", "count", _next_id("word").alias("id"))
 
 
 def _substrings(word: Column, longest: int) -> Column:
@@ -68,22 +66,15 @@ def build_pieces(
     share of the kept pieces' total; single characters are kept whatever their rank, so
     every word can be segmented.
     """
-    counts = (
+    counts = materialise(
         word_counts(df, text_col, unicode)
         .select(F.explode(_substrings(F.col("word"), longest)).alias("piece"), "count")
         .groupBy("piece")
         .agg(F.sum("count").alias("count"))
     )
     singles = counts.filter(F.length("piece") == 1)
-    top = counts.orderBy(F.desc("count"), "piece").limit(size)
-    kept = top.unionByName(singles).distinct()
-    order = (F.desc("count"), F.asc("piece"))
-    everything = Window.partitionBy(F.lit(0))
+    kept = heaviest(counts, size, "count", "piece").unionByName(singles).distinct()
+    whole = F.sum("count").over(Window.partitionBy(F.lit(0)))
     return kept.select(
-        "piece",
-        "count",
-        F.ln(F.col("count") / F.sum("count").over(everything)).alias("logp"),
-        (F.row_number().over(everything.orderBy(*order)) + (FIRST_WORD_ID - 1))
-        .cast("int")
-        .alias("id"),
+        "piece", "count", F.ln(F.col("count") / whole).alias("logp"), _next_id("piece").alias("id")
     )

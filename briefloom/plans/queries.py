@@ -15,7 +15,8 @@ from briefloom.functions.text import let, word_tokens
 from briefloom.operators import batches, encode, metrics, pairs, pieces, report
 from briefloom.operators import split as splits
 from briefloom.operators import summarize, validate, vocab
-from briefloom.session import fresh_folder, spread
+from briefloom.scaling import spread
+from briefloom.session import fresh_folder
 from briefloom.sinks import manifest as runs
 from briefloom.sinks import report as report_sink
 from briefloom.sinks import sync, tables

@@ -1,15 +1,11 @@
-"""Session defaults, the shared scratch folder, and size-checked joins."""
+"""Session defaults and the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A broadcast side is limited by a row count measured before it is sent.
-MAX_BROADCAST_ROWS = 1_000_000
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str | int = "*", memory: str = "20g", partitions: int = 8) -> SparkSession:
@@ -49,47 +45,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new path (not created) under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has no more than ``limit`` rows; never counts further than that."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a scan has fewer splits than the cluster has cores.
-
-    Large inputs already have more splits than cores and are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def left_lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    weight: str,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    hot_rows: int = 100_000,
-) -> DataFrame:
-    """Left join of ``rows`` to a lookup ``table`` with one row per ``key``.
-
-    A table measured to be small is broadcast. A larger one is cut in two: the
-    ``hot_rows`` entries with the largest ``weight`` (how many rows use the key) are
-    broadcast, so no hot key is ever shuffled, and only rows with rarer keys take
-    part in the shuffle join with the rest. Pass a materialised table.
-    """
-    if row_count_at_most(table, max_rows):
-        return rows.join(F.broadcast(table), key, "left")
-    hot = materialise(table.orderBy(F.desc(weight), key).limit(hot_rows))
-    cold = table.join(F.broadcast(hot.select(key)), key, "left_anti")
-    common = rows.join(F.broadcast(hot), key, "inner")
-    rare = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
-    return common.unionByName(rare)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from briefloom.operators import batches, encode, pieces, vocab
 from briefloom.operators.encode import Limits
-from briefloom.session import left_lookup
+from briefloom.scaling import heaviest, left_lookup
 
 TEXTS = [
     ("a", "the cat and the dog", "the cat"),
@@ -74,6 +74,15 @@ def test_lookup_by_broadcast_and_by_join(spark, limit):
     assert wrong.count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 7, 40, 500])
+def test_heaviest_by_plain_top_k_and_by_weight_level(spark, size):
+    table = spark.range(200).select(F.col("id").alias("name"), F.floor(F.sqrt("id")).alias("w")).repartition(6)
+    plain, levelled = (heaviest(table, size, "w", "name", limit) for limit in (1000, 10))
+    want = sorted(((int(math.sqrt(i)), -i) for i in range(200)), reverse=True)[:size]
+    for got in (plain, levelled):
+        assert sorted(((r["w"], -r["name"]) for r in got.collect()), reverse=True) == want
+
+
 def test_length_profile(spark):
     rows = spark.range(10).select(F.lit("train").alias("split"), F.repeat(F.lit("w "), (F.col("id") + 1).cast("int")).alias("t"))
     got = encode.length_profile(rows, "t", 8).first()

@@ -65,11 +65,26 @@ def test_stratified_sizes_with_a_hot_and_a_null_stratum(spark):
         assert sizes(part) == (n - held, held - test, test)
 
 
-def test_copies_of_an_id_stay_together(spark):
-    rows = spark.range(3000).select((F.col("id") % 500).alias("id"), F.col("id").alias("row"))
-    labelled = split_exact(rows, "id")
-    assert labelled.count() == 3000
-    assert labelled.groupBy("id").agg(F.countDistinct("split").alias("k")).filter("k > 1").count() == 0
+@pytest.mark.parametrize("share", [0.05, 0.34, 0.95])
+def test_sizes_stay_exact_with_a_hot_id(spark, share):
+    """One id holds up to nearly all rows, and every other id comes three times."""
+    n = 3000
+    rows = spark.range(n).select(
+        F.when(F.col("id") < int(n * share), -1).otherwise(F.floor(F.col("id") / 3)).alias("id"),
+        F.col("id").alias("row"),
+    )
+    for seed in range(3):
+        labelled = split_exact(rows, "id", SplitRatios(seed=seed))
+        assert sizes(labelled) == (2400, 300, 300)
+        assert labelled.select("row").distinct().count() == n
+
+
+def test_only_identical_rows(spark):
+    rows = spark.range(1000).select(F.lit("same").alias("id"), F.lit("text").alias("t"))
+    assert sizes(split_exact(rows)) == (800, 100, 100)
+    kinds = spark.range(1000).select(F.lit("same").alias("id"), (F.col("id") % 2).alias("k"))
+    labelled = split_stratified(kinds, ["k"])
+    assert sizes(labelled.filter("k = 0")) == sizes(labelled.filter("k = 1")) == (400, 50, 50)
 
 
 def test_hash_split_is_stable_as_rows_arrive(spark):
