@@ -206,14 +206,20 @@ list_reduce(list_concat([[0]], list_transform(range(1, len(r) + 1),
   lambda acc, x: list_concat(acc, [greatest(acc[-1], x[1])]))
 """
 
-ROUGE_L = f"""
-WITH RECURSIVE pairs AS ({PAIRS_DOCS}), preds AS ({LEAD_PREDICTIONS}), toks AS ({TOKENISED}),
+# The LCS table of every row, one prediction word per round.
+LCS_CTES = f"""
 steps AS (
-  SELECT id, 0 AS j, h, r, list_transform(range(len(r) + 1), lambda x: 0) AS d FROM toks
+  SELECT model, id, 0 AS j, h, r, list_transform(range(len(r) + 1), lambda x: 0) AS d FROM toks
   UNION ALL
-  SELECT id, j + 1, h, r, {LCS_STEP} FROM steps WHERE j < len(h)),
-lcs AS (SELECT id, d[-1]::DOUBLE AS m, len(h) AS a, len(r) AS b FROM steps WHERE j = len(h))
-{rouge_rows("SELECT id, CASE WHEN m = 0 THEN 0 ELSE m / a END AS p, CASE WHEN m = 0 THEN 0 ELSE m / b END AS r, CASE WHEN m = 0 THEN 0 ELSE 2 * m / (a + b) END AS f FROM lcs")}
+  SELECT model, id, j + 1, h, r, {LCS_STEP} FROM steps WHERE j < len(h)),
+lcs AS (SELECT model, id, d[-1]::DOUBLE AS m, len(h) AS a, len(r) AS b FROM steps WHERE j = len(h)),
+rouge_l AS (SELECT model, id, CASE WHEN m = 0 THEN 0 ELSE m / a END AS p, CASE WHEN m = 0 THEN 0 ELSE m / b END AS r,
+                   CASE WHEN m = 0 THEN 0 ELSE 2 * m / (a + b) END AS f FROM lcs)
+"""
+
+ROUGE_L = f"""
+WITH RECURSIVE pairs AS ({PAIRS_DOCS}), preds AS ({LEAD_PREDICTIONS}), toks AS ({TOKENISED}), {LCS_CTES}
+{rouge_rows("SELECT * FROM rouge_l")}
 """
 
 
@@ -273,14 +279,15 @@ FROM (SELECT model, sys_len, ref_len, {_SUMS}
       FROM (SELECT model, sum(len(h))::BIGINT AS sys_len, sum(len(r))::BIGINT AS ref_len FROM btoks GROUP BY model) g)
 """
 
-REPORT = f"""
-{ROWS_BOTH}, toks AS ({TOKENISED}), btoks AS ({BLEU_TOKENISED})
+REPORT_ROWS = f"""
 SELECT model, 'rouge1' AS metric, round(avg(f)::DOUBLE, 6) AS value FROM ({rouge(1)}) GROUP BY model
 UNION ALL SELECT model, 'rouge2', round(avg(f)::DOUBLE, 6) FROM ({rouge(2)}) GROUP BY model
 UNION ALL SELECT model, 'meteor', round(avg(meteor)::DOUBLE, 6) FROM ({METEOR}) GROUP BY model
 UNION ALL SELECT model, 'bleu', round(bleu::DOUBLE, 6) FROM ({BLEU})
 """
 
+REPORT = f"{ROWS_BOTH}, toks AS ({TOKENISED}), btoks AS ({BLEU_TOKENISED}) {REPORT_ROWS}"
+
 SPLIT_DOCS = ranked_split("documents", "doc_id")
 
 FEATURES = f"""
@@ -317,7 +324,124 @@ def rows_md5(rows: str, pad: str) -> str:
 
 ONES = "list_transform(ins, lambda v: list_transform(v, lambda t: 1))"
 
+def textrank(source: str, row_id: str, text: str) -> str:
+    """CTEs ending in ``ranked(row_id, prediction)``: edges between sentence pairs, 20 rounds."""
+    return f"""
+    d AS (SELECT {row_id} AS doc, {sents(text)} AS s FROM {source}),
+    sent AS (SELECT doc, pos, {words('sentence')} AS w
+             FROM (SELECT doc, unnest(s) AS sentence, generate_subscripts(s, 1) AS pos FROM d)),
+    word AS (SELECT DISTINCT doc, pos, len(w) AS n, unnest(w) AS word FROM sent WHERE len(w) > 1),
+    edge AS (SELECT a.doc, a.pos AS i, b.pos AS j, count(*) / (ln(any_value(a.n)) + ln(any_value(b.n))) AS weight
+             FROM word a JOIN word b ON a.doc = b.doc AND a.word = b.word AND a.pos <> b.pos GROUP BY ALL),
+    flow AS (SELECT doc, i, j, weight / sum(weight) OVER (PARTITION BY doc, j) AS share FROM edge),
+    rounds AS (
+      SELECT doc, pos, 0 AS t, 1.0::DOUBLE AS score FROM sent
+      UNION ALL
+      SELECT r.doc, r.pos, r.t + 1, 0.15::DOUBLE + 0.85::DOUBLE * coalesce(g.given, 0)
+      FROM rounds r LEFT JOIN (
+        SELECT f.doc, f.i, sum(f.share * q.score) AS given
+        FROM flow f JOIN rounds q ON f.doc = q.doc AND f.j = q.pos GROUP BY f.doc, f.i) g
+      ON r.doc = g.doc AND r.pos = g.i WHERE r.t < 20),
+    best AS (SELECT doc, pos, row_number() OVER (PARTITION BY doc ORDER BY round(score, 6) DESC, pos) AS r
+             FROM rounds WHERE t = 20),
+    ranked AS (SELECT d.doc AS {row_id}, coalesce(array_to_string(list_transform(c.chosen, lambda p: d.s[p]), ' '), '') AS prediction
+               FROM d LEFT JOIN (SELECT doc, list(pos ORDER BY pos) AS chosen FROM best
+                                 WHERE r <= {TOP_SENTENCES} GROUP BY doc) c USING (doc))
+    """
+
+
+TEXTRANK_PREDICTIONS = (
+    "SELECT id, 'textrank' AS model, prediction, summary AS reference FROM pairs JOIN ranked USING (id)"
+)
+
+# Predictions and references are single lines here, where rougeLsum is rougeL by definition.
+FULL_REPORT = f"""
+WITH RECURSIVE pairs AS MATERIALIZED ({PAIRS_DOCS}), {textrank('pairs', 'id', 'dialogue')},
+preds AS MATERIALIZED ({LEAD_PREDICTIONS} UNION ALL {TFIDF_PREDICTIONS} UNION ALL {TEXTRANK_PREDICTIONS}),
+toks AS MATERIALIZED ({TOKENISED}), btoks AS MATERIALIZED ({BLEU_TOKENISED}), {LCS_CTES}
+{REPORT_ROWS}
+UNION ALL SELECT model, unnest(['rougeL', 'rougeLsum']), round(avg(f)::DOUBLE, 6) FROM rouge_l GROUP BY model
+"""
+
+
+PIECES_SQL = f"""
+WITH w AS (SELECT word, count(*) AS n FROM (SELECT unnest({words('text')}) AS word FROM documents) GROUP BY word),
+p AS (SELECT piece, sum(n)::BIGINT AS count FROM (
+        SELECT n, unnest(flatten(list_transform(range(1, len(word) + 1), lambda i: list_transform(
+          range(1, least(8, len(word) - i + 1) + 1), lambda k: substr(word, i, k))))) AS piece FROM w)
+      GROUP BY piece),
+kept AS (SELECT piece, count FROM (SELECT *, row_number() OVER (ORDER BY count DESC, piece) AS r FROM p)
+         WHERE r <= {PIECES} OR len(piece) = 1)
+SELECT piece, count, ln(count::DOUBLE / (SELECT sum(count) FROM kept)) AS logp,
+       (row_number() OVER (ORDER BY count DESC, piece) + 105)::INTEGER AS id FROM kept
+"""
+
+# Best segmentation of every distinct word, one end position per round: ``best`` holds the
+# best score up to each position, ``codes`` the piece ids of that best segmentation.
+UNIGRAM = f"""
+WITH RECURSIVE pieces AS MATERIALIZED ({PIECES_SQL}),
+distinct_words AS MATERIALIZED (SELECT DISTINCT unnest({words('text')}) AS word FROM documents),
+cuts AS MATERIALIZED (
+  SELECT word, e, list(struct_pack(start := c.start, logp := p.logp, id := p.id) ORDER BY c.start) AS options
+  FROM (SELECT word, e, unnest(range(greatest(0, e - 8), e)) AS start
+        FROM (SELECT word, unnest(range(1, len(word) + 1)) AS e FROM distinct_words)) c
+  JOIN pieces p ON p.piece = substr(c.word, c.start::INTEGER + 1, (c.e - c.start)::INTEGER) GROUP BY word, e),
+steps AS (
+  SELECT word, 0::BIGINT AS e, [0.0::DOUBLE] AS best, [[]::INTEGER[]] AS codes FROM distinct_words
+  UNION ALL
+  SELECT word, e, list_append(best, sums[pick]),
+         list_append(codes, list_append(codes[options[pick].start + 1], options[pick].id))
+  FROM (SELECT *, list_position(sums, list_max(sums)) AS pick
+        FROM (SELECT s.word, c.e, s.best, s.codes, c.options,
+                     list_transform(c.options, lambda o: s.best[o.start + 1] + o.logp) AS sums
+              FROM steps s JOIN cuts c ON s.word = c.word AND c.e = s.e + 1))),
+coded AS (SELECT word, codes[-1] AS ids FROM steps WHERE e = len(word)),
+c AS (
+  SELECT doc_id, flatten(list(ids ORDER BY pos))[1:1023] AS ids
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+        FROM (SELECT doc_id, ({words('text')})[1:1023] AS w FROM documents)) JOIN coded USING (word) GROUP BY doc_id),
+filled AS (SELECT d.doc_id, coalesce(c.ids, []) AS ids FROM documents d LEFT JOIN c USING (doc_id))
+SELECT doc_id, {md5_list(padded('ids', 1024))} AS input_ids_md5, 1024::BIGINT AS input_ids_size,
+  {md5_list(mask('ids', 1024))} AS attention_mask_md5, 1024::BIGINT AS attention_mask_size,
+  (len(ids) + 1)::BIGINT AS n_real FROM filled
+"""
+
+# Union LCS: fill the table of every (reference line, hypothesis line) pair row by row, walk
+# back from its corner, then count the covered reference words.
+ROUGE_LSUM = f"""
+WITH RECURSIVE pairs AS ({PAIRS_CONV}),
+preds AS (SELECT id, summary AS reference, array_to_string(({sents('dialogue')})[1:{TOP_SENTENCES}], {NL}) AS prediction FROM pairs),
+ref AS (SELECT id, i, {words('line')} AS r FROM (
+  SELECT id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT id, string_split(reference, {NL}) AS l FROM preds))),
+hyp AS (SELECT id, k, {words('line')} AS h FROM (
+  SELECT id, unnest(l) AS line, generate_subscripts(l, 1) AS k FROM (SELECT id, string_split(prediction, {NL}) AS l FROM preds))),
+steps AS (
+  SELECT id, i, k, r, h, 0 AS j, d, [d] AS rows
+  FROM (SELECT *, list_transform(range(len(r) + 1), lambda x: 0) AS d FROM ref JOIN hyp USING (id) WHERE len(r) > 0 AND len(h) > 0)
+  UNION ALL
+  SELECT id, i, k, r, h, j + 1, e, list_append(rows, e) FROM (SELECT *, {LCS_STEP} AS e FROM steps WHERE j < len(h))),
+walk AS (
+  SELECT id, i, k, r, h, rows, len(r) AS x, len(h) AS y, []::BIGINT[] AS found FROM steps WHERE j = len(h)
+  UNION ALL
+  SELECT id, i, k, r, h, rows, CASE WHEN r[x] = h[y] OR NOT left_is_better THEN x - 1 ELSE x END,
+         CASE WHEN r[x] = h[y] OR left_is_better THEN y - 1 ELSE y END,
+         CASE WHEN r[x] = h[y] THEN list_append(found, x) ELSE found END
+  FROM (SELECT *, rows[y][x + 1] > rows[y + 1][x] AS left_is_better FROM walk WHERE x > 0 AND y > 0)),
+covered AS (SELECT DISTINCT id, i, unnest(found) AS x FROM walk WHERE x = 0 OR y = 0),
+hits AS (
+  SELECT id, sum(least(a.n, b.n)) AS m
+  FROM (SELECT id, r[x] AS word, count(*) AS n FROM covered JOIN ref USING (id, i) GROUP BY ALL) a
+  JOIN (SELECT id, word, count(*) AS n FROM (SELECT id, unnest(h) AS word FROM hyp) GROUP BY ALL) b USING (id, word) GROUP BY id),
+scored AS (
+  SELECT id, coalesce(m, 0)::DOUBLE AS m, len({words('prediction')}) AS a, len({words('reference')}) AS b
+  FROM preds LEFT JOIN hits USING (id))
+{rouge_rows("SELECT id, CASE WHEN m = 0 THEN 0 ELSE m / a END AS p, CASE WHEN m = 0 THEN 0 ELSE m / b END AS r, CASE WHEN m = 0 THEN 0 ELSE 2 * m / (a + b) END AS f FROM scored")}
+"""
+
 ORACLE: dict[str, str] = {
+    "textrank": f"WITH RECURSIVE {textrank('documents', 'doc_id', 'text')} SELECT doc_id, prediction FROM ranked",
+    "encode_unigram": UNIGRAM,
+    "rougeLsum": ROUGE_LSUM,
     "select_pair_columns": "SELECT doc_id::VARCHAR AS id, text AS dialogue, source AS summary FROM documents",
     "assemble_dialogue": f"""
         SELECT conv_id::VARCHAR AS id, string_agg(role || ': ' || text, {NL} ORDER BY turn) AS dialogue,
@@ -382,16 +506,7 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, {md5_list(padded('ids', 1024))} AS input_ids_md5 FROM c""",
     "feature_table": FEATURES.replace("{split}", f"SELECT id, split FROM ({ranked_split('pairs', 'id')})"),
     "stream_features": FEATURES.replace("{split}", hash_split("pairs", "id")),
-    "piece_vocab": f"""
-        WITH w AS (SELECT word, count(*) AS n FROM (SELECT unnest({words('text')}) AS word FROM documents) GROUP BY word),
-        p AS (SELECT piece, sum(n)::BIGINT AS count FROM (
-                SELECT n, unnest(flatten(list_transform(range(1, len(word) + 1), lambda i: list_transform(
-                  range(1, least(8, len(word) - i + 1) + 1), lambda k: substr(word, i, k))))) AS piece FROM w)
-              GROUP BY piece),
-        kept AS (SELECT piece, count FROM (SELECT *, row_number() OVER (ORDER BY count DESC, piece) AS r FROM p)
-                 WHERE r <= {PIECES} OR len(piece) = 1)
-        SELECT piece, count, round(ln(count::DOUBLE / (SELECT sum(count) FROM kept)), 6) AS logp,
-               (row_number() OVER (ORDER BY count DESC, piece) + 105)::INTEGER AS id FROM kept""",
+    "piece_vocab": f"SELECT * REPLACE (round(logp, 6) AS logp) FROM ({PIECES_SQL})",
     "length_profile": f"""
         SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE n > 1023) AS n_cut, max(n)::BIGINT AS max_tokens,
           round(quantile_cont(n, 0.5)::DOUBLE, 6) AS p50, round(quantile_cont(n, 0.95)::DOUBLE, 6) AS p95,
@@ -419,6 +534,7 @@ ORACLE: dict[str, str] = {
     "bleu_corpus": f"""{ROWS_LEAD}, btoks AS ({BLEU_TOKENISED})
         SELECT * EXCLUDE (model) REPLACE (round(bleu::DOUBLE, 6) AS bleu) FROM ({BLEU})""",
     "evaluation_report": REPORT,
+    "evaluation_report_full": FULL_REPORT,
     "leaderboard": f"""
         SELECT model, metric, value, rank() OVER (PARTITION BY metric ORDER BY value DESC)::INTEGER AS rank
         FROM ({REPORT})""",
