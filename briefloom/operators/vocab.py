@@ -63,8 +63,9 @@ def build_pieces(
     """(piece, count, logp, id): frequent substrings of words plus every single character.
 
     Substrings are cut from *distinct* words weighted by their counts. ``logp`` is the log
-    share of the kept pieces' total; single characters are kept whatever their rank, so
-    every word can be segmented.
+    share of the kept pieces' total, to 6 places: the last bits of a logarithm differ between
+    platforms, and equally good segmentations must not depend on them. Single characters are
+    kept whatever their rank, so every word can be segmented.
     """
     counts = materialise(
         word_counts(df, text_col, unicode)
@@ -76,5 +77,8 @@ def build_pieces(
     kept = heaviest(counts, size, "count", "piece").unionByName(singles).distinct()
     whole = F.sum("count").over(Window.partitionBy(F.lit(0)))
     return kept.select(
-        "piece", "count", F.ln(F.col("count") / whole).alias("logp"), _next_id("piece").alias("id")
+        "piece",
+        "count",
+        F.round(F.ln(F.col("count") / whole), 6).alias("logp"),
+        _next_id("piece").alias("id"),
     )

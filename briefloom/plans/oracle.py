@@ -372,7 +372,7 @@ p AS (SELECT piece, sum(n)::BIGINT AS count FROM (
       GROUP BY piece),
 kept AS (SELECT piece, count FROM (SELECT *, row_number() OVER (ORDER BY count DESC, piece) AS r FROM p)
          WHERE r <= {PIECES} OR len(piece) = 1)
-SELECT piece, count, ln(count::DOUBLE / (SELECT sum(count) FROM kept)) AS logp,
+SELECT piece, count, round(ln(count::DOUBLE / (SELECT sum(count) FROM kept)), 6) AS logp,
        (row_number() OVER (ORDER BY count DESC, piece) + 105)::INTEGER AS id FROM kept
 """
 
@@ -506,7 +506,7 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, {md5_list(padded('ids', 1024))} AS input_ids_md5 FROM c""",
     "feature_table": FEATURES.replace("{split}", f"SELECT id, split FROM ({ranked_split('pairs', 'id')})"),
     "stream_features": FEATURES.replace("{split}", hash_split("pairs", "id")),
-    "piece_vocab": f"SELECT * REPLACE (round(logp, 6) AS logp) FROM ({PIECES_SQL})",
+    "piece_vocab": PIECES_SQL,
     "length_profile": f"""
         SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE n > 1023) AS n_cut, max(n)::BIGINT AS max_tokens,
           round(quantile_cont(n, 0.5)::DOUBLE, 6) AS p50, round(quantile_cont(n, 0.95)::DOUBLE, 6) AS p95,

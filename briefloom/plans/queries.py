@@ -229,8 +229,7 @@ def feature_table(spark, sf_dir):
 
 
 def piece_vocab(spark, sf_dir):
-    found = vocab.build_pieces(documents(spark, sf_dir), size=PIECES)
-    return found.select("piece", "count", six(F.col("logp")).alias("logp"), "id")
+    return vocab.build_pieces(documents(spark, sf_dir), size=PIECES)
 
 
 def encode_unigram(spark, sf_dir):
