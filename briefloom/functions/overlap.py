@@ -42,10 +42,11 @@ def _coded(left: pa.Array, right: pa.Array):
     return codes, rows, places, sizes
 
 
-def in_steps(kernel, left: pa.Array, right: pa.Array) -> list[np.ndarray]:
-    """Run ``kernel(left, right) -> columns`` over a batch in pieces of limited size."""
-    ranges = list(steps(_lengths(left) + _lengths(right))) or [slice(0, 0)]
-    parts = [kernel(left[r], right[r]) for r in ranges]
+def in_steps(kernel, *lists: pa.Array) -> list[np.ndarray]:
+    """Run ``kernel(*lists) -> columns`` over a batch in pieces of limited size."""
+    sizes = sum(_lengths(column) for column in lists)
+    ranges = list(steps(sizes)) or [slice(0, 0)]
+    parts = [kernel(*[column[r] for column in lists]) for r in ranges]
     return [np.concatenate(column) for column in zip(*parts)]
 
 
@@ -85,28 +86,42 @@ def _copy_numbers(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
     return numbers
 
 
-def alignment(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(matches, chunks) per row: k-th copy of a word with its k-th copy opposite.
-
-    A chunk is a run of matches that are adjacent, in the same order, on both sides.
-    """
-    n_rows = len(left)
-    codes, rows, places, sizes = _coded(left, right)
-    if not len(codes):
-        return np.zeros(n_rows, np.int32), np.zeros(n_rows, np.int32)
-    n_left = int(sizes[:n_rows].sum())
-    width = int(codes.max()) + 1
+def _same_copies(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs joining the k-th copy of every key on the left with that on the right."""
+    deepest = max(len(left), len(right)) + 1
     tags = []
-    for part in (slice(0, n_left), slice(n_left, None)):
-        keys = rows[part] * width + codes[part]
+    for keys in (left, right):
         order = np.argsort(keys, kind="stable")
         copies = _copy_numbers(keys, order) if len(keys) else np.zeros(0, np.int64)
-        tags.append(keys * (int(sizes.max()) + 1) + copies)
+        tags.append(keys * deepest + copies)
     _, at_left, at_right = np.intersect1d(*tags, assume_unique=True, return_indices=True)
+    return at_left, at_right
+
+
+def alignment(*stages: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(matches, chunks) per row: k-th copy of a word with its k-th copy opposite.
+
+    ``stages`` are pairs of lists, left and right: the words, then other keys of the same
+    words (stems, say). Each stage aligns what the ones before have left over. A chunk is a
+    run of matches that are adjacent, in the same order, on both sides.
+    """
+    n_rows = len(stages[0])
+    free, matched = None, []
+    for left, right in zip(stages[::2], stages[1::2]):
+        codes, rows, places, sizes = _coded(left, right)
+        cut = int(sizes[:n_rows].sum())
+        if free is None:
+            free = [np.arange(cut), np.arange(cut, len(codes))]
+        # Equal codes, but numbered anew: keys stay small whatever the vocabulary.
+        keys = np.unique(rows * (int(codes.max(initial=0)) + 1) + codes, return_inverse=True)[1]
+        a, b = _same_copies(keys[free[0]], keys[free[1]])
+        found = np.stack([free[0][a], free[1][b]])
+        matched.append(found)
+        free = [np.setdiff1d(f, hit, assume_unique=True) for f, hit in zip(free, found)]
+    at_left, at_right = np.concatenate(matched, axis=1)
     order = np.argsort(at_left)
     at_left, at_right = at_left[order], at_right[order]
-    row = rows[:n_left][at_left]
-    x, y = places[:n_left][at_left], places[n_left:][at_right]
+    row, x, y = rows[at_left], places[at_left], places[at_right]
     joined = (row[1:] == row[:-1]) & (x[1:] == x[:-1] + 1) & (y[1:] == y[:-1] + 1)
     opens = np.r_[np.ones(min(len(row), 1), bool), ~joined]
     matches = np.bincount(row, minlength=n_rows).astype(np.int32)

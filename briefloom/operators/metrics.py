@@ -6,20 +6,29 @@ corpus sums are shuffled, as one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from briefloom.functions.lcs import lcs_length, union_lcs_hits
 from briefloom.functions.overlap import alignment, in_steps, ngram_matches
+from briefloom.functions.stem import porter_stem
 from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
+from briefloom.operators.encode import column_of, regroup, send_table
+from briefloom.scaling import MAX_BROADCAST_ROWS
 
 # Longest BLEU n-gram; METEOR weights (Banerjee & Lavie 2005).
 BLEU_ORDER = 4
 METEOR_RECALL_WEIGHT = 9.0
 METEOR_PENALTY = 0.5
 
+# A stage maps a token-list column to a list of keys of the same length.
+Stage = Callable[[Column], Column]
+
 ROW_METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum", "meteor")
 
 
@@ -28,25 +37,66 @@ def _struct_of(names) -> T.StructType:
 
 
 def _counting_udf(names: list[str], kernel):
-    """Arrow function (left tokens, right tokens) -> struct of one integer per name."""
+    """Arrow function (token lists ...) -> struct of one integer per name."""
 
     @F.arrow_udf(_struct_of(names))
     def count(left: pa.Array, right: pa.Array) -> pa.Array:
-        columns = in_steps(kernel, left, right)
-        return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], names)
+        return _as_struct(names, in_steps(kernel, left, right))
 
     return count
 
 
+def _as_struct(names: list[str], columns) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], names)
+
+
 def shared_ngrams(left: Column, right: Column, orders: int) -> Column:
     """Struct ``match1 .. match<orders>`` of clipped n-gram matches."""
     names = [f"match{n}" for n in range(1, orders + 1)]
     return _counting_udf(names, lambda a, b: ngram_matches(a, b, orders))(left, right)
 
 
-def aligned_words(left: Column, right: Column) -> Column:
-    """Struct (matches, chunks) of the exact word alignment."""
-    return _counting_udf(["matches", "chunks"], alignment)(left, right)
+ALIGNED = ["matches", "chunks"]
+
+
+def aligned_words(left: Column, right: Column, stages: Sequence[Stage] = ()) -> Column:
+    """Struct (matches, chunks): equal words first, then equal keys of the words left over."""
+    if not stages:
+        return _counting_udf(ALIGNED, alignment)(left, right)
+
+    @F.arrow_udf(_struct_of(ALIGNED))
+    def align(sides: pa.Array) -> pa.Array:
+        return _as_struct(ALIGNED, in_steps(alignment, *sides.flatten()))
+
+    keys = [(left, right)] + [(stage(left), stage(right)) for stage in stages]
+    sides = [side for pair in keys for side in pair]
+    return align(F.struct(*[side.alias(f"s{i}") for i, side in enumerate(sides)]))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stems(tokens: pa.Array) -> pa.Array:
+    """Porter stems of token lists; each distinct word of a batch is stemmed once."""
+    words = pc.cast(tokens.flatten(), pa.string()).dictionary_encode()
+    stemmed = pa.array([porter_stem(w) for w in words.dictionary.to_pylist()], pa.string())
+    return regroup(stemmed.take(words.indices), pc.list_value_length(tokens))
+
+
+def synonyms(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Stage:
+    """METEOR stage from a (word, key) table: words with the same key match."""
+    sent = send_table(table.select("word", "key"), max_rows)
+    if sent is None:
+        raise ValueError("a synonym table must fit the broadcast limit")
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def keys(tokens: pa.Array) -> pa.Array:
+        flat = pc.cast(tokens.flatten(), pa.string())
+        words = column_of(sent.value, "word", pa.string())
+        known = column_of(sent.value, "key", pa.string()).take(pc.index_in(flat, value_set=words))
+        own = pc.binary_join_element_wise(pa.scalar("word:"), flat, "")
+        found = pc.binary_join_element_wise(pa.scalar("key:"), known, "")
+        return regroup(pc.coalesce(found, own), pc.list_value_length(tokens))
+
+    return keys
 
 
 @F.arrow_udf(T.IntegerType())
@@ -85,10 +135,12 @@ def row_metrics(
     prediction: str = "prediction",
     reference: str = "reference",
     unicode: bool = False,
+    meteor_stages: Sequence[Stage] = (),
 ) -> DataFrame:
     """Add one struct (p, r, f) per ROUGE metric and one number for METEOR.
 
-    METEOR matches exact words, k-th copy to k-th copy.
+    METEOR matches equal words, k-th copy to k-th copy; ``meteor_stages`` such as ``stems``
+    and ``synonyms(table)`` then match what is left over.
     """
     unknown = set(metrics) - set(ROW_METRICS)
     if unknown:
@@ -113,7 +165,7 @@ def row_metrics(
         ]
         counts["_lcs_sum"] = _union_lcs(*lines)
     if "meteor" in metrics:
-        counts["_aligned"] = aligned_words(h, r)
+        counts["_aligned"] = aligned_words(h, r, meteor_stages)
     counted = tokens.withColumns(counts)
     n_h, n_r = F.size(h), F.size(r)
     scores = {}
@@ -191,11 +243,15 @@ LOGGED_METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
 
 def evaluation_report(
-    predictions: DataFrame, metrics=REPORT_METRICS, model_col: str = "model"
+    predictions: DataFrame,
+    metrics=REPORT_METRICS,
+    model_col: str = "model",
+    meteor_stages: Sequence[Stage] = (),
 ) -> DataFrame:
     """(model, metric, value): mean row metrics and corpus BLEU, in long form."""
     rowwise = [m for m in metrics if m != "bleu"]
-    wide = row_metrics(predictions.select(model_col, "prediction", "reference"), rowwise)
+    rows = predictions.select(model_col, "prediction", "reference")
+    wide = row_metrics(rows, rowwise, meteor_stages=meteor_stages)
     aggregates = [F.avg(metric_value(m)).alias(m) for m in rowwise]
     if "bleu" in metrics:
         wide = with_bleu_counts(wide, "prediction", "reference")

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from briefloom.functions.lcs import lcs_length, lcs_positions, union_lcs_hits
+from briefloom.functions.stem import porter_stem
 from briefloom.operators.metrics import (
     REPORT_METRICS,
     ROW_METRICS,
@@ -17,6 +18,8 @@ from briefloom.operators.metrics import (
     evaluation_report,
     metric_value,
     row_metrics,
+    stems,
+    synonyms,
 )
 from briefloom.operators.report import leaderboard
 
@@ -137,6 +140,51 @@ def test_meteor_by_hand(spark):
     assert got["order"] == pytest.approx(1 - 0.5 * 1.0)
 
 
+# The examples printed with the published rules.
+STEMS = {
+    "caresses": "caress", "ponies": "poni", "ties": "ti", "caress": "caress", "cats": "cat", "feed": "feed",
+    "agreed": "agre", "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing",
+    "conflated": "conflat", "troubled": "troubl", "sized": "size", "hopping": "hop", "tanned": "tan",
+    "falling": "fall", "hissing": "hiss", "fizzed": "fizz", "failing": "fail", "filing": "file", "happy": "happi",
+    "sky": "sky", "relational": "relat", "conditional": "condit", "rational": "ration", "valenci": "valenc",
+    "digitizer": "digit", "conformabli": "conform", "radicalli": "radic", "differentli": "differ", "vileli": "vile",
+    "vietnamization": "vietnam", "predication": "predic", "operator": "oper", "feudalism": "feudal",
+    "decisiveness": "decis", "hopefulness": "hope", "callousness": "callous", "formaliti": "formal",
+    "sensitiviti": "sensit", "sensibiliti": "sensibl", "triplicate": "triplic", "formative": "form",
+    "formalize": "formal", "electriciti": "electr", "electrical": "electr", "hopeful": "hope", "goodness": "good",
+    "revival": "reviv", "allowance": "allow", "inference": "infer", "airliner": "airlin", "gyroscopic": "gyroscop",
+    "adjustable": "adjust", "defensible": "defens", "irritant": "irrit", "replacement": "replac",
+    "adjustment": "adjust", "dependent": "depend", "adoption": "adopt", "communism": "commun", "activate": "activ",
+    "angulariti": "angular", "homologous": "homolog", "effective": "effect", "bowdlerize": "bowdler",
+    "probate": "probat", "rate": "rate", "cease": "ceas", "controll": "control", "roll": "roll", "is": "is",
+}
+
+
+@pytest.mark.parametrize("word", list(STEMS))
+def test_porter(word):
+    assert porter_stem(word) == STEMS[word]
+
+
+def test_meteor_stages(spark):
+    rows = pairs(spark, [("a", "cats like big houses", "cat likes large house"), ("b", "cat cats", "cats cat"), ("c", "", "cat")])
+    table = spark.createDataFrame([("big", "size"), ("large", "size")], "word string, key string")
+
+    def value(stages):
+        out = row_metrics(rows, ["meteor"], meteor_stages=stages).collect()
+        return {r["id"]: r["meteor"] for r in out}
+
+    assert value([])["a"] == 0.0
+    # three of four words by stem, in two runs
+    stemmed = value([stems])
+    assert stemmed["a"] == pytest.approx(0.75 * (1 - 0.5 * (2 / 3) ** 3))
+    assert value([stems, synonyms(table)])["a"] == pytest.approx(1 - 0.5 * (1 / 4) ** 3)
+    # equal words first: two matches that cross
+    assert stemmed["b"] == value([])["b"] == pytest.approx(0.5)
+    assert stemmed["c"] == 0.0
+    report = evaluation_report(rows.withColumn("model", F.lit("m")), ["meteor"], meteor_stages=[stems])
+    assert report.first()["value"] == pytest.approx(sum(stemmed.values()) / 3)
+
+
 def bleu(spark, rows):
     return bleu_corpus(pairs(spark, rows)).first()
 
