@@ -45,7 +45,7 @@ HEADLINE = (
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -478,21 +478,20 @@ def split_dataset_scan(spark, sf_dir):
     return held.select("doc_id", "split", F.md5("text").alias("text_md5"))
 
 
-def _by_language(spark, sf_dir, docs: DataFrame) -> DataFrame:
+def _by_language(spark, docs: DataFrame) -> tuple[str, DataFrame]:
     """Write documents as files by language and list those files."""
     root = fresh_folder(spark, "files")
     docs.write.partitionBy("lang").parquet(root)
     listed = incremental.list_files(spark, root, "*.parquet")
-    return listed.withColumn("lang", F.regexp_extract("rel_path", "^lang=([a-z]+)/", 1))
+    return root, listed.withColumn("lang", F.regexp_extract("rel_path", "^lang=([a-z]+)/", 1))
 
 
 def incremental_scan(spark, sf_dir):
-    """Files of two languages are in the manifest already; the rest is read."""
-    docs = documents(spark, sf_dir).select("doc_id", "lang", "n_chars")
-    listed = _by_language(spark, sf_dir, docs)
-    seen = listed.filter(F.col("lang").isin("de", "fr"))
-    fresh = incremental.new_files(listed, seen)
-    return fresh.select("lang").distinct().join(docs, "lang").groupBy("lang").agg(
+    """Files of two languages are in the manifest already; only the others are read."""
+    docs = documents(spark, sf_dir).select("doc_id", "n_chars", "lang")
+    root, listed = _by_language(spark, docs)
+    fresh = incremental.new_files(listed, listed.filter(F.col("lang").isin("de", "fr")))
+    return incremental.read_files(spark, fresh, docs.schema, base=root).groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars")
     )
 
@@ -500,7 +499,7 @@ def incremental_scan(spark, sf_dir):
 def sync_plan(spark, sf_dir):
     """Target lacks German files, has older English ones, and keeps a withdrawn copy of all."""
     docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
-    here = _by_language(spark, sf_dir, docs)
+    _, here = _by_language(spark, docs)
     older = F.when(F.col("lang") == "en", F.col("length") - 1).otherwise(F.col("length"))
     there = here.filter(F.col("lang") != "de").withColumn("length", older)
     gone = here.withColumn("rel_path", F.concat(F.lit("withdrawn/"), F.col("rel_path")))

@@ -136,6 +136,11 @@ def test_listing_and_new_files(spark, tmp_path):
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
     fresh = incremental.new_files(listed, listed.filter("rel_path <> 'd/b.csv'"))
     assert [r["rel_path"] for r in fresh.collect()] == ["d/b.csv"]
+    text = T.StructType.fromDDL("value string")
+    assert [r["value"] for r in incremental.read_files(spark, fresh, text, "text").collect()] == ["d/b.csv"]
+    assert incremental.read_files(spark, fresh.limit(0), text, "text").count() == 0
+    with pytest.raises(ValueError, match="several steps"):
+        incremental.read_files(spark, listed, text, "text", max_files=2)
     there = spark.createDataFrame([("a.csv", 5), ("d/b.csv", 6), ("old", 1)], "rel_path string, length long")
     plan = {r["rel_path"]: (r["key"], r["action"]) for r in sync.sync_plan(listed, there, "/p/").collect()}
     assert plan == {"a.csv": ("p/a.csv", "replace"), "d/b.csv": ("p/d/b.csv", "replace"), "d/e/c.csv": ("p/d/e/c.csv", "copy"), "old": ("p/old", "extra")}
