@@ -37,17 +37,17 @@ def let(value: Column, body) -> Column:
 
 
 def split_nonempty(text: Column, separator: str) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), separator), lambda part: part != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), separator), "")
 
 
 def word_tokens(text: Column, unicode: bool = False) -> Column:
     """Lower-cased word tokens; a null text has no tokens."""
     gap = UNICODE_WORD_GAP if unicode else ASCII_WORD_GAP
-    return split_nonempty(F.regexp_replace(F.lower(text), gap, " "), " ")
+    return split_nonempty(F.lower(text), gap)
 
 
 def whitespace_tokens(text: Column) -> Column:
-    return split_nonempty(F.regexp_replace(text, r"\s+", " "), " ")
+    return split_nonempty(text, r"\s+")
 
 
 def bleu_tokens(text: Column) -> Column:
