@@ -64,7 +64,7 @@ def write_targets(df: DataFrame, targets: Sequence[Target]) -> dict[str, str | N
         out = flat_columns(source) if target.format == "csv" else source
         writer = out.write.mode("overwrite").format(target.format)
         if target.format == "csv":
-            writer = writer.options(header="true", quote='"', escape='"', quoteAll="true")
+            writer = writer.options(**CSV_OPTIONS, quoteAll="true")
         if target.partition_by:
             writer = writer.partitionBy(*target.partition_by)
         writer.save(target.path)
