@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from briefloom.functions.ordering import hex_prefix, order_key, unit_interval
 from briefloom.scaling import MAX_BROADCAST_ROWS, materialise, row_count_at_most
 
+# Hex digits of the key per histogram bucket: at most 65,536 buckets per stratum, so a running
+# sum over the buckets of one stratum is small whatever the table's size.
 HISTOGRAM_DIGITS = 4
 
 

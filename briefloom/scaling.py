@@ -42,6 +42,7 @@ def heaviest(
     materialised table.
     """
     if not row_count_at_most(table, max_rows):
+        # One row per different weight: few, as N occurrences have at most sqrt(2N) of them.
         downwards = Window.partitionBy(F.lit(0)).orderBy(F.desc(weight))
         levels = table.groupBy(weight).agg(F.count(F.lit(1)).alias("_rows"))
         last = (
