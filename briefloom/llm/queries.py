@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from briefloom.llm.chat_format import CONTROL, END, START, TURN, op8_chat_format
 from briefloom.llm.helpers import table
 from briefloom.llm.jaccard_join import op9_jaccard_join
+from briefloom.llm.mixing import op1_mix_sources
+from briefloom.llm.quality_rules import op6_quality_rules
 from briefloom.llm.substring_dedup import op5_substring_dedup
 
 QUERIES = {
+    "op1_mix_sources": lambda spark, d: op1_mix_sources(table(spark, d, "documents")),
+    "op6_quality_rules": lambda spark, d: op6_quality_rules(table(spark, d, "documents")),
+    "op8_chat_format": lambda spark, d: op8_chat_format(table(spark, d, "conversations")),
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
     "op9_jaccard_join": lambda spark, d: op9_jaccard_join(table(spark, d, "documents")),
 }
@@ -61,3 +67,108 @@ reach AS (
 SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(c) AS component_id
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+ORACLE["op1_mix_sources"] = rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest FROM documents
+),
+s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 2 * source_size AS most,
+    [3, 1, 2][CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS INTEGER) + 1] AS weight
+  FROM s
+),
+l AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - CAST(coalesce(sum(most) OVER before, 0) AS DOUBLE))
+    / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM w
+  WINDOW before AS (
+    ORDER BY CAST(most AS DOUBLE) / weight, weight, source IS NULL, source
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+  )
+),
+f AS (SELECT *, min(CASE WHEN level * weight <= most THEN level END) OVER () AS found FROM l),
+t AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size,
+    CASE WHEN found IS NULL THEN CAST(most AS DOUBLE) ELSE least(found * weight, CAST(most AS DOUBLE)) END AS target
+  FROM f
+),
+c AS (
+  SELECT doc_id, d.source, size, source_size, target, epoch,
+    sum(size) OVER (
+      PARTITION BY d.source ORDER BY epoch, md5(concat_ws(':', '17', epoch, coalesce(CAST(doc_id AS VARCHAR), ''), digest)), doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
+    ) AS upto
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, unnest(range(1, 3)) AS e(epoch)
+)
+SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+  CAST(sum(greatest(0, least(size, floor(target) - (upto - size)))) AS BIGINT) AS taken
+FROM c GROUP BY doc_id
+"""
+
+ORACLE["op6_quality_rules"] = rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS k FROM w, unnest(range(1, len(ws) - 6)) AS t(i)
+),
+hit AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+rep AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM hit, unnest(range(8)) AS t(j) GROUP BY doc_id
+),
+m AS (
+  SELECT doc_id, len(ws) AS n_words, array_to_string(ws, '') AS body, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM w LEFT JOIN rep USING (doc_id)
+),
+c AS (
+  SELECT doc_id, n_words, n_repeat_words, length(body) AS word_chars, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(body) - length(regexp_replace(body, '\p{{L}}', '', 'g')) AS n_letters,
+    length(body) - length(regexp_replace(body, '\p{{Lu}}', '', 'g')) AS n_upper,
+    length(body) - length(replace(body, '!', '')) AS n_exclamations
+  FROM m
+),
+b AS (
+  SELECT *, (n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT
+    + 4 * (100 * n_symbols > 25 * n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines)::INT
+    + 16 * (word_chars > 25 * n_words)::INT + 32 * (word_chars < 2 * n_words)::INT
+    + 64 * (100 * n_upper > 60 * n_letters AND n_letters > 0)::INT + 128 * (100 * n_letters < 50 * word_chars)::INT
+    + 256 * (100 * n_exclamations > 30 * n_words)::INT AS fail_bits
+  FROM c
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept,
+  CAST(fail_bits AS BIGINT) AS fail_bits
+FROM b
+"""
+
+
+def _escaped(column: str) -> str:
+    """The chat template's escape as nested SQL replacements."""
+    sql = rf"replace({column}, '\', '\\')"
+    for mark in CONTROL:
+        sql = f"replace({sql}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return sql
+
+
+ORACLE["op8_chat_format"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+),
+m AS (
+  SELECT *, {_escaped("text")} AS body, {_escaped("role")} AS name,
+    coalesce(lag(role) OVER o <> role, TRUE) AS opens, row_number() OVER o AS k
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, {_escaped("text")})
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(body) + {len(TURN)} + CASE WHEN opens THEN length(name) + {len(START + END)} ELSE 0 END) AS BIGINT)
+    AS formatted_chars
+FROM m GROUP BY conv_id
+"""
