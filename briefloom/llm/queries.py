@@ -10,6 +10,7 @@ from briefloom.llm.mixing import op1_mix_sources
 from briefloom.llm.quality_classifier import op3_quality_classifier
 from briefloom.llm.quality_rules import op6_quality_rules
 from briefloom.llm.substring_dedup import op5_substring_dedup
+from briefloom.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_mix_sources": lambda spark, d: op1_mix_sources(table(spark, d, "documents")),
@@ -19,6 +20,7 @@ QUERIES = {
     "op8_chat_format": lambda spark, d: op8_chat_format(table(spark, d, "conversations")),
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
     "op9_jaccard_join": lambda spark, d: op9_jaccard_join(table(spark, d, "documents")),
+    "op10_toxicity": lambda spark, d: op10_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
