@@ -6,6 +6,7 @@ from briefloom.llm.chat_format import CONTROL, END, START, TURN, op8_chat_format
 from briefloom.llm.helpers import table
 from briefloom.llm.html_extract import op2_html_extract
 from briefloom.llm.jaccard_join import op9_jaccard_join
+from briefloom.llm.language_id import op4_language_id
 from briefloom.llm.mixing import op1_mix_sources
 from briefloom.llm.quality_classifier import op3_quality_classifier
 from briefloom.llm.quality_rules import op6_quality_rules
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_mix_sources": lambda spark, d: op1_mix_sources(table(spark, d, "documents")),
     "op2_html_extract": lambda spark, d: op2_html_extract(table(spark, d, "pages")),
     "op3_quality_classifier": lambda spark, d: op3_quality_classifier(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op4_language_id": lambda spark, d: op4_language_id(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: op6_quality_rules(table(spark, d, "documents")),
     "op8_chat_format": lambda spark, d: op8_chat_format(table(spark, d, "conversations")),
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
