@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from briefloom.llm.chat_format import CONTROL, END, START, TURN, op8_chat_format
+from briefloom.llm.decontamination import op7_decontamination
 from briefloom.llm.helpers import table
 from briefloom.llm.html_extract import op2_html_extract
 from briefloom.llm.jaccard_join import op9_jaccard_join
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_quality_classifier": lambda spark, d: op3_quality_classifier(table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_language_id": lambda spark, d: op4_language_id(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: op6_quality_rules(table(spark, d, "documents")),
+    "op7_decontamination": lambda spark, d: op7_decontamination(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op8_chat_format": lambda spark, d: op8_chat_format(table(spark, d, "conversations")),
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
     "op9_jaccard_join": lambda spark, d: op9_jaccard_join(table(spark, d, "documents")),
