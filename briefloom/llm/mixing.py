@@ -42,7 +42,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         .withColumn("rest", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
         .withColumn("level", (F.col("budget") - F.col("full")) / F.col("rest"))
         .withColumn("fits", F.col("level") * F.col("weight") <= F.col("most"))
-        .withColumn("found", F.min(F.when(F.col("fits"), F.col("level"))).over(everything))
+        .withColumn("place", F.row_number().over(by_level))
+        .withColumn("first_fit", F.min(F.when(F.col("fits"), F.col("place"))).over(everything))
+        .withColumn("found", F.max(F.when(F.col("place") == F.col("first_fit"), F.col("level"))).over(everything))
     )
     target = F.when(
         F.col("found").isNotNull(), F.least(F.col("found") * F.col("weight"), F.col("most").cast("double"))

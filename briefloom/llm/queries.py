@@ -89,7 +89,7 @@ w AS (
   FROM s
 ),
 l AS (
-  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - CAST(coalesce(sum(most) OVER before, 0) AS DOUBLE))
+  SELECT *, row_number() OVER before AS place, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - CAST(coalesce(sum(most) OVER before, 0) AS DOUBLE))
     / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
   FROM w
   WINDOW before AS (
@@ -97,7 +97,7 @@ l AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
   )
 ),
-f AS (SELECT *, min(CASE WHEN level * weight <= most THEN level END) OVER () AS found FROM l),
+f AS (SELECT *, (SELECT arg_min(level, place) FROM l WHERE level * weight <= most) AS found FROM l),
 t AS (
   SELECT source, CAST(source_size AS BIGINT) AS source_size,
     CASE WHEN found IS NULL THEN CAST(most AS DOUBLE) ELSE least(found * weight, CAST(most AS DOUBLE)) END AS target
