@@ -96,8 +96,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     def count(chars: str) -> Column:
         return F.regexp_count("_joined", F.lit(chars)).cast("long")
 
-    return measured.withColumns(
-        {
+    measures = F.struct(
+        *[value.alias(name) for name, value in {
             "n_words": F.size("_words").cast("long"),
             "word_chars": F.length("_joined").cast("long"),
             "n_symbols": (F.length("_joined") - F.length(F.translate("_joined", _SYMBOLS, ""))).cast("long"),
@@ -107,8 +107,10 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_letters": (F.length("_joined") - F.length(F.regexp_replace("_joined", r"\p{L}+", ""))).cast("long"),
             "n_upper": (F.length("_joined") - F.length(F.regexp_replace("_joined", r"\p{Lu}+", ""))).cast("long"),
             "n_exclamations": (F.length("_joined") - F.length(F.translate("_joined", "!", ""))).cast("long"),
-        }
-    ).drop("_words", "_lines", "_joined")
+        }.items()]
+    )
+    # a generator, so that filters on measurements are not moved before them and evaluate them again
+    return measured.select(*docs.columns, F.inline(F.array(measures)))
 
 
 MEASURES = (
