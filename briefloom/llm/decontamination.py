@@ -162,12 +162,14 @@ def benchmark_windows(benchmark: DataFrame, width: int, least: int, share: float
     return found.filter((F.col("width") == F.least(F.lit(width), F.col("n_tokens"))))
 
 
-def contaminated(
+def matches(
     docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5, literals: float = 0.5, share: float = 0.5,
     ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """(doc_id, item_id, covered, n_tokens, changed_slots): items found in a text, one row a pair.
+    """(doc_id, digest, item_id, covered, n_tokens, changed_slots): items found in each text.
+
+    ``digest`` is the crc32 of the text, to tell rows with one id apart.
 
     An item of ``n_tokens`` is found if windows aligned with it cover ``share`` of its tokens, in
     alignments whose placeholder values map one to one. ``changed_slots`` counts values that differ: 0
@@ -211,12 +213,24 @@ def contaminated(
     per_text = aligned.groupBy("id", "digest", "item_id", "item_tokens").agg(
         F.countDistinct("place").alias("covered"), F.min("changed").alias("changed_slots")
     )
-    return (
-        per_text.filter(F.col("covered") >= F.lit(share) * F.col("item_tokens"))
-        .groupBy(F.col("id").alias("doc_id"), "item_id", F.col("item_tokens").cast("long").alias("n_tokens"))
-        .agg(F.max("covered").alias("covered"), F.min("changed_slots").cast("long").alias("changed_slots"))
+    return per_text.filter(F.col("covered") >= F.lit(share) * F.col("item_tokens")).select(
+        F.col("id").alias("doc_id"), "digest", "item_id", F.col("item_tokens").cast("long").alias("n_tokens"), "covered",
+        F.col("changed_slots").cast("long").alias("changed_slots"),
     )
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` in which no item is found (see ``matches`` for options)."""
+    found = matches(docs, benchmark, ident=ident, text=text, **options).select(
+        F.col("doc_id").alias("id_"), F.col("digest").alias("digest_")
+    ).distinct()
+    same = F.col(ident).eqNullSafe(F.col("id_")) & (F.crc32(F.col(text).cast("binary")) == F.col("digest_"))
+    return docs.join(found, same, "left_anti")
+
+
 def op7_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    return contaminated(docs, benchmark)
+    """One row per document id and item."""
+    return (
+        matches(docs, benchmark).groupBy("doc_id", "item_id", "n_tokens")
+        .agg(F.max("covered").alias("covered"), F.min("changed_slots").alias("changed_slots"))
+    )

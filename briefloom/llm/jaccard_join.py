@@ -27,7 +27,6 @@ from briefloom.llm import exchange
 from briefloom.llm.helpers import components, stored
 from briefloom.llm.kernels import Words, mix, slices
 
-SIGNED = "doc_id long, sig string, n_shingles long"
 CLASSES = (
     "sig string, n long, u long, central double, prefix array<struct<token:long,pos:int>>, "
     "segments array<array<long>>"
@@ -79,8 +78,10 @@ def _fragment(level: np.ndarray, tokens: np.ndarray, fragments: int) -> np.ndarr
     return np.where(level <= 2, part, half % fragments + part).astype(np.int64) % fragments
 
 
-def signatures(docs: DataFrame, width: int, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, sig, n_shingles) of every row; sig is null for a text without words."""
+def signatures(
+    docs: DataFrame, width: int, ident: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, sig, n_shingles, columns ``carry``) of every row; sig is null for a text without words."""
 
     def run(batches):
         for batch in batches:
@@ -90,12 +91,16 @@ def signatures(docs: DataFrame, width: int, ident: str = "doc_id", text: str = "
                     batch.column(0),
                     pa.array([signature(s) for s in sets], pa.string()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    *batch.columns[2:],
                 ],
-                ["doc_id", "sig", "n_shingles"],
+                ["doc_id", "sig", "n_shingles", *carry],
             )
 
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, SIGNED)
+    kinds = dict(docs.dtypes)
+    rows = docs.select(
+        F.col(ident).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"), *carry
+    )
+    return rows.mapInArrow(run, ", ".join(["doc_id long, sig string, n_shingles long", *(f"{c} {kinds[c]}" for c in carry)]))
 
 
 def _class_texts(docs: DataFrame, width: int, text: str) -> DataFrame:
@@ -225,6 +230,21 @@ def links(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return every, components(every, "a", "b")
 
 
+def similar_groups(
+    docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text", fragments: int = 4
+) -> DataFrame:
+    """(doc_id, sig, n_shingles, root) for every row: ``root`` names the component of its text.
+
+    See ``jaccard_join``. ``sig`` names the shingle set; both are null for a text without words.
+    """
+    signed = stored(signatures(docs, width, ident, text))
+    _, parts = links(stored(candidates(docs, width, percent, fragments, text)), percent)
+    # one row a class; only classes with a link are in ``parts``
+    roots = signed.filter("sig is not null").select("sig").distinct().join(parts, F.col("sig") == F.col("node"), "left")
+    of_class = roots.select("sig", F.coalesce("root", "sig").alias("root"))
+    return signed.join(of_class, "sig", "left").select("doc_id", "sig", "n_shingles", "root")
+
+
 def jaccard_join(
     docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text", fragments: int = 4
 ) -> DataFrame:
@@ -239,7 +259,7 @@ def jaccard_join(
     """
     signed = stored(signatures(docs, width, ident, text))
     _, parts = links(stored(candidates(docs, width, percent, fragments, text)), percent)
-    # one row a class; only classes with a link are in ``parts``
+    # one row a class, so that copies are shuffled once; only classes with a link are in ``parts``
     least = signed.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     placed = least.join(parts, F.col("sig") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sig"))
     roots = placed.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -249,5 +269,30 @@ def jaccard_join(
     )
 
 
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the one with the smallest id.
+
+    Rows are told apart by id and shingles, null ids come last, and of rows alike in both the first
+    by text stays. Rows without words are all kept. Columns are those of ``docs``.
+    """
+    columns = docs.columns
+    groups = similar_groups(docs, width, percent, ident, text).filter("sig is not null")
+    first = F.min_by(F.struct("doc_id", "sig"), F.struct(F.col("doc_id").isNull(), "doc_id", "sig"))
+    # component sizes do not matter: minima are taken before the shuffle
+    chosen = groups.groupBy("root").agg(first.alias("f")).select(F.col("f.doc_id").alias("id_"), F.col("f.sig").alias("sig_"))
+    carried = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    at = {c: f"_{i}" for i, c in enumerate(columns)}
+    rows = signatures(carried, width, at[ident], at[text], tuple(carried.columns))
+    wordless = rows.filter("sig is null")
+    named = rows.filter("sig is not null").join(
+        chosen, (F.col("sig") == F.col("sig_")) & F.col("doc_id").eqNullSafe(F.col("id_")), "left_semi"
+    )
+    one = named.groupBy("sig", "doc_id").agg(
+        F.min_by(F.struct(*carried.columns), F.struct(F.md5(F.col(at[text]).cast("binary")), F.to_json(F.struct(*[c for c in carried.columns if c != at[text]])))).alias("r")
+    ).select("r.*")
+    every = one.unionByName(wordless.select(*carried.columns))
+    return every.select(*[F.col(at[c]).alias(c) for c in columns])
+
+
 def op9_jaccard_join(docs: DataFrame) -> DataFrame:
     return jaccard_join(docs, width=4, percent=85)

@@ -17,10 +17,7 @@ from pyspark.sql import functions as F
 from briefloom.llm import exchange
 from briefloom.llm.kernels import Words, slices
 
-RESULT = (
-    "doc_id long, kept_text string, n_words long, n_removed long, "
-    "removed array<struct<first:int,last:int>>"
-)
+RESULT = "kept_text string, n_words long, n_removed long, removed array<struct<first:int,last:int>>"
 
 
 def _repeated(counts: np.ndarray) -> np.ndarray:
@@ -51,15 +48,24 @@ def intervals(covered: np.ndarray) -> list[dict]:
     ]
 
 
-def substring_dedup(docs: DataFrame, width: int = 35, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: kept text, word counts, removal intervals.
+def substring_dedup(
+    docs: DataFrame, width: int = 35, ident: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per row of ``docs``: id, columns ``carry``, kept text, word counts, removal intervals.
 
     ``kept_text`` is the remaining words joined by one space. Null and empty texts have no
     words (kept text empty, counts 0, no interval); texts shorter than ``width`` lose nothing.
     Repeated rows and repeated or null ids are rows like any other, so of two equal texts
-    of ``width`` words or more both lose everything. Other columns of ``docs`` are not read.
+    of ``width`` words or more both lose everything. Carried columns go along with their rows, unread (``text`` among them is the
+    whole text); the others are not read.
     """
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    extra = [c for c in carry if c != "text"]
+    rows = docs.select(
+        F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        *[F.col(c).alias(f"_{c}") for c in extra],
+    )
+    kinds = dict(docs.dtypes)
+    shape = ", ".join(["doc_id long", *(f"{c} {kinds[c]}" for c in carry), RESULT])
     blocks, buckets = exchange.sizes(exchange.total_bytes(rows, "text"))
     blocked = rows.withColumn("block", exchange.block_of(["doc_id", "text"], blocks))
 
@@ -97,6 +103,7 @@ def substring_dedup(docs: DataFrame, width: int = 35, ident: str = "doc_id", tex
         return pa.table(
             {
                 "doc_id": texts["doc_id"],
+                **{c: texts["text" if c == "text" else f"_{c}"] for c in carry},
                 "kept_text": pa.array(kept, pa.string()),
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_removed": pa.array(n_removed, pa.int64()),
@@ -105,7 +112,7 @@ def substring_dedup(docs: DataFrame, width: int = 35, ident: str = "doc_id", tex
         )
 
     counted = exchange.count_hashes(blocked, keys, _repeated, buckets)
-    return blocked.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(remove, RESULT)
+    return blocked.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(remove, shape)
 
 
 def op5_substring_dedup(docs: DataFrame) -> DataFrame:
