@@ -232,7 +232,7 @@ def test_quality_rules(spark, docs):
 
 
 def test_rules_reject_junk_and_keep_prose(spark):
-    prose = "It was a calm day, and nothing of note happened until the evening bell rang over the old town square. " * 2
+    prose = "It was a calm day, and nothing of note happened until the evening bell rang over the old town square. "
     prose += "People came home slowly; some talked, others read, and a few simply watched the light go."
     texts = {
         "prose": prose, "symbols": " ".join(f"w{i}a### b{i}c%%%" for i in range(40)), "shouting": " ".join(f"WORD{chr(65 + i)}" for i in range(26)),
