@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from briefloom.scaling import MAX_BROADCAST_ROWS
 
 
+def one_label(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label): one 0/1 label per id, the largest; rows without id or label are left out."""
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    return known.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+
+
 def with_labels(docs: DataFrame, labels: DataFrame, label: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Inner join by doc_id of ``docs`` and one 0/1 ``label`` per id (the largest, nulls left out).
+    """Inner join of ``docs`` with its labels by doc_id.
 
     Labels are broadcast when counted to be few; else the join shuffles by id.
     """
-    known = (
-        labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
-    )
+    known = one_label(labels, label)
     return docs.join(F.broadcast(known) if known.count() <= max_broadcast_rows else known, "doc_id")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from briefloom.llm.helpers import fold_of, stored
-from briefloom.llm.learning import calibrated, calibration, with_labels
+from briefloom.llm.learning import calibrated, calibration, one_label
 from briefloom.scaling import MAX_BROADCAST_ROWS
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -45,30 +45,33 @@ def tokens_of(word: str) -> list[str]:
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token, texts, toxic texts, other texts) over all rows of (text, label); label may be null.
 
-    A text counts once for each of its different tokens, so that repetition inside a text has no
-    say. Counts are added up within a task before the shuffle.
+    A text counts once for each of its different words, so that repetition inside a text has no
+    say. Words are counted within a task before the shuffle, and the counts of their beginnings are
+    summed from the counts of words, not from texts.
     """
 
     def run(batches):
         counts: dict[str, list[int]] = {}
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for token in {t for word in set(words_of(text)) for t in tokens_of(word)}:
-                    own = counts.get(token)
+                place = None if label is None else 1 if label else 2
+                for word in set(words_of(text)):
+                    own = counts.get(word)
                     if own is None:
-                        own = counts[token] = [0, 0, 0]
+                        own = counts[word] = [0, 0, 0]
                     own[0] += 1
-                    if label is not None:
-                        own[1 if label else 2] += 1
+                    if place:
+                        own[place] += 1
                 if len(counts) > FLUSH:
                     yield _count_rows(counts)
                     counts = {}
         yield _count_rows(counts)
 
-    return (
-        docs.select("text", "label").mapInArrow(run, COUNTS).groupBy("token")
-        .agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_other")])
-    )
+    sums = [F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_other")]
+    of_words = docs.select("text", "label").mapInArrow(run, COUNTS).groupBy("token").agg(*sums)
+    beginnings = [F.when(F.length("token") > k, F.substring("token", 1, k)) for k in STEMS]
+    tokens = F.explode(F.array_compact(F.array(F.concat("token", F.lit(".")), *beginnings)))
+    return of_words.select(tokens.alias("token"), "n_all", "n_toxic", "n_other").groupBy("token").agg(*sums)
 
 
 def _count_rows(counts: dict[str, list[int]]) -> pa.RecordBatch:
@@ -122,13 +125,11 @@ def segments(scores: list[float], places: list[int], cost: float) -> list[tuple[
 
 
 @dataclass
-class ToxicityModel:
+class Lexicon:
+    """Scores of the tokens that stand out; any other word costs ``cost``."""
+
     scores: dict[str, float]
     cost: float
-    decay: float  # lambda of the extreme-value law
-    scale: float  # its K
-    curve: tuple[np.ndarray, np.ndarray]
-    significance: float
 
     def score_of(self, word: str) -> float | None:
         return max((s for t in tokens_of(word) if (s := self.scores.get(t)) is not None), default=None)
@@ -143,54 +144,60 @@ class ToxicityModel:
             known.clear()
         return segments([s for _, s in hits], [i for i, _ in hits], self.cost), len(words)
 
-    def passages(self, text: str | None, known: dict[str, float | None]) -> tuple[list[dict], float]:
-        """(significant segments with their expected number by chance, evidence of the text)."""
-        found, n = self.scan(text, known)
-        out, evidence = [], 0.0
-        for first, last, score in found:
-            surprise = self.decay * score - math.log(self.scale * max(n, 1))
-            expected = math.exp(-min(max(surprise, -700.0), 700.0))
-            chance = -math.expm1(-expected)
-            if chance <= self.significance:
-                out.append({"first": first, "last": last, "score": score, "p": chance})
-            evidence += max(0.0, surprise)
-        return out, min(evidence, 100.0) + (min(len(found), 20) / 20 if found else 0.0)
-
-
-def _background(rows: DataFrame, model: ToxicityModel) -> tuple[float, float]:
-    """(lambda, K) from the non-toxic texts of (text, label).
-
-    The number of segments that score x or more in n tokens has mean K n exp(-lambda x).
-    lambda solves sum p exp(lambda s) = 1 over the token scores s of these texts; K is their
-    number of segments a token, carried back to score 0.
+
+def fit_lexicon(rows: DataFrame, z: float = 4.0, least_delta: float = 1.0, cost: float = 0.05, prior: float = 0.01,
+                max_tokens: int = MAX_BROADCAST_ROWS) -> Lexicon:
+    """Lexicon from all rows of (text, label); rows without a label count towards the prior.
+
+    Tokens with standard score ``z`` and log-odds ``least_delta`` get their log-odds as score. A
+    token needs several toxic texts for that, so the table grows far slower than the corpus; it is
+    counted, and the fit stops with an error where it would not fit every task.
     """
+    odds = stored(log_odds(stored(token_counts(rows)), prior).filter((F.col("z") >= z) & (F.col("delta") >= least_delta)))
+    if (size := odds.count()) > max_tokens:
+        raise ValueError(f"{size} telling tokens; raise z to keep the table below {max_tokens}")
+    return Lexicon({r["token"]: float(r["delta"]) for r in odds.select("token", "delta").collect()}, cost)
+
+
+SEGMENTS = "array<struct<first:int,last:int,score:double>>"
+
+
+def scan(rows: DataFrame, lexicon: Lexicon, keep: tuple[str, ...]) -> DataFrame:
+    """Columns ``keep``, number of words and maximal scoring segments of every whole text."""
+    kinds = dict(rows.dtypes)
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())]))
 
     def run(batches):
-        bins: dict[int, int] = {}
         known: dict = {}
-        tokens = 0
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if label:
-                    continue
-                found, n = model.scan(text, known)
-                tokens += n
-                for *_, score in found:
-                    bins[int(score * 10)] = bins.get(int(score * 10), 0) + 1
-        yield pa.RecordBatch.from_pydict(
-            {"bin": [-1, *bins], "n": [tokens, *bins.values()]}, pa.schema([("bin", pa.int64()), ("n", pa.int64())])
-        )
-
-    got = dict(rows.select("text", "label").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n")).collect())
-    tokens = max(got.pop(-1, 0), 1)
-    # never fewer than one segment in all: absence of evidence is worth as much as the data are
-    hits = {k / 10 + 0.05: float(v) for k, v in got.items()}
+            found, sizes = zip(*(lexicon.scan(t, known) for t in batch.column(0).to_pylist())) if batch.num_rows else ((), ())
+            spans = [[{"first": a, "last": b, "score": s} for a, b, s in f] for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(sizes, pa.int64()), pa.array(spans, kind)], [*keep, "n_words", "segments"]
+            )
+
+    shape = ", ".join([*(f"{c} {kinds[c]}" for c in keep), "n_words long", f"segments {SEGMENTS}"])
+    return rows.select("text", *keep).mapInArrow(run, shape)
+
+
+def background(scanned: DataFrame, cost: float) -> tuple[float, float]:
+    """(lambda, K) from the non-toxic labelled rows of a scan.
+
+    The number of segments that score x or more in n words has mean K n exp(-lambda x).
+    lambda solves sum p exp(lambda s) = 1 over the scores of these texts; K is their number
+    of segments a word, carried back to score 0.
+    """
+    clean = scanned.filter("label = 0")
+    words = max(clean.agg(F.sum("n_words")).first()[0] or 0, 1)
+    bins = clean.select(F.explode("segments.score").alias("s")).groupBy(F.floor(F.col("s") * 10).alias("bin")).count()
+    hits = {r["bin"] / 10 + 0.05: float(r["count"]) for r in bins.collect()}  # scores are bounded sums of log-odds in tenths
+    # never fewer than half a segment in all: absence of evidence is worth as much as the data are
     hits[5.0] = hits.get(5.0, 0.0) + 0.5
-    share = {s: v / tokens for s, v in hits.items()}
+    share = {s: v / words for s, v in hits.items()}
     rest = 1 - min(sum(share.values()), 0.5)
 
     def excess(rate: float) -> float:
-        return sum(p * math.exp(min(rate * s, 700)) for s, p in share.items()) + rest * math.exp(-rate * model.cost) - 1
+        return sum(p * math.exp(min(rate * s, 700)) for s, p in share.items()) + rest * math.exp(-rate * cost) - 1
 
     low, high = 1e-6, 1.0
     while excess(high) < 0 and high < 64:
@@ -199,78 +206,60 @@ def _background(rows: DataFrame, model: ToxicityModel) -> tuple[float, float]:
         middle = (low + high) / 2
         low, high = (middle, high) if excess(middle) < 0 else (low, middle)
     decay = max(low, 1e-3)
-    scale = sum(v * math.exp(min(decay * s, 700)) for s, v in hits.items()) / tokens
+    scale = sum(v * math.exp(min(decay * s, 700)) for s, v in hits.items()) / words
     return decay, min(max(scale, 1e-12), 1.0)
 
 
-def fit(rows: DataFrame, z: float = 4.0, least_delta: float = 1.0, cost: float = 0.05, prior: float = 0.01,
-        significance: float = 0.01, max_tokens: int = MAX_BROADCAST_ROWS) -> ToxicityModel:
-    """Model from all rows of (text, label); rows without a label count towards the prior.
+def weighed(scanned: DataFrame, decay: float, scale: float, significance: float) -> DataFrame:
+    """A scan with ``passages`` (significant segments and their p-value) and the texts' ``evidence``.
 
-    Tokens with standard score ``z`` and log-odds ``least_delta`` get their log-odds as score. A
-    token needs several toxic texts for that, so the table grows far slower than the corpus; it is
-    counted, and the fit stops with an error where it would not fit every task.
+    A segment's surprise is minus the logarithm of the number of such segments expected by
+    chance in a text of this length; evidence is the sum of positive surprises, up to 100, plus a
+    little for each segment.
     """
-    odds = stored(log_odds(stored(token_counts(rows)), prior).filter((F.col("z") >= z) & (F.col("delta") >= least_delta)))
-    if (size := odds.count()) > max_tokens:
-        raise ValueError(f"{size} telling tokens; raise z to keep the table below {max_tokens}")
-    scores = {r["token"]: float(r["delta"]) for r in odds.select("token", "delta").collect()}
-    model = ToxicityModel(scores, cost, 1.0, 1.0, (np.zeros(1), np.full(1, 0.5)), significance)
-    labelled = rows.filter(F.col("label").isNotNull())
-    model.decay, model.scale = _background(labelled, model)
-
-    def run(batches):
-        known: dict = {}
-        for batch in batches:
-            evidence = [model.passages(t, known)[1] for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(evidence, pa.float64()), batch.column(1)], ["evidence", "label"])
-
-    model.curve = calibration(labelled.select("text", "label").mapInArrow(run, "evidence double, label int"), "evidence", "label", 0.05)
-    return model
-
-
-RESULT = (
-    "doc_id long, held_out boolean, score double, evidence double, "
-    "passages array<struct<first:int,last:int,score:double,p:double>>"
-)
+    surprise = lambda s: F.lit(decay) * s["score"] - F.log(F.lit(scale) * F.greatest("n_words", F.lit(1)))
+    chance = lambda s: -F.expm1(-F.exp(-F.greatest(F.least(surprise(s), F.lit(700.0)), F.lit(-700.0))))
+    marked = F.transform("segments", lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), s["score"].alias("score"), chance(s).alias("p")))
+    total = F.aggregate("segments", F.lit(0.0), lambda acc, s: acc + F.greatest(F.lit(0.0), surprise(s)))
+    return scanned.withColumn("passages", F.filter(marked, lambda s: s["p"] <= significance)).withColumn(
+        "evidence", F.least(F.lit(100.0), total) + F.least(F.lit(20), F.size("segments")) / 20
+    )
 
 
 def toxic_passages(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2,
-    ident: str = "doc_id", text: str = "text", threshold: float = 0.3,
+    ident: str = "doc_id", text: str = "text", threshold: float = 0.3, significance: float = 0.01,
 ) -> DataFrame:
     """(doc_id, held_out, score, evidence, passages, predicted) for every row of ``docs``.
 
     Passages are spans of word numbers (runs of letters, lower-cased). Learns labels outside the
-    held-out fold only; the prior counts the tokens of all texts. Null, empty and letterless texts
+    held-out fold only; the prior counts the words of all texts. Null, empty and letterless texts
     have no passage and the score of no evidence. Without labels the scores are 0.5. Null ids have no
-    label; repeated rows get equal scores; other columns are not read.
+    label; repeated rows get equal scores; other columns are not read. Texts are read twice: to
+    count words and to scan.
     """
     rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("held_out", fold_of("doc_id", folds) == held_out)
-    # left join: unlabelled texts count for the prior
-    known = with_labels(rows.select("doc_id", "held_out").filter(~F.col("held_out")).distinct(), labels, label)
-    known = stored(known.select("doc_id", "label"))
+    # a left join: unlabelled texts count for the prior
+    known = stored(one_label(labels, label).filter(fold_of("doc_id", folds) != held_out))
     marked = rows.join(F.broadcast(known) if known.count() <= MAX_BROADCAST_ROWS else known, "doc_id", "left")
-    model = fit(marked)
+    lexicon = fit_lexicon(marked)
+    scanned = stored(scan(marked, lexicon, ("doc_id", "held_out", "label")))
+    found = weighed(scanned, *background(scanned, lexicon.cost), significance)
+    curve = calibration(found.filter("label is not null"), "evidence", "label", 0.05)
 
     def run(batches):
-        known: dict = {}
         for batch in batches:
-            found = [model.passages(t, known) for t in batch.column(1).to_pylist()]
-            evidence = np.array([e for _, e in found], np.float64)
+            evidence = np.array(batch.column(2).to_pylist(), np.float64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(2),
-                    pa.array(calibrated(evidence, model.curve), pa.float64()), pa.array(evidence, pa.float64()),
-                    pa.array([p for p, _ in found], pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("p", pa.float64())]))),
-                ],
-                ["doc_id", "held_out", "score", "evidence", "passages"],
+                [*batch.columns, pa.array(calibrated(evidence, curve), pa.float64())],
+                ["doc_id", "held_out", "evidence", "passages", "score"],
             )
 
-    return rows.select("doc_id", "text", "held_out").mapInArrow(run, RESULT).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")
-    )
+    kind = dict(found.dtypes)["passages"]
+    return found.select("doc_id", "held_out", "evidence", "passages").mapInArrow(
+        run, f"doc_id long, held_out boolean, evidence double, passages {kind}, score double"
+    ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op10_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
