@@ -35,11 +35,36 @@ class Limits:
     label_pad: int = PAD_ID
 
 
+class SentTable:
+    """A lookup table on its way to the executors; mappings are built once per worker, not per batch."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+        self.built: dict = {}
+
+    def mapping(self, key: str, value: str) -> dict:
+        """{key: value} of two of the table's columns."""
+        if (key, value) not in self.built:
+            keys, values = (self.table.column(c).to_pylist() for c in (key, value))
+            self.built[key, value] = dict(zip(keys, values))
+        return self.built[key, value]
+
+    def __getstate__(self):
+        return {"table": self.table, "built": {}}
+
+
 def send_table(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS):
-    """Broadcast a lookup table of measured size; ``None`` if it has too many rows."""
+    """Broadcast a lookup table of measured size; ``None`` if it has too many rows or bytes."""
     if not row_count_at_most(table, max_rows):
         return None
-    return table.sparkSession.sparkContext.broadcast(table.toArrow().combine_chunks())
+    return table.sparkSession.sparkContext.broadcast(SentTable(table.toArrow().combine_chunks()))
+
+
+def looked_up(tokens: pa.Array, mapping: dict, type_: pa.DataType, missing=None) -> pa.Array:
+    """Value of every token of flat ``tokens``: each different token of the batch is looked up once."""
+    words = pc.cast(tokens, pa.string()).dictionary_encode()
+    found = [mapping.get(word, missing) for word in words.dictionary.to_pylist()]
+    return pa.array(found, type_).take(words.indices)
 
 
 def regroup(values: pa.Array, lengths) -> pa.ListArray:
@@ -49,11 +74,6 @@ def regroup(values: pa.Array, lengths) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, values)
 
 
-def column_of(table: pa.Table, name: str, type_: pa.DataType) -> pa.Array:
-    chunks = table.column(name).combine_chunks()
-    return pc.cast(chunks, type_)
-
-
 def id_lookup(vocab: DataFrame, unknown: int = UNKNOWN_ID, max_rows: int = MAX_BROADCAST_ROWS):
     """A function ``array<string> column -> array<int> column`` for a (word, id) table."""
     sent = send_table(vocab.select("word", "id"), max_rows)
@@ -62,10 +82,7 @@ def id_lookup(vocab: DataFrame, unknown: int = UNKNOWN_ID, max_rows: int = MAX_B
 
     @F.arrow_udf(IDS)
     def lookup(tokens: pa.Array) -> pa.Array:
-        words = column_of(sent.value, "word", pa.string())
-        ids = column_of(sent.value, "id", pa.int32())
-        where = pc.index_in(pc.cast(tokens.flatten(), pa.string()), value_set=words)
-        found = pc.fill_null(ids.take(where), unknown)
+        found = looked_up(tokens.flatten(), sent.value.mapping("word", "id"), pa.int32(), unknown)
         return regroup(found, pc.list_value_length(tokens))
 
     return lookup
@@ -122,54 +139,67 @@ def word_encoder(vocab: DataFrame, unicode: bool = False, max_rows: int = MAX_BR
     return lambda text, max_length: lookup(kept_tokens(text, max_length, unicode))
 
 
+ROW = "_row"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Stored copy of ``df`` with a number for each row.
+
+    User ids may repeat or be null, so rows that are taken apart are put together by number. The
+    frame is stored: numbers depend on partitions, which a second computation may cut otherwise.
+    """
+    return materialise(df.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def encode_by_join(
-    df: DataFrame,
+    rows: DataFrame,
     vocab: DataFrame,
-    id_col: str,
     text_col: str,
     max_length: int,
     name: str = "ids",
     unicode: bool = False,
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Unpadded ids through a join, for vocabularies of any size; (id_col, ``name``) rows.
+    """``rows`` (from ``numbered``) with unpadded ids ``name``, through a join.
 
-    ``vocab`` needs a ``count`` column: frequent words are looked up by broadcast, rare
-    ones by a shuffle join. A text gives at most ``max_length - 1`` rows.
+    For vocabularies of any size. A text gives at most ``max_length - 1`` rows; texts without
+    tokens are not moved, and get an empty array.
     """
-    tokens = df.select(
-        id_col,
-        F.posexplode_outer(kept_tokens(F.col(text_col), max_length, unicode)).alias("pos", "word"),
+    tokens = materialise(
+        rows.select(ROW, F.posexplode(kept_tokens(F.col(text_col), max_length, unicode)).alias("pos", "word"))
     )
-    table = materialise(vocab.select("word", F.col("id").alias("_word_id"), "count"))
-    coded = left_lookup(tokens, table, "word", "count", max_rows)
+    table = materialise(vocab.select("word", F.col("id").alias("_word_id")))
+    coded = left_lookup(tokens, table, "word", max_rows)
     place = F.struct("pos", F.coalesce("_word_id", F.lit(UNKNOWN_ID)).alias("code"))
-    return coded.groupBy(id_col).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.when(F.col("word").isNotNull(), place))),
-            lambda entry: entry["code"],
-        ).alias(name)
+    gathered = coded.groupBy(ROW).agg(
+        F.transform(F.sort_array(F.collect_list(place)), lambda entry: entry["code"]).alias(name)
     )
+    nothing = F.array().cast("array<int>")
+    return rows.join(gathered, ROW, "left").withColumn(name, F.coalesce(name, nothing))
 
 
 def encode_pairs(
-    df: DataFrame, vocab: DataFrame, limits: Limits = Limits(), unicode: bool = False
+    df: DataFrame,
+    vocab: DataFrame,
+    limits: Limits = Limits(),
+    unicode: bool = False,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Features for (id, dialogue, summary) rows, whatever the vocabulary's size."""
-    encode = word_encoder(vocab, unicode)
+    """Features for (dialogue, summary) rows, whatever the vocabulary's size; ids are not used."""
+    encode = word_encoder(vocab, unicode, max_rows)
     if encode is not None:
         return encode_features(df, encode, limits)
+    rows = numbered(df)
     sides = [("dialogue", limits.max_input, "_in"), ("summary", limits.max_target, "_out")]
     for text_col, max_length, name in sides:
-        coded = encode_by_join(df, vocab, "id", text_col, max_length, name, unicode)
-        df = df.join(coded, "id", "left")
-    return df.withColumns(
+        rows = encode_by_join(rows, vocab, text_col, max_length, name, unicode, max_rows)
+    return rows.withColumns(
         {
             "input_ids": finish(F.col("_in"), limits.max_input),
             "attention_mask": attention_mask(F.col("_in"), limits.max_input),
             "labels": finish(F.col("_out"), limits.max_target, limits.label_pad),
         }
-    ).drop("_in", "_out")
+    ).drop("_in", "_out", ROW)
 
 
 def feature_table(
@@ -177,9 +207,10 @@ def feature_table(
     vocab: DataFrame,
     limits: Limits = Limits(),
     ratios: SplitRatios = SplitRatios(),
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Pairs + split + features as one frame; rows are labelled and encoded in place."""
-    return encode_pairs(split_exact(pairs, "id", ratios), vocab, limits)
+    return encode_pairs(split_exact(pairs, "id", ratios), vocab, limits, max_rows=max_rows)
 
 
 def length_profile(

@@ -18,7 +18,7 @@ from briefloom.functions.lcs import lcs_length, union_lcs_hits
 from briefloom.functions.overlap import alignment, in_steps, ngram_matches
 from briefloom.functions.stem import porter_stem
 from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
-from briefloom.operators.encode import column_of, regroup, send_table
+from briefloom.operators.encode import looked_up, regroup, send_table
 from briefloom.scaling import MAX_BROADCAST_ROWS
 
 # Longest BLEU n-gram; METEOR weights (Banerjee & Lavie 2005).
@@ -90,8 +90,7 @@ def synonyms(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Stage:
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def keys(tokens: pa.Array) -> pa.Array:
         flat = pc.cast(tokens.flatten(), pa.string())
-        words = column_of(sent.value, "word", pa.string())
-        known = column_of(sent.value, "key", pa.string()).take(pc.index_in(flat, value_set=words))
+        known = looked_up(flat, sent.value.mapping("word", "key"), pa.string())
         own = pc.binary_join_element_wise(pa.scalar("word:"), flat, "")
         found = pc.binary_join_element_wise(pa.scalar("key:"), known, "")
         return regroup(pc.coalesce(found, own), pc.list_value_length(tokens))

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from briefloom.functions.text import whitespace_tokens, word_tokens
-from briefloom.operators.encode import IDS, column_of, regroup, send_table
+from briefloom.operators.encode import IDS, regroup, send_table
 from briefloom.operators.vocab import UNKNOWN_ID
 
 # Fixed value: an unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
+# Words whose pieces a worker remembers between batches.
+REMEMBERED = 500_000
 
 
 def best_segmentation(word: str, scores: dict, longest: int, unknown: float) -> list[str | None]:
@@ -48,7 +50,7 @@ def piece_encoder(
 ):
     """``encode(text column, max_length)`` over a (piece, logp, id) table.
 
-    Each *distinct* word of a batch is segmented once. ``word_mark`` is put before every
+    A worker segments each different word once, as long as it remembers it. ``word_mark`` is put before every
     word (tables trained by SentencePiece use U+2581); ``cased`` keeps case and
     punctuation and splits at white space only.
     """
@@ -58,20 +60,23 @@ def piece_encoder(
 
     @F.arrow_udf(IDS)
     def segment(tokens: pa.Array) -> pa.Array:
-        names = column_of(sent.value, "piece", pa.string()).to_pylist()
-        logps = column_of(sent.value, "logp", pa.float64()).to_pylist()
-        ids = dict(zip(names, column_of(sent.value, "id", pa.int32()).to_pylist()))
-        scores = dict(zip(names, logps))
-        longest = max(map(len, names), default=1)
-        worst = min(logps, default=0.0) - UNKNOWN_PENALTY
+        ids, scores = sent.value.mapping("piece", "id"), sent.value.mapping("piece", "logp")
+        known = sent.value.built.setdefault("segmented", {})
+        if "longest" not in sent.value.built:
+            sent.value.built["longest"] = max(map(len, scores), default=1)
+            sent.value.built["worst"] = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+        longest, worst = sent.value.built["longest"], sent.value.built["worst"]
         words = pc.cast(tokens.flatten(), pa.string()).dictionary_encode()
-        coded = [
-            [
-                unknown if piece is None else ids[piece]
-                for piece in best_segmentation(word_mark + word, scores, longest, worst)
-            ]
-            for word in words.dictionary.to_pylist()
-        ]
+        if len(known) > REMEMBERED:
+            known.clear()
+        coded = []
+        for word in words.dictionary.to_pylist():
+            if (word, word_mark) not in known:
+                known[word, word_mark] = [
+                    unknown if piece is None else ids[piece]
+                    for piece in best_segmentation(word_mark + word, scores, longest, worst)
+                ]
+            coded.append(known[word, word_mark])
         per_word = pa.array(coded, pa.list_(pa.int32())).take(words.indices)
         sizes = pc.fill_null(pc.list_value_length(per_word), 0).to_numpy(zero_copy_only=False)
         ends = sizes.cumsum()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from briefloom.functions.overlap import steps
 from briefloom.functions.text import let, sentences, word_tokens
-from briefloom.operators.encode import column_of, regroup, send_table
+from briefloom.operators.encode import ROW, looked_up, numbered, regroup, send_table
 from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
 
 # TextRank damping (Mihalcea & Tarau 2004) and number of rounds.
@@ -56,32 +56,38 @@ def idf_table(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def tfidf_scores(df: DataFrame, idf: DataFrame, id_col: str, text_col: str, **limits) -> DataFrame:
-    """(id, pos, score): mean idf of the sentence's tokens, rounded to 6 places."""
-    tokens = df.select(
-        F.col(id_col), F.posexplode(sentences(F.col(text_col))).alias("pos", "sentence")
-    ).select(id_col, "pos", F.explode(word_tokens(F.col("sentence"))).alias("word"))
+def _six_places(value):
+    """One rounding rule for both ways of scoring: half up at six places."""
+    return np.floor(value * 1e6 + 0.5) / 1e6
+
+
+def tfidf_scores(rows: DataFrame, idf: DataFrame, text_col: str, **limits) -> DataFrame:
+    """(row, pos, score) of rows from ``numbered``: mean idf of the sentence's tokens, to 6 places."""
+    tokens = materialise(
+        rows.select(ROW, F.posexplode(sentences(F.col(text_col))).alias("pos", "sentence")).select(
+            ROW, "pos", F.explode(word_tokens(F.col("sentence"))).alias("word")
+        )
+    )
     return (
-        left_lookup(tokens, idf, "word", "df", **limits)
-        .groupBy(id_col, "pos")
-        .agg(F.round(F.avg("idf"), 6).alias("score"))
+        left_lookup(tokens, idf.select("word", "idf"), "word", **limits)
+        .groupBy(ROW, "pos")
+        .agg((F.floor(F.avg("idf") * 1e6 + 0.5) / 1e6).alias("score"))
     )
 
 
-def _chosen_by_join(
-    df: DataFrame, idf: DataFrame, k: int, id_col: str, text_col: str, **limits
-) -> DataFrame:
-    """Add ``_chosen`` with a word join: only (id, position, score) rows are ranked, and the
+def _chosen_by_join(df: DataFrame, idf: DataFrame, k: int, text_col: str, **limits) -> DataFrame:
+    """Add ``_chosen`` with a word join: only (row, position, score) rows are ranked, and the
     texts take part in one join, with the k chosen positions."""
-    best = Window.partitionBy(id_col).orderBy(F.desc("score"), F.asc("pos"))
+    rows = numbered(df)
+    best = Window.partitionBy(ROW).orderBy(F.desc("score"), F.asc("pos"))
     chosen = (
-        tfidf_scores(df, idf, id_col, text_col, **limits)
+        tfidf_scores(rows, idf, text_col, **limits)
         .withColumn("_r", F.row_number().over(best))
         .filter(F.col("_r") <= k)
-        .groupBy(id_col)
+        .groupBy(ROW)
         .agg(F.sort_array(F.collect_list("pos")).alias("_chosen"))
     )
-    return df.join(chosen, id_col, "left")
+    return rows.join(chosen, ROW, "left")
 
 
 def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
@@ -89,17 +95,14 @@ def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
 
     @F.arrow_udf(POSITIONS)
     def choose(docs: pa.Array) -> pa.Array:
-        table = sent.value
-        words = column_of(table, "word", pa.string())
-        idf = column_of(table, "idf", pa.float64())
+        idf = sent.value.mapping("word", "idf")
 
         def best(part: pa.Array) -> pa.Array:
             parts = part.flatten()
             lengths = _sizes(parts)
-            where = pc.index_in(pc.cast(parts.flatten(), pa.string()), value_set=words)
-            values = idf.take(where).to_numpy(zero_copy_only=False)
+            values = looked_up(parts.flatten(), idf, pa.float64()).to_numpy(zero_copy_only=False)
             sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), values, len(lengths))
-            scores = np.round(sums / np.maximum(lengths, 1), 6)
+            scores = _six_places(sums / np.maximum(lengths, 1))
             return top_positions(_sizes(part), scores, k, lengths > 0)
 
         return _in_ranges(docs, best)
@@ -124,7 +127,6 @@ def _with_chosen(
 def tfidf_extract(
     df: DataFrame,
     k: int = 3,
-    id_col: str = "id",
     text_col: str = "dialogue",
     output_col: str = "prediction",
     max_rows: int = MAX_BROADCAST_ROWS,
@@ -137,7 +139,7 @@ def tfidf_extract(
     idf = idf_table(df, text_col)
     sent = send_table(idf.select("word", "idf"), max_rows)
     scored = (
-        _chosen_by_join(df, idf, k, id_col, text_col, max_rows=max_rows)
+        _chosen_by_join(df, idf, k, text_col, max_rows=max_rows)
         if sent is None
         else _chosen_in_place(df, sent, k, text_col)
     )
@@ -182,8 +184,9 @@ def textrank_scores(
 
     Two sentences of a document are tied by shared distinct words / (ln|a| + ln|b|). That
     depends on the words and the two lengths only, so neighbours are summed per (document,
-    word, length) and no sentence is paired with another: exact, at a cost that follows the
-    tokens. ``doc_of`` and ``lengths`` are per sentence, ``sentence_of`` and ``codes`` (word
+    word, length) and no sentence is paired with another: exact, at a cost that
+    follows the tokens and, per word of a document, the square of the number of different
+    sentence lengths it occurs in. ``doc_of`` and ``lengths`` are per sentence, ``sentence_of`` and ``codes`` (word
     numbers) per token.
     """
     n = len(lengths)

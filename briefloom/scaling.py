@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from briefloom.session import shared_folder
 
-# A broadcast side is limited by a row count measured before it is sent.
+# A broadcast side is limited by rows and bytes measured before it is sent.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -17,18 +18,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """Size check by a plain distributed count; meant for materialised tables."""
-    return df.count() <= limit
+def row_count_at_most(df: DataFrame, limit: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Size check of a table before it is sent: rows, and bytes of its strings.
+
+    One distributed count with a sum of lengths; meant for materialised tables.
+    """
+    width = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= limit and size <= max_bytes
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a scan has fewer splits than the cluster has cores.
+def spread(df: DataFrame, small: int = 200_000) -> DataFrame:
+    """Use every core for a *small* table that lies in fewer pieces than the session has partitions.
 
-    Large inputs already have more splits than cores and are returned as they are.
+    The rows are counted, which Parquet answers from its footers. Tables above ``small`` rows are
+    returned as they are: their files have pieces enough, and are never shuffled for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts) if df.count() <= small else df
 
 
 def heaviest(
@@ -60,21 +70,25 @@ def left_lookup(
     rows: DataFrame,
     table: DataFrame,
     key: str,
-    weight: str,
     max_rows: int = MAX_BROADCAST_ROWS,
     hot_rows: int = 100_000,
 ) -> DataFrame:
     """Left join of ``rows`` to a lookup ``table`` with one row per ``key``.
 
-    A table measured to be small is broadcast. A larger one is cut in two: the
-    ``hot_rows`` entries with the largest ``weight`` (how many rows use the key) are
-    broadcast, so no hot key is ever shuffled, and only rows with rarer keys take
-    part in the shuffle join with the rest. Pass a materialised table.
+    A table measured to be small is broadcast. Beyond that, the keys that most ``rows`` have, known
+    to the table or not, are looked up by a broadcast of ``hot_rows`` entries at most, so no hot
+    key is shuffled; the rest is joined by shuffle. Rows without a key find nothing and are not
+    moved. Pass materialised tables: ``rows`` are counted by key first.
     """
     if row_count_at_most(table, max_rows):
         return rows.join(F.broadcast(table), key, "left")
-    hot = materialise(heaviest(table, hot_rows, weight, key, max_rows))
-    cold = table.join(F.broadcast(hot.select(key)), key, "left_anti")
+    used = materialise(rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_uses")))
+    hot_keys = heaviest(used, hot_rows, "_uses", key, max_rows).select(key)
+    hot = materialise(hot_keys.join(table, key, "left"))
     common = rows.join(F.broadcast(hot), key, "inner")
-    rare = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
-    return common.unionByName(rare)
+    rare = rows.filter(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
+    none = rows.filter(F.col(key).isNull())
+    for field in table.schema:
+        if field.name != key:
+            none = none.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return common.unionByName(rare.join(table, key, "left")).unionByName(none)

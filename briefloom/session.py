@@ -30,13 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     The session names it in ``spark.checkpoint.dir``. Only a local session may fall
     back to a temporary folder, because there the driver's disk is every task's disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
     active = spark.sparkContext.getCheckpointDir()
     if active:
         return active
-    if not spark.sparkContext.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="briefloom-"))
     return spark.sparkContext.getCheckpointDir()

@@ -54,10 +54,15 @@ def test_label_padding(rows, words):
     assert out["labels"] == [107, 106, 1, -100] and out["input_ids"][-1] == 0
 
 
-def test_join_path_gives_the_same_features(rows, words, monkeypatch):
+def test_join_path_gives_the_same_features(rows, words):
     want = sorted(map(str, encode.encode_pairs(rows, words, Limits(8, 4)).collect()))
-    monkeypatch.setattr(encode, "word_encoder", lambda *_, **__: None)
-    assert sorted(map(str, encode.encode_pairs(rows, words, Limits(8, 4)).collect())) == want
+    assert sorted(map(str, encode.encode_pairs(rows, words, Limits(8, 4), max_rows=1).collect())) == want
+
+
+def test_join_path_does_not_use_ids(spark, words):
+    rows = spark.createDataFrame([("1", "to be", "or"), ("1", "not", "be be be"), (None, "to", "x"), (None, "be", "")], "id string, dialogue string, summary string")
+    want = sorted(map(str, encode.encode_pairs(rows, words, Limits(6, 4)).collect()))
+    assert sorted(map(str, encode.encode_pairs(rows, words, Limits(6, 4), max_rows=1).collect())) == want
 
 
 def test_large_vocab_is_not_sent(words):
@@ -67,8 +72,8 @@ def test_large_vocab_is_not_sent(words):
 @pytest.mark.parametrize("limit", [1, 5, 1000])
 def test_lookup_by_broadcast_and_by_join(spark, limit):
     table = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"), (100 - F.col("id")).alias("n"))
-    rows = spark.range(3000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 120).alias("k"), "id")
-    got = left_lookup(rows, table, "k", "n", max_rows=limit, hot_rows=3)
+    rows = spark.range(3000).select(F.when(F.col("id") < 1500, 0).when(F.col("id") < 2000, 999).when(F.col("id") >= 2100, F.col("id") % 120).alias("k"), "id")
+    got = left_lookup(rows, table.drop("n"), "k", max_rows=limit, hot_rows=3)
     assert got.count() == 3000
     wrong = got.filter(~F.col("v").eqNullSafe(F.when(F.col("k") < 100, F.col("k") * 2)))
     assert wrong.count() == 0

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from briefloom.operators import pairs, summarize
+from briefloom.operators.encode import numbered
 
 
 def pairwise_textrank(parts, d=0.85, rounds=20):
@@ -68,9 +69,9 @@ def test_tfidf_with_a_large_word_table_is_the_same(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("id"), F.col("text").alias("dialogue"))
     want = sorted(map(tuple, summarize.tfidf_extract(docs).collect()))
     assert sorted(map(tuple, summarize.tfidf_extract(docs, max_rows=1000).collect())) == want
-    idf = summarize.idf_table(docs, "dialogue")
-    tight = summarize.tfidf_scores(docs, idf, "id", "dialogue", max_rows=10, hot_rows=20)
-    plain = summarize.tfidf_scores(docs, idf, "id", "dialogue")
+    idf, rows = summarize.idf_table(docs, "dialogue"), numbered(docs)
+    tight = summarize.tfidf_scores(rows, idf, "dialogue", max_rows=10, hot_rows=20)
+    plain = summarize.tfidf_scores(rows, idf, "dialogue")
     assert sorted(map(tuple, tight.collect())) == sorted(map(tuple, plain.collect()))
 
 
@@ -99,3 +100,10 @@ def test_single_turns_and_single_sentences_give_no_pair(spark):
     assert pairs.pairs_from_turns(turn).count() == 0
     docs = spark.createDataFrame([(1, "One only."), (2, "A b. C d. E."), (3, None)], "doc_id long, text string")
     assert [tuple(r) for r in pairs.pairs_from_documents(docs).collect()] == [("2", "C d. E.", "A b.")]
+
+
+def test_tfidf_does_not_use_ids(spark):
+    texts = ["Aa bb. Cc cc. Dd ee. Ff.", "Xx ww vv. Yy yy. Zz yy. Aa."]
+    rows = spark.createDataFrame([("1", t) for t in texts] + [(None, t) for t in texts], "id string, dialogue string")
+    want = sorted(r["prediction"] for r in summarize.tfidf_extract(rows, 2).collect())
+    assert sorted(r["prediction"] for r in summarize.tfidf_extract(rows, 2, max_rows=1).collect()) == want
