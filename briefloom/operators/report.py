@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from briefloom.functions.ordering import hex_prefix
 
 
+# Marks are 60 bits; their sum is kept modulo this, so that equal rows do not cancel out.
+MARKS = 1 << 60
+
+
 def leaderboard(report: DataFrame, model_col: str = "model") -> DataFrame:
     """Rank models per metric, best first; a report has one row per model and metric."""
     best = Window.partitionBy("metric").orderBy(F.desc("value"))
@@ -35,7 +39,9 @@ def split_manifest(
         .agg(
             F.count(F.lit(1)).alias("num_examples"),
             F.sum("_bytes").alias("num_bytes"),
-            F.bit_xor("_mark").alias("fingerprint"),
+            (F.sum(F.col("_mark").cast("decimal(38,0)")) % MARKS).cast("long").alias("fingerprint"),
+            F.grouping(split_col).alias("_all"),
         )
-        .withColumn(split_col, F.coalesce(split_col, F.lit("total")))
+        .withColumn(split_col, F.when(F.col("_all") == 1, "total").otherwise(F.col(split_col)))
+        .drop("_all")
     )

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import astuple, dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -21,6 +22,8 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("target", T.StringType()),
         T.StructField("uri", T.StringType()),
         T.StructField("n_rows", T.LongType()),
+        T.StructField("n_bytes", T.LongType()),
+        T.StructField("path", T.StringType()),
     ]
 )
 
@@ -36,7 +39,10 @@ def run_path(base: str, stamp: str, stage: str, *parts: str) -> str:
 
 @dataclass(frozen=True)
 class Artifact:
-    """One output of a stage; ``uri`` is ``None`` where its target is switched off."""
+    """One output of a stage; ``uri`` is ``None`` where its target is switched off.
+
+    Rows of target ``source`` say what was read: ``path`` is the landed file, as listings have it.
+    """
 
     run_ts: str
     stage: str
@@ -44,12 +50,22 @@ class Artifact:
     target: str
     uri: str | None
     n_rows: int | None = None
+    n_bytes: int | None = None
+    path: str | None = None
 
 
 def artifact_rows(spark: SparkSession, artifacts: Iterable[Artifact]) -> DataFrame:
     return spark.createDataFrame([astuple(a) for a in artifacts], MANIFEST_SCHEMA)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest table; empty where none has been written."""
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
 def append_manifest(spark: SparkSession, path: str, artifacts: Iterable[Artifact]) -> DataFrame:
     """Append artifact rows to the manifest table and return the whole table."""
     artifact_rows(spark, artifacts).coalesce(1).write.mode("append").parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,13 +18,20 @@ def nested_report(report: DataFrame, model_col: str = "model") -> DataFrame:
     )
 
 
+def _quoted(name: Column) -> Column:
+    """A YAML key: in double quotes unless it is a plain word."""
+    marks = F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    plain = name.rlike("^[A-Za-z_][A-Za-z0-9_.-]*$") & ~F.lower(name).isin("null", "true", "false", "yes", "no", "on", "off")
+    return F.when(plain, name).otherwise(F.concat(F.lit('"'), F.replace(marks, F.lit("\n"), F.lit("\\n")), F.lit('"')))
+
+
 def yaml_report(report: DataFrame, model_col: str = "model") -> DataFrame:
     """One YAML block per model; a missing value is ``null``."""
     lines = F.array_sort(
         F.collect_list(
             F.concat(
                 F.lit("  "),
-                F.col("metric"),
+                _quoted(F.col("metric")),
                 F.lit(": "),
                 F.coalesce(F.col("value").cast("string"), F.lit("null")),
             )
@@ -32,7 +39,7 @@ def yaml_report(report: DataFrame, model_col: str = "model") -> DataFrame:
     )
     return report.groupBy(model_col).agg(lines.alias("_lines")).select(
         model_col,
-        F.concat_ws("\n", F.concat(F.col(model_col), F.lit(":")), "_lines").alias("report"),
+        F.concat_ws("\n", F.concat(_quoted(F.col(model_col)), F.lit(":")), "_lines").alias("report"),
     )
 
 

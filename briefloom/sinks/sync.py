@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 def sync_plan(
     source: DataFrame, target: DataFrame, prefix: str = "", only_changed: bool = False
 ) -> DataFrame:
-    """(rel_path, key, action) for listings with ``rel_path`` and ``length``.
+    """(rel_path, key, action) for listings with ``rel_path``, ``length`` and ``modified``.
 
     Every source file is uploaded: ``copy`` where the target lacks it, ``replace`` where
-    it exists (``same`` instead, given equal lengths and ``only_changed``). Files that
+    it exists (``same`` instead, with ``only_changed``, if lengths are equal and
+    the source has not changed since). Files that
     exist in the target alone are ``extra`` and stay.
     """
-    here = source.select("rel_path", F.col("length").alias("_here"))
-    there = target.select("rel_path", F.col("length").alias("_there"))
-    unchanged = (F.col("_here") == F.col("_there")) & F.lit(only_changed)
+    here = source.select("rel_path", F.col("length").alias("_here"), F.col("modified").alias("_since"))
+    there = target.select("rel_path", F.col("length").alias("_there"), F.col("modified").alias("_copied"))
+    unchanged = (F.col("_here") == F.col("_there")) & (F.col("_since") <= F.col("_copied")) & F.lit(only_changed)
     key = f"{prefix.strip('/')}/" if prefix.strip("/") else ""
     return here.join(there, "rel_path", "full_outer").select(
         "rel_path",

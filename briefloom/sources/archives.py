@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -18,6 +19,30 @@ from briefloom.sources.csv import CORPUS_SCHEMA
 CSV_SUFFIX = ".csv"
 NO_CSV_MESSAGE = "No CSV file found in ZIP archive."
 CHUNK_ROWS = 5_000
+# A binary value holds no more.
+MAX_ARCHIVE = 2**31 - 1
+
+
+def _member_rows(stream, names: list[str], missing: set[str], where: str) -> Iterator[list[list]]:
+    """Chunks of rows of one CSV stream, columns found by name; a malformed row is an error."""
+    reader = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
+    header = next(reader, [])
+    lacking = [n for n in names if n not in header]
+    if lacking:
+        raise ValueError(f"columns {lacking} missing in the header of {where}")
+    places = [header.index(n) for n in names]
+    chunk: list[list] = []
+    for row in reader:
+        if not row:  # an empty line
+            continue
+        if len(row) != len(header):
+            raise ValueError(f"{len(row)} cells instead of {len(header)} in line {reader.line_num} of {where}")
+        chunk.append([None if row[p] in missing else row[p] for p in places])
+        if len(chunk) == CHUNK_ROWS:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
 
 
 def zip_csv_rows(
@@ -36,7 +61,7 @@ def zip_csv_rows(
         [T.StructField("path", T.StringType())]
         + [T.StructField(n, T.StringType()) for n in names]
     )
-    missing = list(na_values)
+    missing = set(na_values)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -48,16 +73,8 @@ def zip_csv_rows(
                     if member is None:
                         raise ValueError(f"{NO_CSV_MESSAGE} ({path})")
                     with archive.open(member) as stream:
-                        for chunk in pd.read_csv(
-                            stream,
-                            dtype=str,
-                            chunksize=CHUNK_ROWS,
-                            keep_default_na=False,
-                            na_values=missing,
-                        ):
-                            rows = chunk.reindex(columns=names).assign(path=path)
-                            rows = rows.astype(object).where(rows.notna(), None)
-                            yield rows[raw.fieldNames()]
+                        for rows in _member_rows(stream, names, missing, f"{path}: {member}"):
+                            yield pd.DataFrame(rows, columns=names, dtype=object).assign(path=path)[raw.fieldNames()]
 
     rows = archives.select("path", "content").mapInPandas(run, raw)
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
@@ -71,7 +88,16 @@ def read_zip_csv(
     na_values: Sequence[str] = NA_VALUES,
 ) -> DataFrame:
     """All ``*.zip`` files under ``path`` (or the files a glob names); each up to 2 GB."""
+    return zip_csv_rows(zip_files(spark, path), schema, na_values)
+
+
+def zip_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, modificationTime, length, content) of the archives; too large ones are named before any is read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if not path.endswith(".zip"):
         reader = reader.option("pathGlobFilter", "*.zip")
-    return zip_csv_rows(reader.load(path), schema, na_values)
+    files = reader.load(path)
+    large = [r["path"] for r in files.filter(F.col("length") > MAX_ARCHIVE).select("path").take(20)]
+    if large:
+        raise ValueError(f"archives above {MAX_ARCHIVE} bytes cannot be read whole: {large}")
+    return files

@@ -18,6 +18,13 @@ def split_name(name: str) -> str:
 
 
 def read_split_dataset(spark: SparkSession, root: str, split: str | None = None) -> DataFrame:
-    """All splits, or one; a split is a directory, so the others are not even listed."""
+    """All splits, or one; a split is a directory, so the others are not even listed.
+
+    A split stored under an alias is found by either name, and carries the usual one.
+    """
     table = spark.read.parquet(root)
-    return table if split is None else table.filter(F.col("split") == split_name(split))
+    if split is not None:
+        name = split_name(split)
+        stored = [name, *(alias for alias, own in ALIASES.items() if own == name)]
+        table = table.filter(F.col("split").isin(stored))
+    return table.replace(ALIASES, subset="split")

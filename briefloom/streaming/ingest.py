@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from briefloom.operators.encode import Limits, encode_features
 from briefloom.operators.split import SplitRatios, split_hash
 from briefloom.operators.validate import NA_VALUES, na_normalise
-from briefloom.sources.csv import CORPUS_SCHEMA, CSV_OPTIONS
+from briefloom.sources.csv import CORPUS_SCHEMA, CSV_OPTIONS, STRICT_OPTIONS
 
 
 def csv_stream(
@@ -21,8 +21,12 @@ def csv_stream(
     na_values: Sequence[str] = NA_VALUES,
     max_files: int | None = None,
 ) -> DataFrame:
-    """New CSV files of a landing folder; ``max_files`` bounds one micro-batch."""
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    """New CSV files of a landing folder; ``max_files`` bounds one micro-batch.
+
+    A file whose header differs from ``schema`` and a row with too few or too many cells stop
+    the stream with an error; nothing is read by position.
+    """
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, **STRICT_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     frame = reader.csv(landing)
@@ -68,13 +72,14 @@ def stream_features(
     schema: T.StructType = CORPUS_SCHEMA,
     ratios: SplitRatios = SplitRatios(),
     limits: Limits = Limits(),
+    max_files: int | None = None,
 ) -> DataFrame:
     """Landing folder -> split and encoded feature table.
 
     The hash split and the encoder (``word_encoder`` or ``piece_encoder``) work row by
-    row, so the stream needs no state and no shuffle.
+    row, so the stream needs no state and no shuffle. ``max_files`` bounds one micro-batch.
     """
-    rows = split_hash(csv_stream(spark, landing, schema), "id", ratios)
+    rows = split_hash(csv_stream(spark, landing, schema, max_files=max_files), "id", ratios)
     features = encode_features(rows, encode, limits)
     append_table(features, target, checkpoint, ["split"]).awaitTermination()
     return spark.read.parquet(target)

@@ -49,10 +49,10 @@ def test_zip_without_csv_is_an_error(spark, tmp_path):
         archives.read_zip_csv(spark, str(tmp_path)).collect()
 
 
-def test_zip_casts_and_missing_columns(spark, tmp_path):
-    write_zip(tmp_path / "a.zip", [("x.csv", "id,n\n1,5\n2,\n")])
-    schema = T.StructType.fromDDL("n int, id bigint, other string")
-    assert sorted(map(tuple, archives.read_zip_csv(spark, str(tmp_path), schema).collect()), key=str) == [(5, 1, None), (None, 2, None)]
+def test_zip_casts_and_order_of_columns(spark, tmp_path):
+    write_zip(tmp_path / "a.zip", [("x.csv", "id,more,n\n1,x,5\n2,y,\n")])
+    schema = T.StructType.fromDDL("n int, id bigint")
+    assert sorted(map(tuple, archives.read_zip_csv(spark, str(tmp_path), schema).collect()), key=str) == [(5, 1), (None, 2)]
 
 
 def test_csv_read(spark, tmp_path):
@@ -89,7 +89,7 @@ def test_splits_are_directories(spark, tmp_path):
     root = tables.write_splits(rows, str(tmp_path / "s"))
     one = splits.read_split_dataset(spark, root, "validation")
     assert [r["id"] for r in one.collect()] == [2]
-    assert len(one.inputFiles()) == 3 and "PartitionFilters: [isnotnull(split" in one._jdf.queryExecution().toString()
+    assert len(one.inputFiles()) == 3 and "PartitionFilters: [split" in one._jdf.queryExecution().toString()
     assert splits.read_split_dataset(spark, root).count() == 3
     with pytest.raises(ValueError):
         splits.read_split_dataset(spark, root, "dev")
@@ -140,16 +140,22 @@ def test_listing_and_new_files(spark, tmp_path):
     assert incremental.read_files(spark, fresh.limit(0), text, "text").count() == 0
     with pytest.raises(ValueError, match="several steps"):
         incremental.read_files(spark, listed, text, "text", max_files=2)
-    there = spark.createDataFrame([("a.csv", 5), ("d/b.csv", 6), ("old", 1)], "rel_path string, length long")
+    late, early = "timestamp'2999-01-01'", "timestamp'1999-01-01'"
+    there = spark.sql(f"VALUES ('a.csv', 5L, {late}), ('d/b.csv', 6L, {late}), ('old', 1L, {late}) AS t(rel_path, length, modified)")
     plan = {r["rel_path"]: (r["key"], r["action"]) for r in sync.sync_plan(listed, there, "/p/").collect()}
     assert plan == {"a.csv": ("p/a.csv", "replace"), "d/b.csv": ("p/d/b.csv", "replace"), "d/e/c.csv": ("p/d/e/c.csv", "copy"), "old": ("p/old", "extra")}
-    assert sync.sync_plan(listed, there, only_changed=True).filter("action = 'same'").first()["key"] == "a.csv"
+    assert [r["key"] for r in sync.sync_plan(listed, there, only_changed=True).filter("action = 'same'").collect()] == ["a.csv"]
+    older = there.withColumn("modified", F.expr(early))
+    assert sync.sync_plan(listed, older, only_changed=True).filter("action = 'same'").count() == 0
 
 
 def test_reports(spark, tmp_path):
     rows = spark.createDataFrame([("m", "rouge1", 0.25), ("m", "bleu", None), ("n", "rouge1", 1.0)], "model string, metric string, value double")
     text = spark.read.text(report.write_report(rows, str(tmp_path / "y"), "yaml"))
     assert {r["value"] for r in text.collect()} == {"m:", "  bleu: null", "  rouge1: 0.25", "n:", "  rouge1: 1.0"}
+    odd = rows.withColumn("model", F.lit('a: "b"'))
+    text = spark.read.text(report.write_report(odd, str(tmp_path / "q"), "yaml"))
+    assert '"a: \\"b\\"":' in {r["value"] for r in text.collect()}
     nested = spark.read.text(report.write_report(rows, str(tmp_path / "n"), "nested"))
     assert json.loads(nested.orderBy("value").first()["value"]) == {"model": "m", "metrics": {"bleu": None, "rouge1": 0.25}}
     assert spark.read.json(report.write_report(rows, str(tmp_path / "j"))).count() == 3
@@ -205,7 +211,48 @@ def test_whole_run(spark, tmp_path):
     again = prepare.run_transformation(
         spark, prepare.Run(str(tmp_path / "off"), primary_enabled=False), valid, encode=word_encoder(vocab), limits=Limits(16, 8)
     )
-    assert again.count() == 40 and not (tmp_path / "off" / "artifacts").exists()
+    assert again.count() == 40 and not (tmp_path / "off").exists()
+    stored = listed.filter("artifact = 'ingested_data' and target = 'primary:parquet'").first()
+    assert stored["n_rows"] == 42 and stored["n_bytes"] > 0
+    assert listed.filter("target = 'source'").count() == 2
+    write_zip(tmp_path / "in" / "c.zip", [("c.csv", as_csv(rows[:3]))])
+    assert prepare.run_ingestion(spark, prepare.Run(run.primary, stamp="later"), str(tmp_path / "in")).count() == 3
+    assert prepare.run_ingestion(spark, prepare.Run(run.primary, stamp="last"), str(tmp_path / "in")).count() == 0
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("summary,dialogue,id\nS1,D1,1\n")
+    (tmp_path / "b.csv").write_text('id,more,summary,dialogue\n2,x,S2,"D2\nnext"\n')
+    got = sorted(map(tuple, csv.read_csv(spark, str(tmp_path / "*.csv")).collect()))
+    assert got == [("1", "D1", "S1"), ("2", "D2\nnext", "S2")]
+    for name, text in (("lacking", "id,summary\n1,S\n"), ("short", "id,dialogue,summary\n1,D\n"), ("long", "id,dialogue,summary\n1,D,S,x,y\n")):
+        (tmp_path / f"{name}.txt").write_text(text)
+        with pytest.raises(Exception, match="missing|MALFORMED|FAILED_READ_FILE|Malformed"):
+            csv.read_csv(spark, str(tmp_path / f"{name}.txt")).collect()
+    for name, text in (("l", "Id,text,sum\n1,D,S\n"), ("s", "id,dialogue,summary\n1,D\n")):
+        write_zip(tmp_path / f"{name}.zip", [("c.csv", text)])
+        with pytest.raises(Exception, match="missing in the header|cells instead of"):
+            archives.read_zip_csv(spark, str(tmp_path / f"{name}.zip")).collect()
+
+
+def test_split_aliases(spark, tmp_path):
+    from briefloom.sources.splits import read_split_dataset
+
+    spark.createDataFrame([(1, "train"), (2, "validation"), (3, "test")], "i int, split string").write.partitionBy("split").parquet(str(tmp_path / "t"))
+    for name in ("val", "validation"):
+        assert [tuple(r) for r in read_split_dataset(spark, str(tmp_path / "t"), name).collect()] == [(2, "val")]
+    assert {r["split"] for r in read_split_dataset(spark, str(tmp_path / "t")).collect()} == {"train", "val", "test"}
+
+
+def test_split_manifest_of_odd_rows(spark):
+    from briefloom.operators.report import split_manifest
+
+    rows = spark.createDataFrame([("a", None), ("b", "train"), ("b", "train")], "x string, split string")
+    got = [tuple(r) for r in split_manifest(rows, ["x"]).collect()]
+    assert sorted(r[1] for r in got if r[0] == "total") == [3] and {r[0] for r in got} == {None, "train", "total"}
+    other = spark.createDataFrame([("c", "train"), ("c", "train")], "x string, split string")
+    marks = {r["split"]: r["fingerprint"] for r in split_manifest(other, ["x"]).collect()}
+    assert marks["train"] not in (0, next(r[3] for r in got if r[0] == "train"))
 
 
 def test_stamp():

@@ -76,7 +76,7 @@ def test_filters_reach_the_scan(spark, docs, tmp_path):
         vocab.word_counts(docs.filter("lang = 'de'"))
     )
     root = write_splits(split.split_exact(docs, "doc_id"), str(tmp_path / "s"))
-    assert re.search(r"PartitionFilters: \[[^\]]*split#\d+ = val", plan(read_split_dataset(spark, root, "val")))
+    assert re.search(r"PartitionFilters: \[[^\]]*split#\d+ IN \(val,validation\)", plan(read_split_dataset(spark, root, "val")))
 
 
 def test_counts_are_combined_before_the_shuffle(docs):
