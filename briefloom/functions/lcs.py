@@ -3,40 +3,58 @@
 from __future__ import annotations
 
 from collections import Counter
+from math import isqrt
 
 
-def _columns(a: list[str], b: list[str]) -> tuple[int, list[int]]:
-    """The bit vector after each item of ``b``; bit i is 0 where ``a[i]`` adds to the LCS."""
+def _places(a: list[str]) -> dict[str, int]:
+    """Bit mask of the places of each item of ``a``."""
     where: dict[str, int] = {}
     for i, token in enumerate(a):
         where[token] = where.get(token, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    vector = full
-    columns = []
-    for token in b:
-        hit = vector & where.get(token, 0)
-        vector = ((vector + hit) | (vector - hit)) & full
-        columns.append(vector)
-    return full, columns
+    return where
+
+
+def _step(vector: int, hit: int, full: int) -> int:
+    """The bit vector after one more item; bit i is 0 where ``a[i]`` adds to the LCS."""
+    hit &= vector
+    return ((vector + hit) | (vector - hit)) & full
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
-    if not a or not b:
-        return 0
-    full, columns = _columns(a, b)
-    return (columns[-1] ^ full).bit_count()
+    """Length of the LCS; only the last bit vector is held."""
+    where, full = _places(a), (1 << len(a)) - 1
+    vector = full
+    for token in b:
+        vector = _step(vector, where.get(token, 0), full)
+    return (vector ^ full).bit_count()
 
 
 def lcs_positions(a: list[str], b: list[str]) -> set[int]:
-    """Positions of ``a`` on one LCS; ties go to the later items of ``a``'s partner."""
-    _, columns = _columns(a, b)
-    i, j = len(a), len(b)
-    found = set()
+    """Positions of ``a`` on one LCS; ties go to the later items of ``a``'s partner.
+
+    The path is followed from the end. Only every k-th bit vector is kept on the way there, k the
+    root of the length of ``b``, and the vectors between are computed again when they are reached.
+    """
+    where, full = _places(a), (1 << len(a)) - 1
+    k = isqrt(len(b)) + 1
+    kept, vector = [full], full
+    for j, token in enumerate(b, 1):
+        vector = _step(vector, where.get(token, 0), full)
+        if j % k == 0:
+            kept.append(vector)
+    i, j, found = len(a), len(b), set()
+    first, block = len(b) + 1, []  # block[n] is the vector after first + n items of b
     while i and j:
         if a[i - 1] == b[j - 1]:
             i, j = i - 1, j - 1
             found.add(i)
-        elif columns[j - 1] >> (i - 1) & 1:
+            continue
+        if j < first:
+            first = j // k * k
+            block = [kept[j // k]]
+            for token in b[first:j]:
+                block.append(_step(block[-1], where.get(token, 0), full))
+        if block[j - first] >> (i - 1) & 1:
             i -= 1
         else:
             j -= 1

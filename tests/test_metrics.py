@@ -232,3 +232,18 @@ def test_metrics_ignore_partitioning(spark):
     frame = row_metrics(pairs(spark, rows).repartition(7), ROW_METRICS)
     other = row_metrics(pairs(spark, rows).repartition(1), ROW_METRICS)
     assert sorted(map(str, frame.collect())) == sorted(map(str, other.collect()))
+
+
+def test_lcs_of_long_texts_needs_little_memory():
+    import random
+    import tracemalloc
+
+    from briefloom.functions.lcs import lcs_length, lcs_positions
+
+    rng = random.Random(1)
+    a, b = ([rng.choice("abcdefgh") for _ in range(4000)] for _ in range(2))
+    tracemalloc.start()
+    n, found = lcs_length(a, b), lcs_positions(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == n and peak < 1_000_000
