@@ -59,7 +59,7 @@ FROM (SELECT word, count(*) AS n FROM (SELECT unnest({words('text')}) AS word FR
 """
 
 WITH_GAPS = """
-SELECT doc_id, CASE lang WHEN 'de' THEN 'NA' WHEN 'es' THEN 'null' WHEN 'fr' THEN '' ELSE text END AS text
+SELECT doc_id, CASE substr(md5(doc_id::VARCHAR), 1, 1) WHEN '0' THEN 'NA' WHEN '1' THEN 'null' WHEN '2' THEN '' ELSE text END AS text
 FROM documents
 """
 
@@ -136,6 +136,8 @@ FROM pairs JOIN ({tfidf('pairs', 'id', 'dialogue')}) USING (id)
 """
 
 ROWS_LEAD = f"WITH pairs AS ({PAIRS_DOCS}), preds AS ({LEAD_PREDICTIONS})"
+ROWS_WHOLE = f"""WITH pairs AS ({PAIRS_DOCS}),
+preds AS (SELECT id, 'whole' AS model, dialogue AS prediction, summary AS reference FROM pairs)"""
 ROWS_BOTH = (
     f"WITH pairs AS ({PAIRS_DOCS}), preds AS ({LEAD_PREDICTIONS} UNION ALL {TFIDF_PREDICTIONS})"
 )
@@ -486,7 +488,7 @@ ORACLE: dict[str, str] = {
     "split_manifest": f"""
         SELECT coalesce(split, 'total') AS split, count(*) AS num_examples,
           sum(strlen(text) + strlen(doc_id::VARCHAR))::BIGINT AS num_bytes,
-          bit_xor(('0x' || substr(md5(doc_id::VARCHAR || chr(31) || text), 1, 15))::BIGINT) AS fingerprint
+          (sum(('0x' || substr(md5(doc_id::VARCHAR || chr(31) || text), 1, 15))::BIGINT::HUGEINT) % 1152921504606846976)::BIGINT AS fingerprint
         FROM ({SPLIT_DOCS}) GROUP BY ROLLUP (split)""",
     "word_tokens": f"""
         SELECT doc_id, len(w)::BIGINT AS n_tokens, {md5_list('w')} AS tokens_md5
@@ -504,6 +506,14 @@ ORACLE: dict[str, str] = {
     "encode_join": f"""
         WITH vocab AS ({VOCAB_SQL}), c AS ({coded('documents', 'doc_id', 'text', 1024)})
         SELECT doc_id, {md5_list(padded('ids', 1024))} AS input_ids_md5 FROM c""",
+    "feature_table_join": f"""
+        WITH vocab AS ({VOCAB_SQL}), i AS ({coded('documents', 'doc_id', 'text', 1024)}),
+        o AS (SELECT doc_id, ids AS out FROM ({coded('documents', 'doc_id', 'text', 128)}))
+        SELECT CASE WHEN substr(md5(doc_id::VARCHAR), 1, 1) <> '0' THEN (doc_id % 20)::VARCHAR END AS id, doc_id,
+          {md5_list(padded('ids', 1024))} AS input_ids_md5, 1024::BIGINT AS input_ids_size,
+          {md5_list(mask('ids', 1024))} AS attention_mask_md5, 1024::BIGINT AS attention_mask_size,
+          {md5_list(padded('out', 128))} AS labels_md5, 128::BIGINT AS labels_size, (len(ids) + 1)::BIGINT AS n_real
+        FROM i JOIN o USING (doc_id)""",
     "feature_table": FEATURES.replace("{split}", f"SELECT id, split FROM ({ranked_split('pairs', 'id')})"),
     "stream_features": FEATURES.replace("{split}", hash_split("pairs", "id")),
     "piece_vocab": PIECES_SQL,
@@ -524,14 +534,15 @@ ORACLE: dict[str, str] = {
           {rows_md5(ONES, '0')} AS attention_mask_md5, {rows_md5('outs', '-100')} AS labels_md5 FROM grouped""",
     "map_batched": f"""
         SELECT doc_id, length(text)::BIGINT AS n_chars, len(string_split(text, {NL}))::BIGINT AS n_lines FROM documents""",
-    "batch_infer": "SELECT doc_id, array_to_string(string_split(text, ' ')[1:10], ' ') AS prediction FROM documents",
+    "batch_infer": "SELECT doc_id, string_split(text, ' ')[1] || ' ' || len(string_split(text, ' ')) || ' ' || string_split(text, ' ')[-1] AS prediction FROM documents",
     "lead_k": f"SELECT doc_id, {LEAD} AS prediction FROM (SELECT doc_id, {sents('text')} AS s FROM documents)",
     "tfidf_extract": tfidf("documents", "doc_id", "text"),
-    "rouge1": f"{ROWS_LEAD}, toks AS ({TOKENISED}) {rouge_rows(rouge(1))}",
-    "rouge2": f"{ROWS_LEAD}, toks AS ({TOKENISED}) {rouge_rows(rouge(2))}",
+    "tfidf_extract_join": tfidf("documents", "doc_id", "text"),
+    "rouge1": f"{ROWS_WHOLE}, toks AS ({TOKENISED}) {rouge_rows(rouge(1))}",
+    "rouge2": f"{ROWS_WHOLE}, toks AS ({TOKENISED}) {rouge_rows(rouge(2))}",
     "rougeL": ROUGE_L,
     "meteor_exact": f"{ROWS_LEAD}, toks AS ({TOKENISED}) SELECT id, round(meteor::DOUBLE, 6) AS meteor FROM ({METEOR})",
-    "bleu_corpus": f"""{ROWS_LEAD}, btoks AS ({BLEU_TOKENISED})
+    "bleu_corpus": f"""{ROWS_WHOLE}, btoks AS ({BLEU_TOKENISED})
         SELECT * EXCLUDE (model) REPLACE (round(bleu::DOUBLE, 6) AS bleu) FROM ({BLEU})""",
     "evaluation_report": REPORT,
     "evaluation_report_full": FULL_REPORT,
@@ -546,6 +557,12 @@ ORACLE: dict[str, str] = {
           round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS sum FROM embeddings""",
     "csv_roundtrip": """
         SELECT doc_id, text, len(string_split(text, ' '))::BIGINT AS n_words FROM documents""",
+    "csv_columns_by_name": "SELECT doc_id, text FROM documents",
+    "ingest_twice": """
+        SELECT CASE WHEN lang = 'en' THEN 1 ELSE 2 END::INTEGER AS run, count(*) AS n_rows,
+          sum(length(text))::BIGINT AS n_chars FROM documents GROUP BY ALL""",
+    "split_dataset_alias": f"""
+        SELECT doc_id, split, md5(text) AS text_md5 FROM ({SPLIT_DOCS}) WHERE split = 'val'""",
     "zip_ingest": "SELECT doc_id, text FROM documents",
     "split_dataset_scan": f"""
         SELECT doc_id, split, md5(text) AS text_md5 FROM ({SPLIT_DOCS}) WHERE split IN ('val', 'test')""",

@@ -15,6 +15,7 @@ from briefloom.functions.text import word_tokens
 from briefloom.operators import batches, encode, metrics, pairs, pieces, report
 from briefloom.operators import split as splits
 from briefloom.operators import summarize, validate, vocab
+from briefloom.plans import prepare
 from briefloom.scaling import spread
 from briefloom.session import fresh_folder
 from briefloom.sinks import manifest as runs
@@ -83,11 +84,12 @@ def select_pair_columns(spark, sf_dir):
 
 
 def _with_gaps(docs: DataFrame) -> DataFrame:
-    """Documents with missing-value markers and blanks put in by language."""
+    """Documents with missing-value markers and blanks in three sixteenths of the rows."""
+    digit = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1)
     marked = (
-        F.when(F.col("lang") == "de", "NA")
-        .when(F.col("lang") == "es", "null")
-        .when(F.col("lang") == "fr", "")
+        F.when(digit == "0", "NA")
+        .when(digit == "1", "null")
+        .when(digit == "2", "")
         .otherwise(F.col("text"))
     )
     return docs.select("doc_id", marked.alias("text"))
@@ -216,9 +218,8 @@ def encode_labels(spark, sf_dir):
 def encode_join(spark, sf_dir):
     """The path for vocabularies too large to send, with its limits turned down."""
     docs = documents(spark, sf_dir)
-    coded = encode.encode_by_join(
-        docs, _vocab(docs), "doc_id", "text", encode.MAX_INPUT, max_rows=VOCAB // 2
-    )
+    rows = encode.numbered(docs)
+    coded = encode.encode_by_join(rows, _vocab(docs), "text", encode.MAX_INPUT, max_rows=VOCAB // 2)
     return coded.select("doc_id", digest(encode.finish(F.col("ids"), encode.MAX_INPUT)).alias("input_ids_md5"))
 
 
@@ -228,6 +229,21 @@ def feature_table(spark, sf_dir):
     return _feature_digest(features, "id", "split")
 
 
+def _with_repeated_ids(docs: DataFrame) -> DataFrame:
+    """Documents as (id, doc_id, text), ids shared by about fifty rows and null for a sixteenth."""
+    digit = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1)
+    shared = F.when(digit != "0", (F.col("doc_id") % 20).cast("string"))
+    return docs.select(shared.alias("id"), "doc_id", "text")
+
+
+def feature_table_join(spark, sf_dir):
+    """Whole feature rows by the join path, over repeated and null ids."""
+    docs = documents(spark, sf_dir)
+    rows = _with_repeated_ids(docs).select("id", "doc_id", F.col("text").alias("dialogue"), F.col("text").alias("summary"))
+    features = encode.encode_pairs(rows, _vocab(docs), max_rows=VOCAB // 2)
+    return _feature_digest(features, "id", "doc_id")
+
+
 def piece_vocab(spark, sf_dir):
     return vocab.build_pieces(documents(spark, sf_dir), size=PIECES)
 
@@ -289,14 +305,14 @@ def map_batched(spark, sf_dir):
     )
 
 
-def first_words_model() -> Callable[[list], list]:
-    """Stand-in for a real model: the first ten white-space separated words."""
-    return lambda texts: [" ".join(text.split(" ")[:10]) for text in texts]
+def outline_model() -> Callable[[list], list]:
+    """Stand-in for a real model that reads whole texts: first word, number of words, last word."""
+    return lambda texts: [f"{w[0]} {len(w)} {w[-1]}" for w in (text.split(" ") for text in texts)]
 
 
 def batch_infer(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return batches.batch_infer(docs, first_words_model, "text").select("doc_id", "prediction")
+    return batches.batch_infer(docs, outline_model, "text").select("doc_id", "prediction")
 
 
 # --- summaries --------------------------------------------------------------------------
@@ -309,11 +325,17 @@ def lead_k(spark, sf_dir):
 
 def tfidf_extract(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return summarize.tfidf_extract(docs, TOP_SENTENCES, "doc_id", "text").select(
+    return summarize.tfidf_extract(docs, TOP_SENTENCES, "text").select(
         "doc_id", "prediction"
     )
 
 
+def tfidf_extract_join(spark, sf_dir):
+    """The path for idf tables too large to send, over repeated and null ids."""
+    docs = _with_repeated_ids(documents(spark, sf_dir))
+    return summarize.tfidf_extract(docs, TOP_SENTENCES, "text", max_rows=100).select("doc_id", "prediction")
+
+
 def textrank(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return summarize.textrank(docs, TOP_SENTENCES, "text").select("doc_id", "prediction")
@@ -332,17 +354,23 @@ def tfidf_predictions(spark, sf_dir) -> DataFrame:
     return rows.select("id", F.lit("tfidf").alias("model"), "prediction", F.col("summary").alias("reference"))
 
 
+def whole_predictions(spark, sf_dir) -> DataFrame:
+    """Whole texts as predictions, so that the metrics read every word."""
+    rows = document_pairs(spark, sf_dir)
+    return rows.select("id", F.lit("whole").alias("model"), F.col("dialogue").alias("prediction"), F.col("summary").alias("reference"))
+
+
 def _rouge(name: str, rows: DataFrame) -> DataFrame:
     scored = metrics.row_metrics(rows, [name])
     return scored.select("id", *[six(F.col(name)[part]).alias(part) for part in ("p", "r", "f")])
 
 
 def rouge1(spark, sf_dir):
-    return _rouge("rouge1", lead_predictions(spark, sf_dir))
+    return _rouge("rouge1", whole_predictions(spark, sf_dir))
 
 
 def rouge2(spark, sf_dir):
-    return _rouge("rouge2", lead_predictions(spark, sf_dir))
+    return _rouge("rouge2", whole_predictions(spark, sf_dir))
 
 
 def rouge_l(spark, sf_dir):
@@ -363,7 +391,7 @@ def meteor_exact(spark, sf_dir):
 
 
 def bleu_corpus(spark, sf_dir):
-    out = metrics.bleu_corpus(lead_predictions(spark, sf_dir))
+    out = metrics.bleu_corpus(whole_predictions(spark, sf_dir))
     return out.withColumn("bleu", six(F.col("bleu")))
 
 
@@ -447,6 +475,29 @@ def csv_roundtrip(spark, sf_dir):
     return back.select("doc_id", "text", F.size(words).cast("long").alias("n_words"))
 
 
+def csv_columns_by_name(spark, sf_dir):
+    """Documents landed in two column orders, one with a column more, read together."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    root, english = fresh_folder(spark, "orders"), F.col("lang").eqNullSafe("en")
+    tables.write_csv(docs.filter(english).select("doc_id", "text"), f"{root}/a")
+    tables.write_csv(docs.filter(~english).select("lang", "text", "doc_id"), f"{root}/b")
+    return csv.read_csv(spark, [f"{root}/a", f"{root}/b"], LANDING_SCHEMA, na_values=())
+
+
+def ingest_twice(spark, sf_dir):
+    """Two runs over one landing folder, more files before the second: the second reads only those."""
+    base = fresh_folder(spark, "twice")
+    docs = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("dialogue"), F.col("lang").alias("summary"))
+    english, out = F.col("summary").eqNullSafe("en"), []
+    for part in (docs.filter(english), docs.filter(~english), docs.limit(0)):
+        # landing files of CSV, in folders named like files, as the run reads CSV or ZIP
+        part.write.mode("append").options(**csv.CSV_OPTIONS, quoteAll="true").csv(f"{base}/landing.csv")
+        run = prepare.Run(f"{base}/main", stamp=f"run{len(out)}")
+        out.append(prepare.run_ingestion(spark, run, f"{base}/landing.csv", na_values=()).select("*", F.lit(len(out) + 1).alias("run")))
+    both = out[0].unionByName(out[1]).unionByName(out[2])
+    return both.groupBy("run").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("dialogue")).alias("n_chars"))
+
+
 def _zip_archives(docs: DataFrame) -> DataFrame:
     """Each Arrow batch of documents as one archive: a note and two CSV members."""
 
@@ -478,6 +529,14 @@ def split_dataset_scan(spark, sf_dir):
     return held.select("doc_id", "split", F.md5("text").alias("text_md5"))
 
 
+def split_dataset_alias(spark, sf_dir):
+    """A split stored under its other name is read by either."""
+    labelled = splits.split_exact(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    renamed = labelled.withColumn("split", F.when(F.col("split") == "val", "validation").otherwise(F.col("split")))
+    root = tables.write_splits(renamed, fresh_folder(spark, "aliases"))
+    return split_source.read_split_dataset(spark, root, "val").select("doc_id", "split", F.md5("text").alias("text_md5"))
+
+
 def _by_language(spark, docs: DataFrame) -> tuple[str, DataFrame]:
     """Write documents as files by language and list those files."""
     root = fresh_folder(spark, "files")
@@ -554,7 +613,7 @@ def stream_ingest(spark, sf_dir):
     """Two landings into one folder, ingested by two runs of the same stream."""
     landing, target, state = (fresh_folder(spark, n) for n in ("landing", "ingested", "state"))
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    english = F.col("lang") == "en"
+    english = F.col("lang").eqNullSafe("en")
     for part in (docs.filter(english), docs.filter(~english)):
         tables_out = tables.flat_columns(part.select("doc_id", "text"))
         tables_out.write.mode("append").options(header="true", quote='"', escape='"').csv(landing)
@@ -593,6 +652,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_labels": encode_labels,
     "encode_join": encode_join,
     "feature_table": feature_table,
+    "feature_table_join": feature_table_join,
     "piece_vocab": piece_vocab,
     "encode_unigram": encode_unigram,
     "length_profile": length_profile,
@@ -601,6 +661,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_infer": batch_infer,
     "lead_k": lead_k,
     "tfidf_extract": tfidf_extract,
+    "tfidf_extract_join": tfidf_extract_join,
     "textrank": textrank,
     "rouge1": rouge1,
     "rouge2": rouge2,
@@ -614,6 +675,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "array_roundtrip": array_roundtrip,
     "npy_scan": npy_scan,
     "csv_roundtrip": csv_roundtrip,
+    "csv_columns_by_name": csv_columns_by_name,
+    "ingest_twice": ingest_twice,
+    "split_dataset_alias": split_dataset_alias,
     "zip_ingest": zip_ingest,
     "split_dataset_scan": split_dataset_scan,
     "incremental_scan": incremental_scan,
