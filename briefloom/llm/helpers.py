@@ -25,26 +25,33 @@ def fold_of(ident: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(ident).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def running_total(df: DataFrame, order: list[str], value: str, name: str, parts: int | None = None) -> DataFrame:
-    """Adds ``name``: the sum of ``value`` over all rows up to this one in global ``order``.
+def running_totals(df: DataFrame, order: list[str], totals: dict[str, str], parts: int | None = None) -> DataFrame:
+    """Adds, for each (new column, value column) of ``totals``, the sum of the value over all rows
+    up to this one in global ``order``.
 
     Rows are range-sorted, every range is summed on its own, and the sums of the ranges before
-    (one number for each partition) are added. No single task sees more than one range.
+    (one row for each partition) are added. No single task sees more than one range.
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = stored(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
-    sums = placed.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    sums = placed.groupBy("_range").agg(*[F.sum(v).alias(f"_sum_{n}") for n, v in totals.items()])
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    sums = sums.select(
+        "_range", *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in totals]
+    )
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         placed.join(F.broadcast(sums), "_range")  # one row a partition
-        .withColumn(name, F.col("_before") + F.sum(value).over(inside))
-        .drop("_range", "_before")
+        .withColumns({n: F.col(f"_before_{n}") + F.sum(v).over(inside) for n, v in totals.items()})
+        .drop("_range", *[f"_before_{n}" for n in totals])
     )
 
 
+def running_total(df: DataFrame, order: list[str], value: str, name: str, parts: int | None = None) -> DataFrame:
+    return running_totals(df, order, {name: value}, parts)
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of ``links``; root is the smallest node of its component.
 

@@ -9,10 +9,11 @@ which a source reaches its target is cut there, so that no long document moves a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from briefloom.llm.helpers import WORD, running_total, stored
+from briefloom.llm.helpers import WORD, running_total, running_totals, stored
+from briefloom.scaling import MAX_BROADCAST_ROWS, row_count_at_most
 
 WEIGHTS = (3, 1, 2)
 
@@ -22,34 +23,32 @@ def words_in(text: str) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2) -> DataFrame:
-    """(source, source_size, weight, target) from (source, source_size).
+    """(source, source_size, weight, target, queue) from (source, source_size).
 
-    Sources in code point order (null last) take ``weights`` in turn. A target is at most
-    ``repeats`` times its source's size; what is above goes to the others by weight, until none
-    is above. In order of size per weight the full sources come first, so one running sum
-    over one row per source finds the level: the first at which all later ones fit.
+    Sources in code point order (null last) are numbered (``queue``) and take ``weights`` in turn. A
+    target is at most ``repeats`` times its source's size; what is above goes to the others by weight, until
+    none is above. In order of size per weight the full sources come first, so running sums find
+    the level: that of the first source that does not fill up. However many sources there are,
+    sums run range by range, and only totals reach the driver.
     """
-    in_order = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    turn = F.row_number().over(in_order) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(turn, F.lit(len(weights))).cast("int") + 1)
-    weighted = sizes.withColumn("weight", weight.cast("long")).withColumn("most", F.col("source_size") * repeats)
-    by_level = Window.orderBy((F.col("most") / F.col("weight")), "weight", F.col("source").isNull(), "source")
-    everything = Window.partitionBy()
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    levels = (
-        weighted.withColumn("budget", F.sum("source_size").over(everything) * F.lit(share))
-        .withColumn("full", F.coalesce(F.sum("most").over(before), F.lit(0)))
-        .withColumn("rest", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("level", (F.col("budget") - F.col("full")) / F.col("rest"))
-        .withColumn("fits", F.col("level") * F.col("weight") <= F.col("most"))
-        .withColumn("place", F.row_number().over(by_level))
-        .withColumn("first_fit", F.min(F.when(F.col("fits"), F.col("place"))).over(everything))
-        .withColumn("found", F.max(F.when(F.col("place") == F.col("first_fit"), F.col("level"))).over(everything))
+    named = sizes.withColumns({"_null": F.col("source").isNull(), "_one": F.lit(1).cast("long")})
+    numbered = running_total(named, ["_null", "source"], "_one", "queue")
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("queue") - 1, F.lit(len(weights))).cast("int") + 1)
+    weighted = stored(
+        numbered.withColumn("weight", weight.cast("long")).withColumn("most", F.col("source_size") * repeats)
+        .withColumn("fill", F.col("most") / F.col("weight"))
     )
-    target = F.when(
-        F.col("found").isNotNull(), F.least(F.col("found") * F.col("weight"), F.col("most").cast("double"))
-    ).otherwise(F.col("most").cast("double"))
-    return levels.select("source", "source_size", "weight", target.alias("target"))
+    whole = weighted.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    order = ["fill", "weight", "_null", "source"]
+    summed = running_totals(weighted, order, {"full": "most", "used": "weight"})
+    rest = F.lit(whole["weight"] or 0) - (F.col("used") - F.col("weight"))
+    level = (F.lit(float(whole["size"] or 0) * share) - (F.col("full") - F.col("most")).cast("double")) / rest
+    fits = summed.withColumn("level", level).filter(F.col("level") * F.col("weight") <= F.col("most"))
+    found = fits.agg(F.min_by("level", F.struct(*order))).first()[0]
+    target = F.col("most").cast("double")
+    if found is not None:
+        target = F.least(F.lit(found) * F.col("weight"), target)
+    return weighted.select("source", "source_size", "weight", target.alias("target"), "queue")
 
 
 def mix_sources(
@@ -80,37 +79,29 @@ def mix_sources(
         )
     )
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # numbered, so that joins are by a non-null key; one row a source
-    numbered = stored(
-        targets(per_source, weights, share, repeats).withColumn(
-            "queue", F.row_number().over(Window.orderBy(F.col("source").isNull(), "source"))
-        )
+    copies_of = F.ceil(F.col("target") / F.col("source_size"))
+    length = F.when(F.col("source_size") > 0, F.col("source_size") * copies_of).otherwise(0).cast("long")
+    # a row per source: its target, and the words of the queues before its own
+    numbered = running_total(
+        targets(per_source, weights, share, repeats).withColumn("_length", length), ["queue"], "_length", "_upto"
     )
+    numbered = stored(numbered.withColumn("_start", F.col("_upto") - F.col("_length")).drop("weight", "_length", "_upto"))
+    few = row_count_at_most(numbered, MAX_BROADCAST_ROWS)
     known = rows.join(
-        F.broadcast(numbered.drop("weight")) if numbered.count() <= 100_000 else numbered.drop("weight"),
+        F.broadcast(numbered) if few else numbered,
         rows["source"].eqNullSafe(numbered["source"]),
     ).drop(numbered["source"])
-    epochs = F.sequence(F.lit(1), F.ceil(F.col("target") / F.col("source_size")).cast("int"))
+    epochs = F.sequence(F.lit(1), copies_of.cast("int"))
     copies = known.filter("size > 0").withColumn("epoch", F.explode(epochs)).withColumn(
         "shuffle", F.md5(F.concat_ws(":", F.lit(str(seed)), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest"))
     )
     # position of a copy in its source's queue: the running total over all queues, less the queues before
     queued = running_total(
-        copies.select("doc_id", "source", "queue", "size", "source_size", "target", "epoch", "shuffle"),
+        copies.select("doc_id", "source", "queue", "_start", "size", "source_size", "target", "epoch", "shuffle"),
         ["queue", "epoch", "shuffle", "doc_id"], "size", "_total",
     )
-    length = F.col("source_size") * F.ceil(F.col("target") / F.col("source_size"))
-    starts = numbered.select(
-        F.col("queue").alias("_queue"),
-        F.coalesce(
-            F.sum(F.when(F.col("source_size") > 0, length).otherwise(0)).over(
-                Window.orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_start"),
-    )
     finish = (
-        queued.join(F.broadcast(starts) if numbered.count() <= 100_000 else starts, F.col("queue") == F.col("_queue"))
+        queued
         .withColumn("_upto", F.col("_total") - F.col("_start"))
         .withColumn("finish", F.least(F.lit(1.0), F.col("_upto") / F.col("target")))
         # what of the copy lies below its source's target
