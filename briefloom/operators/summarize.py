@@ -18,6 +18,8 @@ from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
 DAMPING = 0.85
 ROUNDS = 20
 SENTENCES_PER_STEP = 50_000
+# Pairs of sentence lengths that meet in a word, held at a time.
+MEETINGS_PER_BLOCK = 4_000_000
 POSITIONS = T.ArrayType(T.IntegerType())
 
 
@@ -200,17 +202,31 @@ def textrank_scores(
     group_word, group_length = groups // longest, groups % longest
     # Lengths that meet in one word of one document; groups of a word are neighbours.
     words, starts, per_word = np.unique(group_word, return_index=True, return_counts=True)
-    fan = np.repeat(per_word, per_word)
-    here = np.repeat(np.arange(len(groups)), fan)
-    step = np.arange(len(here)) - np.repeat(np.cumsum(fan) - fan, fan)
-    there = np.repeat(np.repeat(starts, per_word), fan) + step
+    fan, start_of = np.repeat(per_word, per_word), np.repeat(starts, per_word)
     logs = np.log(np.maximum(group_length, 1))
-    weight = 1.0 / (logs[here] + logs[there]) if len(here) else np.zeros(0)
+
+    def meetings():
+        """(first group, last, its neighbours, their weights) in blocks of limited size."""
+        ends = np.cumsum(fan)
+        first = 0
+        while first < len(groups):
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + MEETINGS_PER_BLOCK, "right")))
+            own_fan = fan[first:last]
+            here = np.repeat(np.arange(first, last), own_fan)
+            step = np.arange(len(here)) - np.repeat(np.cumsum(own_fan) - own_fan, own_fan)
+            there = np.repeat(start_of[first:last], own_fan) + step
+            yield first, last, here - first, there, 1.0 / (logs[here] + logs[there])
+            first = last
+
+    kept = list(meetings()) if fan.sum() <= MEETINGS_PER_BLOCK else None  # else built again each round
     own = np.bincount(sentence, minlength=n) / np.maximum(2 * np.log(np.maximum(lengths, 2)), 1.0)
 
     def neighbour_sum(values: np.ndarray) -> np.ndarray:
         given = np.bincount(group, values[sentence], len(groups))
-        met = np.bincount(here, weight * given[there], len(groups))
+        met = np.zeros(len(groups))
+        for first, last, here, there, weight in kept if kept is not None else meetings():
+            met[first:last] = np.bincount(here, weight * given[there], last - first)
         return np.bincount(sentence, met[group], n) - own * values
 
     out = neighbour_sum(np.ones(n))

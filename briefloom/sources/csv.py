@@ -7,7 +7,6 @@ import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,33 +25,16 @@ STRICT_OPTIONS = {"mode": "FAILFAST", "columnPruning": "false", "enforceSchema":
 
 
 def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, header) of every file: its first line.
-
-    Tasks stop after the first batch of lines of a piece of a file, so that large files are
-    not read to the end for this.
-    """
-
-    def first_lines(batches):
-        seen = set()
-        for batch in batches:
-            places = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
-            out = []
-            for path, start, line in places:
-                if path not in seen:
-                    seen.add(path)
-                    if start == 0:
-                        out.append((path, line.as_py()))
-            yield pa.RecordBatch.from_pydict({"path": [p for p, _ in out], "header": [h for _, h in out]}, shape)
-            if batch.num_rows and batch.column(0)[0] == batch.column(0)[-1] and len(seen) == 1 and start:
-                return
-
-    shape = pa.schema([("path", pa.string()), ("header", pa.string())])
-    lines = spark.read.text(list(paths)).select("_metadata.file_path", "_metadata.file_block_start", "value")
-    return lines.mapInArrow(first_lines, "path string, header string")
+    """(path, header) of every file: the first line of the piece at its beginning."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    return lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
 
 
 def _names(header: str) -> list[str]:
-    return next(csv.reader([header.removeprefix("﻿")]), [])
+    return next(csv.reader([header.removeprefix("\ufeff")]), [])
 
 
 def read_csv(
@@ -66,7 +48,7 @@ def read_csv(
     Columns are found by the names in each file's header: files may hold them in different orders
     and may hold more. A file that lacks a column, a row with too few or too many cells, a
     cell that is not of its column's type, and a missing path are errors. ``schema=None``
-    infers columns and types from the files with an extra pass. Any file system the cluster can
+    infers columns and types from the files. Finding the headers is a pass over the lines. Any file system the cluster can
     read works, object stores included. A multi-line file is read by one task, so large corpora should
     come as many files. File names and different headers pass through the driver, which
     plans the read.

@@ -107,3 +107,13 @@ def test_tfidf_does_not_use_ids(spark):
     rows = spark.createDataFrame([("1", t) for t in texts] + [(None, t) for t in texts], "id string, dialogue string")
     want = sorted(r["prediction"] for r in summarize.tfidf_extract(rows, 2).collect())
     assert sorted(r["prediction"] for r in summarize.tfidf_extract(rows, 2, max_rows=1).collect()) == want
+
+
+def test_textrank_in_blocks_is_the_same(monkeypatch):
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(1, 12, 40)
+    sentence_of = np.repeat(np.arange(40), lengths)
+    codes, doc_of = rng.integers(0, 15, len(sentence_of)), np.sort(rng.integers(0, 3, 40))
+    want = summarize.textrank_scores(doc_of, sentence_of, codes, lengths)
+    monkeypatch.setattr(summarize, "MEETINGS_PER_BLOCK", 7)
+    assert np.allclose(summarize.textrank_scores(doc_of, sentence_of, codes, lengths), want)
