@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from briefloom.operators.split import seeded_rank
+from briefloom.functions.ordering import hex_prefix, order_key
+from briefloom.operators.split import HISTOGRAM_DIGITS
 from briefloom.operators.vocab import PAD_ID
+from briefloom.scaling import MAX_BROADCAST_ROWS, materialise, row_count_at_most
 
 # Rows per batch, and the label id a loss function ignores.
 BATCH_ROWS = 2
 IGNORED_LABEL = -100
+# Rows that meet in one task, unless a single key prefix has more.
+STRETCH_ROWS = 1_000
 
 
 def _padded(rows: Column, pad: int) -> Column:
@@ -36,24 +40,51 @@ def collate_batches(
     """Group rows into batches per split, padding each batch to its own longest row.
 
     ``inputs`` and ``labels`` are unpadded id arrays; labels are padded with -100. A group
-    never holds more than ``rows_per_batch`` rows.
+    never holds more than ``rows_per_batch`` rows. Rows with one id go by content.
+
+    The id arrays are shuffled once. A histogram of the order keys, from the ids alone, cuts
+    each split into stretches of known first rank; rows meet by stretch and are ranked and batched
+    there. Only batches that cross the end of a stretch are put together in another, small shuffle.
     """
-    ranked = seeded_rank(df, id_col, seed, [split_col], "_rank")
-    numbered = ranked.withColumn(
-        "batch", F.floor((F.col("_rank") - 1) / rows_per_batch).cast("long")
+    key = order_key(F.col(id_col), seed)
+    histogram = (
+        df.select(split_col, hex_prefix(key, HISTOGRAM_DIGITS).alias("_b"))
+        .groupBy(split_col, "_b")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    upto = Window.partitionBy(split_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    stretch = Window.partitionBy(split_col, "_stretch")
+    stretches = materialise(
+        histogram.withColumn("_before", F.coalesce(F.sum("_rows").over(upto), F.lit(0)))
+        .withColumn("_stretch", F.floor(F.col("_before") / STRETCH_ROWS))
+        .select(
+            F.col(split_col).alias("_split"), "_b", "_stretch",
+            F.min("_before").over(stretch).alias("_first"), F.sum("_rows").over(stretch).alias("_size"),
+        )
+    )
+    if row_count_at_most(stretches, MAX_BROADCAST_ROWS):
+        stretches = F.broadcast(stretches)
+    rows = df.select(
+        split_col, F.col(id_col).alias("id"), F.col(inputs).alias("ids"), F.col(labels).alias("labels"),
+        key.alias("_key"), hex_prefix(key, HISTOGRAM_DIGITS).alias("_bucket"),
+    )
+    same = (F.col("_bucket") == F.col("_b")) & F.col(split_col).eqNullSafe(F.col("_split"))
+    order = Window.partitionBy(split_col, "_stretch").orderBy("_key", "id", F.xxhash64("ids", "labels"))
+    ranked = rows.join(stretches, same).withColumn("_rank", F.col("_first") + F.row_number().over(order))
+    batch = F.floor((F.col("_rank") - 1) / rows_per_batch).cast("long")
+    inside = (F.col("batch") * rows_per_batch >= F.col("_first")) & (
+        (F.col("batch") + 1) * rows_per_batch <= F.col("_first") + F.col("_size")
+    )
+    grouped = (
+        ranked.withColumn("batch", batch)
+        .withColumn("_inside", inside)
+        .groupBy(split_col, "_stretch", "batch", "_inside")
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", "id", "ids", "labels"))).alias("_rows"))
     )
-    gathered = numbered.groupBy(split_col, "batch").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "_rank",
-                    F.col(id_col).alias("id"),
-                    F.col(inputs).alias("ids"),
-                    F.col(labels).alias("labels"),
-                )
-            )
-        ).alias("_rows")
+    crossing = grouped.filter(~F.col("_inside")).groupBy(split_col, "batch").agg(
+        F.sort_array(F.flatten(F.collect_list("_rows"))).alias("_rows")
     )
+    gathered = grouped.filter("_inside").select(split_col, "batch", "_rows").unionByName(crossing)
     parts = gathered.select(
         split_col,
         "batch",

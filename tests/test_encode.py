@@ -202,3 +202,26 @@ def test_batch_infer_loads_once_per_task(spark):
 
     rows = spark.createDataFrame([("a", "t")], "id string, dialogue string")
     assert batches.batch_infer(rows, factory).first()["prediction"] == "t:1"
+
+
+def test_batches_do_not_depend_on_partitions(spark, monkeypatch):
+    """Repeated ids, short stretches, and every partitioning give the same batches."""
+    rows = spark.range(200).select(
+        (F.col("id") % 60).cast("string").alias("id"), F.when(F.col("id") % 5 == 0, "val").otherwise("train").alias("split"),
+        F.array(F.col("id").cast("int")).alias("ids"), F.array_repeat(F.col("id").cast("int"), 2).alias("label_ids"),
+    )
+    want = sorted(map(str, batches.collate_batches(rows.repartition(1), rows_per_batch=3).collect()))
+    monkeypatch.setattr(batches, "STRETCH_ROWS", 10)
+    for parts in (1, 7):
+        assert sorted(map(str, batches.collate_batches(rows.repartition(parts), rows_per_batch=3).collect())) == want
+    assert len(want) == 14 + 54
+
+
+def test_batches_move_the_arrays_once(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("split"), F.array("n_chars").cast("array<int>").alias("ids"), F.array("n_chars").cast("array<int>").alias("label_ids"),
+    )
+    plan = batches.collate_batches(rows)._jdf.queryExecution().executedPlan().toString()
+    wide = [line.strip(" :+-*") for line in plan.splitlines() if "Exchange hashpartitioning(split" in line and "_stretch" in line]
+    # written twice in the plan before it runs, and run once: the second is the same exchange
+    assert len({line.split("#")[0] for line in wide}) == 1
