@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from briefloom.llm.helpers import stored
-from briefloom.scaling import MAX_BROADCAST_ROWS
+from briefloom.scaling import MAX_BROADCAST_ROWS, row_count_at_most
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(?P<raw>script|style|textarea|noscript|iframe|template|svg|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
@@ -270,7 +270,7 @@ def extract_pages(
         F.col(ident).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
         host_of(F.col(url)).alias("host"), F.col(source).cast("string").alias("html"),
     )
-    small = paths.count() <= max_broadcast_rows
+    small = row_count_at_most(paths, max_broadcast_rows)
     placed = rows.join(F.broadcast(paths) if small else paths, "host", "left")
 
     def run(batches):

@@ -27,6 +27,7 @@ from briefloom.llm import exchange
 from briefloom.llm.helpers import components, stored
 from briefloom.llm.kernels import Words, mix, slices
 
+REMEMBERED = 200_000
 CLASSES = (
     "sig string, n long, u long, central double, prefix array<struct<token:long,pos:int>>, "
     "segments array<array<long>>"
@@ -104,13 +105,17 @@ def signatures(
 
 
 def _class_texts(docs: DataFrame, width: int, text: str) -> DataFrame:
-    """(sig, text), each class at most once per batch, so that a hot text is sent by few tasks."""
+    """(sig, text), each class once per task, as long as the task remembers it: hot texts are sent seldom."""
 
     def run(batches):
+        seen: set[str] = set()
         for batch in batches:
             column = _text_column(batch.column(0))
             sigs = [signature(s) for s in shingle_sets(column, width)]
-            first = sorted({s: i for i, s in reversed(list(enumerate(sigs))) if s is not None}.values())
+            first = sorted({s: i for i, s in reversed(list(enumerate(sigs))) if s is not None and s not in seen}.values())
+            seen.update(sigs[i] for i in first)
+            if len(seen) > REMEMBERED:
+                seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([sigs[i] for i in first], pa.string()), column.take(pa.array(first, pa.int64())).cast(pa.string())],
                 ["sig", "text"],

@@ -135,6 +135,9 @@ class LanguageModel:
 def fit(rows: DataFrame, per_language: int = 1500) -> LanguageModel:
     """Model from (text, lang) rows, of which about ``per_language`` per language are sampled.
 
+    There is one machine for each pair of families and each pair of languages of a family: ``lang``
+    is taken to hold some hundred codes at most.
+
     The sample is a fixed hash threshold on the text for each language, so reruns agree; it bounds
     what a training task holds. Of the texts, all letters are used.
     """

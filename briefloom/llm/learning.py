@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from briefloom.scaling import MAX_BROADCAST_ROWS
+from briefloom.scaling import MAX_BROADCAST_ROWS, row_count_at_most
 
 
 def one_label(labels: DataFrame, label: str) -> DataFrame:
@@ -22,7 +22,7 @@ def with_labels(docs: DataFrame, labels: DataFrame, label: str, max_broadcast_ro
     Labels are broadcast when counted to be few; else the join shuffles by id.
     """
     known = one_label(labels, label)
-    return docs.join(F.broadcast(known) if known.count() <= max_broadcast_rows else known, "doc_id")
+    return docs.join(F.broadcast(known) if row_count_at_most(known, max_broadcast_rows) else known, "doc_id")
 
 
 def summed(partials: DataFrame, groups: int = 8) -> np.ndarray:

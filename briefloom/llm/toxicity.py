@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from briefloom.llm.helpers import fold_of, stored
 from briefloom.llm.learning import calibrated, calibration, one_label
-from briefloom.scaling import MAX_BROADCAST_ROWS
+from briefloom.scaling import MAX_BROADCAST_ROWS, row_count_at_most
 
 TOKEN = re.compile(r"[^\W\d_]+")
 COUNTS = "token string, n_all long, n_toxic long, n_other long"
@@ -189,8 +189,10 @@ def background(scanned: DataFrame, cost: float) -> tuple[float, float]:
     """
     clean = scanned.filter("label = 0")
     words = max(clean.agg(F.sum("n_words")).first()[0] or 0, 1)
-    bins = clean.select(F.explode("segments.score").alias("s")).groupBy(F.floor(F.col("s") * 10).alias("bin")).count()
-    hits = {r["bin"] / 10 + 0.05: float(r["count"]) for r in bins.collect()}  # scores are bounded sums of log-odds in tenths
+    # in tenths, and all above 100 alike: at most 1,001 bins
+    tenth = F.floor(F.least(F.col("s"), F.lit(100.0)) * 10).alias("bin")
+    bins = clean.select(F.explode("segments.score").alias("s")).groupBy(tenth).count()
+    hits = {r["bin"] / 10 + 0.05: float(r["count"]) for r in bins.collect()}
     # never fewer than half a segment in all: absence of evidence is worth as much as the data are
     hits[5.0] = hits.get(5.0, 0.0) + 0.5
     share = {s: v / words for s, v in hits.items()}
@@ -242,7 +244,7 @@ def toxic_passages(
     rows = rows.withColumn("held_out", fold_of("doc_id", folds) == held_out)
     # a left join: unlabelled texts count for the prior
     known = stored(one_label(labels, label).filter(fold_of("doc_id", folds) != held_out))
-    marked = rows.join(F.broadcast(known) if known.count() <= MAX_BROADCAST_ROWS else known, "doc_id", "left")
+    marked = rows.join(F.broadcast(known) if row_count_at_most(known, MAX_BROADCAST_ROWS) else known, "doc_id", "left")
     lexicon = fit_lexicon(marked)
     scanned = stored(scan(marked, lexicon, ("doc_id", "held_out", "label")))
     found = weighed(scanned, *background(scanned, lexicon.cost), significance)
