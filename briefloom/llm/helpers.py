@@ -52,6 +52,15 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str, parts:
     return running_totals(df, order, {name: value}, parts)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether the edges u > v are stars already: no node is on both sides, or has two larger ends."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    tied = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return tied.filter("up > 1 or up = 1 and down = 1").limit(1).count() == 0
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of ``links``; root is the smallest node of its component.
 
@@ -62,7 +71,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stored(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     )
-    while True:
+    while not _stars(edges):
         # large star: every larger neighbour of a node is tied to the smallest of its neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -73,18 +82,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         # small star: a node and its smaller neighbours are tied to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        small = (
+        edges = stored(
             joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(joined.select("u", F.col("m").alias("v")))
             .filter("u <> v").distinct()
         )
-        after = stored(small)
-        changed = after.join(edges, ["u", "v"], "left_anti").limit(1).count()
-        same = changed == 0 and after.count() == edges.count()
-        edges = after
-        if same:
-            break
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(
-        roots.select(F.col("root").alias("node"), "root").distinct()
-    )
+    return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
