@@ -162,18 +162,33 @@ def benchmark_windows(benchmark: DataFrame, width: int, least: int, share: float
     return found.filter((F.col("width") == F.least(F.lit(width), F.col("n_tokens"))))
 
 
+def covered_tokens(windows: list[dict]) -> tuple[list[int], int, int]:
+    """(covered tokens of the item, longest run of them, changed values) of the windows of one alignment."""
+    pairs = {(p["item_slots"], p["slots"]) for w in windows for p in w["pairs"]}
+    changed = sum(a != b for a, b in pairs)
+    if len({a for a, _ in pairs}) < len(pairs) or len({b for _, b in pairs}) < len(pairs):
+        return [], 0, changed
+    places = sorted({k for w in windows for k in range(w["item_pos"], w["item_pos"] + w["width"])})
+    longest = run = 0
+    for before, place in zip([-2, *places], places):
+        run = run + 1 if place == before + 1 else 1
+        longest = max(longest, run)
+    return places, longest, changed
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5, literals: float = 0.5, share: float = 0.5,
-    ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
+    run: int = 13, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """(doc_id, digest, item_id, covered, n_tokens, changed_slots): items found in each text.
 
     ``digest`` is the crc32 of the text, to tell rows with one id apart.
 
-    An item of ``n_tokens`` is found if windows aligned with it cover ``share`` of its tokens, in
-    alignments whose placeholder values map one to one. ``changed_slots`` counts values that differ: 0
-    for a verbatim copy. Items of fewer than ``least`` tokens are not searched; null and empty
+    An item of ``n_tokens`` is found if windows aligned with it cover ``share`` of its tokens, or
+    ``run`` tokens in a row in one alignment, however long the item is; only
+    alignments whose placeholder values map one to one count. ``changed_slots`` counts values that differ
+    in the alignment that covers most: 0 for a verbatim copy. Items of fewer than ``least`` tokens are not searched; null and empty
     texts and items hold nothing; rows with equal id and text count once; a null id is an id.
     Items with null ids are ignored. Extra columns are not read. Benchmark windows are broadcast
     when counted to be few; beyond that every document window takes part in a shuffled hash join.
@@ -197,23 +212,28 @@ def matches(
     matched = found.drop("n_tokens").join(F.broadcast(items) if small else items, ["hash", "width"])
     # one alignment: at most as many windows as the item has
     by_shift = matched.groupBy("id", "digest", "item_id", "item_tokens", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.collect_set(F.struct("item_pos", "width")).alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
-    )
-    one_way = F.size(F.array_distinct(F.col("pairs.item_slots"))) == F.size("pairs")
-    other_way = F.size(F.array_distinct(F.col("pairs.slots"))) == F.size("pairs")
-    places = F.array_distinct(
-        F.flatten(F.transform("places", lambda p: F.sequence(p["item_pos"], p["item_pos"] + p["width"] - 1)))
+        F.collect_set(F.struct("item_pos", "width", F.arrays_zip("item_slots", "slots").alias("pairs"))).alias("windows")
     )
-    aligned = by_shift.filter(one_way & other_way).select(
-        "id", "digest", "item_id", "item_tokens", F.explode(places).alias("place"),
-        F.size(F.filter("pairs", lambda x: x["item_slots"] != x["slots"])).alias("changed"),
+
+    def cover(batches):
+        for batch in batches:
+            columns = list(zip(*map(covered_tokens, batch.column(4).to_pylist()))) or [()] * 3
+            kinds = (pa.list_(pa.int32()), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                ["id", "digest", "item_id", "item_tokens", "places", "longest", "changed"],
+            )
+
+    aligned = by_shift.select("id", "digest", "item_id", "item_tokens", "windows").mapInArrow(
+        cover, "id long, digest long, item_id long, item_tokens int, places array<int>, longest int, changed int"
     )
     # an insertion shifts the rest of an item: alignments of one pair add up
-    per_text = aligned.groupBy("id", "digest", "item_id", "item_tokens").agg(
-        F.countDistinct("place").alias("covered"), F.min("changed").alias("changed_slots")
+    per_text = aligned.select("*", F.explode("places").alias("place")).groupBy("id", "digest", "item_id", "item_tokens").agg(
+        F.countDistinct("place").alias("covered"), F.max("longest").alias("longest"),
+        F.max_by("changed", F.struct(F.size("places"), -F.col("changed"))).alias("changed_slots"),
     )
-    return per_text.filter(F.col("covered") >= F.lit(share) * F.col("item_tokens")).select(
+    enough = (F.col("covered") >= F.lit(share) * F.col("item_tokens")) | (F.col("longest") >= run)
+    return per_text.filter(enough).select(
         F.col("id").alias("doc_id"), "digest", "item_id", F.col("item_tokens").cast("long").alias("n_tokens"), "covered",
         F.col("changed_slots").cast("long").alias("changed_slots"),
     )

@@ -359,3 +359,14 @@ def test_large_benchmarks_take_the_shuffled_join(spark):
     assert [r["doc_id"] for r in decontaminated(docs, benchmark, max_broadcast_rows=0).collect()] == [2]
     assert op7_decontamination(docs.limit(0), benchmark).collect() == []
     assert op7_decontamination(docs, benchmark.limit(0)).collect() == []
+
+
+def test_excerpts_of_long_items_are_found(spark):
+    """Less than half of an item, but far more than chance: 100 of 300 words, 25 of 59; not 10 of 300."""
+    long, middle = ([f"{p}{i}x" for i in range(n)] for p, n in (("long", 300), ("mid", 59)))
+    benchmark = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(middle))], "item_id long, text string")
+    rows = [(1, long[120:220]), (2, middle[30:55]), (3, long[50:60]), (4, [f"{w} other" for w in long])]
+    docs = spark.createDataFrame([(i, "Words before. " + " ".join(w) + " words after.") for i, w in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["covered"] for r in op7_decontamination(docs, benchmark).collect()}
+    assert got == {(1, 1): 100, (2, 2): 25}
+    assert sorted(r["doc_id"] for r in decontaminated(docs, benchmark).collect()) == [3, 4]
