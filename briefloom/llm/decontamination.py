@@ -4,13 +4,16 @@ Words become template tokens: numbers, names and units turn into typed placehold
 else into its lower-cased core. Windows of template tokens of documents and benchmark items are
 hash-joined; along each alignment the values behind the placeholders must then map one to
 one, so a question asked again with other numbers or names is caught, and a text that merely has
-the same shape is not.
+the same shape is not. The same windows are also compared with names as plain words, and word for
+word, so that a copy in other letter case, or one dense with numbers and names, is caught as well.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -64,9 +67,12 @@ def core_of(word: str) -> str:
     return word.strip(".,;:!?\"'()[]{}«»“”‘’…-") or word
 
 
-def template(ids: np.ndarray, first: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(token hashes, whether a token is a placeholder) of word rows; ``first`` marks beginnings of texts."""
-    kind, hashes = words.kind[ids].copy(), mix(words.hash[ids])
+def templates(ids: np.ndarray, first: np.ndarray, words: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(token hashes, whether a token is a placeholder) of word rows; ``first`` marks beginnings of texts.
+
+    Three times: with all placeholders, with names as plain words, and with plain words only.
+    """
+    kind, plain = words.kind[ids], mix(words.hash[ids])
     ends = words.ends[ids]
     starts = first.copy()
     starts[1:] |= ends[:-1]
@@ -75,23 +81,35 @@ def template(ids: np.ndarray, first: np.ndarray, words: Vocabulary) -> tuple[np.
     unit[1:] &= number[:-1]
     unit[first] = False
     name = (kind == CAPITAL) & ~starts
-    for mask, value in zip((number, unit, name), PLACE):
-        hashes[mask] = value
-    return hashes, number | unit | name
+    folded = plain.copy()
+    for mask, value in zip((number, unit), PLACE):
+        folded[mask] = value
+    full = folded.copy()
+    full[name] = PLACE[2]
+    return [(full, number | unit | name), (folded, number | unit), (plain, np.zeros(len(ids), bool))]
+
 
+def _windows(hashes: np.ndarray, slots: np.ndarray, lengths: np.ndarray, width: int, literals: int, new: np.ndarray | None):
+    """(first token, hash) of the windows of ``width`` tokens in one text with enough literal tokens.
 
-def _windows(hashes: np.ndarray, slots: np.ndarray, lengths: np.ndarray, width: int, literals: int):
-    """(first token, hash) of the windows of ``width`` tokens in one text with enough literal tokens."""
+    With ``new`` (a mask of tokens) only windows with one of these tokens.
+    """
     n = len(hashes)
     if n < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+
+    def within(mask: np.ndarray) -> np.ndarray:
+        filled = np.concatenate(([0], np.cumsum(mask)))
+        return filled[width:] - filled[:-width]
+
     base = 0xD1342543DE82EF95
     total = np.zeros(n - width + 1, np.uint64)
     for k in range(width):
         total = total * np.uint64(base) + hashes[k : n - width + 1 + k]
     ends = np.repeat(np.cumsum(lengths), lengths)[: n - width + 1]
-    filled = np.concatenate(([0], np.cumsum(slots)))
-    few = filled[width:] - filled[:-width] <= width - literals
+    few = within(slots) <= width - literals
+    if new is not None:
+        few &= within(new) > 0
     at = np.flatnonzero((np.arange(n - width + 1) + width <= ends) & few)
     return at, mix(total[at] + np.uint64(width))
 
@@ -99,7 +117,8 @@ def _windows(hashes: np.ndarray, slots: np.ndarray, lengths: np.ndarray, width:
 def template_windows(rows: DataFrame, widths: list[int], share: float, wanted: np.ndarray | None) -> DataFrame:
     """(id, digest, pos, width, hash, slots, n_tokens) of the windows of (id, text) rows.
 
-    ``slots`` are the lower-cased values behind the window's placeholders. With ``wanted`` (sorted
+    A window has a row for each of its ``templates`` that differ. ``slots`` are the lower-cased values
+    behind its placeholders, so equal hashes have equally many. With ``wanted`` (sorted
     hashes) only windows with one of these hashes are returned.
     """
 
@@ -130,10 +149,11 @@ def _of_texts(ids, texts, split, words, widths, share, wanted) -> pa.RecordBatch
     starts = np.cumsum(lengths) - lengths
     first = np.zeros(len(flat), bool)
     first[starts[lengths > 0]] = True
-    hashes, slots = template(rows, first, words)
     out: list[tuple] = []
-    for width in widths:
-        at, own = _windows(hashes, slots, lengths, width, max(1, int(np.ceil(share * width))))
+    levels = templates(rows, first, words)
+    news = [None, *(a[1] & ~b[1] for a, b in zip(levels, levels[1:]))]
+    for width, ((hashes, slots), new) in product(widths, zip(levels, news)):
+        at, own = _windows(hashes, slots, lengths, width, max(1, int(np.ceil(share * width))), new)
         if wanted is not None and len(at):
             place = np.searchsorted(wanted, own)
             place[place == len(wanted)] = 0
@@ -162,18 +182,38 @@ def benchmark_windows(benchmark: DataFrame, width: int, least: int, share: float
     return found.filter((F.col("width") == F.least(F.lit(width), F.col("n_tokens"))))
 
 
+def conflicts(windows: list[dict]) -> set[tuple[str, str]]:
+    """Pairs of an item's value and another one in the text that break the one-to-one rule.
+
+    Of the pairs that share a value the one in most windows is taken to hold; an equal value always
+    holds. Two equal numbers of an item may become two numbers: they need not mean the same.
+    """
+    weight = Counter((p["item_slots"], p["slots"]) for w in windows for p in w["pairs"])
+    rank = {p: float("inf") if p[0] == p[1] else n for p, n in weight.items()}
+    bad = set()
+    for side in (0, 1):
+        ranks = defaultdict(list)
+        for p, n in rank.items():
+            ranks[p[side]].append(n)
+        tops = {v: sorted(own)[-2:] for v, own in ranks.items()}
+        for p, n in rank.items():
+            top = tops[p[side]]
+            if len(top) > 1 and (n < top[1] or top[0] == top[1]) and not (side == 0 and NUMBER.match(p[0])):
+                bad.add(p)
+    return bad
+
+
 def covered_tokens(windows: list[dict]) -> tuple[list[int], int, int]:
     """(covered tokens of the item, longest run of them, changed values) of the windows of one alignment."""
-    pairs = {(p["item_slots"], p["slots"]) for w in windows for p in w["pairs"]}
-    changed = sum(a != b for a, b in pairs)
-    if len({a for a, _ in pairs}) < len(pairs) or len({b for _, b in pairs}) < len(pairs):
-        return [], 0, changed
+    changed = {(p["item_slots"], p["slots"]) for w in windows for p in w["pairs"] if p["item_slots"] != p["slots"]}
+    bad = conflicts(windows) if changed else set()
+    windows = [w for w in windows if not any((p["item_slots"], p["slots"]) in bad for p in w["pairs"])]
     places = sorted({k for w in windows for k in range(w["item_pos"], w["item_pos"] + w["width"])})
     longest = run = 0
     for before, place in zip([-2, *places], places):
         run = run + 1 if place == before + 1 else 1
         longest = max(longest, run)
-    return places, longest, changed
+    return places, longest, len(changed)
 
 
 def matches(
@@ -186,9 +226,11 @@ def matches(
     ``digest`` is the crc32 of the text, to tell rows with one id apart.
 
     An item of ``n_tokens`` is found if windows aligned with it cover ``share`` of its tokens, or
-    ``run`` tokens in a row in one alignment, however long the item is; only
-    alignments whose placeholder values map one to one count. ``changed_slots`` counts values that differ
-    in the alignment that covers most: 0 for a verbatim copy. Items of fewer than ``least`` tokens are not searched; null and empty
+    ``run`` tokens in a row in one alignment, however long the item is. A window does not count if one
+    of its placeholder values breaks the one-to-one rule of its alignment (see ``conflicts``); one with
+    equal values always counts. ``changed_slots`` counts values that differ in the alignment that
+    covers most: 0 for a verbatim copy. In windows with changed values, names must begin with a
+    capital in both texts or be equal. Items of fewer than ``least`` tokens are not searched; null and empty
     texts and items hold nothing; rows with equal id and text count once; a null id is an id.
     Items with null ids are ignored. Extra columns are not read. Benchmark windows are broadcast
     when counted to be few; beyond that every document window takes part in a shuffled hash join.

@@ -370,3 +370,23 @@ def test_excerpts_of_long_items_are_found(spark):
     got = {(r["doc_id"], r["item_id"]): r["covered"] for r in op7_decontamination(docs, benchmark).collect()}
     assert got == {(1, 1): 100, (2, 2): 25}
     assert sorted(r["doc_id"] for r in decontaminated(docs, benchmark).collect()) == [3, 4]
+
+
+EQUAL = "Tom buys 2 apples at 2 dollars each from the stall and wants to know how much he paid for all."
+TWICE = "The old ship carries 40 men and 40 barrels of salt, " + " ".join(f"then word{i}" for i in range(20))
+DENSE = "Add 12 34 56 78 90 11 and 22 33 44 55 66 77 to Anna Bert Carl Dora Emil Fritz Gustav Hanna."
+
+
+def test_conflicting_slots_and_other_letter_case(spark):
+    items = {1: QUESTION, 2: EQUAL, 3: TWICE, 4: DENSE}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = [
+        (1, 1, QUESTION.upper().replace(" ", "  "), 0), (2, 1, QUESTION.title(), 0), (3, 1, QUESTION.lower(), 0),
+        (4, 1, QUESTION.lower().replace("12", "17").replace(" 5 ", " 9 "), 2), (5, 2, EQUAL.replace("2 apples at 2", "3 apples at 7"), 2),
+        (6, 3, TWICE.replace("40 barrels", "41 barrels"), 1), (7, 4, DENSE, 0), (8, 4, DENSE.upper(), 0),
+    ]
+    rows = [(d, f"Words before. {text} Words after.") for d, _, text, _ in found] + [(9, MIXED), (10, "12 34 56 apples")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["changed_slots"] for r in op7_decontamination(docs, benchmark).collect()}
+    assert got == {(d, i): changed for d, i, _, changed in found}
+    assert sorted(r["doc_id"] for r in decontaminated(docs, benchmark, max_broadcast_rows=0).collect()) == [9, 10]
