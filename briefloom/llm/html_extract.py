@@ -2,7 +2,8 @@
 
 Every page scores its containers, each named by its generalised path of tags and classes. The
 scores are summed per host and path, the best path of a host wins, and every page is read again
-at its host's winning path. A page that lacks the path falls back on its own best container.
+at its host's winning path, widened to the ancestors that hold the title or prose around it. A page
+that lacks the path falls back on its own best container.
 """
 
 from __future__ import annotations
@@ -98,6 +99,7 @@ class Page:
         self.blocks: list[tuple[str, int, tuple[int, ...]]] = []
         self.paths: list[str] = []
         self.parents: list[int] = []
+        self.titles: set[int] = set()  # blocks in an h1
         stack: list[tuple[str, str, bool, int]] = []  # tag, path step, dropped, container or -1
         buffer: list[str] = []
         links = 0
@@ -107,6 +109,8 @@ class Page:
             nonlocal links
             text = SPACES.sub(" ", html.unescape("".join(buffer))).strip(" ")
             if text:
+                if any(x[0] == "h1" for x in stack):
+                    self.titles.add(len(self.blocks))
                 self.blocks.append((text, links, tuple(x[3] for x in stack if x[3] >= 0)))
             buffer.clear()
             links = 0
@@ -176,6 +180,7 @@ class Page:
             step = tag + classes
             if tag in CONTAINERS and not drop:
                 container = len(self.paths)
+                self.parents.append(next((x[3] for x in reversed(stack) if x[3] >= 0), -1))
                 self.paths.append(">".join([x[1] for x in stack if x[0] in BLOCKS] + [step]))
             stack.append((tag, step, drop, container))
         add(source[pos:])
@@ -197,13 +202,51 @@ class Page:
         kind = [p.rpartition(">")[2].partition(".")[0] for p in self.paths]
         return [t * (2 if k in INSIDE else 1) for t, k in zip(total, kind)]
 
+    def widened(self, wanted: set[int]) -> set[int]:
+        """Ancestors in place of containers that hold only a part of the article.
+
+        A container gives way to the outermost ancestor, up to an article or main element, that
+        has a title or prose (a twentieth of the container's) of its own, or further sections.
+        """
+        kind = [p.rpartition(">")[2].partition(".")[0] for p in self.paths]
+        own, total = [0] * len(kind), [0] * len(kind)
+        titled: set[int] = set()
+        for i, (text, links, around) in enumerate(self.blocks):
+            weight = max(0, len(text) - 2 * links)
+            for container in around:
+                total[container] += weight
+            if around:
+                own[around[-1]] += weight
+                if i in self.titles:
+                    titled.add(around[-1])
+        sections = [0] * len(kind)
+        for i, parent in enumerate(self.parents):
+            if parent >= 0 and kind[i] == "section":
+                sections[parent] += total[i]
+        out = set()
+        for i in wanted:
+            top, at = i, i
+            while at >= 0 and kind[at] not in INSIDE:
+                below, at = at, self.parents[at]
+                if at < 0:
+                    break
+                others = sections[at] - (total[below] if kind[below] == "section" else 0)
+                if at in titled or 20 * own[at] > total[top] or kind[below] == "section" and others > 0:
+                    top = at
+            out.add(top)
+        return out
+
     def at(self, path: str | None) -> str:
-        """Text of the containers with this path; else of the best container; else of all blocks."""
+        """Text of the containers with this path; else of the best container; else of all blocks.
+
+        Containers are ``widened``.
+        """
         wanted = {i for i, p in enumerate(self.paths) if p == path}
         if not any(wanted & set(around) for *_, around in self.blocks):
             scores = self.scores()
             best = max(scores, default=0)
             wanted = {scores.index(best)} if best > 0 else set()
+        wanted = self.widened({i for i in wanted if any(i in around for *_, around in self.blocks)})
         return "\n".join(t for t, _, around in self.blocks if not wanted or wanted & set(around))
 
 

@@ -73,6 +73,20 @@ def test_every_given_page_is_read_to_the_end(spark):
         assert got[page["page_id"]]["n_chars"] == len(text)
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class=post><h1>Title</h1><p>intro</p><section><p>{0}</p></section><section><p>{0}</p></section></div>", "Title\nintro\n{0}\n{0}"),
+    ("<div class=post><h1>Title</h1><section class=a><p>{0} {0} {0}</p></section><section class=b><p>{0}</p></section></div>", "Title\n{0} {0} {0}\n{0}"),
+    ("<div class=post><p>before it</p><blockquote>{0}</blockquote><p>after it</p></div>", "before it\n{0}\nafter it"),
+    ("<div class=all><div class=c><p>{0}</p></div><div class=x><p>short</p></div></div>", "{0}"),
+])
+def test_the_title_and_other_parts_of_an_article_stay(spark, html, want):
+    prose = "words of the story " * 4 + "end"
+    page = "<body>" + html.format(prose) + "</body>"
+    rows = [(i, f"https://h.example.com/{i}", page) for i in range(3)]
+    got = extract_pages(spark.createDataFrame(rows, PAGES)).collect()
+    assert [r["text"] for r in got] == [want.format(prose)] * 3
+
+
 def test_isotonic_is_the_closest_rising_curve():
     rng = np.random.default_rng(0)
     x, n = np.arange(40.0), rng.integers(1, 9, 40).astype(float)
