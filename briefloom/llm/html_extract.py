@@ -19,7 +19,7 @@ from briefloom.llm.helpers import stored
 from briefloom.scaling import MAX_BROADCAST_ROWS, row_count_at_most
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(?P<raw>script|style|textarea|noscript|iframe|template|svg|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    r"<!--.*?(?:-->|$)|<(?P<raw>script|style|textarea|noscript|iframe|template|svg|select)\b(?!(?<=svg)(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>)(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r".*?(?:</(?P=raw)\s*>|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/a-zA-Z][^>]*>",
     re.S | re.I,
@@ -56,6 +56,9 @@ CHROME_ROLES = set("navigation banner contentinfo complementary search dialog al
 # The same as the beginning or the end of a longer word; and words that take the meaning away ("has-sidebar").
 CHROME_BEGINS = ("comment", "advert", "adsby", "sidebar", "breadcrumb", "newsletter", "cookie", "sponsor", "promo", "disqus")
 CHROME_ENDS = ("footer", "sidebar", "navbar", "menu", "banner", "comments")
+# Those that also name parts of an article: an element counts as chrome only if it is not most of the page's prose.
+WEAK = set("widget widgets notice notices legal related banner promo promotion alert overlay modal share social sharing recommended".split())
+NO_CHROME = {"commentary", "commentaries"}
 LAYOUT = {"has", "with", "no", "without", "layout"}
 INSIDE = {"article", "main"}
 
@@ -67,13 +70,22 @@ def is_chrome(name: str, inside: bool) -> bool:
         return False
     if not inside and words and words[-1].endswith("header") and not set(words) & {"post", "entry", "article", "content"}:
         return True
-    return any(w in CHROME or w.startswith(CHROME_BEGINS) or w.endswith(CHROME_ENDS) for w in words)
+    return any(_chrome_word(w) for w in words)
 
 
-def _attributes(attrs: str, inside: bool) -> tuple[str, bool]:
-    """(generalised class part of a path step, whether the element is chrome)."""
+def _chrome_word(word: str) -> bool:
+    return word not in NO_CHROME and (word in CHROME or word.startswith(CHROME_BEGINS) or word.endswith(CHROME_ENDS))
+
+
+def is_weak(name: str) -> bool:
+    """Whether a class or id names chrome only by words that also occur in articles."""
+    return all(w in WEAK for w in re.split(r"[^a-z]+", name) if w and _chrome_word(w))
+
+
+def _attributes(attrs: str, inside: bool) -> tuple[str, bool, bool]:
+    """(generalised class part of a path step, whether the element is chrome, whether by weak words only)."""
     names: list[str] = []
-    chrome = False
+    chrome, weak = False, True
     if attrs.strip():
         for name, *values in ATTR.findall(attrs):
             name, value = name.lower(), html.unescape(next((v for v in values if v), "")).lower()
@@ -81,12 +93,15 @@ def _attributes(attrs: str, inside: bool) -> tuple[str, bool]:
                 own = value.split()
                 if name == "class":
                     names += [re.sub(r"\d+", "", x) for x in own]
-                chrome |= any(is_chrome(x, inside) for x in own)
+                marks = [x for x in own if is_chrome(x, inside)]
+                chrome |= bool(marks)
+                weak &= all(any(map(_chrome_word, re.split(r"[^a-z]+", x))) and is_weak(x) for x in marks)
             elif name == "role":
                 chrome |= value in CHROME_ROLES
+                weak &= value not in CHROME_ROLES - {"form"}
             elif name == "hidden" or value == "true":
-                chrome = True
-    return "".join(f".{x}" for x in sorted(set(names)) if x), chrome
+                chrome, weak = True, False
+    return "".join(f".{x}" for x in sorted(set(names)) if x), chrome, weak
 
 
 class Page:
@@ -100,7 +115,9 @@ class Page:
         self.paths: list[str] = []
         self.parents: list[int] = []
         self.titles: set[int] = set()  # blocks in an h1
-        stack: list[tuple[str, str, bool, int]] = []  # tag, path step, dropped, container or -1
+        stack: list[tuple[str, str, bool, int, int]] = []  # tag, path step, dropped, container or -1, doubtful or -1
+        doubts: list[tuple[int, ...]] = []  # per block the doubtful elements around it
+        in_article: list[bool] = []  # per doubtful element
         buffer: list[str] = []
         links = 0
         pos = 0
@@ -112,6 +129,7 @@ class Page:
                 if any(x[0] == "h1" for x in stack):
                     self.titles.add(len(self.blocks))
                 self.blocks.append((text, links, tuple(x[3] for x in stack if x[3] >= 0)))
+                doubts.append(tuple(x[4] for x in stack if x[4] >= 0))
             buffer.clear()
             links = 0
 
@@ -173,8 +191,13 @@ class Page:
             if m["attrs"].rstrip().endswith("/") and tag not in BLOCKS:
                 continue
             inside = any(x[0] in INSIDE for x in stack)
-            classes, chrome = _attributes(m["attrs"], inside)
+            classes, chrome, weak = _attributes(m["attrs"], inside)
             drop = tag in DROPPED or chrome and tag not in ("html", "body", *INSIDE) or tag == "header" and not inside
+            doubt = -1
+            if drop and not dropped() and weak and tag in BLOCKS and (tag == "form" or tag not in DROPPED and chrome):
+                # the whole page decides
+                doubt, drop = len(in_article), False
+                in_article.append(inside and tag != "form")
             drop |= dropped()
             container = -1
             step = tag + classes
@@ -182,9 +205,28 @@ class Page:
                 container = len(self.paths)
                 self.parents.append(next((x[3] for x in reversed(stack) if x[3] >= 0), -1))
                 self.paths.append(">".join([x[1] for x in stack if x[0] in BLOCKS] + [step]))
-            stack.append((tag, step, drop, container))
+            stack.append((tag, step, drop, container, doubt))
         add(source[pos:])
         flush()
+        if in_article:
+            self._decide(doubts, in_article)
+
+    def _decide(self, doubts: list[tuple[int, ...]], in_article: list[bool]) -> None:
+        """Drops blocks in forms and weakly named elements.
+
+        Kept are elements with most of the page's text outside links, and within an article those
+        with more text outside links than in them.
+        """
+        prose, linked = [0] * len(in_article), [0] * len(in_article)
+        for (text, links, _), around in zip(self.blocks, doubts):
+            for i in around:
+                prose[i] += max(0, len(text) - 2 * links)
+                linked[i] += links
+        total = sum(max(0, len(text) - 2 * links) for text, links, _ in self.blocks)
+        kept = [2 * p > total or inside and p > n for p, n, inside in zip(prose, linked, in_article)]
+        left = [k for k, around in enumerate(doubts) if all(kept[i] for i in around)]
+        self.titles = {new for new, old in enumerate(left) if old in self.titles}
+        self.blocks = [self.blocks[k] for k in left]
 
     def scores(self) -> list[float]:
         """Score of each container: characters of text outside links, shared out over the depth.

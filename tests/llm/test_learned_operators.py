@@ -87,6 +87,19 @@ def test_the_title_and_other_parts_of_an_article_stay(spark, html, want):
     assert [r["text"] for r in got] == [want.format(prose)] * 3
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<body><form id=aspnetForm><nav>menu</nav><div><p>{0}</p></div></form></body>", "{0}"),
+    ("<body><div class='elementor-widget elementor-widget-text-editor'><p>{0}</p></div><div class=widget>short</div></body>", "{0}"),
+    ("<body><div class=commentary><p>{0}</p></div></body>", "{0}"),
+    ("<article><p>{0}</p><p class=notice>take note of it</p><div class=related>a <a href=x>link to more</a></div></article>", "{0}\ntake note of it"),
+    ("<body><div class=c><p>before <svg class=icon viewBox='0 0 1 1'/> after</p><p>{0}</p></div></body>", "before after\n{0}"),
+    ("<body><div class=c><p>before <svg><path d='M0'/></svg> after</p><form><p>Mail</p></form><p>{0}</p></div></body>", "before after\n{0}"),
+])
+def test_chrome_words_do_not_take_the_main_text(html, want):
+    prose = "words of the story " * 4 + "end"
+    assert Page(html.format(prose)).at(None) == want.format(prose)
+
+
 def test_isotonic_is_the_closest_rising_curve():
     rng = np.random.default_rng(0)
     x, n = np.arange(40.0), rng.integers(1, 9, 40).astype(float)
