@@ -133,7 +133,7 @@ class LanguageModel:
 
 
 def fit(rows: DataFrame, per_language: int = 1500) -> LanguageModel:
-    """Model from (text, lang) rows, of which about ``per_language`` per language are sampled.
+    """Model from (text, lang) rows; about ``per_language`` different texts per language, at least one, are sampled.
 
     There is one machine for each pair of families and each pair of languages of a family: ``lang``
     is taken to hold some hundred codes at most.
@@ -141,10 +141,11 @@ def fit(rows: DataFrame, per_language: int = 1500) -> LanguageModel:
     The sample is a fixed hash threshold on the text for each language, so reruns agree; it bounds
     what a training task holds. Of the texts, all letters are used.
     """
-    rows = rows.filter("lang is not null and text is not null").withColumn(
-        "at", F.pmod(F.xxhash64("text"), F.lit(1_000_000_007)) / 1_000_000_007
-    )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
+    rows = rows.withColumn("at", F.pmod("hash", F.lit(1_000_000_007)))
+    # copies of a text are one: hashes are told apart within tasks before they are shuffled
+    told = rows.select("lang", "hash", "at").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least"))
+    counts = {r["lang"]: (r["n"], r["least"]) for r in told.collect()}
     languages: dict[str, list[str]] = {}
     for lang in sorted(counts):
         languages.setdefault(family_of(lang), []).append(lang)
@@ -153,8 +154,9 @@ def fit(rows: DataFrame, per_language: int = 1500) -> LanguageModel:
     duels += [(f, a, b) for f, names in languages.items() for a, b in combinations(names, 2)]
     if not duels:
         return model
-    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_language / n))])
-    chosen = rows.filter(F.col("at") < share[F.col("lang")]).select("text", "lang")
+    last = {k: max(least, int(min(1.0, per_language / n) * 1_000_000_007)) for k, (n, least) in counts.items()}
+    chosen = rows.filter(F.col("at") <= F.create_map(*[F.lit(v) for kv in last.items() for v in kv])[F.col("lang")])
+    chosen = chosen.select("text", "lang").distinct()
 
     def grams(batches):
         for batch in batches:

@@ -215,3 +215,13 @@ def test_languages_on_held_out_rows(spark):
     assert identify_languages(docs.limit(0)).count() == 0
     one = identify_languages(docs.filter("lang = 'fr'").limit(30)).toPandas()
     assert set(one.lang_pred) <= {"fr", "und"}
+
+
+def test_copies_do_not_keep_a_language_from_the_sample(spark):
+    """Few texts with many copies: some of the sample's texts are those of each language."""
+    rows = [(i, f"der satz nummer {chr(97 + i % 3)} ist kurz", "de") for i in range(300)]
+    rows += [(1000 + i, f"the sentence of {chr(97 + i % 26)}{chr(97 + i // 26)} is short", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = identify_languages(docs, per_language=1).toPandas()
+    assert set(got[got.doc_id < 1000].lang_pred) == {"de"}
+    assert "en" in set(got[got.doc_id >= 1000].lang_pred)
