@@ -9,6 +9,7 @@ from briefloom.llm.html_extract import op2_html_extract
 from briefloom.llm.jaccard_join import op9_jaccard_join
 from briefloom.llm.language_id import op4_language_id
 from briefloom.llm.mixing import op1_mix_sources
+from briefloom.llm.periodic_runs import op13_periodic_runs
 from briefloom.llm.quality_classifier import op3_quality_classifier
 from briefloom.llm.quality_rules import op6_quality_rules
 from briefloom.llm.substring_dedup import op5_substring_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
     "op9_jaccard_join": lambda spark, d: op9_jaccard_join(table(spark, d, "documents")),
     "op10_toxicity": lambda spark, d: op10_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op13_periodic_runs": lambda spark, d: op13_periodic_runs(table(spark, d, "documents")),
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
