@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from briefloom.llm.chat_format import CONTROL, END, START, TURN, op8_chat_format
+from briefloom.llm.context_tree import op12_context_tree
 from briefloom.llm.decontamination import op7_decontamination
 from briefloom.llm.helpers import table
 from briefloom.llm.html_extract import op2_html_extract
@@ -26,6 +27,7 @@ QUERIES = {
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
     "op9_jaccard_join": lambda spark, d: op9_jaccard_join(table(spark, d, "documents")),
     "op10_toxicity": lambda spark, d: op10_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op12_context_tree": lambda spark, d: op12_context_tree(table(spark, d, "documents")),
     "op13_periodic_runs": lambda spark, d: op13_periodic_runs(table(spark, d, "documents")),
 }
 
