@@ -13,6 +13,7 @@ from briefloom.llm.mixing import op1_mix_sources
 from briefloom.llm.periodic_runs import op13_periodic_runs
 from briefloom.llm.quality_classifier import op3_quality_classifier
 from briefloom.llm.quality_rules import op6_quality_rules
+from briefloom.llm.spelling_variants import op11_spelling_variants
 from briefloom.llm.substring_dedup import op5_substring_dedup
 from briefloom.llm.toxicity import op10_toxicity
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op5_substring_dedup": lambda spark, d: op5_substring_dedup(table(spark, d, "documents")).drop("removed"),
     "op9_jaccard_join": lambda spark, d: op9_jaccard_join(table(spark, d, "documents")),
     "op10_toxicity": lambda spark, d: op10_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op11_spelling_variants": lambda spark, d: op11_spelling_variants(table(spark, d, "documents")),
     "op12_context_tree": lambda spark, d: op12_context_tree(table(spark, d, "documents")),
     "op13_periodic_runs": lambda spark, d: op13_periodic_runs(table(spark, d, "documents")),
 }
