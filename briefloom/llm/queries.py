@@ -188,3 +188,56 @@ SELECT conv_id, count(*) AS n_turns,
     AS formatted_chars
 FROM m GROUP BY conv_id
 """
+
+# crc32 byte by byte, with its table made from the polynomial; code points up to U+00FF are one or two bytes
+ORACLE["op11_spelling_variants"] = r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents
+  ) GROUP BY doc_id, run HAVING length(run) >= 7
+),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+      lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+        ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs, tab
+),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+cuts AS MATERIALIZED (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS cut FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b USING (cut, i) WHERE a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+),
+f AS MATERIALIZED (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+    CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+way AS (
+  SELECT word, word AS here, 0 AS steps FROM f
+  UNION ALL
+  SELECT way.word, f.form, steps + 1 FROM way JOIN f ON f.word = way.here WHERE f.form IS NOT NULL
+)
+SELECT f.word, n, n_near, form, form_n, root
+FROM f JOIN (SELECT word, arg_max(here, steps) AS root FROM way GROUP BY word) USING (word)
+"""
