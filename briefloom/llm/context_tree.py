@@ -11,14 +11,15 @@ estimates of all depths along its context. The model stays as trained while it s
 A decision's probability depends on the last ``depth`` bytes and the byte alone, a *gram*. So
 the corpus is reduced to its different grams before anything else is done:
 
-* Blocks of texts (by hash) send each different gram once, with its count in training texts, to a
-  bucket by hash of all but the gram's two last-sorted bytes, and different words likewise.
+* Tasks count the grams and words of the texts where they lie; counts go to buckets, by hash of all
+  but the gram's two last-sorted bytes.
 * Buckets add up; the totals go to *parts* by the ``depth - 2`` bytes nearest to the symbol.
   A part holds whole subtrees of the context tree. One subtree has at most 256**3 grams, so no
   part is unbounded, whatever the corpus.
 * The upper levels are tables of nodes, aggregated from level to level and weighed back down.
-* Parts mix their levels with the weights from above, and every gram's code length goes back the
-  same way, four bytes for each gram a block has sent.
+* Parts mix their levels with the weights from above, and every gram's code length goes back to its
+  bucket. Blocks of texts (by hash) ask the buckets for their different grams and words, once each, and
+  get four or eight bytes for each in the order in which they asked.
 """
 
 from __future__ import annotations
@@ -37,9 +38,12 @@ from briefloom.llm.kernels import Words, mix, slices
 END = 10  # stands for itself nowhere in a text: words hold no byte from 9 to 13
 GRAM, WORD_KIND = 0, 1
 SLICE = 1 << 20  # bytes of text whose grams are held at once
+FLUSH = 3_000_000  # different grams a task holds before it hands its counts on
+BLOCK = 16e6  # bytes of text a block holds; more where the input is large
 PART = 2_000_000  # grams a part holds on average
 
-SENT = "kind int, block long, bucket long, n long, keys binary, counts binary"
+COUNTED = "kind int, bucket long, keys binary, counts binary"
+ASKED = "kind int, block long, bucket long, keys binary"
 TOTAL = "kind int, bucket long, n long, known long, total long, keys binary, counts binary"
 PARTED = "part long, bucket long, n long, keys binary, counts binary"
 NODES = "part long, context long, node int, zeros long, ones long, log_weighted double"
@@ -127,11 +131,18 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different keys, and the sum of the weights of each."""
-    values = np.unique(keys)
-    learn = weights > 0
-    sums = np.bincount(np.searchsorted(values, keys[learn]), weights[learn], len(values))
-    return values, sums.astype(np.int64)
+    """Sorted different keys, and the sum of the weights of each; there are few different weights."""
+    parts = []
+    for weight in np.unique(weights).tolist():
+        values, counts = np.unique(keys[weights == weight], return_counts=True)
+        parts.append((values, counts * int(weight)))
+    return _merged(parts) if len(parts) > 1 else parts[0] if parts else (keys, weights)
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted different keys, by sorting."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
 
 
 def bucket_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -316,26 +327,72 @@ def _upper_levels(shares: DataFrame, top: int) -> DataFrame:
     return above
 
 
-def _of_block(group: pa.Table, depth: int, buckets: int) -> pa.Table:
-    texts = group["text"].cast(pa.large_string()).combine_chunks()
-    weights = group["copies"].to_numpy() * ~group["held_out"].to_numpy()
+def _tallies(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """Counts in training texts of all grams and words, in rows by kind and bucket."""
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+    def packed(parts: dict[int, list]) -> pa.RecordBatch:
+        out = []
+        for kind, own in parts.items():
+            keys, counts = _merged(own) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            order, present, first, last = in_buckets(kind, keys, buckets)
+            keys, counts = keys[order], counts[order]
+            out += [
+                (kind, bucket, exchange.pack(keys[a:b]), planes(counts[a:b]))
+                for bucket, a, b in zip(present.tolist(), first.tolist(), last.tolist())
+            ]
+        columns = list(zip(*out)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "bucket", "keys", "counts"])
+
+    def run(batches):
+        parts, held = {GRAM: [], WORD_KIND: []}, 0
+        for batch in batches:
+            texts = batch.column(0).cast(pa.large_string())
+            weights = batch.column(2).to_numpy() * ~batch.column(1).to_numpy(zero_copy_only=False)
+            for i, streams in _pieces(texts):
+                learn = weights[i : i + len(streams)]
+                own = Words(texts.slice(i, len(streams)), fold_case=True)
+                for kind, keys, sizes in (
+                    (GRAM, grams_of(streams, depth), [len(s) for s in streams]), (WORD_KIND, own.hashes, own.counts),
+                ):
+                    parts[kind].append(_counted(keys, np.repeat(learn, sizes)))
+                held += len(parts[GRAM][-1][0])
+                if held > FLUSH:
+                    parts = {k: [_merged(v)] for k, v in parts.items()}
+                    held = len(parts[GRAM][0][0])
+                    if held > FLUSH // 2:
+                        yield packed(parts)
+                        parts, held = {GRAM: [], WORD_KIND: []}, 0
+        yield packed(parts)
+
+    return rows.select("text", "held_out", "copies").mapInArrow(run, COUNTED)
+
+
+def _block_keys(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different grams and word hashes of a block's texts."""
     grams, words = [], []
     for i, streams in _pieces(texts):
-        learn = weights[i : i + len(streams)]
-        grams.append(_counted(grams_of(streams, depth), np.repeat(learn, [len(s) for s in streams])))
-        own = Words(texts.slice(i, len(streams)), fold_case=True)
-        words.append(_counted(own.hashes, np.repeat(learn, own.counts)))
-    out = {n: [] for n in ("kind", "block", "bucket", "n", "keys", "counts")}
-    for kind, parts in ((GRAM, grams), (WORD_KIND, words)):
-        keys, counts = _merged(parts)
+        grams.append(distinct(grams_of(streams, depth)))
+        words.append(distinct(Words(texts.slice(i, len(streams)), fold_case=True).hashes))
+    return distinct(np.concatenate(grams)), distinct(np.concatenate(words))
+
+
+def _texts(group: pa.Table) -> pa.Array:
+    column = group["text"].cast(pa.large_string())
+    return pa.concat_arrays(column.chunks) if column.num_chunks != 1 else column.chunk(0)
+
+
+def _asked(group: pa.Table, depth: int, buckets: int) -> pa.Table:
+    out = []
+    for kind, keys in zip((GRAM, WORD_KIND), _block_keys(_texts(group), depth)):
         order, present, first, last = in_buckets(kind, keys, buckets)
-        keys, counts = keys[order], counts[order]
-        for bucket, a, b in zip(present.tolist(), first.tolist(), last.tolist()):
-            row = (kind, group["block"][0].as_py(), bucket, b - a, exchange.pack(keys[a:b]), planes(counts[a:b]))
-            for column, value in zip(out.values(), row):
-                column.append(value)
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)})
+        keys = keys[order]
+        out += [
+            (kind, group["block"][0].as_py(), bucket, exchange.pack(keys[a:b]))
+            for bucket, a, b in zip(present.tolist(), first.tolist(), last.tolist())
+        ]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("kind", "block", "bucket", "keys"), zip(*out), kinds)})
 
 
 def _add_up(group: pa.Table) -> pa.Table:
@@ -349,16 +406,16 @@ def _add_up(group: pa.Table) -> pa.Table:
     )
 
 
-def _reply(sent: pa.Table, values: pa.Table) -> pa.Table:
-    """What a bucket's blocks asked for, in the order in which they sent it."""
-    kind = sent["kind"][0].as_py()
+def _reply(asked: pa.Table, values: pa.Table) -> pa.Table:
+    """What a bucket's blocks asked for, in the order in which they asked."""
+    kind = asked["kind"][0].as_py()
     of = np.float32 if kind == GRAM else np.int64
     keys = np.concatenate([exchange.unpack(x) for x in values["keys"].to_pylist()])
     order = np.argsort(keys)
     keys = keys[order]
     found = np.concatenate([unplaned(x, of) for x in values["answers"].to_pylist()])[order]
-    answers = [planes(found[np.searchsorted(keys, exchange.unpack(x))]) for x in sent["keys"].to_pylist()]
-    return pa.table({"kind": sent["kind"], "block": sent["block"], "bucket": sent["bucket"], "answer": pa.array(answers, pa.binary())})
+    answers = [planes(found[np.searchsorted(keys, exchange.unpack(x))]) for x in asked["keys"].to_pylist()]
+    return pa.table({"kind": asked["kind"], "block": asked["block"], "bucket": asked["bucket"], "answer": pa.array(answers, pa.binary())})
 
 
 def _answers(group: pa.Table, kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -409,12 +466,12 @@ def context_tree_scores(
         raise ValueError("depth is 3 to 7 bytes, so that a gram fits 64 bits")
     rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     top = depth - 2
-    blocks, buckets = exchange.sizes(exchange.total_bytes(rows, "text"))
+    size = exchange.total_bytes(rows, "text")
+    blocks, buckets = math.ceil(max(size, 1) / max(BLOCK, min(64e6, 8e6 * math.sqrt(size / 1e9)))), exchange.sizes(size)[1]
     rows, repeated = with_copies(rows.withColumn("held_out", fold_of("doc_id", folds) == held_out))
     blocked = rows.withColumn("block", exchange.block_of(["doc_id", "text"], blocks))
 
-    sent = stored(blocked.groupBy("block").applyInArrow(lambda g: _of_block(g, depth, buckets), SENT))
-    totals = stored(sent.groupBy("kind", "bucket").applyInArrow(_add_up, TOTAL))
+    totals = stored(_tallies(rows, depth, buckets).groupBy("kind", "bucket").applyInArrow(_add_up, TOTAL))
     sums = {r["kind"]: r for r in totals.groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("n", "known", "total")]).collect()}
     if GRAM not in sums:
         parts = 1
@@ -426,10 +483,11 @@ def context_tree_scores(
             for row in batch.to_pylist():
                 keys, counts = exchange.unpack(row["keys"]), unplaned(row["counts"], np.int64)
                 which = exchange.bucket_of(mix((keys >> np.uint64(24)) + np.uint64(1)), parts)
-                for part in np.unique(which).tolist():
-                    own = which == part
+                order = np.argsort(which, kind="stable")
+                present, first = np.unique(which[order], return_index=True)
+                for part, own in zip(present.tolist(), np.split(order, first[1:])):
                     yield pa.RecordBatch.from_pylist(
-                        [{"part": part, "bucket": row["bucket"], "n": int(own.sum()), "keys": exchange.pack(keys[own]),
+                        [{"part": part, "bucket": row["bucket"], "n": len(own), "keys": exchange.pack(keys[own]),
                           "counts": planes(counts[own])}],
                         pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]),
                     )
@@ -441,31 +499,30 @@ def context_tree_scores(
         lambda g, a: code_lengths(g, a, depth, top), VALUES
     )
     word_counts = totals.filter(F.col("kind") == WORD_KIND).select("kind", "bucket", "keys", F.col("counts").alias("answers"))
-    replies = sent.groupBy("kind", "bucket").cogroup(
+    asked = blocked.groupBy("block").applyInArrow(lambda g: _asked(g, depth, buckets), ASKED)
+    replies = asked.groupBy("kind", "bucket").cogroup(
         lengths.unionByName(word_counts).groupBy("kind", "bucket")
     ).applyInArrow(_reply, "kind int, block long, bucket long, answer binary")
 
+    # only (kind, block, bucket) and keys go to a bucket, and only its answers come back
     n_train = rows.filter(~F.col("held_out")).agg(F.sum("copies")).first()[0] or 0
     words_total, words_known = (sums[WORD_KIND]["total"], sums[WORD_KIND]["known"]) if WORD_KIND in sums else (0, 0)
     train_tokens, kinds = words_total + n_train, words_known + (n_train > 0)
     rest = math.log10(train_tokens + 0.1 * (kinds + 1))
 
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = group["text"].cast(pa.large_string()).combine_chunks()
-        pieces = list(_pieces(texts))
-        gram_keys = np.unique(np.concatenate([np.unique(grams_of(s, depth)) for _, s in pieces]))
-        word_keys = np.unique(np.concatenate(
-            [np.unique(Words(texts.slice(i, len(s)), fold_case=True).hashes) for i, s in pieces]
-        ))
+        texts = _texts(group)
+        gram_keys, word_keys = _block_keys(texts, depth)
         bits = _answers(answers, GRAM, gram_keys, buckets).astype(np.float64)
         counts = _answers(answers, WORD_KIND, word_keys, buckets)
         logs = np.log10(counts + 0.1) - rest
         columns = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        for i, streams in pieces:
+        for i, streams in _pieces(texts):
             own = Words(texts.slice(i, len(streams)), fold_case=True)
             at, of = np.searchsorted(word_keys, own.hashes), own.text_of_word()
             sizes = np.array([len(s) for s in streams])
-            lengths = bits[np.searchsorted(gram_keys, grams_of(streams, depth))]
+            grams, place = np.unique(grams_of(streams, depth), return_inverse=True)
+            lengths = bits[np.searchsorted(gram_keys, grams)][place]
             total = np.add.reduceat(lengths, np.cumsum(np.append(0, sizes))[:-1])
             columns["n_tokens"].append(own.counts + 1)
             columns["n_known"].append(np.bincount(of, counts[at] > 0, len(sizes)).astype(np.int64) + (n_train > 0))

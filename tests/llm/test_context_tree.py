@@ -108,7 +108,7 @@ def test_streams_grams_and_planes():
     assert unplaned(planes(values), np.int64).tolist() == values.tolist()
 
 
-@pytest.mark.parametrize("depth", [3, 6])
+@pytest.mark.parametrize("depth", [3, 5, 6])
 def test_scores_are_those_of_the_walk_over_all_nodes(spark, depth):
     rows = rows_of()
     seen, n_train, score, _, _ = brute(rows, depth)
