@@ -38,9 +38,9 @@ from briefloom.llm.kernels import Words, mix, slices
 END = 10  # stands for itself nowhere in a text: words hold no byte from 9 to 13
 GRAM, WORD_KIND = 0, 1
 SLICE = 1 << 20  # bytes of text whose grams are held at once
-FLUSH = 3_000_000  # different grams a task holds before it hands its counts on
-BLOCK = 16e6  # bytes of text a block holds; more where the input is large
-PART = 2_000_000  # grams a part holds on average
+FLUSH = 2_000_000  # different grams a task holds before it hands its counts on
+BLOCK = 10e6  # bytes of text a block holds; more where the input is large
+PART = 200_000  # grams a part holds on average
 
 COUNTED = "kind int, bucket long, keys binary, counts binary"
 ASKED = "kind int, block long, bucket long, keys binary"
@@ -159,66 +159,62 @@ def in_buckets(kind: int, keys: np.ndarray, buckets: int) -> tuple[np.ndarray, n
 
 class Level:
     """Decision nodes of one depth. ``grams`` are sorted and different: the context's bytes, then the
-    symbol. A node of bit b is a run of grams equal but for their last 8 - b bits."""
+    symbol. A node of bit b is a run of grams equal but for their last 8 - b bits. Nodes of different
+    bits have nothing to do with each other, so one bit is held at a time."""
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
         self.grams = grams
         self.counts = counts
-        self.first, self.rows = [], []  # for each bit: first gram of a node, node of a gram
-        for bit in range(8):
-            prefix = grams >> np.uint64(8 - bit)
-            new = np.append(True, prefix[1:] != prefix[:-1])
-            self.first.append(np.flatnonzero(new))
-            self.rows.append(np.cumsum(new) - 1)
-
-    def count(self) -> None:
-        """Counts of zeros and ones, and the log of the own estimate, of every node."""
-        self.zeros, self.ones, self.own = [], [], []
-        for bit in range(8):
-            one = (self.grams >> np.uint64(7 - bit)) & np.uint64(1)
-            total = np.add.reduceat(self.counts, self.first[bit])
-            ones = np.add.reduceat(self.counts * one.astype(np.int64), self.first[bit])
-            self.zeros.append(total - ones)
-            self.ones.append(ones)
-            self.own.append(log_estimate(total - ones, ones))
-
-    def parents(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Grams without the oldest byte of the context: (different ones, their counts, place of each own gram)."""
+
+    def nodes(self, bit: int) -> None:
+        """First gram of every node of a bit, and the node of every gram."""
+        prefix = self.grams >> np.uint64(8 - bit)
+        new = np.append(True, prefix[1:] != prefix[:-1])
+        self.first = np.flatnonzero(new)
+        self.rows = (np.cumsum(new) - 1).astype(np.int32)
+
+    def count(self, bit: int) -> None:
+        """Counts of zeros and ones, and the log of the own estimate, of every node of a bit."""
+        one = ((self.grams >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+        self.ones = np.add.reduceat(self.counts * one, self.first)
+        self.zeros = np.add.reduceat(self.counts, self.first) - self.ones
+        self.own = log_estimate(self.zeros, self.ones)
+
+    def parent(self) -> tuple[Level, np.ndarray]:
+        """The level whose contexts lack the oldest byte, and the place of each own gram there."""
         shorter = self.grams >> np.uint64(16) << np.uint64(8) | self.grams & np.uint64(255)
         grams, place = np.unique(shorter, return_inverse=True)
         counts = np.zeros(len(grams), np.int64)
         np.add.at(counts, place, self.counts)
-        return grams, counts, place
-
-    def keys(self) -> np.ndarray:
-        """(context << 8 | node) of all nodes, bit by bit."""
-        return np.concatenate([
-            self.grams[f] >> np.uint64(8) << np.uint64(8) | np.uint64(1 << bit) | (self.grams[f] & np.uint64(255)) >> np.uint64(8 - bit)
-            for bit, f in enumerate(self.first)
-        ])
-
-
-def subtree(grams: np.ndarray, counts: np.ndarray, depth: int, top: int) -> tuple[list[Level], list[np.ndarray], list[np.ndarray]]:
-    """Levels ``depth`` down to ``top`` over a part's sorted grams, each with the weight of the own
-    estimate, then level ``top - 1`` without counts: (levels, place of each level's
-    grams in the next, sums over the children of the last level's nodes)."""
-    levels, places, below = [Level(grams, counts)], [], None
-    for d in range(depth, top - 2, -1):
-        level = levels[-1]
-        if d >= top:
-            level.count()
-            weighted = level.own if below is None else [log_half_sum(o, c) for o, c in zip(level.own, below)]
-            level.weight = [np.exp(o - w - math.log(2)) if below is not None else np.ones(len(o)) for o, w in zip(level.own, weighted)]
-        if d < top:
-            break
-        shorter, sums, place = level.parents()
-        parent = Level(shorter, sums)
-        below = [
-            np.bincount(parent.rows[b][place[level.first[b]]], weighted[b], len(parent.first[b])) for b in range(8)
-        ]
-        levels.append(parent)
+        return Level(grams, counts), place
+
+    def keys(self, bit: int) -> np.ndarray:
+        """(context << 8 | node) of the nodes of a bit."""
+        grams = self.grams[self.first]
+        return grams >> np.uint64(8) << np.uint64(8) | np.uint64(1 << bit) | (grams & np.uint64(255)) >> np.uint64(8 - bit)
+
+
+def levels_of(grams: np.ndarray, counts: np.ndarray, depth: int, top: int) -> tuple[list[Level], list[np.ndarray]]:
+    """Levels ``depth`` down to ``top - 1`` over a part's sorted grams, and the place of each level's grams in the next."""
+    levels, places = [Level(grams, counts)], []
+    for _ in range(depth, top - 1, -1):
+        level, place = levels[-1].parent()
+        levels.append(level)
         places.append(place)
-    return levels, places, below
+    return levels, places
+
+
+def weigh(levels: list[Level], places: list[np.ndarray], bit: int) -> np.ndarray:
+    """Gives all but the last level the weights of their own estimates; sums of the last level's children."""
+    below = None
+    levels[0].nodes(bit)
+    for level, parent, place in zip(levels, levels[1:], places):
+        level.count(bit)
+        weighted = level.own if below is None else log_half_sum(level.own, below)
+        level.weight = np.ones(len(weighted)) if below is None else np.exp(level.own - weighted - math.log(2))
+        parent.nodes(bit)
+        below = np.bincount(parent.rows[place[level.first]], weighted, len(parent.first))
+    return below
 
 
 def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -231,18 +227,19 @@ def upper_nodes(group: pa.Table, depth: int, top: int) -> pa.Table:
     """A part's share of the nodes of depth ``top - 1``: counts and summed children."""
     grams, counts, _ = _gathered(group)
     order = np.argsort(grams)
-    levels, _, children = subtree(grams[order], counts[order], depth, top)
-    level = levels[-1]
-    level.count()
-    keys = level.keys()
+    levels, places = levels_of(grams[order], counts[order], depth, top)
+    level, found = levels[-1], []
+    for bit in range(8):
+        children = weigh(levels, places, bit)
+        level.count(bit)
+        found.append((level.keys(bit), level.zeros, level.ones, children))
+    keys, zeros, ones, children = (np.concatenate(x) for x in zip(*found))
     return pa.table(
         {
             "part": pa.array(np.full(len(keys), group["part"][0].as_py()), pa.int64()),
             "context": pa.array((keys >> np.uint64(8)).astype(np.int64)),
             "node": pa.array((keys & np.uint64(255)).astype(np.int32)),
-            "zeros": pa.array(np.concatenate(level.zeros)),
-            "ones": pa.array(np.concatenate(level.ones)),
-            "log_weighted": pa.array(np.concatenate(children)),
+            "zeros": pa.array(zeros), "ones": pa.array(ones), "log_weighted": pa.array(children),
         }
     )
 
@@ -252,23 +249,21 @@ def code_lengths(group: pa.Table, above: pa.Table, depth: int, top: int) -> pa.T
     ``top - 1``, what the upper levels say for a 1 and the weight they leave to the part."""
     grams, counts, sizes = _gathered(group)
     order = np.argsort(grams)
-    levels, places, _ = subtree(grams[order], counts[order], depth, top)
-    last = levels.pop()
+    levels, places = levels_of(grams[order], counts[order], depth, top)
     keys = above["context"].to_numpy().astype(np.uint64) << np.uint64(8) | above["node"].to_numpy().astype(np.uint64)
     by_key = np.argsort(keys)
-    at = by_key[np.searchsorted(keys[by_key], last.keys())]
-    said, left = above["said"].to_numpy()[at], above["left"].to_numpy()[at]
-    total, begin = np.zeros(len(grams)), 0
+    keys, said, left = keys[by_key], above["said"].to_numpy()[by_key], above["left"].to_numpy()[by_key]
+    total = np.zeros(len(grams))
     for bit in range(8):
+        weigh(levels, places, bit)
         chance, here = None, np.arange(len(grams))
         for level, place in zip(levels, places):
-            rows = level.rows[bit][here]
-            estimate = ((level.ones[bit] + 0.5) / (level.zeros[bit] + level.ones[bit] + 1))[rows]
-            share = level.weight[bit][rows]
+            rows = level.rows[here]
+            estimate = ((level.ones + 0.5) / (level.zeros + level.ones + 1))[rows]
+            share = level.weight[rows]
             chance = estimate if chance is None else share * estimate + (1 - share) * chance
             here = place[here]
-        rows = begin + last.rows[bit][here]
-        begin += len(last.first[bit])
+        rows = np.searchsorted(keys, levels[-1].keys(bit))[levels[-1].rows[here]]
         chance = said[rows] + left[rows] * chance
         one = (grams[order] >> np.uint64(7 - bit)) & np.uint64(1)
         total -= np.log2(np.where(one == 1, chance, 1 - chance))
@@ -292,7 +287,7 @@ def _upper_levels(shares: DataFrame, top: int) -> DataFrame:
     where a node has at most 256 children.
     """
 
-    def weigh(batches):
+    def weighted_rows(batches):
         for batch in batches:
             zeros, ones, children = (batch.column(c).to_numpy() for c in ("zeros", "ones", "children"))
             own = log_estimate(zeros, ones)
@@ -310,7 +305,7 @@ def _upper_levels(shares: DataFrame, top: int) -> DataFrame:
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_weighted").alias("children")
         )
         levels[d] = stored(sums.mapInArrow(
-            weigh, "context long, node int, zeros long, ones long, log_weighted double, weight double"
+            weighted_rows, "context long, node int, zeros long, ones long, log_weighted double, weight double"
         ))
     estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
     above = None
@@ -473,10 +468,7 @@ def context_tree_scores(
 
     totals = stored(_tallies(rows, depth, buckets).groupBy("kind", "bucket").applyInArrow(_add_up, TOTAL))
     sums = {r["kind"]: r for r in totals.groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("n", "known", "total")]).collect()}
-    if GRAM not in sums:
-        parts = 1
-    else:
-        parts = max(1, math.ceil(sums[GRAM]["n"] / PART), min(buckets, math.ceil(sums[GRAM]["n"] / 50_000)))
+    parts = max(1, math.ceil(sums[GRAM]["n"] / PART)) if GRAM in sums else 1
 
     def split(batches):
         for batch in batches:
