@@ -558,12 +558,16 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": """
         SELECT doc_id, text, len(string_split(text, ' '))::BIGINT AS n_words FROM documents""",
     "csv_columns_by_name": "SELECT doc_id, text FROM documents",
+    "csv_split_large": """
+SELECT doc_id, md5('"' || text || '"' || chr(10) || lang) AS text_md5, length(text) + length(lang) + 3 AS n_chars FROM documents
+""",
     "ingest_twice": """
         SELECT CASE WHEN lang = 'en' THEN 1 ELSE 2 END::INTEGER AS run, count(*) AS n_rows,
           sum(length(text))::BIGINT AS n_chars FROM documents GROUP BY ALL""",
     "split_dataset_alias": f"""
         SELECT doc_id, split, md5(text) AS text_md5 FROM ({SPLIT_DOCS}) WHERE split = 'val'""",
     "zip_ingest": "SELECT doc_id, text FROM documents",
+    "zip_files_scan": "SELECT doc_id, md5(text) AS text_md5, count(*) OVER () AS n_landed FROM documents",
     "split_dataset_scan": f"""
         SELECT doc_id, split, md5(text) AS text_md5 FROM ({SPLIT_DOCS}) WHERE split IN ('val', 'test')""",
     "incremental_scan": """

@@ -16,9 +16,10 @@ from briefloom.scaling import materialise
 from briefloom.sinks.manifest import MANIFEST_SCHEMA, Artifact, append_manifest, read_manifest, run_path, run_stamp
 from briefloom.sinks.report import write_report
 from briefloom.sinks.tables import Target, write_targets
-from briefloom.sources.archives import zip_csv_rows, zip_files
-from briefloom.sources.csv import CORPUS_SCHEMA, read_csv
+from briefloom.sources.csv import CORPUS_SCHEMA
+from briefloom.sources.csv_split import read_split_csv
 from briefloom.sources.incremental import list_files, new_files
+from briefloom.sources.zip_source import scan_archives
 
 # Stage names, which are folder names below the run folder.
 INGESTION = "data_ingestion"
@@ -123,10 +124,9 @@ def run_ingestion(
     if fresh.limit(1).count() == 0:
         return spark.createDataFrame([], CORPUS_SCHEMA)
     if is_csv:
-        corpus = read_csv(spark, [r["path"] for r in fresh.collect()], CORPUS_SCHEMA, na_values)
+        corpus = read_split_csv(spark, [r["path"] for r in fresh.collect()], CORPUS_SCHEMA, na_values)
     else:
-        archives = zip_files(spark, source).join(F.broadcast(fresh.select("path")), "path", "left_semi")
-        corpus = zip_csv_rows(archives, CORPUS_SCHEMA, na_values)
+        corpus = scan_archives(spark, [r["path"] for r in fresh.collect()], CORPUS_SCHEMA, na_values)
     written = write_targets(corpus, run.targets(INGESTION, "ingested_data"))
     run.record(spark, INGESTION, "ingested_data", written, fresh)
     return _written(spark, written, corpus)

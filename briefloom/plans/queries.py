@@ -16,12 +16,13 @@ from briefloom.operators import batches, encode, metrics, pairs, pieces, report
 from briefloom.operators import split as splits
 from briefloom.operators import summarize, validate, vocab
 from briefloom.plans import prepare
-from briefloom.scaling import spread
+from briefloom.scaling import materialise, spread
 from briefloom.session import fresh_folder
 from briefloom.sinks import manifest as runs
 from briefloom.sinks import report as report_sink
 from briefloom.sinks import sync, tables
-from briefloom.sources import archives, arrays, csv, incremental, uris
+from briefloom.sinks import zip as zip_sink
+from briefloom.sources import archives, arrays, csv, csv_split, incremental, uris, zip_source
 from briefloom.sources import splits as split_source
 from briefloom.streaming import ingest
 
@@ -484,6 +485,15 @@ def csv_columns_by_name(spark, sf_dir):
     return csv.read_csv(spark, [f"{root}/a", f"{root}/b"], LANDING_SCHEMA, na_values=())
 
 
+def csv_split_large(spark, sf_dir):
+    """Cells with line breaks and quotes, read back from byte ranges far smaller than the files."""
+    said = F.concat(F.lit('"'), F.col("text"), F.lit('"\n'), F.col("lang"))
+    path = fresh_folder(spark, "ranges")
+    tables.write_csv(documents(spark, sf_dir).select("doc_id", said.alias("text")), path)
+    back = csv_split.read_split_csv(spark, path, LANDING_SCHEMA, na_values=(), range_bytes=64 << 10)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
+
+
 def ingest_twice(spark, sf_dir):
     """Two runs over one landing folder, more files before the second: the second reads only those."""
     base = fresh_folder(spark, "twice")
@@ -520,6 +530,16 @@ def zip_ingest(spark, sf_dir):
     return archives.zip_csv_rows(spark.read.parquet(landed), LANDING_SCHEMA)
 
 
+def zip_files_scan(spark, sf_dir):
+    """Real archives, written by tasks and read by seeking, one partition each."""
+    landed = fresh_folder(spark, "archives")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    written = zip_sink.write_zip_csv(docs, landed, "doc_id", notes={"readme.txt": "corpus export"})
+    n_rows = materialise(written).agg(F.sum("rows")).first()[0] or 0
+    back = zip_source.scan_zip_files(spark, landed, LANDING_SCHEMA, na_values=())
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.lit(n_rows).cast("long").alias("n_landed"))
+
+
 def split_dataset_scan(spark, sf_dir):
     labelled = splits.split_exact(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
     root = tables.write_splits(labelled, fresh_folder(spark, "splits"))
@@ -676,9 +696,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "npy_scan": npy_scan,
     "csv_roundtrip": csv_roundtrip,
     "csv_columns_by_name": csv_columns_by_name,
+    "csv_split_large": csv_split_large,
     "ingest_twice": ingest_twice,
     "split_dataset_alias": split_dataset_alias,
     "zip_ingest": zip_ingest,
+    "zip_files_scan": zip_files_scan,
     "split_dataset_scan": split_dataset_scan,
     "incremental_scan": incremental_scan,
     "sync_plan": sync_plan,

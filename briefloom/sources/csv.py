@@ -33,7 +33,7 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
 
 
-def _names(header: str) -> list[str]:
+def header_names(header: str) -> list[str]:
     return next(csv.reader([header.removeprefix("\ufeff")]), [])
 
 
@@ -59,7 +59,7 @@ def read_csv(
         return na_normalise(frame, na_values=na_values) if na_values else frame
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     by_header = headers(spark, given).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    frames = [_read_alike(spark, given, row["paths"], _names(row["header"]), schema) for row in by_header]
+    frames = [_read_alike(spark, given, row["paths"], header_names(row["header"]), schema) for row in by_header]
     if not frames:
         return spark.createDataFrame([], schema)
     frame = frames[0]
