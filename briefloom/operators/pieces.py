@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from briefloom.functions.text import whitespace_tokens, word_tokens
-from briefloom.operators.encode import IDS, regroup, send_table
-from briefloom.operators.vocab import UNKNOWN_ID
+from briefloom.operators.encode import IDS, ROW, kept_tokens, regroup, send_table
+from briefloom.operators.vocab import UNKNOWN_ID, substrings
+from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
 
 # Fixed value: an unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -17,28 +20,67 @@ UNKNOWN_PENALTY = 10.0
 REMEMBERED = 500_000
 
 
+class Trie:
+    """Pieces by their letters: an array of nodes, walked once from each place of a word."""
+
+    def __init__(self, pieces: Iterable[tuple[str, float, int]] = ()):
+        self.next: list[dict[str, int]] = [{}]
+        self.score: list[float | None] = [None]
+        self.code: list[int] = [-1]
+        self.worst = 0.0
+        for piece, score, code in pieces:
+            self.add(piece, score, code)
+
+    def add(self, piece: str, score: float, code: int) -> None:
+        node = 0
+        for letter in piece:
+            after = self.next[node].get(letter)
+            if after is None:
+                after = self.next[node][letter] = len(self.next)
+                self.next.append({})
+                self.score.append(None)
+                self.code.append(-1)
+            node = after
+        self.score[node], self.code[node] = score, code
+        self.worst = min(self.worst, score)
+
+    def edges(self, word: str, start: int) -> Iterator[tuple[int, float, int]]:
+        """(end, score, code) of the pieces that begin at a place, the shortest first."""
+        node, after, scores = 0, self.next, self.score
+        for end in range(start, len(word)):
+            node = after[node].get(word[end])
+            if node is None:
+                return
+            if scores[node] is not None:
+                yield end + 1, scores[node], self.code[node]
+
+    def best(self, word: str, unknown: float) -> list[tuple[int, int, int]]:
+        """(start, end, code) of the segmentation with the largest score sum; the earliest start wins
+        ties. A letter that is no piece scores ``unknown`` and has code -1."""
+        best = [0.0] + [float("-inf")] * len(word)
+        back = [(0, -1)] * (len(word) + 1)
+        for start in range(len(word)):
+            here, known = best[start], False
+            for end, score, code in self.edges(word, start):
+                known = known or end == start + 1
+                if here + score > best[end]:
+                    best[end] = here + score
+                    back[end] = (start, code)
+            if not known and here + unknown > best[start + 1]:
+                best[start + 1] = here + unknown
+                back[start + 1] = (start, -1)
+        parts, end = [], len(word)
+        while end:
+            start, code = back[end]
+            parts.append((start, end, code))
+            end = start
+        return parts[::-1]
+
+
 def best_segmentation(word: str, scores: dict, longest: int, unknown: float) -> list[str | None]:
     """Pieces with the largest score sum (the earliest start wins ties); None = unknown char."""
-    best = [0.0] + [float("-inf")] * len(word)
-    back: list[tuple[int, str | None]] = [(0, None)] * (len(word) + 1)
-    for end in range(1, len(word) + 1):
-        for start in range(max(0, end - longest), end):
-            piece = word[start:end]
-            score = scores.get(piece)
-            if score is None:
-                if end - start > 1:
-                    continue
-                piece, score = None, unknown
-            if best[start] + score > best[end]:
-                best[end] = best[start] + score
-                back[end] = (start, piece)
-    parts = []
-    end = len(word)
-    while end > 0:
-        start, piece = back[end]
-        parts.append(piece)
-        end = start
-    return parts[::-1]
+    trie = Trie((p, s, i) for i, (p, s) in enumerate(scores.items()) if len(p) <= longest)
+    return [None if code < 0 else word[a:b] for a, b, code in trie.best(word, unknown)]
 
 
 def piece_encoder(
@@ -56,27 +98,25 @@ def piece_encoder(
     """
     sent = send_table(pieces.select("piece", "logp", "id"))
     if sent is None:
-        raise ValueError("a piece table must fit the broadcast limit; reduce its size")
+        raise ValueError("the piece table is too large to send: use encode_by_piece_join")
 
     @F.arrow_udf(IDS)
     def segment(tokens: pa.Array) -> pa.Array:
-        ids, scores = sent.value.mapping("piece", "id"), sent.value.mapping("piece", "logp")
-        known = sent.value.built.setdefault("segmented", {})
-        if "longest" not in sent.value.built:
-            sent.value.built["longest"] = max(map(len, scores), default=1)
-            sent.value.built["worst"] = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
-        longest, worst = sent.value.built["longest"], sent.value.built["worst"]
+        built = sent.value.built
+        if "trie" not in built:
+            rows = sent.value.table
+            built["trie"] = Trie(zip(*(rows.column(c).to_pylist() for c in ("piece", "logp", "id"))))
+        trie, known = built["trie"], built.setdefault(("segmented", word_mark), {})
         words = pc.cast(tokens.flatten(), pa.string()).dictionary_encode()
         if len(known) > REMEMBERED:
             known.clear()
         coded = []
         for word in words.dictionary.to_pylist():
-            if (word, word_mark) not in known:
-                known[word, word_mark] = [
-                    unknown if piece is None else ids[piece]
-                    for piece in best_segmentation(word_mark + word, scores, longest, worst)
-                ]
-            coded.append(known[word, word_mark])
+            codes = known.get(word)
+            if codes is None:
+                best = trie.best(word_mark + word, trie.worst - UNKNOWN_PENALTY)
+                codes = known[word] = [unknown if code < 0 else code for _, _, code in best]
+            coded.append(codes)
         per_word = pa.array(coded, pa.list_(pa.int32())).take(words.indices)
         sizes = pc.fill_null(pc.list_value_length(per_word), 0).to_numpy(zero_copy_only=False)
         ends = sizes.cumsum()
@@ -92,3 +132,48 @@ def piece_encoder(
         return F.slice(segment(fitting), F.lit(1), F.lit(max_length - 1))
 
     return encode
+
+
+def segmented_words(words: DataFrame, pieces: DataFrame, unknown: int = UNKNOWN_ID, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """(word, codes) for a (word) table of different words, with a piece table of any size.
+
+    Substrings of the words that may be pieces are joined with the table, and each word is segmented with its
+    own pieces, in one group of at most its length times the longest piece.
+    """
+    pieces = materialise(pieces.select("piece", "logp", F.col("id").cast("int").alias("id")))
+    longest, worst = pieces.agg(F.max(F.length("piece")), F.min("logp")).first()
+    cut = words.select("word", F.explode(F.array_distinct(substrings(F.col("word"), longest or 1))).alias("piece"))
+    found = left_lookup(materialise(cut), pieces, "piece", max_rows).filter(F.col("id").isNotNull())
+    own = found.groupBy("word").agg(F.collect_list(F.struct("piece", "logp", "id")).alias("own"))
+    least = min(worst or 0.0, 0.0) - UNKNOWN_PENALTY
+
+    def run(batches):
+        for batch in batches:
+            codes = []
+            for word, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                trie = Trie((p["piece"], p["logp"], p["id"]) for p in known or ())
+                codes.append([unknown if code < 0 else code for _, _, code in trie.best(word, least)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.list_(pa.int32()))], ["word", "codes"])
+
+    return words.join(own, "word", "left").select("word", "own").mapInArrow(run, "word string, codes array<int>")
+
+
+def encode_by_piece_join(
+    rows: DataFrame, pieces: DataFrame, text_col: str, max_length: int, name: str = "ids", unicode: bool = False,
+    unknown: int = UNKNOWN_ID, max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """``rows`` (from ``encode.numbered``) with unpadded piece ids ``name``, for piece tables of any size.
+
+    Each different word is segmented once and its codes are joined back, the words that most rows have
+    by broadcast. Texts without words are not moved, and get an empty array.
+    """
+    tokens = materialise(
+        rows.select(ROW, F.posexplode(kept_tokens(F.col(text_col), max_length, unicode)).alias("pos", "word"))
+    )
+    coded = materialise(segmented_words(tokens.select("word").distinct(), pieces, unknown, max_rows))
+    place = F.struct("pos", "codes")
+    gathered = left_lookup(tokens, coded, "word", max_rows).groupBy(ROW).agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(place)), lambda entry: entry["codes"])).alias(name)
+    )
+    cut = F.slice(F.coalesce(name, F.array().cast("array<int>")), F.lit(1), F.lit(max_length - 1))
+    return rows.join(gathered, ROW, "left").withColumn(name, cut)

@@ -40,7 +40,7 @@ def build_vocab(
     return top.select("word", "count", _next_id("word").alias("id"))
 
 
-def _substrings(word: Column, longest: int) -> Column:
+def substrings(word: Column, longest: int) -> Column:
     starts = F.sequence(F.lit(1), F.length(word))
     return F.flatten(
         F.transform(
@@ -69,7 +69,7 @@ def build_pieces(
     """
     counts = materialise(
         word_counts(df, text_col, unicode)
-        .select(F.explode(_substrings(F.col("word"), longest)).alias("piece"), "count")
+        .select(F.explode(substrings(F.col("word"), longest)).alias("piece"), "count")
         .groupBy("piece")
         .agg(F.sum("count").alias("count"))
     )

@@ -443,6 +443,7 @@ scored AS (
 ORACLE: dict[str, str] = {
     "textrank": f"WITH RECURSIVE {textrank('documents', 'doc_id', 'text')} SELECT doc_id, prediction FROM ranked",
     "encode_unigram": UNIGRAM,
+    "encode_unigram_join": UNIGRAM,
     "rougeLsum": ROUGE_LSUM,
     "select_pair_columns": "SELECT doc_id::VARCHAR AS id, text AS dialogue, source AS summary FROM documents",
     "assemble_dialogue": f"""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from briefloom.functions.text import word_tokens
-from briefloom.operators import batches, encode, metrics, pairs, pieces, report
+from briefloom.operators import batches, encode, metrics, pairs, piece_training, pieces, report
 from briefloom.operators import split as splits
 from briefloom.operators import summarize, validate, vocab
 from briefloom.plans import prepare
@@ -256,6 +256,23 @@ def encode_unigram(spark, sf_dir):
     return _feature_digest(coded, "doc_id")
 
 
+def encode_unigram_join(spark, sf_dir):
+    """The same by the path for piece tables too large to send."""
+    docs = documents(spark, sf_dir)
+    rows = encode.numbered(docs.select("doc_id", "text"))
+    coded = pieces.encode_by_piece_join(rows, vocab.build_pieces(docs, size=PIECES), "text", encode.MAX_INPUT, "_in", max_rows=PIECES // 2)
+    whole = coded.withColumns({
+        "input_ids": encode.finish(F.col("_in"), encode.MAX_INPUT),
+        "attention_mask": encode.attention_mask(F.col("_in"), encode.MAX_INPUT),
+    })
+    return _feature_digest(whole, "doc_id")
+
+
+def piece_vocab_em(spark, sf_dir):
+    trained = piece_training.train_pieces(documents(spark, sf_dir), size=PIECES).pieces
+    return trained.select("piece", "logp", "id")
+
+
 def length_profile(spark, sf_dir):
     labelled = splits.split_exact(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
     profile = encode.length_profile(labelled, "text", encode.MAX_INPUT)
@@ -675,6 +692,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_table_join": feature_table_join,
     "piece_vocab": piece_vocab,
     "encode_unigram": encode_unigram,
+    "encode_unigram_join": encode_unigram_join,
+    "piece_vocab_em": piece_vocab_em,
     "length_profile": length_profile,
     "collate_batches": collate_batches,
     "map_batched": map_batched,
