@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from briefloom.functions.lcs import lcs_length, union_lcs_hits
+from briefloom.functions.lcs_lanes import lcs_lengths, union_hits
 from briefloom.functions.overlap import alignment, in_steps, ngram_matches
 from briefloom.functions.stem import porter_stem
 from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
@@ -100,14 +100,13 @@ def synonyms(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Stage:
 
 @F.arrow_udf(T.IntegerType())
 def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
-    pairs = zip(left.to_pylist(), right.to_pylist())
-    return pa.array([lcs_length(a, b) for a, b in pairs], pa.int32())
+    return pa.array(lcs_lengths(left, right), pa.int32())
 
 
 @F.arrow_udf(T.IntegerType())
 def _union_lcs(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
     pairs = zip(reference.to_pylist(), hypothesis.to_pylist())
-    return pa.array([union_lcs_hits(a, b) for a, b in pairs], pa.int32())
+    return pa.array([union_hits(a or [], b or []) for a, b in pairs], pa.int32())
 
 
 def _prf(matches: Column, n_prediction: Column, n_reference: Column) -> Column:

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -395,6 +395,19 @@ def rouge_l(spark, sf_dir):
     return _rouge("rougeL", lead_predictions(spark, sf_dir))
 
 
+def rouge_l_whole(spark, sf_dir):
+    return _rouge("rougeL", whole_predictions(spark, sf_dir))
+
+
+def rouge_lsum_whole(spark, sf_dir):
+    """Whole texts on both sides, line by line: each document against the next one of its language."""
+    following = Window.partitionBy("lang", F.floor(F.col("doc_id") / 100)).orderBy("doc_id")
+    rows = documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"), F.lead("text").over(following).alias("prediction"), F.col("text").alias("reference")
+    )
+    return _rouge("rougeLsum", rows.filter(F.col("prediction").isNotNull()))
+
+
 def rouge_lsum(spark, sf_dir):
     """Several lines on both sides: the last turn against the first lines of the dialogue."""
     rows = summarize.lead_k(
@@ -705,6 +718,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rouge1": rouge1,
     "rouge2": rouge2,
     "rougeL": rouge_l,
+    "rougeL_whole": rouge_l_whole,
+    "rougeLsum_whole": rouge_lsum_whole,
     "rougeLsum": rouge_lsum,
     "meteor_exact": meteor_exact,
     "bleu_corpus": bleu_corpus,
