@@ -58,7 +58,9 @@ CHROME_BEGINS = ("comment", "advert", "adsby", "sidebar", "breadcrumb", "newslet
 CHROME_ENDS = ("footer", "sidebar", "navbar", "menu", "banner", "comments")
 # Those that also name parts of an article: an element counts as chrome only if it is not most of the page's prose.
 WEAK = set("widget widgets notice notices legal related banner promo promotion alert overlay modal share social sharing recommended".split())
-NO_CHROME = {"commentary", "commentaries"}
+NO_CHROME = ("commenta",)  # commentary, commentable
+# Names of reader comments; no share of the page's text makes these its article.
+COMMENTS = ("comment", "disqus", "respond", "replies", "reply")
 LAYOUT = {"has", "with", "no", "without", "layout"}
 INSIDE = {"article", "main"}
 
@@ -74,7 +76,7 @@ def is_chrome(name: str, inside: bool) -> bool:
 
 
 def _chrome_word(word: str) -> bool:
-    return word not in NO_CHROME and (word in CHROME or word.startswith(CHROME_BEGINS) or word.endswith(CHROME_ENDS))
+    return not word.startswith(NO_CHROME) and (word in CHROME or word.startswith(CHROME_BEGINS) or word.endswith(CHROME_ENDS))
 
 
 def is_weak(name: str) -> bool:
@@ -82,10 +84,19 @@ def is_weak(name: str) -> bool:
     return all(w in WEAK for w in re.split(r"[^a-z]+", name) if w and _chrome_word(w))
 
 
-def _attributes(attrs: str, inside: bool) -> tuple[str, bool, bool]:
-    """(generalised class part of a path step, whether the element is chrome, whether by weak words only)."""
+def is_comments(name: str) -> bool:
+    return any(w.startswith(COMMENTS) and _chrome_word(w) for w in re.split(r"[^a-z]+", name) if w)
+
+
+# How sure it is that an element is chrome: not at all; by words that articles use too; by a name that a
+# wrapper of the whole page may have as well ("content-sidebar-wrap"); for certain.
+NOT, WEAKLY, NAMED, SURELY = range(4)
+
+
+def _attributes(attrs: str, inside: bool) -> tuple[str, int]:
+    """(generalised class part of a path step, how sure it is that the element is chrome)."""
     names: list[str] = []
-    chrome, weak = False, True
+    sure = NOT
     if attrs.strip():
         for name, *values in ATTR.findall(attrs):
             name, value = name.lower(), html.unescape(next((v for v in values if v), "")).lower()
@@ -93,15 +104,16 @@ def _attributes(attrs: str, inside: bool) -> tuple[str, bool, bool]:
                 own = value.split()
                 if name == "class":
                     names += [re.sub(r"\d+", "", x) for x in own]
-                marks = [x for x in own if is_chrome(x, inside)]
-                chrome |= bool(marks)
-                weak &= all(any(map(_chrome_word, re.split(r"[^a-z]+", x))) and is_weak(x) for x in marks)
-            elif name == "role":
-                chrome |= value in CHROME_ROLES
-                weak &= value not in CHROME_ROLES - {"form"}
-            elif name == "hidden" or value == "true":
-                chrome, weak = True, False
-    return "".join(f".{x}" for x in sorted(set(names)) if x), chrome, weak
+                for mark in own:
+                    if is_chrome(mark, inside):
+                        by_word = any(map(_chrome_word, re.split(r"[^a-z]+", mark)))
+                        weak = by_word and is_weak(mark)
+                        sure = max(sure, SURELY if is_comments(mark) else WEAKLY if weak else NAMED)
+            elif name == "role" and value in CHROME_ROLES:
+                sure = max(sure, WEAKLY if value == "form" else SURELY)
+            elif name != "role" and (name == "hidden" or value == "true"):
+                sure = SURELY
+    return "".join(f".{x}" for x in sorted(set(names)) if x), sure
 
 
 class Page:
@@ -117,7 +129,7 @@ class Page:
         self.titles: set[int] = set()  # blocks in an h1
         stack: list[tuple[str, str, bool, int, int]] = []  # tag, path step, dropped, container or -1, doubtful or -1
         doubts: list[tuple[int, ...]] = []  # per block the doubtful elements around it
-        in_article: list[bool] = []  # per doubtful element
+        doubtful: list[list[bool]] = []  # per doubtful element: in an article, named as chrome, holds an article or title
         buffer: list[str] = []
         links = 0
         pos = 0
@@ -191,13 +203,19 @@ class Page:
             if m["attrs"].rstrip().endswith("/") and tag not in BLOCKS:
                 continue
             inside = any(x[0] in INSIDE for x in stack)
-            classes, chrome, weak = _attributes(m["attrs"], inside)
+            if tag == "h1" or tag in INSIDE:
+                for x in stack:
+                    if x[4] >= 0:
+                        doubtful[x[4]][2] = True
+            classes, sure = _attributes(m["attrs"], inside)
+            chrome = sure > NOT
             drop = tag in DROPPED or chrome and tag not in ("html", "body", *INSIDE) or tag == "header" and not inside
             doubt = -1
-            if drop and not dropped() and weak and tag in BLOCKS and (tag == "form" or tag not in DROPPED and chrome):
+            open_ = tag == "form" and sure <= WEAKLY or tag not in DROPPED and tag != "header" and sure in (WEAKLY, NAMED)
+            if drop and not dropped() and tag in BLOCKS and open_:
                 # the whole page decides
-                doubt, drop = len(in_article), False
-                in_article.append(inside and tag != "form")
+                doubt, drop = len(doubtful), False
+                doubtful.append([inside and tag != "form", sure == NAMED, False])
             drop |= dropped()
             container = -1
             step = tag + classes
@@ -208,22 +226,26 @@ class Page:
             stack.append((tag, step, drop, container, doubt))
         add(source[pos:])
         flush()
-        if in_article:
-            self._decide(doubts, in_article)
+        if doubtful:
+            self._decide(doubts, doubtful)
 
-    def _decide(self, doubts: list[tuple[int, ...]], in_article: list[bool]) -> None:
-        """Drops blocks in forms and weakly named elements.
+    def _decide(self, doubts: list[tuple[int, ...]], doubtful: list[list[bool]]) -> None:
+        """Drops blocks in forms and in elements named as chrome.
 
-        Kept are elements with most of the page's text outside links, and within an article those
-        with more text outside links than in them.
+        Forms and weakly named elements are kept if they hold most of the page's text outside links,
+        and within an article if they have more text outside links than in them. Others are kept if
+        they hold most of the page's text and an article, a main element or a title, or nearly all its text.
         """
-        prose, linked = [0] * len(in_article), [0] * len(in_article)
+        prose, linked = [0] * len(doubtful), [0] * len(doubtful)
         for (text, links, _), around in zip(self.blocks, doubts):
             for i in around:
                 prose[i] += max(0, len(text) - 2 * links)
                 linked[i] += links
         total = sum(max(0, len(text) - 2 * links) for text, links, _ in self.blocks)
-        kept = [2 * p > total or inside and p > n for p, n, inside in zip(prose, linked, in_article)]
+        kept = [
+            10 * p > 9 * total or core and 2 * p > total if named else 2 * p > total or inside and p > n
+            for p, n, (inside, named, core) in zip(prose, linked, doubtful)
+        ]
         left = [k for k, around in enumerate(doubts) if all(kept[i] for i in around)]
         self.titles = {new for new, old in enumerate(left) if old in self.titles}
         self.blocks = [self.blocks[k] for k in left]

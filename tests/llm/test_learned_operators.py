@@ -100,6 +100,25 @@ def test_chrome_words_do_not_take_the_main_text(html, want):
     assert Page(html.format(prose)).at(None) == want.format(prose)
 
 
+@pytest.mark.parametrize("wrapper", [
+    'div class="content-sidebar-wrap"', 'div class="nav-fixed"', 'div id="page" class="menu-closed"', 'div id="ad-astra-story"',
+    'div class="commentable-article"', 'section class="sidebar-right footer-dark"',
+])
+@pytest.mark.parametrize("inner", ["{}", "<main>{}</main>", "<div class=x><article>{}</article></div>"])
+def test_wrappers_named_like_chrome_keep_the_page(wrapper, inner):
+    article = "<h1>Title</h1><p>" + "Some words of the story. " * 9 + "</p><p>" + "More of it here. " * 9 + "</p>"
+    side = '<div class="sidebar"><p>About us, in prose.</p></div><div class="menu"><a href=x>One</a></div>'
+    comments = f'<div id="comments"><article class="comment"><h1>Re</h1><p>{"I agree. " * 400}</p></article></div>'
+    page = f"<html><body><nav><a href=x>Home</a></nav><{wrapper}>{inner.format(article)}{side}{comments}</{wrapper.split()[0]}>" \
+        '<div class="footer">Imprint</div></body></html>'
+    assert Page(page).at(None) == f"Title\n{('Some words of the story. ' * 9).strip()}\n{('More of it here. ' * 9).strip()}"
+
+
+def test_long_notices_are_not_taken_for_the_article():
+    page = f'<body><div class="cookie-consent"><p>{"We use cookies. " * 60}</p></div><div class="post"><h1>Hi</h1><p>Short story.</p></div></body>'
+    assert Page(page).at(None) == "Hi\nShort story."
+
+
 def test_isotonic_is_the_closest_rising_curve():
     rng = np.random.default_rng(0)
     x, n = np.arange(40.0), rng.integers(1, 9, 40).astype(float)
