@@ -38,8 +38,8 @@ from briefloom.llm.kernels import Words, mix, slices
 END = 10  # stands for itself nowhere in a text: words hold no byte from 9 to 13
 GRAM, WORD_KIND = 0, 1
 SLICE = 1 << 20  # bytes of text whose grams are held at once
-FLUSH = 2_000_000  # different grams a task holds before it hands its counts on
-BLOCK = 10e6  # bytes of text a block holds; more where the input is large
+FLUSH = 800_000  # different grams a task holds before it hands its counts on
+BLOCK = 8e6  # bytes of text a block holds; more where the input is large
 PART = 200_000  # grams a part holds on average
 
 COUNTED = "kind int, bucket long, keys binary, counts binary"
@@ -99,11 +99,12 @@ def stream(text: bytes) -> bytes:
     return b" ".join(words) + b" \n" if words else b"\n"
 
 
-def grams_of(streams: list[bytes], depth: int) -> np.ndarray:
+def grams_of(streams: list[bytes], depth: int, leads: list[bytes] | None = None) -> np.ndarray:
     """One gram for each byte of the streams: its ``depth`` preceding bytes, the nearest
-    highest, then the byte. What precedes a text is end marks."""
-    lead = bytes([END]) * depth
-    raw = np.frombuffer(lead + lead.join(streams), np.uint8).astype(np.uint64)
+    highest, then the byte. What precedes a stream is its lead, or end marks."""
+    if leads is None:
+        leads = [bytes([END]) * depth] * len(streams)
+    raw = np.frombuffer(b"".join(x for pair in zip(leads, streams) for x in pair), np.uint8).astype(np.uint64)
     sizes = np.array([len(s) for s in streams])
     begins = np.cumsum(np.append(0, sizes + depth))[:-1]
     real = np.ones(len(raw), bool)
@@ -115,6 +116,22 @@ def grams_of(streams: list[bytes], depth: int) -> np.ndarray:
     return (gram << np.uint64(8) | raw[depth:])[real[depth:]]
 
 
+def gram_slices(streams: list[bytes], depth: int):
+    """(grams, stream of each part, sizes of the parts) of about SLICE bytes; a long stream is cut into parts."""
+    leads, parts, rows, held = [], [], [], 0
+    for row, whole in enumerate(streams):
+        for begin in range(0, len(whole), SLICE):
+            leads.append((bytes([END]) * depth + whole[max(0, begin - depth) : begin])[-depth:])
+            parts.append(whole[begin : begin + SLICE])
+            rows.append(row)
+            held += len(parts[-1])
+            if held >= SLICE:
+                yield grams_of(parts, depth, leads), np.array(rows), np.array([len(x) for x in parts])
+                leads, parts, rows, held = [], [], [], 0
+    if parts:
+        yield grams_of(parts, depth, leads), np.array(rows), np.array([len(x) for x in parts])
+
+
 def _pieces(texts: pa.Array):
     """Slices of a block's texts: (first row, streams)."""
     for i, j in slices(texts, SLICE):
@@ -347,11 +364,11 @@ def _tallies(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
             for i, streams in _pieces(texts):
                 learn = weights[i : i + len(streams)]
                 own = Words(texts.slice(i, len(streams)), fold_case=True)
-                for kind, keys, sizes in (
-                    (GRAM, grams_of(streams, depth), [len(s) for s in streams]), (WORD_KIND, own.hashes, own.counts),
-                ):
-                    parts[kind].append(_counted(keys, np.repeat(learn, sizes)))
-                held += len(parts[GRAM][-1][0])
+                parts[WORD_KIND].append(_counted(own.hashes, np.repeat(learn, own.counts)))
+                del own
+                for grams, of, sizes in gram_slices(streams, depth):
+                    parts[GRAM].append(_counted(grams, np.repeat(learn[of], sizes)))
+                    held += len(parts[GRAM][-1][0])
                 if held > FLUSH:
                     parts = {k: [_merged(v)] for k, v in parts.items()}
                     held = len(parts[GRAM][0][0])
@@ -367,7 +384,10 @@ def _block_keys(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted different grams and word hashes of a block's texts."""
     grams, words = [], []
     for i, streams in _pieces(texts):
-        grams.append(distinct(grams_of(streams, depth)))
+        for own, _, _ in gram_slices(streams, depth):
+            grams.append(distinct(own))
+            if len(grams) > 1 and sum(map(len, grams[1:])) > FLUSH:
+                grams = [distinct(np.concatenate(grams))]
         words.append(distinct(Words(texts.slice(i, len(streams)), fold_case=True).hashes))
     return distinct(np.concatenate(grams)), distinct(np.concatenate(words))
 
@@ -505,7 +525,7 @@ def context_tree_scores(
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
         texts = _texts(group)
         gram_keys, word_keys = _block_keys(texts, depth)
-        bits = _answers(answers, GRAM, gram_keys, buckets).astype(np.float64)
+        bits = _answers(answers, GRAM, gram_keys, buckets)
         counts = _answers(answers, WORD_KIND, word_keys, buckets)
         logs = np.log10(counts + 0.1) - rest
         columns = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
@@ -513,9 +533,14 @@ def context_tree_scores(
             own = Words(texts.slice(i, len(streams)), fold_case=True)
             at, of = np.searchsorted(word_keys, own.hashes), own.text_of_word()
             sizes = np.array([len(s) for s in streams])
-            grams, place = np.unique(grams_of(streams, depth), return_inverse=True)
-            lengths = bits[np.searchsorted(gram_keys, grams)][place]
-            total = np.add.reduceat(lengths, np.cumsum(np.append(0, sizes))[:-1])
+            total = np.zeros(len(streams))
+            for grams, rows_of, part_sizes in gram_slices(streams, depth):
+                order = np.argsort(grams)
+                grams = grams[order]
+                lengths = np.empty(len(grams), np.float32)
+                lengths[order] = bits[np.searchsorted(gram_keys, grams)]
+                begins = np.cumsum(np.append(0, part_sizes))[:-1]
+                np.add.at(total, rows_of, np.add.reduceat(lengths, begins, dtype=np.float64))
             columns["n_tokens"].append(own.counts + 1)
             columns["n_known"].append(np.bincount(of, counts[at] > 0, len(sizes)).astype(np.int64) + (n_train > 0))
             columns["base_score"].append(np.bincount(of, logs[at], len(sizes)) + math.log10(n_train + 0.1) - rest)

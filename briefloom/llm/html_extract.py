@@ -127,6 +127,7 @@ class Page:
         self.paths: list[str] = []
         self.parents: list[int] = []
         self.titles: set[int] = set()  # blocks in an h1
+        self.plain_core = False  # an article, main element or title outside of doubtful elements
         stack: list[tuple[str, str, bool, int, int]] = []  # tag, path step, dropped, container or -1, doubtful or -1
         doubts: list[tuple[int, ...]] = []  # per block the doubtful elements around it
         doubtful: list[list[bool]] = []  # per doubtful element: in an article, named as chrome, holds an article or title
@@ -204,9 +205,10 @@ class Page:
                 continue
             inside = any(x[0] in INSIDE for x in stack)
             if tag == "h1" or tag in INSIDE:
-                for x in stack:
-                    if x[4] >= 0:
-                        doubtful[x[4]][2] = True
+                around = [x[4] for x in stack if x[4] >= 0]
+                self.plain_core |= not around and not dropped()
+                for x in around:
+                    doubtful[x][2] = True
             classes, sure = _attributes(m["attrs"], inside)
             chrome = sure > NOT
             drop = tag in DROPPED or chrome and tag not in ("html", "body", *INSIDE) or tag == "header" and not inside
@@ -234,7 +236,8 @@ class Page:
 
         Forms and weakly named elements are kept if they hold most of the page's text outside links,
         and within an article if they have more text outside links than in them. Others are kept if
-        they hold most of the page's text and an article, a main element or a title, or nearly all its text.
+        they hold most of the page's text and an article, a main element or a title, or nearly all the text of a
+        page that has none of these elsewhere.
         """
         prose, linked = [0] * len(doubtful), [0] * len(doubtful)
         for (text, links, _), around in zip(self.blocks, doubts):
@@ -243,7 +246,7 @@ class Page:
                 linked[i] += links
         total = sum(max(0, len(text) - 2 * links) for text, links, _ in self.blocks)
         kept = [
-            10 * p > 9 * total or core and 2 * p > total if named else 2 * p > total or inside and p > n
+            (core and 2 * p > total or not self.plain_core and 10 * p > 9 * total) if named else 2 * p > total or inside and p > n
             for p, n, (inside, named, core) in zip(prose, linked, doubtful)
         ]
         left = [k for k, around in enumerate(doubts) if all(kept[i] for i in around)]

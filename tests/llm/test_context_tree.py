@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from briefloom.llm import context_tree
 from briefloom.llm.context_tree import (
     context_tree_scores, grams_of, log_estimate, log_gamma, op12_context_tree, planes, stream, unplaned,
 )
@@ -100,10 +101,17 @@ def test_log_gamma_and_estimate():
     assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
 
 
-def test_streams_grams_and_planes():
+def test_streams_grams_and_planes(monkeypatch):
     assert stream("Ab  É\n".encode()) == "ab É \n".encode() and stream(b" \t") == b"\n"
     grams = grams_of([b"ab \n", b"\n"], 3)
     assert [int(g).to_bytes(4, "big") for g in grams] == [b"\n\n\na", b"a\n\nb", b"ba\n ", b" ba\n", b"\n\n\n\n"]
+    long = [b"abcdefg \n", b"", b"x" * 23 + b"\n"]
+    whole = grams_of(long, 3)
+    for size in (1, 4, 100):
+        monkeypatch.setattr(context_tree, "SLICE", size)
+        cut = list(context_tree.gram_slices(long, 3))
+        assert np.concatenate([g for g, _, _ in cut]).tolist() == whole.tolist()
+        assert sum((np.repeat(r, n).tolist() for _, r, n in cut), []) == [0] * 9 + [2] * 24
     values = np.array([1, -5, 2**40], np.int64)
     assert unplaned(planes(values), np.int64).tolist() == values.tolist()
 
