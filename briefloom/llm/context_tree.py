@@ -38,7 +38,7 @@ from briefloom.llm.kernels import Words, mix, slices
 END = 10  # stands for itself nowhere in a text: words hold no byte from 9 to 13
 GRAM, WORD_KIND = 0, 1
 SLICE = 1 << 20  # bytes of text whose grams are held at once
-FLUSH = 800_000  # different grams a task holds before it hands its counts on
+FLUSH = 1_600_000  # different grams a task holds before it hands its counts on
 BLOCK = 8e6  # bytes of text a block holds; more where the input is large
 PART = 200_000  # grams a part holds on average
 
@@ -139,10 +139,13 @@ def _pieces(texts: pa.Array):
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different keys of all parts and the sums of their counts."""
-    keys, counts = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    """Sorted different keys of all parts and the sums of their counts; ``parts`` is emptied on the way."""
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    parts.clear()
+    order = np.argsort(keys)
+    keys = keys[order]
+    counts = counts[order]
+    del order
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
@@ -349,6 +352,7 @@ def _tallies(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
             keys, counts = _merged(own) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             order, present, first, last = in_buckets(kind, keys, buckets)
             keys, counts = keys[order], counts[order]
+            del order
             out += [
                 (kind, bucket, exchange.pack(keys[a:b]), planes(counts[a:b]))
                 for bucket, a, b in zip(present.tolist(), first.tolist(), last.tolist())
@@ -386,7 +390,7 @@ def _block_keys(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     for i, streams in _pieces(texts):
         for own, _, _ in gram_slices(streams, depth):
             grams.append(distinct(own))
-            if len(grams) > 1 and sum(map(len, grams[1:])) > FLUSH:
+            if len(grams) > 1 and sum(map(len, grams[1:])) > FLUSH // 2:
                 grams = [distinct(np.concatenate(grams))]
         words.append(distinct(Words(texts.slice(i, len(streams)), fold_case=True).hashes))
     return distinct(np.concatenate(grams)), distinct(np.concatenate(words))
