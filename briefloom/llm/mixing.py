@@ -16,6 +16,8 @@ from briefloom.llm.helpers import WORD, running_total, running_totals, stored
 from briefloom.scaling import MAX_BROADCAST_ROWS, row_count_at_most
 
 WEIGHTS = (3, 1, 2)
+# equal rows are numbered in stretches of this many, so that no task or array holds them all
+STRETCH = 100_000
 
 
 def words_in(text: str) -> Column:
@@ -61,13 +63,14 @@ def mix_sources(
     text: str = "text",
     source: str = "source",
 ) -> DataFrame:
-    """The mixed stream: (doc_id, source, size, source_size, target, epoch, taken, position).
+    """The mixed stream: (doc_id, source, size, source_size, target, epoch, taken, position, shuffle, content).
 
     One row for every copy the mix takes words of, and one (``epoch`` 0, taken 0) for every row
     of ``docs``, so that rows left out are seen too. ``position`` is the number of words before the
     copy in the stream. Null and empty texts have size 0 and are never taken; a source
     without words has target 0; a null source is a source; rows with equal ids and texts are
-    rows of their own and interchangeable. The same rows give the same result whatever
+    rows of their own and interchangeable (``content``, a hash of the text, tells others with one id
+    apart). The same rows give the same result whatever
     their order or partitioning. Columns besides the three are not read.
     """
     rows = stored(
@@ -76,7 +79,7 @@ def mix_sources(
             F.col(source).cast("string").alias("source"),
             words_in(text).alias("size"),
             F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("digest"),
-        )
+        ).withColumn("content", F.xxhash64("digest"))
     )
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     copies_of = F.ceil(F.col("target") / F.col("source_size"))
@@ -97,7 +100,7 @@ def mix_sources(
     )
     # position of a copy in its source's queue: the running total over all queues, less the queues before
     queued = running_total(
-        copies.select("doc_id", "source", "queue", "_start", "size", "source_size", "target", "epoch", "shuffle"),
+        copies.select("doc_id", "source", "queue", "_start", "size", "source_size", "target", "epoch", "shuffle", "content"),
         ["queue", "epoch", "shuffle", "doc_id"], "size", "_total",
     )
     finish = (
@@ -113,7 +116,7 @@ def mix_sources(
             ),
         )
         .filter("taken > 0")
-        .select("doc_id", "source", "size", "source_size", "target", "epoch", "taken", "finish", "queue", "shuffle")
+        .select("doc_id", "source", "size", "source_size", "target", "epoch", "taken", "finish", "queue", "shuffle", "content")
     )
     budget = F.lit(per_source.agg(F.sum("source_size")).first()[0] or 0) * F.lit(share)
     stream = (
@@ -126,16 +129,38 @@ def mix_sources(
     untaken = known.withColumns(
         {"epoch": F.lit(0), "taken": F.lit(0).cast("long"), "position": F.lit(None).cast("long")}
     )
-    return stream.select(*shape, "shuffle").unionByName(untaken.select(*shape, F.lit(None).cast("string").alias("shuffle")))
+    return stream.select(*shape, "shuffle", "content").unionByName(
+        untaken.select(*shape, F.lit(None).cast("string").alias("shuffle"), "content")
+    )
 
 
-def op1_mix_sources(docs: DataFrame) -> DataFrame:
-    """Words taken per document; needs unique ids, as documents have."""
-    return (
-        mix_sources(docs)
-        .groupBy("doc_id")
-        .agg(
-            F.first("size").alias("size"), F.first("source_size").alias("source_size"),
-            F.first("target").alias("target"), F.sum("taken").alias("taken"),
-        )
+def words_by_row(mixed: DataFrame, repeats: int = 2) -> DataFrame:
+    """(doc_id, size, source_size, target, taken): a row for every row that was mixed, from ``mix_sources``.
+
+    The words taken of rows equal in id, source and text are dealt to these rows copy by copy: each gets
+    one whole copy before any gets a second, and none more than ``repeats`` times its size. Rows
+    that share an id, or have none, but differ in text or source are kept apart.
+    """
+    alike = mixed.groupBy("doc_id", "source", "size", "content").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+        F.sum("taken").alias("words"), F.count_if(F.col("epoch") == 0).alias("rows"),
     )
+    counted = stored(alike)
+    # more equal rows than one stretch: each stretch is a row of its own before it is unfolded
+    many = counted.filter(F.col("rows") > STRETCH).withColumn(
+        "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(STRETCH).cast("long")))
+    ).repartition("doc_id", "content", "from")
+    few = counted.filter(F.col("rows") <= STRETCH).withColumn("from", F.lit(0).cast("long"))
+    last = F.least(F.col("rows"), F.col("from") + STRETCH) - 1
+    numbered = few.unionByName(many).withColumn("k", F.explode(F.sequence("from", last)))
+    none = F.lit(0).cast("long")
+    rounds = [
+        F.greatest(none, F.least(F.col("size"), F.col("words") - (F.col("rows") * n + F.col("k")) * F.col("size")))
+        for n in range(repeats)
+    ]
+    return numbered.select("doc_id", "size", "source_size", "target", sum(rounds[1:], rounds[0]).alias("taken"))
+
+
+def op1_mix_sources(docs: DataFrame) -> DataFrame:
+    """Words taken of every row; rows with repeated or null ids are rows of their own."""
+    return words_by_row(mix_sources(docs))
