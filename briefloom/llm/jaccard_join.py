@@ -7,8 +7,8 @@
    min(u, u') >= t / (1 + t) * (n + m); most classes drop out here, exactly.
 3. Two classes that link share a shingle among their first ``n - ceil(t n) + 1``. In each such
    list of classes, every member is first paired with the list's most central member; what that
-   leaves in one component needs no further pair. Members in different components are
-   paired if sizes and positions allow a link.
+   leaves in one component needs no further pair. Members outside the list's largest
+   component are paired with those of other components if sizes and positions allow a link.
 4. The order is cut into fragments. A pair's overlap is counted in each fragment on its own
    and the partial counts are summed per pair.
 5. Links join classes to components; every row gets the smallest id of its component.
@@ -28,6 +28,8 @@ from briefloom.llm.helpers import components, stored
 from briefloom.llm.kernels import Words, mix, slices
 
 REMEMBERED = 200_000
+# members of a list that meet its outsiders in one task
+LIST_PART = 20_000
 CLASSES = (
     "sig string, n long, u long, central double, prefix array<struct<token:long,pos:int>>, "
     "segments array<array<long>>"
@@ -201,6 +203,25 @@ def verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.filter((100 + percent) * F.col("shared") >= percent * (F.col("a_n") + F.col("b_n")))
 
 
+def _outsiders(entries: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of entries of one list in different components, each pair once.
+
+    Of two components at least one is not the list's largest, so members outside the largest (``a``)
+    meet the whole list, and members of the largest are never paired. Long lists are dealt into
+    salted parts, and their outsiders copied to each.
+    """
+    sizes = entries.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
+    lists = sizes.groupBy("token").agg(
+        F.max_by("root", F.struct("m", "root")).alias("main"),
+        F.ceil(F.sum("m") / F.lit(LIST_PART)).cast("int").alias("parts"),
+    )
+    known = stored(entries.join(lists, "token"))
+    outside = known.filter("root <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    whole = known.withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
+    once = (F.col("b.root") == F.col("b.main")) | (F.col("a.root") < F.col("b.root"))
+    return outside.alias("a").join(whole.alias("b"), ["token", "part"]).filter((F.col("a.root") != F.col("b.root")) & once)
+
+
 def links(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(links, components) of the candidate classes: enough links to join what hangs together."""
     segments = classes.select("sig", F.posexplode("segments").alias("fragment", "tokens")).filter(F.size("tokens") > 0)
@@ -225,11 +246,7 @@ def links(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     placed = entries.join(parts, F.col("sig") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sig"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
     open_entries = stored(placed.join(mixed.select("token"), "token", "left_semi").drop("node", "central"))
-    across = (
-        open_entries.alias("a").join(open_entries.alias("b"), "token")
-        .filter((F.col("a.root") < F.col("b.root")) & _may_link(percent))
-        .selectExpr(*shape).distinct()
-    )
+    across = _outsiders(open_entries).filter(_may_link(percent)).selectExpr(*shape).distinct()
     more = stored(verified(across, segments, percent).select("a", "b"))
     every = found.unionByName(more)
     return every, components(every, "a", "b")
