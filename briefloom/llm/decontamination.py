@@ -204,21 +204,29 @@ def conflicts(windows: list[dict]) -> set[tuple[str, str]]:
 
 
 def covered_tokens(windows: list[dict]) -> tuple[list[int], int, int]:
-    """(covered tokens of the item, longest run of them, changed values) of the windows of one alignment."""
+    """(covered tokens of the item, longest run of them, changed values) of the windows of one alignment.
+
+    A run counts only if one of its windows is the item's own, not wording that many items share.
+    """
     changed = {(p["item_slots"], p["slots"]) for w in windows for p in w["pairs"] if p["item_slots"] != p["slots"]}
     bad = conflicts(windows) if changed else set()
     windows = [w for w in windows if not any((p["item_slots"], p["slots"]) in bad for p in w["pairs"])]
     places = sorted({k for w in windows for k in range(w["item_pos"], w["item_pos"] + w["width"])})
+    own = {w["item_pos"] for w in windows if w["own"]}
     longest = run = 0
+    telling = False
     for before, place in zip([-2, *places], places):
-        run = run + 1 if place == before + 1 else 1
-        longest = max(longest, run)
+        follows = place == before + 1
+        run = run + 1 if follows else 1
+        telling = (telling and follows) or place in own
+        if telling:
+            longest = max(longest, run)
     return places, longest, len(changed)
 
 
 def matches(
     docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 5, literals: float = 0.5, share: float = 0.5,
-    run: int = 13, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
+    run: int = 13, few: int = 3, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """(doc_id, digest, item_id, covered, n_tokens, changed_slots): items found in each text.
@@ -226,7 +234,8 @@ def matches(
     ``digest`` is the crc32 of the text, to tell rows with one id apart.
 
     An item of ``n_tokens`` is found if windows aligned with it cover ``share`` of its tokens, or
-    ``run`` tokens in a row in one alignment, however long the item is. A window does not count if one
+    ``run`` tokens in a row in one alignment, however long the item is. A run must hold a window that at most ``few``
+    different items have: an instruction that begins many items is no excerpt of any of them. A window does not count if one
     of its placeholder values breaks the one-to-one rule of its alignment (see ``conflicts``); one with
     equal values always counts. ``changed_slots`` counts values that differ in the alignment that
     covers most: 0 for a verbatim copy. In windows with changed values, names must begin with a
@@ -236,9 +245,11 @@ def matches(
     when counted to be few; beyond that every document window takes part in a shuffled hash join.
     """
     items = stored(benchmark_windows(benchmark, width, least, literals, item, item_text).filter("id is not null"))
-    items = items.select(
+    # copies of an item under other ids are one item here
+    held = items.groupBy("hash", "width").agg((F.countDistinct("digest") <= few).alias("own"))
+    items = stored(items.join(held, ["hash", "width"])).select(
         F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "width", "hash",
-        F.col("slots").alias("item_slots"), F.col("n_tokens").alias("item_tokens"),
+        F.col("slots").alias("item_slots"), F.col("n_tokens").alias("item_tokens"), "own",
     )
     size = items.count()
     small = size <= max_broadcast_rows
@@ -254,7 +265,7 @@ def matches(
     matched = found.drop("n_tokens").join(F.broadcast(items) if small else items, ["hash", "width"])
     # one alignment: at most as many windows as the item has
     by_shift = matched.groupBy("id", "digest", "item_id", "item_tokens", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.collect_set(F.struct("item_pos", "width", F.arrays_zip("item_slots", "slots").alias("pairs"))).alias("windows")
+        F.collect_set(F.struct("item_pos", "width", "own", F.arrays_zip("item_slots", "slots").alias("pairs"))).alias("windows")
     )
 
     def cover(batches):
