@@ -7,6 +7,7 @@ in one text or in several. Touching windows merge into maximal removal intervals
 
 from __future__ import annotations
 
+import re
 from itertools import compress
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from briefloom.llm import exchange
 from briefloom.llm.kernels import Words, slices
 
+WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 RESULT = "kept_text string, n_words long, n_removed long, removed array<struct<first:int,last:int>>"
 
 
@@ -48,12 +50,21 @@ def intervals(covered: np.ndarray) -> list[dict]:
     ]
 
 
+def without(text: bytes, spans: list[dict]) -> bytes:
+    """The text from each word after an interval to the next interval, white space as it is."""
+    at = [m.start() for m in WORD_BYTES.finditer(text)] + [len(text)]
+    edges = [0, *(at[e] for s in spans for e in (s["first"], s["last"] + 1)), len(text)]
+    return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).rstrip(b" \t\n\v\f\r")
+
+
 def substring_dedup(
-    docs: DataFrame, width: int = 35, ident: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
+    docs: DataFrame, width: int = 35, ident: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (),
+    spacing: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, columns ``carry``, kept text, word counts, removal intervals.
 
-    ``kept_text`` is the remaining words joined by one space. Null and empty texts have no
+    ``kept_text`` is the remaining words joined by one space, or, with ``spacing``, the text as it is
+    without its removal intervals and the white space behind each. Null and empty texts have no
     words (kept text empty, counts 0, no interval); texts shorter than ``width`` lose nothing.
     Repeated rows and repeated or null ids are rows like any other, so of two equal texts
     of ``width`` words or more both lose everything. Carried columns go along with their rows, unread (``text`` among them is the
@@ -91,12 +102,16 @@ def substring_dedup(
             np.add.at(depth, hit + width, -1)
             covered = np.cumsum(depth[:-1]) > 0
             for k in range(j - i):
-                own_words = words.raw[words.offsets[k] : words.offsets[k + 1]].tobytes().split()
+                whole = words.raw[words.offsets[k] : words.offsets[k + 1]].tobytes()
                 gone = covered[words.bounds[k] : words.bounds[k + 1]]
                 lost = int(gone.sum())
-                if lost:
-                    own_words = list(compress(own_words, (~gone).tolist()))
-                kept.append(b" ".join(own_words).decode())
+                if spacing:
+                    kept.append((without(whole, intervals(gone)) if lost else whole).decode())
+                else:
+                    own_words = whole.split()
+                    if lost:
+                        own_words = list(compress(own_words, (~gone).tolist()))
+                    kept.append(b" ".join(own_words).decode())
                 n_words.append(len(gone))
                 n_removed.append(lost)
                 spans.append(intervals(gone) if lost else [])

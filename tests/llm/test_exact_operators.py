@@ -13,7 +13,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from briefloom.llm import exchange
+from briefloom.llm import exchange, mixing
+from briefloom.llm import jaccard_join as jaccard_join_module
 from briefloom.llm.chat_format import escape, format_chats, op8_chat_format, read_loss, read_turns, unescape
 from briefloom.llm.decontamination import decontaminated, op7_decontamination
 from briefloom.llm.helpers import components, running_total
@@ -145,6 +146,14 @@ def test_substring_dedup(spark, docs, width, monkeypatch):
         assert r["n_words"] == len(words(r["text"]))
 
 
+def test_what_stays_keeps_its_spacing(spark):
+    shared = " ".join(f"s{i}" for i in range(8))
+    texts = [f"  One\u00e9 line\n\n{shared}\nlast  line \n", f"{shared}\tother\nwords", f"end of\n{shared}", "a\n b ", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in substring_dedup(docs, 8, spacing=True).collect()}
+    assert got == {0: "  One\u00e9 line\n\nlast  line", 1: "other\nwords", 2: "end of", 3: "a\n b ", 4: ""}
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup(spark.createDataFrame([], DOCS)).collect() == []
     assert [r["kept_text"] for r in substring_dedup(spark.createDataFrame([(1, None, None, None, None)], DOCS)).collect()] == [""]
@@ -195,6 +204,17 @@ def test_a_chain_of_edits_hangs_together(spark):
     assert {r["component_id"] for r in got} == {71}
 
 
+def test_outsiders_meet_the_list_and_members_do_not_meet_each_other(spark, monkeypatch):
+    """5,000 members of one component, one of another and two of a third in one list: 3 * 5,000 + 2 pairs."""
+    monkeypatch.setattr(jaccard_join_module, "LIST_PART", 700)
+    rows = [("big", f"m{i:05}") for i in range(5000)] + [("one", "o1"), ("two", "t1"), ("two", "t2")]
+    entries = spark.createDataFrame([(7, root, sig) for root, sig in rows], "token long, root string, sig string")
+    pairs = jaccard_join_module._outsiders(entries).select("a.sig", "b.sig").toDF("a", "b").collect()
+    got = [frozenset(r) for r in pairs]
+    kinds = Counter(frozenset(s[0] for s in p) for p in got)
+    assert len(got) == len(set(got)) and kinds == {frozenset("mo"): 5000, frozenset("mt"): 10000, frozenset("ot"): 2}
+
+
 def test_keep_first_leaves_one_row_of_a_group(spark):
     rows = corpus()[:-1]  # without two texts under one id, which have no brute-force name
     kept = keep_first(clashing(spark.createDataFrame(rows, DOCS)), 4, 85)
@@ -321,8 +341,26 @@ def test_mix_meets_its_targets(spark, docs):
 
 
 def test_mix_is_the_same_whatever_the_partitions(spark, docs):
-    a, b = (sorted(map(tuple, op1_mix_sources(d.filter("doc_id is not null and doc_id not in (3, 5)")).collect())) for d in (docs, docs.repartition(2)))
+    a, b = (sorted(map(tuple, op1_mix_sources(d).collect()), key=repr) for d in (docs, docs.repartition(2)))
     assert a == b and all(taken <= 2 * size for _, size, _, _, taken in a)
+    assert Counter((i, n) for i, n, *_ in a) == Counter((r["doc_id"], len(words(r["text"] or ""))) for r in docs.collect())
+
+
+def test_mix_of_rows_that_share_an_id(spark, monkeypatch):
+    """Rows with one id or none stay rows of their own; equal rows are dealt whole copies, in stretches."""
+    monkeypatch.setattr(mixing, "STRETCH", 3)
+    rows = [(1, "a b c", None, "x", None), (1, "a b c d", None, "y", None), (None, "e f", None, "x", None), (None, "g h i", None, "x", None)]
+    rows += [(2, "same words again", None, "y", None)] * 10
+    got = op1_mix_sources(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r["doc_id"], r["size"]) for r in got if r["doc_id"]) == sorted((r[0], len(words(r[1]))) for r in rows if r[0])
+    assert sorted(r["size"] for r in got if r["doc_id"] is None) == [2, 3]
+    assert all(r["taken"] <= 2 * r["size"] for r in got)
+    taken = Counter()
+    for r in got:
+        taken[r["target"]] += r["taken"]
+    assert all(abs(target - n) <= 1 for target, n in taken.items()) and len(taken) == 2
+    copies = [r["taken"] for r in got if r["doc_id"] == 2]
+    assert sum(n % 3 != 0 for n in copies) <= 2 and max(copies) - min(copies) <= 3
 
 
 def test_mix_of_nothing(spark):
@@ -372,6 +410,21 @@ def test_excerpts_of_long_items_are_found(spark):
     assert sorted(r["doc_id"] for r in decontaminated(docs, benchmark).collect()) == [3, 4]
 
 
+INSTRUCTION = "Read the following passage carefully and then choose the best answer from the options given below"
+
+
+def test_common_wording_of_many_items_is_no_excerpt(spark):
+    """Of items that begin alike only own words tell; copies of an item do not make its words common."""
+    own = {i: " ".join(f"item{i}word{k}" for k in range(45)) for i in range(6)}
+    items = [(i, f"{INSTRUCTION}: {text}") for i, text in own.items()] + [(10 + k, own[5]) for k in range(6)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    excerpt = " ".join(own[3].split()[5:30])
+    rows = [(1, f"The form says: {INSTRUCTION}."), (2, f"Before. {excerpt} After."), (3, f"Words. {INSTRUCTION}: {own[4]}"), (4, own[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in op7_decontamination(docs, benchmark).collect()}
+    assert got == {(2, 3), (3, 4), (4, 5), *((4, 10 + k) for k in range(6))}
+
+
 EQUAL = "Tom buys 2 apples at 2 dollars each from the stall and wants to know how much he paid for all."
 TWICE = "The old ship carries 40 men and 40 barrels of salt, " + " ".join(f"then word{i}" for i in range(20))
 DENSE = "Add 12 34 56 78 90 11 and 22 33 44 55 66 77 to Anna Bert Carl Dora Emil Fritz Gustav Hanna."
