@@ -36,9 +36,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 35 words or more that occur elsewhere; texts left empty go.
 
-    Texts that lose nothing keep their line breaks and spacing.
+    What stays of a text keeps its line breaks and spacing.
     """
-    cut = substring_dedup(docs, carry=COLUMNS[1:])
+    cut = substring_dedup(docs, carry=COLUMNS[1:], spacing=True)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     size = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
     return cut.filter("n_removed = 0 or n_removed < n_words").select(
