@@ -69,7 +69,8 @@ def write_targets(df: DataFrame, targets: Sequence[Target]) -> dict[str, str | N
             writer = writer.partitionBy(*target.partition_by)
         writer.save(target.path)
         if source is df and target.format == "parquet" and len(enabled) > 1:
-            source = df.sparkSession.read.schema(df.schema).parquet(target.path)
+            # columns of folder names come back last
+            source = df.sparkSession.read.schema(df.schema).parquet(target.path).select(*df.columns)
     return {t.name: t.path if t.enabled else None for t in targets}
 
 
