@@ -36,8 +36,13 @@ def build_vocab(
     df: DataFrame, text_col: str = "text", size: int = DEFAULT_VOCAB_SIZE, unicode: bool = False
 ) -> DataFrame:
     """(word, count, id): the ``size`` most frequent words, ids from 106 in that order."""
-    top = heaviest(materialise(word_counts(df, text_col, unicode)), size, "count", "word")
-    return top.select("word", "count", _next_id("word").alias("id"))
+    return vocab_of_counts(word_counts(df, text_col, unicode), size).select("word", "count", "id")
+
+
+def vocab_of_counts(counts: DataFrame, size: int = DEFAULT_VOCAB_SIZE) -> DataFrame:
+    """The ``size`` most frequent words of a (word, count, ...) table with their ids."""
+    top = heaviest(materialise(counts), size, "count", "word")
+    return top.withColumn("id", _next_id("word"))
 
 
 def substrings(word: Column, longest: int) -> Column:
