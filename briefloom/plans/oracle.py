@@ -583,6 +583,17 @@ SELECT doc_id, md5('"' || text || '"' || chr(10) || lang) AS text_md5, length(te
         FROM (SELECT split, count(*) AS n_rows FROM ({SPLIT_DOCS}) GROUP BY split)
         CROSS JOIN (SELECT unnest(['parquet', 'csv']) AS target, TRUE AS written)
         UNION ALL SELECT 'data_transformation', 'splits', 'backup', FALSE, NULL, NULL""",
+    "multi_sink_commit": """
+        SELECT doc_id, md5(text) AS text_md5, lang, unnest(['parquet', 'csv']) AS target, 'v2' AS version FROM documents""",
+    "vocab_incremental": f"""
+        SELECT word, v.count, docs, id FROM ({VOCAB_SQL}) v JOIN (
+          SELECT word, count(*) AS docs FROM (SELECT unnest(list_distinct({words('text')})) AS word FROM documents) GROUP BY word
+        ) USING (word)""",
+    "stream_targets": """
+        SELECT doc_id, md5(text) AS text_md5, unnest(['parquet', 'csv']) AS target FROM documents WHERE doc_id % 10 <> 0
+        UNION ALL SELECT doc_id, NULL, 'quarantine' FROM documents WHERE doc_id % 10 = 0""",
+    "meteor_whole": f"{ROWS_WHOLE}, toks AS ({TOKENISED}) SELECT id, round(meteor::DOUBLE, 6) AS meteor FROM ({METEOR})",
+    "evaluation_whole": f"{ROWS_WHOLE}, toks AS ({TOKENISED}), btoks AS ({BLEU_TOKENISED}) {REPORT_ROWS}",
     "report_roundtrip": f"""
         SELECT coalesce(split, 'total') AS split, unnest(['num_examples', 'num_bytes']) AS metric,
                unnest([count(*), sum(strlen(text))::BIGINT]) AS value

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from briefloom.functions.text import word_tokens
-from briefloom.operators import batches, encode, metrics, pairs, piece_training, pieces, report
+from briefloom.operators import batches, encode, increments, metrics, pairs, piece_training, pieces, report
 from briefloom.operators import split as splits
 from briefloom.operators import summarize, validate, vocab
 from briefloom.plans import prepare
 from briefloom.scaling import materialise, spread
 from briefloom.session import fresh_folder
+from briefloom.sinks import commits
 from briefloom.sinks import manifest as runs
 from briefloom.sinks import report as report_sink
 from briefloom.sinks import sync, tables
@@ -25,6 +26,7 @@ from briefloom.sinks import zip as zip_sink
 from briefloom.sources import archives, arrays, csv, csv_split, incremental, uris, zip_source
 from briefloom.sources import splits as split_source
 from briefloom.streaming import ingest
+from briefloom.streaming import targets as stream_sinks
 
 # Sizes the queries and their SQL share.
 VOCAB = 8_000
@@ -426,6 +428,11 @@ def bleu_corpus(spark, sf_dir):
     return out.withColumn("bleu", six(F.col("bleu")))
 
 
+def meteor_whole(spark, sf_dir):
+    scored = metrics.row_metrics(whole_predictions(spark, sf_dir), ["meteor"])
+    return scored.select("id", six(F.col("meteor")).alias("meteor"))
+
+
 SQL_METRICS = ("rouge1", "rouge2", "bleu", "meteor")
 
 
@@ -438,6 +445,12 @@ def evaluation_report(spark, sf_dir):
     return out.withColumn("value", six(F.col("value")))
 
 
+def evaluation_whole(spark, sf_dir):
+    """The report over whole texts."""
+    out = metrics.evaluation_report(whole_predictions(spark, sf_dir), SQL_METRICS)
+    return out.withColumn("value", six(F.col("value")))
+
+
 def evaluation_report_full(spark, sf_dir):
     """All six metrics for the three extractive models."""
     ranked = summarize.textrank(document_pairs(spark, sf_dir), TOP_SENTENCES)
@@ -647,6 +660,37 @@ def multi_sink_manifest(spark, sf_dir):
     )
 
 
+def multi_sink_commit(spark, sf_dir):
+    """Two versions of two targets, each committed as one step; readers see the last one whole."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    base = fresh_folder(spark, "published")
+    targets = [
+        tables.Target("parquet", f"{base}/parquet", "parquet", ("lang",)),
+        tables.Target("csv", f"{base}/csv", "csv"),
+        tables.Target("backup", f"{base}/backup", enabled=False),
+    ]
+    for version, rows in (("v1", docs.filter("lang = 'en'")), ("v2", docs)):
+        commits.publish(spark, f"{base}/log", version, [(rows, targets)])
+    names = ("parquet", "csv")
+    parts = [
+        commits.read_published(spark, f"{base}/log", name).select(
+            "doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", F.lit(name).alias("target"), "version"
+        )
+        for name in names
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def vocab_incremental(spark, sf_dir):
+    """Counts of two landings, the second on top of the first."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    root, listed = _by_language(spark, docs)
+    store = fresh_folder(spark, "counts")
+    for landed in (listed.filter(F.col("lang").isin("de", "fr")), listed):
+        increments.add_counts(spark, store, landed, lambda files: incremental.read_files(spark, files, docs.schema, base=root))
+    return vocab.vocab_of_counts(increments.stored_counts(spark, store), VOCAB)
+
+
 def report_roundtrip(spark, sf_dir):
     labelled = splits.split_exact(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
     counted = report.split_manifest(labelled, ["text"]).unpivot(
@@ -671,6 +715,30 @@ def stream_ingest(spark, sf_dir):
     return out
 
 
+def stream_targets(spark, sf_dir):
+    """Files with columns in either order go to two targets; rows whose id is no number are set aside."""
+    landing, base, state = (fresh_folder(spark, n) for n in ("landing", "streamed", "state"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    outputs = stream_sinks.Outputs(
+        [tables.Target("parquet", f"{base}/parquet"), tables.Target("csv", f"{base}/csv", "csv")],
+        tables.Target("quarantine", f"{base}/quarantine"), f"{base}/log",
+    )
+    named = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("no:"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    rows = docs.withColumn("doc_id", named)
+    for part in (rows.filter(docs["doc_id"] % 2 == 0), rows.filter(docs["doc_id"] % 2 == 1).select("text", "doc_id")):
+        part.write.mode("append").options(**csv.CSV_OPTIONS, quoteAll="true").csv(landing)
+        stream_sinks.start_targets(spark, landing, outputs, state, LANDING_SCHEMA, max_files=100).awaitTermination()
+    good = [
+        stream_sinks.read_target(spark, outputs, name).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.lit(name).alias("target"))
+        for name in ("parquet", "csv")
+    ]
+    bad = stream_sinks.read_target(spark, outputs, "quarantine").select(
+        F.regexp_extract("record", 'no:([0-9]+)', 1).cast("long").alias("doc_id"),
+        F.lit(None).cast("string").alias("text_md5"), F.lit("quarantine").alias("target"),
+    )
+    return good[0].unionByName(good[1]).unionByName(bad)
+
+
 def stream_features(spark, sf_dir):
     landing, target, state = (fresh_folder(spark, n) for n in ("landing", "features", "state"))
     rows = document_pairs(spark, sf_dir)
@@ -739,6 +807,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_scan": incremental_scan,
     "sync_plan": sync_plan,
     "multi_sink_manifest": multi_sink_manifest,
+    "multi_sink_commit": multi_sink_commit,
+    "vocab_incremental": vocab_incremental,
+    "stream_targets": stream_targets,
+    "meteor_whole": meteor_whole,
+    "evaluation_whole": evaluation_whole,
     "report_roundtrip": report_roundtrip,
     "stream_ingest": stream_ingest,
     "stream_features": stream_features,
