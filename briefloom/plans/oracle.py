@@ -556,6 +556,9 @@ ORACLE: dict[str, str] = {
     "npy_scan": """
         SELECT vec_id, len(embedding)::BIGINT AS dim,
           round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS sum FROM embeddings""",
+    "npy_ranges": """
+        SELECT vec_id, len(embedding)::BIGINT AS dim,
+          round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS sum FROM embeddings""",
     "csv_roundtrip": """
         SELECT doc_id, text, len(string_split(text, ' '))::BIGINT AS n_words FROM documents""",
     "csv_columns_by_name": "SELECT doc_id, text FROM documents",
@@ -578,6 +581,10 @@ SELECT doc_id, md5('"' || text || '"' || chr(10) || lang) AS text_md5, length(te
         SELECT lang, CASE lang WHEN 'de' THEN 'copy' WHEN 'en' THEN 'replace' ELSE 'same' END AS action,
                'backup/lang=' || lang AS folder FROM (SELECT DISTINCT lang FROM documents)
         UNION ALL SELECT lang, 'extra', 'backup/withdrawn/lang=' || lang FROM (SELECT DISTINCT lang FROM documents)""",
+    "sync_content": """
+        SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 'same' WHEN 1 THEN 'replace' WHEN 2 THEN 'duplicate' ELSE 'copy' END AS action,
+          vec_id % 4 = 2 AS renamed FROM embeddings
+        UNION ALL SELECT -1 - vec_id, 'extra', FALSE FROM embeddings WHERE vec_id % 4 = 2""",
     "multi_sink_manifest": f"""
         SELECT 'data_transformation' AS stage, 'splits' AS artifact, target, written, split, n_rows
         FROM (SELECT split, count(*) AS n_rows FROM ({SPLIT_DOCS}) GROUP BY split)

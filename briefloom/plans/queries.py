@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,10 +21,12 @@ from briefloom.scaling import materialise, spread
 from briefloom.session import fresh_folder
 from briefloom.sinks import commits
 from briefloom.sinks import manifest as runs
+from briefloom.sinks import npy as npy_sink
 from briefloom.sinks import report as report_sink
 from briefloom.sinks import sync, tables
 from briefloom.sinks import zip as zip_sink
 from briefloom.sources import archives, arrays, csv, csv_split, incremental, uris, zip_source
+from briefloom.sources import npy_ranges as npy_source
 from briefloom.sources import splits as split_source
 from briefloom.streaming import ingest
 from briefloom.streaming import targets as stream_sinks
@@ -509,6 +512,19 @@ def npy_scan(spark, sf_dir):
     )
 
 
+def npy_ranges(spark, sf_dir):
+    """Real array files, written by tasks and read by ranges of rows: a file is read by several tasks."""
+    landed = fresh_folder(spark, "npy")
+    owners = materialise(npy_sink.write_npy(table(spark, sf_dir, "embeddings"), landed, "embedding", "vec_id"))
+    vectors = npy_source.read_npy_ranges(spark, landed, range_bytes=256 << 10)
+    named = vectors.withColumn("name", F.regexp_extract("path", "[^/]*$", 0))
+    return named.join(owners, ["name", "row"]).select(
+        F.col("key").alias("vec_id"),
+        F.size("vector").cast("long").alias("dim"),
+        six(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x)).alias("sum"),
+    )
+
+
 def csv_roundtrip(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text", F.split("text", " ").alias("words"))
     path = fresh_folder(spark, "csv")
@@ -631,6 +647,32 @@ def sync_plan(spark, sf_dir):
     return plan.select(lang.alias("lang"), "action", folder.alias("folder")).distinct()
 
 
+def sync_content(spark, sf_dir):
+    """Array files of four kinds: as they are, changed in place, under another name in the target, and not there at all."""
+    landed, backup = fresh_folder(spark, "here"), fresh_folder(spark, "there")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    written, held = [], []
+    for kind in range(4):
+        # stored, so that both sides cut the rows into the same files
+        rows = materialise(vectors.filter(F.pmod("vec_id", F.lit(4)) == kind).repartitionByRange(4, "vec_id").sortWithinPartitions("vec_id"))
+        written.append(npy_sink.write_npy(rows, landed, "embedding", "vec_id"))
+        there = rows
+        if kind == 1:
+            there = rows.withColumn("embedding", F.transform("embedding", lambda x: x + 1))
+        if kind == 2:
+            there = rows.withColumn("vec_id", -1 - F.col("vec_id"))
+        if kind < 3:
+            held.append(npy_sink.write_npy(there, backup, "embedding", "vec_id"))
+    owners = materialise(reduce(DataFrame.unionByName, written))
+    spare = materialise(reduce(DataFrame.unionByName, held)).filter("key < 0")
+    plan = sync.sync_by_content(incremental.list_files(spark, landed), incremental.list_files(spark, backup), piece_bytes=100_000)
+    renamed = F.col("origin").startswith("vectors--")
+    return (
+        owners.unionByName(spare).join(plan.drop("key"), F.col("name") == F.col("rel_path"))
+        .select(F.col("key").alias("vec_id"), "action", F.coalesce(renamed, F.lit(False)).alias("renamed"))
+    )
+
+
 def multi_sink_manifest(spark, sf_dir):
     labelled = splits.split_exact(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
     base, stamp = fresh_folder(spark, "run"), runs.run_stamp()
@@ -796,6 +838,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leaderboard": leaderboard,
     "array_roundtrip": array_roundtrip,
     "npy_scan": npy_scan,
+    "npy_ranges": npy_ranges,
     "csv_roundtrip": csv_roundtrip,
     "csv_columns_by_name": csv_columns_by_name,
     "csv_split_large": csv_split_large,
@@ -806,6 +849,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_dataset_scan": split_dataset_scan,
     "incremental_scan": incremental_scan,
     "sync_plan": sync_plan,
+    "sync_content": sync_content,
     "multi_sink_manifest": multi_sink_manifest,
     "multi_sink_commit": multi_sink_commit,
     "vocab_incremental": vocab_incremental,

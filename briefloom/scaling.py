@@ -92,3 +92,12 @@ def left_lookup(
         if field.name != key:
             none = none.withColumn(field.name, F.lit(None).cast(field.dataType))
     return common.unionByName(rare.join(table, key, "left")).unionByName(none)
+
+
+def one_task_each(rows: DataFrame, *keys: str, most: int = 100_000) -> DataFrame:
+    """Deals rows that each stand for much work (a piece of a file, say) to as many tasks as there are rows, up to ``most``.
+
+    ``rows`` is counted, so it should be stored. A plain ``repartition`` by columns would be undone: Spark joins partitions
+    of few bytes, and such rows are small.
+    """
+    return rows.repartition(max(1, min(rows.count(), most)), *keys)

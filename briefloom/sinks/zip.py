@@ -4,33 +4,26 @@ from __future__ import annotations
 
 import csv
 import io
-import os
-import uuid
 import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from briefloom.sinks.files import file_writer
+
 
 def write_zip_csv(df: DataFrame, folder: str, name_by: str, notes: dict[str, str] | None = None, member: str = "rows.csv") -> DataFrame:
     """Writes the rows (as text) and returns the archives' (name, rows); the result is lazy.
 
     An archive is named by the ``name_by`` value of its first row, which must differ between rows. ``notes`` are further
-    members, put first. A task writes under a name of its own and renames, so a repeated attempt
-    replaces the same archive. ``folder`` is on a file system that Arrow knows or a local path.
+    members, put first. A repeated attempt replaces the same archive; for ``folder`` see ``file_writer``.
     """
     columns = df.columns
     place = columns.index(name_by)
 
     def run(batches):
-        from pyarrow import fs
-
-        if ":" in folder and not folder.startswith("file:"):
-            files, root = fs.FileSystem.from_uri(folder)
-        else:
-            files, root = fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-        files.create_dir(root, recursive=True)
+        put = file_writer(folder)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -43,10 +36,7 @@ def write_zip_csv(df: DataFrame, folder: str, name_by: str, notes: dict[str, str
                     archive.writestr(name, content)
                 archive.writestr(member, text.getvalue())
             name = f"part-{rows[0][place]}.zip"
-            own = f"{root}/.{uuid.uuid4().hex}-{os.getpid()}"
-            with files.open_output_stream(own) as out:
-                out.write(held.getvalue())
-            files.move(own, f"{root}/{name}")
+            put(name, held.getvalue())
             yield pa.RecordBatch.from_pydict({"name": [name], "rows": [len(rows)]}, pa.schema([("name", pa.string()), ("rows", pa.int64())]))
 
     return df.select(*[F.col(c).cast("string") for c in columns]).mapInArrow(run, "name string, rows long")

@@ -13,8 +13,8 @@ from briefloom.operators import validate
 from briefloom.operators.encode import Limits, word_encoder
 from briefloom.operators.vocab import build_vocab
 from briefloom.plans import prepare
-from briefloom.sinks import manifest, report, sync, tables
-from briefloom.sources import archives, arrays, csv, incremental, splits, uris
+from briefloom.sinks import manifest, npy, report, sync, tables
+from briefloom.sources import archives, arrays, csv, incremental, npy_ranges, splits, uris
 from briefloom.streaming import ingest
 
 ROWS = [
@@ -105,6 +105,81 @@ def test_npy(spark, tmp_path):
         arrays.read_npy(spark, str(tmp_path)).collect()
 
 
+def test_npy_by_ranges(spark, tmp_path):
+    """Every shape and order that ``numpy.save`` writes, in ranges of a few rows, equals reading it whole."""
+    rng = np.random.default_rng(4)
+    made = {
+        "rows.npy": rng.normal(size=(1_001, 7)).astype("float32"), "columns.npy": np.asfortranarray(rng.normal(size=(57, 5))),
+        "line.npy": np.arange(9), "deep.npy": rng.integers(0, 9, (4, 3, 2)).astype("int16"), "one.npy": np.array(2.5),
+        "none.npy": np.zeros((0, 3)), "big.npy": rng.normal(size=(20, 3)).astype(">f8"), "flags.npy": np.array([[True], [False]]),
+        "narrow.npy": np.zeros((3, 0)),
+    }
+    (tmp_path / "in" / "deeper").mkdir(parents=True)
+    for i, (name, array) in enumerate(made.items()):
+        np.save(tmp_path / "in" / ("deeper" if i % 2 else ".") / name, array)
+    out = npy_ranges.read_npy_ranges(spark, str(tmp_path / "in"), range_bytes=300)
+    got = {(r["path"].rsplit("/", 1)[-1], r["row"]): r["vector"] for r in out.collect()}
+    want = {}
+    for name, array in made.items():
+        array = np.atleast_1d(array)
+        width = int(np.prod(array.shape[1:]))
+        want |= {(name, i): row.tolist() for i, row in enumerate(array.reshape(len(array), width).astype("float64"))}
+    assert got == want
+    tasks = out.filter("path like '%rows.npy'").select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1
+
+
+@pytest.mark.parametrize("content, message", [
+    (b"PK", "not an array file"), (npy_ranges.header_bytes("<f4", (3, 2)) + bytes(20), "does not fit"),
+    (npy_ranges.header_bytes("|O", (1,)) + bytes(8), "not an array of numbers"),
+])
+def test_bad_npy(spark, tmp_path, content, message):
+    (tmp_path / "a.npy").write_bytes(content)
+    with pytest.raises(Exception, match=message):
+        npy_ranges.read_npy_ranges(spark, str(tmp_path)).collect()
+
+
+def test_written_npy(spark, tmp_path):
+    rows = [(i, [float(i), i / 2]) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, v array<float>").repartition(4)
+    owners = npy.write_npy(df, str(tmp_path / "out"), "v", "k").collect()
+    assert {r["key"] for r in owners} == set(range(50))
+    held = {f.name: np.load(f) for f in (tmp_path / "out").glob("*.npy")}
+    assert all(held[r["name"]][r["row"]].tolist() == dict(rows)[r["key"]] for r in owners)
+    for bad in ([(1, [1.0]), (2, [1.0, 2.0])], [(1, None)], [(None, [1.0])], [(1, [None])]):
+        with pytest.raises(Exception, match="vectors of one length"):
+            npy.write_npy(spark.createDataFrame(bad, "k long, v array<float>").coalesce(1), str(tmp_path / "bad"), "v", "k").collect()
+
+
+def test_sync_by_content(spark, tmp_path):
+    """Renamed and same-size changed files, files of several pieces, and copies, from what the files hold."""
+    here = {"same": b"a" * 25, "changed": b"b" * 25, "new name": b"c" * 31, "new": b"d" * 31, "twin": b"c" * 31, "longer": b"e" * 9}
+    there = {"same": b"a" * 25, "changed": b"x" + b"b" * 24, "old name": b"c" * 31, "older name": b"c" * 31, "gone": b"f" * 25, "longer": b"e" * 8}
+    listings = []
+    for side, made in (("here", here), ("there", there)):
+        (tmp_path / side).mkdir()
+        for name, content in made.items():
+            (tmp_path / side / name).write_bytes(content)
+        listings.append(incremental.list_files(spark, str(tmp_path / side)))
+    plan = {r["rel_path"]: (r["key"], r["action"], r["origin"]) for r in sync.sync_by_content(*listings, "p", piece_bytes=10).collect()}
+    assert plan == {
+        "same": ("p/same", "same", None), "changed": ("p/changed", "replace", None), "new name": ("p/new name", "duplicate", "p/old name"),
+        "twin": ("p/twin", "duplicate", "p/old name"), "new": ("p/new", "copy", None),
+        "longer": ("p/longer", "replace", None), "old name": ("p/old name", "extra", None), "older name": ("p/older name", "extra", None),
+        "gone": ("p/gone", "extra", None),
+    }
+    whole = {r["path"]: r["digest"] for r in sync.digests(listings[0], 10).collect()}
+    assert len(set(whole.values())) == 5
+    # pieces in another order are another file
+    (tmp_path / "order").mkdir()
+    for name, content in (("a", b"0123456789abcdefghij"), ("b", b"abcdefghij0123456789")):
+        (tmp_path / "order" / name).write_bytes(content)
+    assert sync.digests(incremental.list_files(spark, str(tmp_path / "order")), 10).select("digest").distinct().count() == 2
+    nothing = listings[1].limit(0)
+    assert {r["action"] for r in sync.sync_by_content(listings[0], nothing).collect()} == {"copy"}
+    assert {r["action"] for r in sync.sync_by_content(nothing, listings[1]).collect()} == {"extra"}
+
+
 URIS = [
     ("s3://b/k", ("b", "k", True)), ("s3://b/k/x\ny", ("b", "k/x\ny", True)), ("s3://b/", ("b", "", True)),
     ("s3:///k", ("", "k", True)), ("s3://b", (None, None, False)), ("http://b/k", (None, None, False)), (None, (None, None, False)),
