@@ -6,6 +6,7 @@ corpus sums are shuffled, as one row per task.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -14,12 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from briefloom.functions.chunks import STATES, fewest_chunks
 from briefloom.functions.lcs_lanes import lcs_lengths, union_hits
 from briefloom.functions.overlap import alignment, in_steps, ngram_matches
 from briefloom.functions.stem import porter_stem
 from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
-from briefloom.operators.encode import looked_up, regroup, send_table
-from briefloom.scaling import MAX_BROADCAST_ROWS
+from briefloom.operators.encode import ROW, looked_up, numbered, regroup, send_table
+from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
 
 # Longest BLEU n-gram; METEOR weights (Banerjee & Lavie 2005).
 BLEU_ORDER = 4
@@ -59,17 +61,25 @@ def shared_ngrams(left: Column, right: Column, orders: int) -> Column:
 ALIGNED = ["matches", "chunks"]
 
 
-def aligned_words(left: Column, right: Column, stages: Sequence[Stage] = ()) -> Column:
-    """Struct (matches, chunks): equal words first, then equal keys of the words left over."""
-    if not stages:
-        return _counting_udf(ALIGNED, alignment)(left, right)
+def aligned_words(
+    left: Column, right: Column, stages: Sequence[Stage] = (), keys: Sequence[tuple[Column, Column]] = (), fewest: bool = False,
+    states: int = STATES,
+) -> Column:
+    """Struct (matches, chunks): equal words first, then equal keys of the words left over.
 
-    @F.arrow_udf(_struct_of(ALIGNED))
+    ``stages`` make keys from words, ``keys`` are lists of them, left and right. With ``fewest`` copies are paired for the fewest
+    chunks, and the struct says whether they are proven to be (``exact``, see ``fewest_chunks``), else k-th copy with k-th copy.
+    """
+    kernel, names = alignment, ALIGNED
+    if fewest:
+        kernel, names = functools.partial(fewest_chunks, states=states), [*ALIGNED, "exact"]
+
+    @F.arrow_udf(_struct_of(names))
     def align(sides: pa.Array) -> pa.Array:
-        return _as_struct(ALIGNED, in_steps(alignment, *sides.flatten()))
+        return _as_struct(names, in_steps(kernel, *sides.flatten()))
 
-    keys = [(left, right)] + [(stage(left), stage(right)) for stage in stages]
-    sides = [side for pair in keys for side in pair]
+    pairs = [(left, right)] + [(stage(left), stage(right)) for stage in stages] + list(keys)
+    sides = [side for pair in pairs for side in pair]
     return align(F.struct(*[side.alias(f"s{i}") for i, side in enumerate(sides)]))
 
 
@@ -82,10 +92,20 @@ def stems(tokens: pa.Array) -> pa.Array:
 
 
 def synonyms(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Stage:
-    """METEOR stage from a (word, key) table: words with the same key match."""
+    """METEOR stage from a (word, key) table: words with the same key match.
+
+    The table must fit the broadcast limit; ``row_metrics(meteor_synonyms=table)`` takes tables of any size.
+    """
+    stage = _sent_synonyms(table, max_rows)
+    if stage is None:
+        raise ValueError("a synonym table must fit the broadcast limit")
+    return stage
+
+
+def _sent_synonyms(table: DataFrame, max_rows: int) -> Stage | None:
     sent = send_table(table.select("word", "key"), max_rows)
     if sent is None:
-        raise ValueError("a synonym table must fit the broadcast limit")
+        return None
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def keys(tokens: pa.Array) -> pa.Array:
@@ -98,6 +118,28 @@ def synonyms(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Stage:
     return keys
 
 
+def joined_keys(
+    rows: DataFrame, table: DataFrame, text_col: str, name: str, unicode: bool = False, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """``rows`` (from ``numbered``) with the list ``name`` of the keys of their words, through a join.
+
+    For (word, key) tables of any size; of several keys of a word the smallest is taken. A word without a key is its own.
+    """
+    # a word is looked up once per row, in all its places; texts without words are not moved
+    places = materialise(
+        rows.select(ROW, F.posexplode(word_tokens(F.col(text_col), unicode)).alias("pos", "word"))
+        .groupBy(ROW, "word").agg(F.collect_list("pos").alias("at"))
+    )
+    keys = materialise(table.groupBy("word").agg(F.min("key").alias("_key")))
+    key = F.coalesce(F.concat(F.lit("key:"), F.col("_key")), F.concat(F.lit("word:"), F.col("word")))
+    placed = left_lookup(places, keys, "word", max_rows).select(ROW, F.transform("at", lambda p: F.struct(p.alias("pos"), key.alias("key"))).alias("at"))
+    gathered = placed.groupBy(ROW).agg(
+        F.transform(F.sort_array(F.flatten(F.collect_list("at"))), lambda entry: entry["key"]).alias(name)
+    )
+    nothing = F.array().cast("array<string>")
+    return rows.join(gathered, ROW, "left").withColumn(name, F.coalesce(name, nothing))
+
+
 @F.arrow_udf(T.IntegerType())
 def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(lcs_lengths(left, right), pa.int32())
@@ -134,16 +176,31 @@ def row_metrics(
     reference: str = "reference",
     unicode: bool = False,
     meteor_stages: Sequence[Stage] = (),
+    meteor_synonyms: DataFrame | None = None,
+    fewest_chunks: bool = False,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add one struct (p, r, f) per ROUGE metric and one number for METEOR.
 
-    METEOR matches equal words, k-th copy to k-th copy; ``meteor_stages`` such as ``stems``
-    and ``synonyms(table)`` then match what is left over.
+    METEOR matches equal words, k-th copy to k-th copy or, with ``fewest_chunks``, the copies that make the fewest chunks;
+    ``meteor_stages`` such as ``stems`` and ``synonyms(table)`` then match what is left over, and last
+    ``meteor_synonyms``, a (word, key) table of any size: it is joined if it is too large to be sent.
     """
     unknown = set(metrics) - set(ROW_METRICS)
     if unknown:
         raise ValueError(f"not a row metric: {sorted(unknown)}")
     h, r = F.col("_h"), F.col("_r")
+    stages, keys = list(meteor_stages), []
+    if meteor_synonyms is not None and "meteor" in metrics:
+        table = meteor_synonyms.groupBy("word").agg(F.min("key").alias("key"))
+        stage = _sent_synonyms(table, max_rows)
+        if stage is not None:
+            stages.append(stage)
+        else:
+            df = numbered(df)
+            for name, text in (("_keys_h", prediction), ("_keys_r", reference)):
+                df = joined_keys(df, table, text, name, unicode, max_rows)
+            keys = [(F.col("_keys_h"), F.col("_keys_r"))]
     tokens = df.withColumns(
         {
             "_h": word_tokens(F.col(prediction), unicode),
@@ -163,7 +220,7 @@ def row_metrics(
         ]
         counts["_lcs_sum"] = _union_lcs(*lines)
     if "meteor" in metrics:
-        counts["_aligned"] = aligned_words(h, r, meteor_stages)
+        counts["_aligned"] = aligned_words(h, r, stages, keys, fewest_chunks)
     counted = tokens.withColumns(counts)
     n_h, n_r = F.size(h), F.size(r)
     scores = {}
@@ -176,7 +233,7 @@ def row_metrics(
         scores["rougeLsum"] = _prf(F.col("_lcs_sum"), n_h, n_r)
     if "meteor" in metrics:
         scores["meteor"] = _meteor(F.col("_aligned.matches"), F.col("_aligned.chunks"), n_h, n_r)
-    return counted.withColumns(scores).drop("_h", "_r", *counts)
+    return counted.withColumns(scores).drop("_h", "_r", "_keys_h", "_keys_r", ROW, *counts)
 
 
 def metric_value(name: str) -> Column:

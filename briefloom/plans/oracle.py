@@ -186,6 +186,39 @@ def rouge_rows(source: str) -> str:
     )
 
 
+SYNONYM_KEY = "CASE WHEN len(word) >= 5 THEN 'key:' || substr(word, 1, 4) ELSE 'word:' || word END"
+
+
+def _left_over(name: str, other: str) -> str:
+    """Words of one side that equal words leave over, numbered by key."""
+    return f"""
+  {name}_over AS (SELECT model, id, pos, {SYNONYM_KEY} AS key,
+      row_number() OVER (PARTITION BY model, id, {SYNONYM_KEY} ORDER BY pos) AS k
+    FROM {name} ANTI JOIN {other} USING (model, id, word, k))"""
+
+
+def _numbered(name: str, words_of: str) -> str:
+    return f"""
+  {name} AS (SELECT model, id, word, pos, row_number() OVER (PARTITION BY model, id, word ORDER BY pos) AS k
+    FROM (SELECT model, id, unnest({words_of}) AS word, generate_subscripts({words_of}, 1) AS pos FROM toks))"""
+
+
+METEOR_SYNONYMS = f"""
+WITH {_numbered('hw', 'h')}, {_numbered('rw', 'r')}, {_left_over('hw', 'rw')}, {_left_over('rw', 'hw')},
+  pairs AS (
+    SELECT hw.model, hw.id, hw.pos AS hp, rw.pos AS rp FROM hw JOIN rw USING (model, id, word, k)
+    UNION ALL SELECT a.model, a.id, a.pos, b.pos FROM hw_over a JOIN rw_over b USING (model, id, key, k)),
+  counted AS (
+    SELECT model, id, count(*)::DOUBLE AS m,
+      (count(*) FILTER (WHERE NOT coalesce(hp = ph + 1 AND rp = pr + 1, FALSE)))::DOUBLE AS chunks
+    FROM (SELECT *, lag(hp) OVER w AS ph, lag(rp) OVER w AS pr FROM pairs WINDOW w AS (PARTITION BY model, id ORDER BY hp))
+    GROUP BY model, id)
+SELECT model, id, CASE WHEN m IS NULL THEN 0.0 ELSE
+  (10 * (m / len(h)) * (m / len(r)) / (m / len(r) + 9 * (m / len(h)))) * (1 - 0.5 * (chunks / m) ** 3) END AS meteor
+FROM toks LEFT JOIN counted USING (model, id)
+"""
+
+
 METEOR = """
 SELECT model, id, CASE WHEN m = 0 THEN 0.0 ELSE
   (10 * (m / h) * (m / r) / (m / r + 9 * (m / h))) * (1 - 0.5 * (chunks / m) ** 3) END AS meteor
@@ -600,6 +633,7 @@ SELECT doc_id, md5('"' || text || '"' || chr(10) || lang) AS text_md5, length(te
         SELECT doc_id, md5(text) AS text_md5, unnest(['parquet', 'csv']) AS target FROM documents WHERE doc_id % 10 <> 0
         UNION ALL SELECT doc_id, NULL, 'quarantine' FROM documents WHERE doc_id % 10 = 0""",
     "meteor_whole": f"{ROWS_WHOLE}, toks AS ({TOKENISED}) SELECT id, round(meteor::DOUBLE, 6) AS meteor FROM ({METEOR})",
+    "meteor_synonyms": f"{ROWS_WHOLE}, toks AS ({TOKENISED}) SELECT id, round(meteor::DOUBLE, 6) AS meteor FROM ({METEOR_SYNONYMS})",
     "evaluation_whole": f"{ROWS_WHOLE}, toks AS ({TOKENISED}), btoks AS ({BLEU_TOKENISED}) {REPORT_ROWS}",
     "report_roundtrip": f"""
         SELECT coalesce(split, 'total') AS split, unnest(['num_examples', 'num_bytes']) AS metric,

@@ -436,6 +436,26 @@ def meteor_whole(spark, sf_dir):
     return scored.select("id", six(F.col("meteor")).alias("meteor"))
 
 
+def meteor_fewest(spark, sf_dir):
+    """Whole texts, with the copies of repeated words paired for the fewest chunks."""
+    scored = metrics.row_metrics(whole_predictions(spark, sf_dir), ["meteor"], fewest_chunks=True)
+    return scored.select("id", six(F.col("meteor")).alias("meteor"))
+
+
+def meteor_stems(spark, sf_dir):
+    """Whole texts: equal words, then equal stems."""
+    scored = metrics.row_metrics(whole_predictions(spark, sf_dir), ["meteor"], meteor_stages=[metrics.stems])
+    return scored.select("id", six(F.col("meteor")).alias("meteor"))
+
+
+def meteor_synonyms(spark, sf_dir):
+    """Whole texts: equal words, then words of five letters or more that begin alike; the table of these is joined, not sent."""
+    words = documents(spark, sf_dir).select(F.explode(word_tokens(F.col("text"))).alias("word")).distinct()
+    alike = words.filter(F.length("word") >= 5).withColumn("key", F.substring("word", 1, 4))
+    scored = metrics.row_metrics(whole_predictions(spark, sf_dir), ["meteor"], meteor_synonyms=alike, max_rows=0)
+    return scored.select("id", six(F.col("meteor")).alias("meteor"))
+
+
 SQL_METRICS = ("rouge1", "rouge2", "bleu", "meteor")
 
 
@@ -855,6 +875,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_incremental": vocab_incremental,
     "stream_targets": stream_targets,
     "meteor_whole": meteor_whole,
+    "meteor_fewest": meteor_fewest,
+    "meteor_stems": meteor_stems,
+    "meteor_synonyms": meteor_synonyms,
     "evaluation_whole": evaluation_whole,
     "report_roundtrip": report_roundtrip,
     "stream_ingest": stream_ingest,

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from briefloom.functions.chunks import fewest_chunks
 from briefloom.functions.lcs import lcs_length, lcs_positions, union_lcs_hits
+from briefloom.functions.overlap import alignment
 from briefloom.functions.stem import porter_stem
 from briefloom.operators.metrics import (
     REPORT_METRICS,
@@ -247,3 +251,83 @@ def test_lcs_of_long_texts_needs_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found) == n and peak < 1_000_000
+
+
+def fewest_by_trying_all(left, right, key):
+    """(matches, chunks) over all alignments: most equal words, then most equal keys, then fewest chunks."""
+    best = (0, 0, 0)
+
+    def go(i, used, before, exact, other, chunks):
+        nonlocal best
+        if i == len(left):
+            best = max(best, (exact, other, -chunks))
+            return
+        go(i + 1, used, None, exact, other, chunks)
+        for j, word in enumerate(right):
+            if j not in used and key(word) == key(left[i]):
+                same = word == left[i]
+                more = before is None or j != before + 1
+                go(i + 1, used | {j}, j, exact + same, other + (not same), chunks + more)
+
+    go(0, frozenset(), None, 0, 0, 0)
+    return best[0] + best[1], -best[2]
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_fewest_chunks_equal_trying_all(keyed):
+    rng = random.Random(8)
+    key = (lambda w: w.lower()[0]) if keyed else (lambda w: w)
+    rows = [
+        (rng.choices(["a1", "a2", "b1", "b2", "c1"], k=rng.randint(0, 6)), rng.choices(["a1", "a2", "b1", "a3", "c1"], k=rng.randint(0, 6)))
+        for _ in range(400)
+    ]
+    words = [pa.array([r[side] for r in rows], pa.list_(pa.string())) for side in (0, 1)]
+    keys = [pa.array([[key(w) for w in r[side]] for r in rows], pa.list_(pa.string())) for side in (0, 1)]
+    stages = words + keys if keyed else words
+    matches, chunks, exact = fewest_chunks(*stages, states=5_000)
+    plain = alignment(*stages)
+    want = [fewest_by_trying_all(*r, key) for r in rows]
+    assert list(zip(matches.tolist(), chunks.tolist())) == want
+    assert exact.all() and (chunks < plain[1]).any() and (matches == plain[0]).all()
+    # few open choices: no fewer chunks than there can be, no more than k-th copies give, and told apart
+    _, some, sure = fewest_chunks(*stages, states=1)
+    assert (some >= chunks).all() and (some <= plain[1]).all() and (some == chunks)[sure == 1].all()
+
+
+def test_fewest_chunks_of_long_rows():
+    rng = random.Random(9)
+    text = rng.choices(["the", "of", *map(str, range(2_000))], weights=[200, 100, *[1] * 2_000], k=6_000)
+    moved = text[2_000:] + text[:2_000]
+    started = time.perf_counter()
+    matches, chunks, _ = fewest_chunks(*[pa.array([t], pa.list_(pa.string())) for t in (moved, text)])
+    assert matches[0] == 6_000 and chunks[0] < 10
+    assert time.perf_counter() - started < 60
+
+
+def test_meteor_with_the_fewest_chunks(spark):
+    rows = pairs(spark, [("a", "the end of the day", "of the day the end"), ("b", "cats of the cat", "the cat of cats"), ("c", None, "x"), ("d", "", "")])
+
+    def value(**options):
+        return {r["id"]: r["meteor"] for r in row_metrics(rows, ["meteor"], **options).collect()}
+
+    plain, fewest = value(), value(fewest_chunks=True)
+    assert fewest["a"] == pytest.approx(1 - 0.5 * (2 / 5) ** 3) and plain["a"] < fewest["a"]
+    assert fewest["c"] == fewest["d"] == 0.0
+    assert value(fewest_chunks=True, meteor_stages=[stems])["b"] >= value(meteor_stages=[stems])["b"]
+    with pytest.raises(Exception, match="one more stage"):
+        value(fewest_chunks=True, meteor_stages=[stems, stems])
+
+
+def test_synonyms_by_join_equal_synonyms_sent(spark):
+    rows = pairs(spark, [*random_texts(5, 60), ("null", None, "a b"), ("empty", "", "c"), ("0", "a a b", "b c c"), (None, "d", "e")])
+    table = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2"), ("d", "2"), ("d", "3"), ("unused", "9")], "word string, key string")
+
+    def value(**options):
+        out = row_metrics(rows, ["meteor"], meteor_synonyms=table, **options)
+        assert out.columns == ["id", "prediction", "reference", "meteor"]
+        return sorted((r["id"] or "", r["meteor"]) for r in out.collect())
+
+    sent = value()
+    assert sent == value(max_rows=0)
+    assert value(fewest_chunks=True) == value(fewest_chunks=True, max_rows=0)
+    assert sum(v for _, v in sent) > sum(r["meteor"] for r in row_metrics(rows, ["meteor"]).collect())
