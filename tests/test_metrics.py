@@ -331,3 +331,33 @@ def test_synonyms_by_join_equal_synonyms_sent(spark):
     assert sent == value(max_rows=0)
     assert value(fewest_chunks=True) == value(fewest_chunks=True, max_rows=0)
     assert sum(v for _, v in sent) > sum(r["meteor"] for r in row_metrics(rows, ["meteor"]).collect())
+
+
+def test_queries_of_repeated_words_and_stems(spark, tmp_path):
+    """Whole queries on a small table against trying all alignments."""
+    from briefloom.plans import queries
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        first, rest = (" ".join(rng.choices(["cats", "cat", "runs", "run", "of"], k=k)) for k in (4, 6))
+        rows.append((i, f"{first.capitalize()}. {rest.capitalize()}.", "en", "s", 50))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    texts = {r["id"]: (r["prediction"], r["reference"]) for r in queries.whole_predictions(spark, str(tmp_path)).collect()}
+    assert texts
+    fewest = {r["id"]: r["meteor"] for r in queries.meteor_fewest(spark, str(tmp_path)).collect()}
+    stemmed = {r["id"]: r["meteor"] for r in queries.meteor_stems(spark, str(tmp_path)).collect()}
+    assert set(fewest) == set(stemmed) == set(texts)
+    for key, (h, r) in texts.items():
+        h, r = ([w.strip(".").lower() for w in t.split()] for t in (h, r))
+
+        def meteor(m, chunks):
+            p, q = m / len(h), m / len(r)
+            return 10 * p * q / (q + 9 * p) * (1 - 0.5 * (chunks / m) ** 3) if m else 0.0
+
+        assert fewest[key] == pytest.approx(meteor(*fewest_by_trying_all(h, r, lambda w: w)), abs=1e-6)
+        # paired in order: as many matches, and no fewer chunks
+        m, chunks = fewest_by_trying_all(h, r, porter_stem)
+        assert meteor(m, m) - 1e-6 <= stemmed[key] <= meteor(m, chunks) + 1e-6
