@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from briefloom.functions.chunks import fewest_chunks
+from briefloom.functions.chunks import _Row, fewest_chunks
 from briefloom.functions.lcs import lcs_length, lcs_positions, union_lcs_hits
 from briefloom.functions.overlap import alignment
 from briefloom.functions.stem import porter_stem
@@ -304,6 +304,15 @@ def test_fewest_chunks_of_long_rows():
     assert time.perf_counter() - started < 60
 
 
+def test_words_that_meet_nothing_cost_no_choices(monkeypatch):
+    """Of a long text only the words that occur opposite are searched."""
+    asked = []
+    monkeypatch.setattr(_Row, "choices", lambda self, word, used, seen: asked.append(word) or ([], True))
+    text = [f"w{i}" for i in range(500)] + ["b", "x", "a", "a"]
+    _, chunks, exact = fewest_chunks(*[pa.array([t], pa.list_(pa.string())) for t in (text, ["a", "b"])])
+    assert (chunks.tolist(), exact.tolist(), asked) == ([2], [1], [])
+
+
 def test_meteor_with_the_fewest_chunks(spark):
     rows = pairs(spark, [("a", "the end of the day", "of the day the end"), ("b", "cats of the cat", "the cat of cats"), ("c", None, "x"), ("d", "", "")])
 
