@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Working arrays are a few times the size of the tokens they cover.
-TOKENS_PER_STEP = 2_000_000
+# Working arrays are some tens of times the size of the tokens' codes that they cover.
+TOKENS_PER_STEP = 200_000
 
 
 def steps(sizes: np.ndarray, most: int = TOKENS_PER_STEP) -> Iterator[slice]:

@@ -31,14 +31,25 @@ def row_count_at_most(df: DataFrame, limit: int, max_bytes: int = MAX_BROADCAST_
     return rows <= limit and size <= max_bytes
 
 
-def spread(df: DataFrame, small: int = 200_000) -> DataFrame:
-    """Use every core for a *small* table that lies in fewer pieces than the session has partitions.
+# Rows of a text table that one task takes, and the most tasks a table is dealt to.
+TASK_ROWS = 5_000
+MOST_TASKS = 10_000
 
-    The rows are counted, which Parquet answers from its footers. Tables above ``small`` rows are
-    returned as they are: their files have pieces enough, and are never shuffled for this.
+
+def spread(df: DataFrame, small: int = 200_000, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Use every core for a table that lies in fewer pieces than its rows ask for.
+
+    The rows are counted, which Parquet answers from its footers. A *small* table gets as many pieces as the session
+    has partitions, and any table a piece for every ``task_rows`` rows: a file is cut only between its row groups,
+    which may hold most of a table. What a task takes at a time so does not grow with the table. A table that
+    lies in pieces enough is returned as it is.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts) if df.count() <= small else df
+    rows = df.count()
+    parts = min(MOST_TASKS, -(-rows // task_rows))
+    if rows <= small:
+        parts = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartition(parts)
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
 def heaviest(

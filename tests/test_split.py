@@ -13,6 +13,7 @@ from briefloom.operators.split import (
     split_hash,
     split_stratified,
 )
+from briefloom.scaling import spread
 
 # n -> (train, val, test), worked out by hand from two-stage rounding up.
 SIZES = {
@@ -108,3 +109,11 @@ def test_rank_within_groups(spark):
     ranked = seeded_rank(rows, within=["g"])
     by_group = {r["g"]: sorted(r["ranks"]) for r in ranked.groupBy("g").agg(F.collect_list("rank").alias("ranks")).collect()}
     assert by_group == {"hot": list(range(1, 501)), "cold": list(range(1, 101))}
+
+
+def test_a_file_with_one_row_group_is_dealt_to_many_tasks(spark, tmp_path):
+    spark.range(1_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    table = spark.read.parquet(str(tmp_path / "one"))
+    dealt = spread(table, small=10, task_rows=50)
+    assert dealt.rdd.getNumPartitions() == 20 and dealt.agg(F.sum("id")).first()[0] == 499_500
+    assert spread(table, small=10, task_rows=1_000).rdd.getNumPartitions() == 1
