@@ -24,6 +24,7 @@ from briefloom.scaling import MAX_BROADCAST_ROWS, materialise, row_count_at_most
 from briefloom.sources.csv import CORPUS_SCHEMA, header_names
 
 CHUNK_ROWS = 2_000
+TASK_BYTES = 16 << 20  # of ranges that one task reads
 CELL_LIMIT = 2**31 - 1  # the csv module's own is 128 kB
 # What a piece of a record that spans ranges is in its range: the end of one that began before, all
 # of it inside one, or the beginning of one that goes on.
@@ -34,11 +35,11 @@ def quotes_in(column):
     return F.length(column) - F.length(F.replace(column, F.lit('"'), F.lit("")))
 
 
-def ranges_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def ranges_of(spark: SparkSession, paths: Sequence[str], range_bytes: int | None = None) -> DataFrame:
     """(path, start, range, inside, header) of every byte range that begins a line: whether it begins
     inside quotes, and the first line of its file. One pass over the lines, without Python; a row for
     each range is shuffled."""
-    lines = _lines(spark, paths).withColumn("at", F.monotonically_increasing_id())
+    lines = _lines(spark, paths, range_bytes).withColumn("at", F.monotonically_increasing_id())
     first = F.min_by(F.when(F.col("start") == 0, F.col("value")), "at")
     counted = lines.groupBy("path", "start").agg(F.sum(quotes_in(F.col("value"))).alias("quotes"), first.alias("first"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -50,10 +51,17 @@ def ranges_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.option("lineSep", "\n").text(list(paths)).select(
+def _lines(spark: SparkSession, paths: Sequence[str], range_bytes: int | None = None) -> DataFrame:
+    """Lines with their range. A task takes ranges one after the other, ``TASK_BYTES`` of them: each task reports to the
+    driver, so that there must not be one for every small range."""
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
     )
+    if range_bytes and range_bytes < TASK_BYTES:
+        n = lines.rdd.getNumPartitions()
+        tasks = max(-(-n * range_bytes // TASK_BYTES), min(n, 2 * spark.sparkContext.defaultParallelism))
+        lines = lines.coalesce(tasks) if tasks < n else lines
+    return lines
 
 
 def records(lines: Iterator[str], pending: list[str]) -> Iterator[list[str]]:
@@ -195,7 +203,7 @@ def read_split_csv(
     too many cells, a cell that is not of its column's type and quotes that are never closed are errors.
     Quotes inside a quoted cell are doubled; a cell that is not quoted holds none. Line ends
     inside cells stay as they are; records end in ``\\n`` or ``\\r\\n``. Lines without cells are no
-    records. ``range_bytes`` (default: the session's ``spark.sql.files.maxPartitionBytes``) is the size of a range. The lines
+    records. ``range_bytes`` (default: the session's ``spark.sql.files.maxPartitionBytes``) is the size of a range; small ranges share a task. The lines
     are read twice: to count quotes and to parse. The table of ranges, one row each, is broadcast
     when counted to be small; beyond that lines are brought together by range.
     """
@@ -210,13 +218,13 @@ def read_split_csv(
         spark.conf.set("spark.sql.files.maxPartitionBytes", range_bytes)
         spark.conf.set("spark.sql.files.openCostInBytes", min(range_bytes, 4 << 20))
     names = schema.fieldNames()
-    ranges = ranges_of(spark, given)
+    ranges = ranges_of(spark, given, range_bytes)
     headers = [r["header"] for r in ranges.select("header").distinct().orderBy("header").collect()]
     layouts = [_Layout(h or "", names, set(na_values)) for h in headers]
     known = spark.createDataFrame([(h, i) for i, h in enumerate(headers)], "header string, layout int")
     ranges = materialise(ranges.join(F.broadcast(known), "header").drop("header"))  # one row a header
 
-    lines = _lines(spark, given)
+    lines = _lines(spark, given, range_bytes)
     if row_count_at_most(ranges, max_broadcast_rows):
         lines = lines.join(F.broadcast(ranges), ["path", "start"], "left")
     else:

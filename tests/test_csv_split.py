@@ -82,3 +82,11 @@ def test_pieces_and_records_of_a_range():
     assert list(records_of(iter(lines), True, False)) == [["a", "b"], ["c\nd", "e"]]
     assert pieces_of(iter(["x", "y"]), True) == [(WHOLE, "x\ny")] and list(records_of(iter(["x"]), True, False)) == []
     assert pieces_of(iter(["h", "1"]), False) == [] and list(records_of(iter(["h", "1"]), False, True)) == [["1"]]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    rows = [{"id": i, "text": f'a "b"\n{i}' * 50, "note": "n"} for i in range(1_500)]
+    path = written(tmp_path / "one.csv", rows)
+    back = read_split_csv(spark, str(path), SCHEMA, (), range_bytes=4_000)
+    assert back.rdd.getNumPartitions() < 100 < path.stat().st_size // 4_000
+    assert plain(back) == sorted((r["id"], r["text"], r["note"]) for r in rows)
