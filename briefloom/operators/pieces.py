@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from briefloom.functions.text import whitespace_tokens, word_tokens
-from briefloom.operators.encode import IDS, ROW, kept_tokens, regroup, send_table
+from briefloom.operators.encode import IDS, answered, asked_words, kept_tokens, regroup, send_table
 from briefloom.operators.vocab import UNKNOWN_ID, substrings
 from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
 
@@ -83,6 +83,21 @@ def best_segmentation(word: str, scores: dict, longest: int, unknown: float) ->
     return [None if code < 0 else word[a:b] for a, b, code in trie.best(word, unknown)]
 
 
+def _strung(tokens: pa.Array, words: pa.Array, coded: list[list[int]]) -> pa.Array:
+    """The codes of each list of tokens, one word after the other; ``words`` numbers the tokens' words, ``coded`` has their codes."""
+    per_word = pa.array(coded, pa.list_(pa.int32())).take(words)
+    ends = pc.fill_null(pc.list_value_length(per_word), 0).to_numpy(zero_copy_only=False).cumsum()
+    stops = pc.cumulative_sum(pc.list_value_length(tokens)).to_numpy(zero_copy_only=False)
+    totals = [int(ends[stop - 1]) if stop else 0 for stop in stops]
+    lengths = [b - a for a, b in zip([0] + totals, totals)]
+    return regroup(per_word.flatten(), pa.array(lengths, pa.int32()))
+
+
+def _code_lists(tokens: pa.Array, codes: dict) -> pa.Array:
+    words = pc.cast(tokens.flatten(), pa.string()).dictionary_encode()
+    return _strung(tokens, words.indices, [codes[word] for word in words.dictionary.to_pylist()])
+
+
 def piece_encoder(
     pieces: DataFrame,
     unknown: int = UNKNOWN_ID,
@@ -117,13 +132,7 @@ def piece_encoder(
                 best = trie.best(word_mark + word, trie.worst - UNKNOWN_PENALTY)
                 codes = known[word] = [unknown if code < 0 else code for _, _, code in best]
             coded.append(codes)
-        per_word = pa.array(coded, pa.list_(pa.int32())).take(words.indices)
-        sizes = pc.fill_null(pc.list_value_length(per_word), 0).to_numpy(zero_copy_only=False)
-        ends = sizes.cumsum()
-        stops = pc.cumulative_sum(pc.list_value_length(tokens)).to_numpy(zero_copy_only=False)
-        totals = [int(ends[stop - 1]) if stop else 0 for stop in stops]
-        lengths = [b - a for a, b in zip([0] + totals, totals)]
-        return regroup(per_word.flatten(), pa.array(lengths, pa.int32()))
+        return _strung(tokens, words.indices, coded)
 
     def encode(text: Column, max_length: int) -> Column:
         words = whitespace_tokens(text) if cased else word_tokens(text, unicode)
@@ -164,16 +173,11 @@ def encode_by_piece_join(
 ) -> DataFrame:
     """``rows`` (from ``encode.numbered``) with unpadded piece ids ``name``, for piece tables of any size.
 
-    Each different word is segmented once and its codes are joined back, the words that most rows have
-    by broadcast. Texts without words are not moved, and get an empty array.
+    Each different word is segmented once, and each block of rows asks once for the codes of its words. Texts without
+    words get an empty array.
     """
-    tokens = materialise(
-        rows.select(ROW, F.posexplode(kept_tokens(F.col(text_col), max_length, unicode)).alias("pos", "word"))
-    )
-    coded = materialise(segmented_words(tokens.select("word").distinct(), pieces, unknown, max_rows))
-    place = F.struct("pos", "codes")
-    gathered = left_lookup(tokens, coded, "word", max_rows).groupBy(ROW).agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(place)), lambda entry: entry["codes"])).alias(name)
-    )
-    cut = F.slice(F.coalesce(name, F.array().cast("array<int>")), F.lit(1), F.lit(max_length - 1))
-    return rows.join(gathered, ROW, "left").withColumn(name, cut)
+    words = kept_tokens(F.col(text_col), max_length, unicode)
+    asked = asked_words(rows, words)
+    coded = segmented_words(asked.select("word").distinct(), pieces, unknown, max_rows)
+    whole = answered(rows, {name: words}, asked, coded, _code_lists, IDS, max_rows=max_rows)
+    return whole.withColumn(name, F.slice(name, F.lit(1), F.lit(max_length - 1)))

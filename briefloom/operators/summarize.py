@@ -5,14 +5,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from briefloom.functions.overlap import steps
 from briefloom.functions.text import let, sentences, word_tokens
-from briefloom.operators.encode import ROW, looked_up, numbered, regroup, send_table
-from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise
+from briefloom.operators.encode import ROW, answered, asked_words, looked_up, numbered, regroup, send_table
+from briefloom.scaling import MAX_BROADCAST_ROWS, materialise
 
 # TextRank damping (Mihalcea & Tarau 2004) and number of rounds.
 DAMPING = 0.85
@@ -63,33 +63,47 @@ def _six_places(value):
     return np.floor(value * 1e6 + 0.5) / 1e6
 
 
+def _tokenised(text_col: str) -> Column:
+    return F.transform(sentences(F.col(text_col)), lambda s: word_tokens(s))
+
+
+def _mean_idf(docs: pa.Array, idf: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(mean idf to 6 places, number of tokens) of the sentences of ``docs``, one after the other."""
+    parts = docs.flatten()
+    lengths = _sizes(parts)
+    values = looked_up(parts.flatten(), idf, pa.float64()).to_numpy(zero_copy_only=False)
+    sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), values, len(lengths))
+    return _six_places(sums / np.maximum(lengths, 1)), lengths
+
+
+def _best_by_idf(docs: pa.Array, idf: dict, k: int) -> pa.Array:
+    def best(part: pa.Array) -> pa.Array:
+        scores, lengths = _mean_idf(part, idf)
+        return top_positions(_sizes(part), scores, k, lengths > 0)
+
+    return _in_ranges(docs, best)
+
+
+def _by_join(rows: DataFrame, idf: DataFrame, text_col: str, kernel, name: str, type_: T.DataType, **limits) -> DataFrame:
+    docs = _tokenised(text_col)
+    asked = asked_words(rows, F.flatten(docs))
+    return answered(rows, {name: docs}, asked, idf.select("word", "idf"), kernel, type_, **limits)
+
+
 def tfidf_scores(rows: DataFrame, idf: DataFrame, text_col: str, **limits) -> DataFrame:
     """(row, pos, score) of rows from ``numbered``: mean idf of the sentence's tokens, to 6 places."""
-    tokens = materialise(
-        rows.select(ROW, F.posexplode(sentences(F.col(text_col))).alias("pos", "sentence")).select(
-            ROW, "pos", F.explode(word_tokens(F.col("sentence"))).alias("word")
-        )
-    )
-    return (
-        left_lookup(tokens, idf.select("word", "idf"), "word", **limits)
-        .groupBy(ROW, "pos")
-        .agg((F.floor(F.avg("idf") * 1e6 + 0.5) / 1e6).alias("score"))
-    )
+
+    def scored(docs: pa.Array, values: dict) -> pa.Array:
+        scores, lengths = _mean_idf(docs, values)
+        return regroup(pa.array(scores, pa.float64(), mask=lengths == 0), pc.list_value_length(docs))
+
+    lists = _by_join(rows, idf, text_col, scored, "_scores", T.ArrayType(T.DoubleType()), **limits)
+    return lists.select(ROW, F.posexplode("_scores").alias("pos", "score")).filter(F.col("score").isNotNull())
 
 
 def _chosen_by_join(df: DataFrame, idf: DataFrame, k: int, text_col: str, **limits) -> DataFrame:
-    """Add ``_chosen`` with a word join: only (row, position, score) rows are ranked, and the
-    texts take part in one join, with the k chosen positions."""
-    rows = numbered(df)
-    best = Window.partitionBy(ROW).orderBy(F.desc("score"), F.asc("pos"))
-    chosen = (
-        tfidf_scores(rows, idf, text_col, **limits)
-        .withColumn("_r", F.row_number().over(best))
-        .filter(F.col("_r") <= k)
-        .groupBy(ROW)
-        .agg(F.sort_array(F.collect_list("pos")).alias("_chosen"))
-    )
-    return rows.join(chosen, ROW, "left")
+    """Add ``_chosen`` with a word join: blocks of texts ask for the idf of their words, and are ranked where these arrive."""
+    return _by_join(numbered(df), idf, text_col, lambda docs, values: _best_by_idf(docs, values, k), "_chosen", POSITIONS, **limits)
 
 
 def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
@@ -97,20 +111,9 @@ def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
 
     @F.arrow_udf(POSITIONS)
     def choose(docs: pa.Array) -> pa.Array:
-        idf = sent.value.mapping("word", "idf")
-
-        def best(part: pa.Array) -> pa.Array:
-            parts = part.flatten()
-            lengths = _sizes(parts)
-            values = looked_up(parts.flatten(), idf, pa.float64()).to_numpy(zero_copy_only=False)
-            sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), values, len(lengths))
-            scores = _six_places(sums / np.maximum(lengths, 1))
-            return top_positions(_sizes(part), scores, k, lengths > 0)
-
-        return _in_ranges(docs, best)
+        return _best_by_idf(docs, sent.value.mapping("word", "idf"), k)
 
-    parts = F.transform(sentences(F.col(text_col)), lambda s: word_tokens(s))
-    return df.withColumn("_chosen", choose(parts))
+    return df.withColumn("_chosen", choose(_tokenised(text_col)))
 
 
 def _with_chosen(
@@ -258,5 +261,4 @@ def textrank(
     def choose(docs: pa.Array) -> pa.Array:
         return _in_ranges(docs, lambda part: best_sentences(part, k))
 
-    parts = F.transform(sentences(F.col(text_col)), lambda s: word_tokens(s))
-    return _with_chosen(df.withColumn("_chosen", choose(parts)), df.columns, text_col, output_col)
+    return _with_chosen(df.withColumn("_chosen", choose(_tokenised(text_col))), df.columns, text_col, output_col)

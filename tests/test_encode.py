@@ -65,6 +65,16 @@ def test_join_path_does_not_use_ids(spark, words):
     assert sorted(map(str, encode.encode_pairs(rows, words, Limits(6, 4), max_rows=1).collect())) == want
 
 
+def test_a_block_asks_once_for_each_of_its_words(spark, words):
+    texts = spark.range(300).coalesce(1).select(F.lit("the cat and the dog").alias("text"))
+    rows = encode.numbered(texts)
+    asked = encode.asked_words(rows, encode.kept_tokens(F.col("text"), 100))
+    assert asked.count() == 2 * 4  # 300 rows are two blocks
+    want = encode.word_encoder(words)(F.col("text"), 100)
+    ids = encode.encode_by_join(rows, words, "text", 100, max_rows=1).select("ids", want.alias("want"))
+    assert ids.count() == 300 and ids.filter("ids != want").count() == 0
+
+
 def test_large_vocab_is_not_sent(words):
     assert encode.word_encoder(words, max_rows=2) is None
 
