@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from briefloom.operators.encode import send_table
 from briefloom.operators.pieces import Trie
-from briefloom.operators.vocab import FIRST_WORD_ID, build_pieces, word_counts
-from briefloom.scaling import MAX_BROADCAST_ROWS, materialise
+from briefloom.operators.vocab import FIRST_WORD_ID, pieces_of_counts, word_counts
+from briefloom.scaling import MAX_BROADCAST_ROWS, materialise, spread
 
 LIKELIHOOD = ""  # the name under which the words' log-likelihood travels with the pieces' sums; no piece is empty
 LEAST = 1e-4  # expected count below which a letter does not fall, so that every word keeps a segmentation
@@ -136,8 +136,9 @@ def train_pieces(
     expectation-maximisation follow every cut to ``shrink`` of the pieces, and the last one. Ids go by
     falling expected count, ties by piece. The table of seeds must fit ``max_rows``; a corpus without words gives no pieces.
     """
-    words = materialise(word_counts(df, text_col, unicode))
-    pieces = materialise(build_pieces(df, text_col, seed_factor * size, longest, unicode).select("piece", "logp"))
+    # a text is read once; the different words are few bytes, which Spark joins into few tasks, but each is much work
+    words = materialise(spread(materialise(word_counts(df, text_col, unicode))))
+    pieces = materialise(pieces_of_counts(words, seed_factor * size, longest).select("piece", "logp"))
     out = Trained(pieces)
     while True:
         for _ in range(rounds):

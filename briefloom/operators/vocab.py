@@ -72,9 +72,13 @@ def build_pieces(
     platforms, and equally good segmentations must not depend on them. Single characters are
     kept whatever their rank, so every word can be segmented.
     """
+    return pieces_of_counts(word_counts(df, text_col, unicode), size, longest)
+
+
+def pieces_of_counts(words: DataFrame, size: int = 8_000, longest: int = 8) -> DataFrame:
+    """``build_pieces`` of a (word, count) table."""
     counts = materialise(
-        word_counts(df, text_col, unicode)
-        .select(F.explode(substrings(F.col("word"), longest)).alias("piece"), "count")
+        words.select(F.explode(substrings(F.col("word"), longest)).alias("piece"), "count")
         .groupBy("piece")
         .agg(F.sum("count").alias("count"))
     )
