@@ -8,16 +8,15 @@ left to Python's integers, which are faster there.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from briefloom.functions.lcs import lcs_length, union_lcs_hits
+from briefloom.functions.lcs import covered_places, lcs_length
 
 MAX_LANES = 8
-FEW_PAIRS = 48  # pairs of lines below which one after the other is faster
-HELD = 4 << 20  # lanes held at once for the vectors of all steps, or for the table of masks
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -106,68 +105,38 @@ def _lengths(shorter: list[np.ndarray], longer: list[np.ndarray], lanes: int, ki
     return out
 
 
-def _covered(reference: list[np.ndarray], hypothesis: list[np.ndarray], kinds: int) -> list[np.ndarray]:
-    """For each reference line, the places that lie on an LCS with any hypothesis line.
-
-    Of several LCS the one that ``lcs.lcs_positions`` follows. All pairs of a chunk of reference lines take
-    each step together, forwards and back.
-    """
-    lanes = max((len(r) + 63) >> 6 for r in reference)
-    long_h = max(map(len, hypothesis))
-    width = max(map(len, reference))
-    h_size = np.array([len(h) for h in hypothesis])
-    h_items = np.full((len(hypothesis), long_h), -1, np.int64)
-    for k, h in enumerate(hypothesis):
-        h_items[k, : len(h)] = h
-    chunk = max(1, min(HELD // max(1, (long_h + 1) * len(hypothesis) * lanes), HELD // max(1, kinds * lanes)))
-    out = []
-    for begin in range(0, len(reference), chunk):
-        own = reference[begin : begin + chunk]
-        r_items = np.full((len(own), width), -2, np.int64)
-        masks = np.zeros((len(own), kinds + 1, lanes), np.uint64)  # the last item is none
-        for k, r in enumerate(own):
-            r_items[k, : len(r)] = r
-            lane, bit = _bits(np.arange(len(r)))
-            np.bitwise_or.at(masks[k], (r, lane), bit)
-        pair_r = np.repeat(np.arange(len(own)), len(hypothesis))
-        pair_h = np.tile(np.arange(len(hypothesis)), len(own))
-        vectors = np.empty((long_h + 1, len(pair_r), lanes), np.uint64)
-        vectors[0] = _ALL
-        for j in range(long_h):
-            vectors[j + 1] = _step(vectors[j], masks[pair_r, h_items[pair_h, j]])
-        covered = np.zeros((len(own), width), bool)
-        pair = np.arange(len(pair_r))
-        i, j = np.array([len(r) for r in own])[pair_r], h_size[pair_h]
-        while len(pair):
-            open_ = (i > 0) & (j > 0)
-            pair, i, j = pair[open_], i[open_], j[open_]
-            r = pair_r[pair]
-            equal = r_items[r, i - 1] == h_items[pair_h[pair], j - 1]
-            covered[r[equal], i[equal] - 1] = True
-            lane, bit = _bits(i - 1)
-            back = (vectors[j, pair, lane] & bit) != 0
-            i = i - (equal | back)
-            j = j - (equal | ~back)
-        out += [np.flatnonzero(row) for row in covered]
-    return out
+def _lines_of_rows(side: pa.Array, codes: np.ndarray) -> Iterator[list[list[int]]]:
+    """Each row's lines as lists of word numbers; ``codes`` are those of all words of the side."""
+    lines, rows = (
+        np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))).tolist()
+        for lists in (side.flatten(), side)
+    )
+    for begin, end in zip(rows, rows[1:]):
+        own = codes[lines[begin] : lines[end]].tolist()
+        yield [own[a - lines[begin] : b - lines[begin]] for a, b in zip(lines[begin:end], lines[begin + 1 : end + 1])]
+
+
+def union_hits_of_rows(reference: pa.Array, hypothesis: pa.Array) -> np.ndarray:
+    """``union_hits`` of each row of two arrays of lists of lines; words are compared as numbers, and only one row's are Python lists."""
+    words = [side.flatten().flatten() for side in (reference, hypothesis)]
+    codes = pa.concat_arrays(words).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    sides = [_lines_of_rows(reference, codes[: len(words[0])]), _lines_of_rows(hypothesis, codes[len(words[0]) :])]
+    return np.array([union_hits(a, b) for a, b in zip(*sides)], np.int32)
 
 
 def union_hits(reference: list[list[str]], hypothesis: list[list[str]]) -> int:
-    """``lcs.union_lcs_hits`` of one row's lines, all pairs of lines at once."""
-    reference, hypothesis = [r for r in reference if r], [h for h in hypothesis if h]
-    if not reference or not hypothesis:
-        return 0
-    lines = len(reference) * len(hypothesis)
-    if lines <= FEW_PAIRS or max(map(len, reference)) > 64 * MAX_LANES:
-        return union_lcs_hits(reference, hypothesis)
-    number: dict[str, int] = {}
-    coded = [[np.array([number.setdefault(t, len(number)) for t in line]) for line in side] for side in (reference, hypothesis)]
+    """``lcs.union_lcs_hits`` of one row's lines; equal lines of a side are compared once."""
+    others = [list(line) for line in dict.fromkeys(map(tuple, hypothesis))]
     left_ref, left_hyp = (Counter(t for line in side for t in line) for side in (reference, hypothesis))
+    covered: dict[tuple, int] = {}
     hits = 0
-    for line, places in zip(reference, _covered(*coded, len(number))):
-        for i in places.tolist():
-            if left_ref[line[i]] > 0 and left_hyp[line[i]] > 0:
+    for line in map(tuple, reference):
+        if line not in covered:
+            covered[line] = covered_places(list(line), others)
+        places = covered[line]
+        for i, token in enumerate(line):
+            if places >> i & 1 and left_ref[token] > 0 and left_hyp[token] > 0:
                 hits += 1
-                left_ref[line[i]] -= 1
-                left_hyp[line[i]] -= 1
+                left_ref[token] -= 1
+                left_hyp[token] -= 1
     return hits

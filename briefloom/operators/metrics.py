@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from briefloom.functions.chunks import STATES, fewest_chunks
-from briefloom.functions.lcs_lanes import lcs_lengths, union_hits
+from briefloom.functions.lcs_lanes import lcs_lengths, union_hits_of_rows
 from briefloom.functions.overlap import alignment, in_steps, ngram_matches
 from briefloom.functions.stem import porter_stem
 from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
@@ -142,9 +142,7 @@ def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.IntegerType())
 def _union_lcs(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
-    # a row at a time: Python lists of a whole batch would be many times its size
-    pairs = zip(reference, hypothesis)
-    return pa.array([union_hits(a.as_py() or [], b.as_py() or []) for a, b in pairs], pa.int32())
+    return pa.array(union_hits_of_rows(reference, hypothesis), pa.int32())
 
 
 def _prf(matches: Column, n_prediction: Column, n_reference: Column) -> Column:

@@ -9,8 +9,8 @@ import time
 import pyarrow as pa
 import pytest
 
-from briefloom.functions.lcs import union_lcs_hits
-from briefloom.functions.lcs_lanes import MAX_LANES, lcs_lengths, union_hits
+from briefloom.functions.lcs import covered_places, lcs_positions, union_lcs_hits
+from briefloom.functions.lcs_lanes import MAX_LANES, lcs_lengths, union_hits, union_hits_of_rows
 from briefloom.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -94,3 +94,24 @@ def test_whole_text_queries(spark):
             want[f"sum{ident}"] = scores(m, len(tokens(docs[seen[key]]["text"])), len(tokens(own["text"])))
         seen[key] = ident
     assert {f"sum{r['id']}": (r["p"], r["r"], r["f"]) for r in rows} == {k: v for k, v in want.items() if k.startswith("sum")}
+
+
+@pytest.mark.parametrize("held", [0, 1 << 27])
+def test_covered_places_follow_the_same_path(held):
+    """Words that one side lacks and stretches without matches are passed in one step; ties stay as they were."""
+    rng = random.Random(11)
+    for _ in range(400):
+        a = words(rng, rng.randrange(0, 90), rng.choice((2, 5, 40)))
+        others = [words(rng, rng.randrange(0, 90), rng.choice((2, 5, 40, 200))) for _ in range(3)]
+        want = set().union(*(lcs_positions(a, b) for b in others))
+        got = covered_places(a, others, held)
+        assert {i for i in range(len(a)) if got >> i & 1} == want and got >> len(a) == 0
+
+
+def test_union_hits_of_a_batch():
+    kind = pa.list_(pa.list_(pa.string()))
+    left = [[["a", "b"], ["c"]], None, [], [[], ["x", "y"]], [["p"], ["p"]]]
+    right = [[["b"], ["c", "a"]], [["a"]], [["a"]], [["y", "x"]], [["p"]]]
+    batches = (pa.array([None, *rows], kind)[1:] for rows in (left, right))
+    assert union_hits_of_rows(*batches).tolist() == [union_lcs_hits(a or [], b) for a, b in zip(left, right)]
+    assert union_hits_of_rows(pa.array([], kind), pa.array([], kind)).tolist() == []
