@@ -13,6 +13,9 @@ from briefloom.operators.split import SplitRatios, split_hash
 from briefloom.operators.validate import NA_VALUES, na_normalise
 from briefloom.sources.csv import CORPUS_SCHEMA, CSV_OPTIONS, STRICT_OPTIONS
 
+# Bytes of landed files that a task of ``stream_features`` takes.
+TASK_BYTES = 16 << 20
+
 
 def csv_stream(
     spark: SparkSession,
@@ -20,8 +23,9 @@ def csv_stream(
     schema: T.StructType = CORPUS_SCHEMA,
     na_values: Sequence[str] = NA_VALUES,
     max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """New CSV files of a landing folder; ``max_files`` bounds one micro-batch.
+    """New CSV files of a landing folder; ``max_files`` or ``max_bytes`` bounds one micro-batch.
 
     A file whose header differs from ``schema`` and a row with too few or too many cells stop
     the stream with an error; nothing is read by position.
@@ -29,6 +33,8 @@ def csv_stream(
     reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, **STRICT_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    elif max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     frame = reader.csv(landing)
     return na_normalise(frame, na_values=na_values) if na_values else frame
 
@@ -77,9 +83,11 @@ def stream_features(
     """Landing folder -> split and encoded feature table.
 
     The hash split and the encoder (``word_encoder`` or ``piece_encoder``) work row by
-    row, so the stream needs no state and no shuffle. ``max_files`` bounds one micro-batch.
+    row, so the stream needs no state and no shuffle. A task sorts its rows by split, with their padded features, so
+    a micro-batch holds about ``TASK_BYTES`` of files a core, whatever has landed, or ``max_files`` files.
     """
-    rows = split_hash(csv_stream(spark, landing, schema, max_files=max_files), "id", ratios)
+    max_bytes = TASK_BYTES * spark.sparkContext.defaultParallelism
+    rows = split_hash(csv_stream(spark, landing, schema, max_files=max_files, max_bytes=max_bytes), "id", ratios)
     features = encode_features(rows, encode, limits)
     append_table(features, target, checkpoint, ["split"]).awaitTermination()
     return spark.read.parquet(target)

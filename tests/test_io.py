@@ -335,3 +335,17 @@ def test_stamp():
 
     assert manifest.run_stamp(datetime(2024, 1, 2, 3, 4, 5)) == "2024_01_02T03_04_05Z"
     assert manifest.run_path("b/", "s", "st", "n") == "b/artifacts/s/st/n"
+
+
+def test_feature_streams_take_batches_of_bytes(spark, tmp_path, monkeypatch):
+    for i in range(12):
+        (tmp_path / f"f{i}.csv").write_text(as_csv([(str(i), "a b " * 50, "a")]), newline="")
+    (tmp_path / "in").mkdir()
+    for i in range(12):
+        (tmp_path / f"f{i}.csv").rename(tmp_path / "in" / f"f{i}.csv")
+    monkeypatch.setattr(ingest, "TASK_BYTES", 100)  # times the session's cores: a few files
+    encoder = word_encoder(build_vocab(spark.createDataFrame([("a b",)], "text string"), size=10))
+    out = ingest.stream_features(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), encoder)
+    assert sorted(int(r["id"]) for r in out.select("id").collect()) == list(range(12))
+    batches = [p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()]
+    assert len(batches) > 1
