@@ -119,7 +119,9 @@ def _lines_of_rows(side: pa.Array, codes: np.ndarray) -> Iterator[list[list[int]
 def union_hits_of_rows(reference: pa.Array, hypothesis: pa.Array) -> np.ndarray:
     """``union_hits`` of each row of two arrays of lists of lines; words are compared as numbers, and only one row's are Python lists."""
     words = [side.flatten().flatten() for side in (reference, hypothesis)]
-    codes = pa.concat_arrays(words).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    # an empty side may come from Spark with buffers that Arrow cannot slice
+    filled = [w for w in words if len(w)] or [pa.array([], pa.string())]
+    codes = pa.concat_arrays(filled).dictionary_encode().indices.to_numpy(zero_copy_only=False)
     sides = [_lines_of_rows(reference, codes[: len(words[0])]), _lines_of_rows(hypothesis, codes[len(words[0]) :])]
     return np.array([union_hits(a, b) for a, b in zip(*sides)], np.int32)
 

@@ -46,19 +46,33 @@ def word_tokens(text: Column, unicode: bool = False) -> Column:
     return split_nonempty(F.lower(text), gap)
 
 
+def word_text(text: Column, unicode: bool = False) -> Column:
+    """A text whose tokens ``functions.tokens.words`` finds, or ``spaced`` if ``unicode``: those of ``word_tokens``."""
+    return F.regexp_replace(F.lower(text), UNICODE_WORD_GAP, " ") if unicode else F.lower(text)
+
+
 def whitespace_tokens(text: Column) -> Column:
     return split_nonempty(text, r"\s+")
 
 
-def bleu_tokens(text: Column) -> Column:
-    """Case-keeping 13a tokens."""
+def bleu_text(text: Column) -> Column:
+    """Text with white space between its case-keeping 13a tokens.
+
+    The published first pattern also replaces each space by three. Later patterns read one character before or after a
+    mark, and no two of their matches share a space, so one space does as well.
+    """
     out = text
     for old, new in BLEU_LITERALS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.concat(F.lit(" "), out, F.lit(" "))
     for pattern, replacement in BLEU_PATTERNS:
-        out = F.regexp_replace(out, pattern, replacement)
-    return split_nonempty(out, r"\s+")
+        out = F.regexp_replace(out, pattern.replace("` -&", "`!-&"), replacement)
+    return out
+
+
+def bleu_tokens(text: Column) -> Column:
+    """Case-keeping 13a tokens."""
+    return split_nonempty(bleu_text(text), r"\s+")
 
 
 def sentences(text: Column) -> Column:

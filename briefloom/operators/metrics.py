@@ -19,7 +19,8 @@ from briefloom.functions.chunks import STATES, fewest_chunks
 from briefloom.functions.lcs_lanes import lcs_lengths, union_hits_of_rows
 from briefloom.functions.overlap import alignment, in_steps, ngram_matches
 from briefloom.functions.stem import porter_stem
-from briefloom.functions.text import bleu_tokens, split_nonempty, word_tokens
+from briefloom.functions.text import bleu_text, split_nonempty, word_text, word_tokens
+from briefloom.functions.tokens import in_text_steps, spaced, words
 from briefloom.operators.encode import ROW, answered, asked_words, looked_up, numbered, regroup, send_table
 from briefloom.scaling import MAX_BROADCAST_ROWS
 
@@ -38,29 +39,38 @@ def _struct_of(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.IntegerType()) for n in names])
 
 
-def _counting_udf(names: list[str], kernel):
-    """Arrow function (token lists ...) -> struct of one integer per name."""
+def _as_struct(names: list[str], columns) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], names)
 
-    @F.arrow_udf(_struct_of(names))
-    def count(left: pa.Array, right: pa.Array) -> pa.Array:
-        return _as_struct(names, in_steps(kernel, left, right))
 
-    return count
+SIZES = ["n_left", "n_right"]
 
 
-def _as_struct(names: list[str], columns) -> pa.Array:
-    return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], names)
+def _text_udf(names: list[str], kernel, cut):
+    """Arrow function (two texts) -> struct of their numbers of tokens, and of one integer per name."""
 
+    @F.arrow_udf(_struct_of([*SIZES, *names]))
+    def count(left: pa.Array, right: pa.Array) -> pa.Array:
+        return _as_struct([*SIZES, *names], in_text_steps(kernel, cut, left, right))
+
+    return count
 
-def shared_ngrams(left: Column, right: Column, orders: int) -> Column:
-    """Struct ``match1 .. match<orders>`` of clipped n-gram matches."""
+
+def shared_ngrams(left: Column, right: Column, orders: int, cut=words) -> Column:
+    """Struct ``n_left, n_right, match1 .. match<orders>`` of two texts: tokens, and clipped n-gram matches."""
     names = [f"match{n}" for n in range(1, orders + 1)]
-    return _counting_udf(names, lambda a, b: ngram_matches(a, b, orders))(left, right)
+    return _text_udf(names, lambda a, b: ngram_matches(a, b, orders), cut)(left, right)
 
 
 ALIGNED = ["matches", "chunks"]
 
 
+def aligned_texts(left: Column, right: Column, cut=words, fewest: bool = False, states: int = STATES) -> Column:
+    """``aligned_words`` of two texts, for equal words only, with their numbers of tokens."""
+    kernel, names = (functools.partial(fewest_chunks, states=states), [*ALIGNED, "exact"]) if fewest else (alignment, ALIGNED)
+    return _text_udf(names, kernel, cut)(left, right)
+
+
 def aligned_words(
     left: Column, right: Column, stages: Sequence[Stage] = (), keys: Sequence[tuple[Column, Column]] = (), fewest: bool = False,
     states: int = STATES,
@@ -197,12 +207,15 @@ def row_metrics(
         {
             "_h": word_tokens(F.col(prediction), unicode),
             "_r": word_tokens(F.col(reference), unicode),
+            "_h_text": word_text(F.col(prediction), unicode),
+            "_r_text": word_text(F.col(reference), unicode),
         }
     )
+    h_text, r_text, cut = F.col("_h_text"), F.col("_r_text"), spaced if unicode else words
     orders = max([n for n in (1, 2) if f"rouge{n}" in metrics], default=0)
     counts = {}
     if orders:
-        counts["_grams"] = shared_ngrams(h, r, orders)
+        counts["_grams"] = shared_ngrams(h_text, r_text, orders, cut)
     if "rougeL" in metrics:
         counts["_lcs"] = _lcs(h, r)
     if "rougeLsum" in metrics:
@@ -212,9 +225,13 @@ def row_metrics(
         ]
         counts["_lcs_sum"] = _union_lcs(*lines)
     if "meteor" in metrics:
-        counts["_aligned"] = aligned_words(h, r, stages, keys, fewest_chunks)
+        in_place = not stages and not keys
+        counts["_aligned"] = aligned_texts(h_text, r_text, cut, fewest_chunks) if in_place else aligned_words(h, r, stages, keys, fewest_chunks)
     counted = tokens.withColumns(counts)
     n_h, n_r = F.size(h), F.size(r)
+    if orders or ("meteor" in metrics and in_place):
+        # counted with the tokens in the task: the lists are not made for it
+        n_h, n_r = (F.col("_grams" if orders else "_aligned")[n] for n in SIZES)
     scores = {}
     for n in (1, 2):
         if f"rouge{n}" in metrics:
@@ -225,7 +242,7 @@ def row_metrics(
         scores["rougeLsum"] = _prf(F.col("_lcs_sum"), n_h, n_r)
     if "meteor" in metrics:
         scores["meteor"] = _meteor(F.col("_aligned.matches"), F.col("_aligned.chunks"), n_h, n_r)
-    return counted.withColumns(scores).drop("_h", "_r", "_keys_h", "_keys_r", ROW, *counts)
+    return counted.withColumns(scores).drop("_h", "_r", "_h_text", "_r_text", "_keys_h", "_keys_r", ROW, *counts)
 
 
 def metric_value(name: str) -> Column:
@@ -241,12 +258,12 @@ BLEU_COUNTS = (
 def with_bleu_counts(df: DataFrame, prediction: str, reference: str) -> DataFrame:
     """Add the numbers corpus BLEU is made of: lengths, clipped matches, totals."""
     tokens = df.withColumns(
-        {"_h": bleu_tokens(F.col(prediction)), "_r": bleu_tokens(F.col(reference))}
-    ).withColumn("_grams", shared_ngrams(F.col("_h"), F.col("_r"), BLEU_ORDER))
-    counts = {"sys_len": F.size("_h"), "ref_len": F.size("_r")}
+        {"_h": bleu_text(F.col(prediction)), "_r": bleu_text(F.col(reference))}
+    ).withColumn("_grams", shared_ngrams(F.col("_h"), F.col("_r"), BLEU_ORDER, spaced))
+    counts = {"sys_len": F.col("_grams.n_left"), "ref_len": F.col("_grams.n_right")}
     for n in range(1, BLEU_ORDER + 1):
         counts[f"match{n}"] = F.col(f"_grams.match{n}")
-        counts[f"total{n}"] = F.greatest(F.size("_h") - (n - 1), F.lit(0))
+        counts[f"total{n}"] = F.greatest(F.col("_grams.n_left") - (n - 1), F.lit(0))
     return tokens.withColumns(counts).drop("_h", "_r", "_grams")
 
 

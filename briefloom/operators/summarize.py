@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 
 from briefloom.functions.overlap import steps
 from briefloom.functions.text import let, sentences, word_tokens
+from briefloom.functions.tokens import words
 from briefloom.operators.encode import ROW, answered, asked_words, looked_up, numbered, regroup, send_table
 from briefloom.scaling import MAX_BROADCAST_ROWS, materialise
 
 # TextRank damping (Mihalcea & Tarau 2004) and number of rounds.
 DAMPING = 0.85
 ROUNDS = 20
-SENTENCES_PER_STEP = 50_000
+SENTENCES_PER_STEP = 20_000
 # Pairs of sentence lengths that meet in a word, held at a time.
 MEETINGS_PER_BLOCK = 4_000_000
 POSITIONS = T.ArrayType(T.IntegerType())
@@ -67,6 +68,15 @@ def _tokenised(text_col: str) -> Column:
     return F.transform(sentences(F.col(text_col)), lambda s: word_tokens(s))
 
 
+def _sentence_texts(text_col: str) -> Column:
+    """The sentences of ``_tokenised`` as texts, whose tokens ``_with_tokens`` finds in the task."""
+    return sentences(F.lower(F.col(text_col)))
+
+
+def _with_tokens(docs: pa.Array) -> pa.Array:
+    return regroup(words(docs.flatten()), pc.list_value_length(docs))
+
+
 def _mean_idf(docs: pa.Array, idf: dict) -> tuple[np.ndarray, np.ndarray]:
     """(mean idf to 6 places, number of tokens) of the sentences of ``docs``, one after the other."""
     parts = docs.flatten()
@@ -111,9 +121,10 @@ def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
 
     @F.arrow_udf(POSITIONS)
     def choose(docs: pa.Array) -> pa.Array:
-        return _best_by_idf(docs, sent.value.mapping("word", "idf"), k)
+        idf_of = sent.value.mapping("word", "idf")
+        return _in_ranges(docs, lambda part: _best_by_idf(_with_tokens(part), idf_of, k))
 
-    return df.withColumn("_chosen", choose(_tokenised(text_col)))
+    return df.withColumn("_chosen", choose(_sentence_texts(text_col)))
 
 
 def _with_chosen(
@@ -259,6 +270,6 @@ def textrank(
 
     @F.arrow_udf(POSITIONS)
     def choose(docs: pa.Array) -> pa.Array:
-        return _in_ranges(docs, lambda part: best_sentences(part, k))
+        return _in_ranges(docs, lambda part: best_sentences(_with_tokens(part), k))
 
-    return _with_chosen(df.withColumn("_chosen", choose(_tokenised(text_col))), df.columns, text_col, output_col)
+    return _with_chosen(df.withColumn("_chosen", choose(_sentence_texts(text_col))), df.columns, text_col, output_col)
