@@ -73,6 +73,15 @@ def _sentence_texts(text_col: str) -> Column:
     return sentences(F.lower(F.col(text_col)))
 
 
+def _chosen_apart(df: DataFrame, choose, text_col: str) -> DataFrame:
+    """Add ``_chosen`` in a step that Spark does not join to later ones.
+
+    It is marked as not deterministic for that alone: in one step with another Python function that reads the extracts, it
+    cannot be planned.
+    """
+    return df.withColumn("_chosen", choose.asNondeterministic()(_sentence_texts(text_col)))
+
+
 def _with_tokens(docs: pa.Array) -> pa.Array:
     return regroup(words(docs.flatten()), pc.list_value_length(docs))
 
@@ -124,7 +133,7 @@ def _chosen_in_place(df: DataFrame, sent, k: int, text_col: str) -> DataFrame:
         idf_of = sent.value.mapping("word", "idf")
         return _in_ranges(docs, lambda part: _best_by_idf(_with_tokens(part), idf_of, k))
 
-    return df.withColumn("_chosen", choose(_sentence_texts(text_col)))
+    return _chosen_apart(df, choose, text_col)
 
 
 def _with_chosen(
@@ -272,4 +281,4 @@ def textrank(
     def choose(docs: pa.Array) -> pa.Array:
         return _in_ranges(docs, lambda part: best_sentences(_with_tokens(part), k))
 
-    return _with_chosen(df.withColumn("_chosen", choose(_sentence_texts(text_col))), df.columns, text_col, output_col)
+    return _with_chosen(_chosen_apart(df, choose, text_col), df.columns, text_col, output_col)

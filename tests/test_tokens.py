@@ -67,3 +67,14 @@ def test_whole_texts_reach_the_metrics_as_texts(spark):
     for out in (metrics.bleu_corpus(frame), metrics.evaluation_report(frame, ("rouge1", "rouge2", "bleu", "meteor"))):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert "split(" not in plan and "bleu" in plan
+
+
+def test_texts_of_another_python_function_are_scored(spark):
+    """Extracts come from an Arrow function, whose result must reach that of the metrics."""
+    frame = spark.createDataFrame([("a b c. d e. f g.", "a b c"), ("x y", None)], "dialogue string, reference string")
+    rows = summarize.tfidf_extract(frame, 3).withColumn("model", F.lit("m"))
+    for names in (["rouge1"], ["meteor"], ["bleu"], ["rouge1", "rouge2", "bleu", "meteor"]):
+        got = {r["metric"]: r["value"] for r in metrics.evaluation_report(rows, names).collect()}
+        assert set(got) == set(names) and all(v >= 0 for v in got.values())
+        if "rouge1" in names:
+            assert got["rouge1"] == pytest.approx((6 / 10 + 0) / 2)
