@@ -41,20 +41,24 @@ LANDING_SCHEMA = T.StructType(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+# Bytes of text that go to one CSV file: a multi-line file is read whole by one task.
+CSV_FILE_BYTES = 32 << 20
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+def table(spark: SparkSession, sf_dir: str, name: str, **limits: int) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), **limits)
+
+
+def documents(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    return table(spark, sf_dir, "documents", **limits)
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations")
 
 
-def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.pairs_from_documents(documents(spark, sf_dir))
+def document_pairs(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    return pairs.pairs_from_documents(documents(spark, sf_dir, **limits))
 
 
 def digest(ids: Column) -> Column:
@@ -546,7 +550,7 @@ def npy_ranges(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "text", F.split("text", " ").alias("words"))
+    docs = documents(spark, sf_dir, task_bytes=CSV_FILE_BYTES).select("doc_id", "text", F.split("text", " ").alias("words"))
     path = fresh_folder(spark, "csv")
     tables.write_csv(docs, path)
     schema = T.StructType([*LANDING_SCHEMA, T.StructField("words", T.StringType())])
@@ -557,7 +561,7 @@ def csv_roundtrip(spark, sf_dir):
 
 def csv_columns_by_name(spark, sf_dir):
     """Documents landed in two column orders, one with a column more, read together."""
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir, task_bytes=CSV_FILE_BYTES).select("doc_id", "text", "lang")
     root, english = fresh_folder(spark, "orders"), F.col("lang").eqNullSafe("en")
     tables.write_csv(docs.filter(english).select("doc_id", "text"), f"{root}/a")
     tables.write_csv(docs.filter(~english).select("lang", "text", "doc_id"), f"{root}/b")
@@ -694,7 +698,7 @@ def sync_content(spark, sf_dir):
 
 
 def multi_sink_manifest(spark, sf_dir):
-    labelled = splits.split_exact(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    labelled = splits.split_exact(documents(spark, sf_dir, task_bytes=CSV_FILE_BYTES).select("doc_id", "text"), "doc_id")
     base, stamp = fresh_folder(spark, "run"), runs.run_stamp()
 
     def path(target: str) -> str:
@@ -768,7 +772,7 @@ def report_roundtrip(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Two landings into one folder, ingested by two runs of the same stream."""
     landing, target, state = (fresh_folder(spark, n) for n in ("landing", "ingested", "state"))
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir, task_bytes=CSV_FILE_BYTES).select("doc_id", "text", "lang")
     english = F.col("lang").eqNullSafe("en")
     for part in (docs.filter(english), docs.filter(~english)):
         tables_out = tables.flat_columns(part.select("doc_id", "text"))
@@ -780,7 +784,7 @@ def stream_ingest(spark, sf_dir):
 def stream_targets(spark, sf_dir):
     """Files with columns in either order go to two targets; rows whose id is no number are set aside."""
     landing, base, state = (fresh_folder(spark, n) for n in ("landing", "streamed", "state"))
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = documents(spark, sf_dir, task_bytes=CSV_FILE_BYTES).select("doc_id", "text")
     outputs = stream_sinks.Outputs(
         [tables.Target("parquet", f"{base}/parquet"), tables.Target("csv", f"{base}/csv", "csv")],
         tables.Target("quarantine", f"{base}/quarantine"), f"{base}/log",
@@ -803,7 +807,7 @@ def stream_targets(spark, sf_dir):
 
 def stream_features(spark, sf_dir):
     landing, target, state = (fresh_folder(spark, n) for n in ("landing", "features", "state"))
-    rows = document_pairs(spark, sf_dir)
+    rows = document_pairs(spark, sf_dir, task_bytes=CSV_FILE_BYTES)
     tables.write_csv(rows, landing)
     encoder = encode.word_encoder(_vocab(documents(spark, sf_dir)))
     out = ingest.stream_features(spark, landing, target, state, encoder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from briefloom.session import shared_folder
@@ -18,15 +18,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def string_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's strings."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    return width
+
+
 def row_count_at_most(df: DataFrame, limit: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Size check of a table before it is sent: rows, and bytes of its strings.
 
     One distributed count with a sum of lengths; meant for materialised tables.
     """
-    width = F.lit(8 * len(df.columns))
-    for name, kind in df.dtypes:
-        if kind in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    width = F.lit(8 * len(df.columns)) + string_bytes(df)
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= limit and size <= max_bytes
 
@@ -36,20 +42,26 @@ TASK_ROWS = 5_000
 MOST_TASKS = 10_000
 
 
-def spread(df: DataFrame, small: int = 200_000, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Use every core for a table that lies in fewer pieces than its rows ask for.
+def spread(df: DataFrame, small: int = 200_000, task_rows: int = TASK_ROWS, task_bytes: int | None = None) -> DataFrame:
+    """Use every core for a table of which some piece holds more than a task should take.
 
-    The rows are counted, which Parquet answers from its footers. A *small* table gets as many pieces as the session
-    has partitions, and any table a piece for every ``task_rows`` rows: a file is cut only between its row groups,
-    which may hold most of a table. What a task takes at a time so does not grow with the table. A table that
-    lies in pieces enough is returned as it is.
+    The rows are counted by piece, which Parquet answers from its footers. A *small* table gets as many pieces as the
+    session has partitions, and any table a piece for every ``task_rows`` rows: a file is cut only between its row groups,
+    which may hold most of a table while other pieces are empty. ``task_bytes`` asks for a piece for so many bytes of
+    strings as well, which takes a pass over them. What a task takes at a time so does not grow with the table. A
+    table is not dealt to fewer pieces than it lies in, and one without such a piece is returned as it is.
     """
-    rows = df.count()
-    parts = min(MOST_TASKS, -(-rows // task_rows))
+    width = string_bytes(df) if task_bytes else F.lit(0)
+    pieces = df.groupBy(F.spark_partition_id().alias("_piece")).agg(F.count(F.lit(1)).alias("_rows"), F.sum(width).alias("_size"))
+    rows, size, most_rows, most_size = (
+        x or 0 for x in pieces.agg(F.sum("_rows"), F.sum("_size"), F.max("_rows"), F.max("_size")).first()
+    )
+    wanted = max(-(-rows // task_rows), -(-size // task_bytes) if task_bytes else 0)
+    parts = max(min(MOST_TASKS, wanted), df.rdd.getNumPartitions())
     if rows <= small:
         parts = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         return df.repartition(parts)
-    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+    return df.repartition(parts) if most_rows > task_rows or task_bytes and most_size > task_bytes else df
 
 
 def heaviest(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from briefloom.operators import validate
 from briefloom.operators.encode import Limits, word_encoder
 from briefloom.operators.vocab import build_vocab
-from briefloom.plans import prepare
+from briefloom.plans import prepare, queries
 from briefloom.sinks import manifest, npy, report, sync, tables
 from briefloom.sources import archives, arrays, csv, incremental, npy_ranges, splits, uris
 from briefloom.streaming import ingest
@@ -349,3 +350,16 @@ def test_feature_streams_take_batches_of_bytes(spark, tmp_path, monkeypatch):
     assert sorted(int(r["id"]) for r in out.select("id").collect()) == list(range(12))
     batches = [p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()]
     assert len(batches) > 1
+
+
+def test_files_of_csv_roundtrip_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "CSV_FILE_BYTES", 100_000)
+    landed = []
+    monkeypatch.setattr(queries, "fresh_folder", lambda spark, name: landed.append(str(tmp_path / f"csv{len(landed)}")) or landed[-1])
+    for n in (100, 600):  # few rows, each of 10,000 bytes
+        rows = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2_000).alias("text"))
+        rows.coalesce(1).write.parquet(str(tmp_path / str(n) / "documents.parquet"))
+        back = queries.csv_roundtrip(spark, str(tmp_path / str(n)))
+        assert back.agg(F.count("doc_id"), F.sum("n_words")).first() == (n, 2_001 * n)
+    sizes = [max(p.stat().st_size for p in Path(folder).glob("*.csv")) for folder in landed]
+    assert sizes[1] < 1.5 * sizes[0]

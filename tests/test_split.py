@@ -117,3 +117,28 @@ def test_a_file_with_one_row_group_is_dealt_to_many_tasks(spark, tmp_path):
     dealt = spread(table, small=10, task_rows=50)
     assert dealt.rdd.getNumPartitions() == 20 and dealt.agg(F.sum("id")).first()[0] == 499_500
     assert spread(table, small=10, task_rows=1_000).rdd.getNumPartitions() == 1
+
+
+def test_pieces_that_hold_no_rows_do_not_count(spark, tmp_path):
+    spark.range(2_000).withColumn("text", F.sha2(F.col("id").cast("string"), 512)).coalesce(1).write.parquet(str(tmp_path / "one"))
+    session = spark.newSession()  # one row group, far more byte ranges than it asks for
+    session.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    session.conf.set("spark.sql.files.openCostInBytes", "1k")
+    table = session.read.parquet(str(tmp_path / "one"))
+    assert table.rdd.getNumPartitions() > 20
+    dealt = spread(table, small=10, task_rows=100)
+    assert max(rows_by_piece(dealt)) <= 110 and sum(rows_by_piece(dealt)) == 2_000
+    assert spread(table, small=10_000).rdd.getNumPartitions() >= table.rdd.getNumPartitions()
+
+
+def test_wide_rows_are_dealt_by_their_bytes(spark):
+    table = spark.range(400).select("id", F.repeat(F.lit("word "), 2_000).alias("text")).repartition(2)
+    assert spread(table).rdd.getNumPartitions() == 8
+    for small in (10, 1_000):
+        dealt = spread(table, small=small, task_bytes=100_000)
+        assert dealt.rdd.getNumPartitions() == 40 and max(rows_by_piece(dealt)) <= 15
+    assert spread(table, small=10, task_bytes=4_000_000).rdd.getNumPartitions() == 2
+
+
+def rows_by_piece(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
