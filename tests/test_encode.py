@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import random
@@ -7,8 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from briefloom import scaling
 from briefloom.operators import batches, encode, pieces, vocab
 from briefloom.operators.encode import Limits
+from briefloom.plans import queries
 from briefloom.scaling import heaviest, left_lookup
 
 TEXTS = [
@@ -235,3 +238,17 @@ def test_batches_move_the_arrays_once(spark):
     wide = [line.strip(" :+-*") for line in plan.splitlines() if "Exchange hashpartitioning(split" in line and "_stretch" in line]
     # written twice in the plan before it runs, and run once: the second is the same exchange
     assert len({line.split("#")[0] for line in wide}) == 1
+
+
+def test_batches_of_ids_do_not_follow_the_row_groups_of_a_file(spark, tmp_path, monkeypatch):
+    words = F.array_join(F.transform(F.sequence(F.lit(0), F.col("id") % 7), lambda k: F.concat(F.lit("w"), k * 3 % 5)), ". ")
+    rows = spark.range(600).select(F.col("id").alias("doc_id"), words.alias("text"), F.sha2(F.col("id").cast("string"), 512).alias("source"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted(map(str, queries.collate_batches(spark, str(tmp_path)).collect()))
+    session = spark.newSession()  # one row group, far more byte ranges than it asks for
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    session.conf.set("spark.sql.files.openCostInBytes", "100")
+    monkeypatch.setattr(queries, "spread", functools.partial(scaling.spread, small=10, task_rows=50))
+    pieces = queries.documents(session, str(tmp_path)).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(pieces) > 10 and max(r["count"] for r in pieces) <= 60
+    assert sorted(map(str, queries.collate_batches(session, str(tmp_path)).collect())) == want
