@@ -104,16 +104,20 @@ def grams_of(streams: list[bytes], depth: int, leads: list[bytes] | None = None)
     highest, then the byte. What precedes a stream is its lead, or end marks."""
     if leads is None:
         leads = [bytes([END]) * depth] * len(streams)
-    raw = np.frombuffer(b"".join(x for pair in zip(leads, streams) for x in pair), np.uint8).astype(np.uint64)
+    joined = b"".join([*(x for pair in zip(leads, streams) for x in pair), bytes(8)])
+    raw = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(s) for s in streams])
     begins = np.cumsum(np.append(0, sizes + depth))[:-1]
-    real = np.ones(len(raw), bool)
+    real = np.ones(len(raw) - 8, bool)
     for back in range(depth):
         real[begins + back] = False
-    gram = np.zeros(len(raw) - depth, np.uint64)
-    for back in range(1, depth + 1):
-        gram = gram << np.uint64(8) | raw[depth - back : len(raw) - back]
-    return (gram << np.uint64(8) | raw[depth:])[real[depth:]]
+    real = real[depth:]
+    # eight bytes from every place on, the first of them lowest: the context is the lowest ``depth`` bytes
+    gram = np.ndarray(len(real), "<u8", joined, 0, (1,))[real]
+    gram <<= np.uint64(64 - 8 * depth)
+    gram >>= np.uint64(56 - 8 * depth)
+    gram |= raw[depth : depth + len(real)][real]
+    return gram
 
 
 def gram_slices(streams: list[bytes], depth: int):
@@ -135,14 +139,15 @@ def gram_slices(streams: list[bytes], depth: int):
 def _pieces(texts: pa.Array):
     """Slices of a block's texts: (first row, streams)."""
     for i, j in slices(texts, SLICE):
-        yield i, [stream((t or "").encode()) for t in texts.slice(i, j - i).to_pylist()]
+        yield i, [stream(t or b"") for t in texts.slice(i, j - i).cast(pa.large_binary()).to_pylist()]
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted different keys of all parts and the sums of their counts; ``parts`` is emptied on the way."""
     keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    few = 1 < len(parts) <= 10  # sorted runs, which a stable sort merges; it is slower where there are many
     parts.clear()
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable" if few else None)
     keys = keys[order]
     counts = counts[order]
     del order
@@ -150,13 +155,11 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different keys, and the sum of the weights of each; there are few different weights."""
-    parts = []
-    for weight in np.unique(weights).tolist():
-        values, counts = np.unique(keys[weights == weight], return_counts=True)
-        parts.append((values, counts * int(weight)))
-    return _merged(parts) if len(parts) > 1 else parts[0] if parts else (keys, weights)
+def _counted(keys: np.ndarray, weight: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys, and ``weight`` times the number of each."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys)) * weight
 
 
 def distinct(keys: np.ndarray) -> np.ndarray:
@@ -171,10 +174,16 @@ def bucket_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def in_buckets(kind: int, keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(order, buckets present, first, last): ``order`` sorts sorted keys by bucket, then key."""
-    which = bucket_of(kind, keys, buckets)
-    order = np.argsort(which, kind="stable")
-    present, first = np.unique(which[order], return_index=True)
-    return order, present, first, np.append(first[1:], len(keys))
+    return by_place(bucket_of(kind, keys, buckets), buckets)
+
+
+def by_place(which: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order, places present, first, last): ``order`` sorts by place and keeps the order within one."""
+    sizes = np.bincount(which, minlength=places)
+    present, last = np.flatnonzero(sizes), np.cumsum(sizes)
+    # numbers of one or two bytes are sorted by their digits
+    order = np.argsort(which.astype(np.min_scalar_type(places)), kind="stable")
+    return order, present, (last - sizes)[present], last[present]
 
 
 class Level:
@@ -368,11 +377,14 @@ def _tallies(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
             for i, streams in _pieces(texts):
                 learn = weights[i : i + len(streams)]
                 own = Words(texts.slice(i, len(streams)), fold_case=True)
-                parts[WORD_KIND].append(_counted(own.hashes, np.repeat(learn, own.counts)))
-                del own
-                for grams, of, sizes in gram_slices(streams, depth):
-                    parts[GRAM].append(_counted(grams, np.repeat(learn[of], sizes)))
-                    held += len(parts[GRAM][-1][0])
+                of_words = np.repeat(learn, own.counts)
+                for weight in np.unique(learn).tolist():  # there are few different ones
+                    parts[WORD_KIND].append(_counted(own.hashes[of_words == weight], weight))
+                    alike = [s for s, w in zip(streams, learn.tolist()) if w == weight]
+                    for grams, _, _ in gram_slices(alike, depth):
+                        parts[GRAM].append(_counted(grams, weight))
+                        held += len(parts[GRAM][-1][0])
+                del own, of_words
                 if held > FLUSH:
                     parts = {k: [_merged(v)] for k, v in parts.items()}
                     held = len(parts[GRAM][0][0])
@@ -384,16 +396,41 @@ def _tallies(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
     return rows.select("text", "held_out", "copies").mapInArrow(run, COUNTED)
 
 
-def _block_keys(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different grams and word hashes of a block's texts."""
-    grams, words = [], []
-    for i, streams in _pieces(texts):
-        for own, _, _ in gram_slices(streams, depth):
-            grams.append(distinct(own))
-            if len(grams) > 1 and sum(map(len, grams[1:])) > FLUSH // 2:
-                grams = [distinct(np.concatenate(grams))]
-        words.append(distinct(Words(texts.slice(i, len(streams)), fold_case=True).hashes))
-    return distinct(np.concatenate(grams)), distinct(np.concatenate(words))
+class Block:
+    """A block's texts as streams and word hashes, slice by slice, and their sorted different grams and hashes."""
+
+    def __init__(self, texts: pa.Array, depth: int):
+        self.depth, self.slices, grams, words = depth, [], [], []
+        for i, streams in _pieces(texts):
+            for own, _, _ in gram_slices(streams, depth):
+                grams.append(distinct(own))
+                if len(grams) > 1 and sum(map(len, grams[1:])) > FLUSH // 2:
+                    grams = [distinct(np.concatenate(grams))]
+            own = Words(texts.slice(i, len(streams)), fold_case=True)
+            words.append(distinct(own.hashes))
+            self.slices.append((streams, own.hashes, own.counts))
+        self.keys = distinct(np.concatenate(grams)), distinct(np.concatenate(words))
+
+    def coded(self, bits: np.ndarray, counts: np.ndarray):
+        """For each slice (bits of every text, its bytes, its words, the count of every word), given what ``keys`` have."""
+        for streams, hashes, n_words in self.slices:
+            sizes, total = np.array([len(s) for s in streams]), np.zeros(len(streams))
+            for grams, rows, part_sizes in gram_slices(streams, self.depth):
+                begins = np.cumsum(np.append(0, part_sizes))[:-1]
+                np.add.at(total, rows, np.add.reduceat(looked_up(grams, self.keys[GRAM], bits), begins, dtype=np.float64))
+            yield total, sizes, n_words, looked_up(hashes, self.keys[WORD_KIND], counts)
+
+
+def looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of every key; ``known`` are sorted and hold all of them. Each different key is searched once."""
+    if not len(keys):
+        return values[:0]
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    out = np.empty(len(keys), values.dtype)
+    out[order] = np.repeat(values[np.searchsorted(known, keys[first])], np.diff(first, append=len(keys)))
+    return out
 
 
 def _texts(group: pa.Table) -> pa.Array:
@@ -403,7 +440,7 @@ def _texts(group: pa.Table) -> pa.Array:
 
 def _asked(group: pa.Table, depth: int, buckets: int) -> pa.Table:
     out = []
-    for kind, keys in zip((GRAM, WORD_KIND), _block_keys(_texts(group), depth)):
+    for kind, keys in zip((GRAM, WORD_KIND), Block(_texts(group), depth).keys):
         order, present, first, last = in_buckets(kind, keys, buckets)
         keys = keys[order]
         out += [
@@ -498,10 +535,9 @@ def context_tree_scores(
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = exchange.unpack(row["keys"]), unplaned(row["counts"], np.int64)
-                which = exchange.bucket_of(mix((keys >> np.uint64(24)) + np.uint64(1)), parts)
-                order = np.argsort(which, kind="stable")
-                present, first = np.unique(which[order], return_index=True)
-                for part, own in zip(present.tolist(), np.split(order, first[1:])):
+                order, present, first, last = by_place(exchange.bucket_of(mix((keys >> np.uint64(24)) + np.uint64(1)), parts), parts)
+                for part, a, b in zip(present.tolist(), first.tolist(), last.tolist()):
+                    own = order[a:b]
                     yield pa.RecordBatch.from_pylist(
                         [{"part": part, "bucket": row["bucket"], "n": len(own), "keys": exchange.pack(keys[own]),
                           "counts": planes(counts[own])}],
@@ -527,27 +563,15 @@ def context_tree_scores(
     rest = math.log10(train_tokens + 0.1 * (kinds + 1))
 
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = _texts(group)
-        gram_keys, word_keys = _block_keys(texts, depth)
-        bits = _answers(answers, GRAM, gram_keys, buckets)
-        counts = _answers(answers, WORD_KIND, word_keys, buckets)
-        logs = np.log10(counts + 0.1) - rest
+        block = Block(_texts(group), depth)
+        bits = _answers(answers, GRAM, block.keys[GRAM], buckets)
+        counts = _answers(answers, WORD_KIND, block.keys[WORD_KIND], buckets)
         columns = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        for i, streams in _pieces(texts):
-            own = Words(texts.slice(i, len(streams)), fold_case=True)
-            at, of = np.searchsorted(word_keys, own.hashes), own.text_of_word()
-            sizes = np.array([len(s) for s in streams])
-            total = np.zeros(len(streams))
-            for grams, rows_of, part_sizes in gram_slices(streams, depth):
-                order = np.argsort(grams)
-                grams = grams[order]
-                lengths = np.empty(len(grams), np.float32)
-                lengths[order] = bits[np.searchsorted(gram_keys, grams)]
-                begins = np.cumsum(np.append(0, part_sizes))[:-1]
-                np.add.at(total, rows_of, np.add.reduceat(lengths, begins, dtype=np.float64))
-            columns["n_tokens"].append(own.counts + 1)
-            columns["n_known"].append(np.bincount(of, counts[at] > 0, len(sizes)).astype(np.int64) + (n_train > 0))
-            columns["base_score"].append(np.bincount(of, logs[at], len(sizes)) + math.log10(n_train + 0.1) - rest)
+        for total, sizes, n_words, seen in block.coded(bits, counts):
+            of = np.repeat(np.arange(len(sizes)), n_words)
+            columns["n_tokens"].append(n_words + 1)
+            columns["n_known"].append(np.bincount(of, seen > 0, len(sizes)).astype(np.int64) + (n_train > 0))
+            columns["base_score"].append(np.bincount(of, np.log10(seen + 0.1) - rest, len(sizes)) + math.log10(n_train + 0.1) - rest)
             columns["score"].append(-total * math.log10(2))
             columns["n_bytes"].append(sizes)
         found = {n: np.concatenate(v) for n, v in columns.items()}
@@ -555,7 +579,7 @@ def context_tree_scores(
             {
                 "doc_id": group["doc_id"], "copies": group["copies"], "held_out": group["held_out"],
                 "n_tokens": pa.array(found["n_tokens"], pa.int64()), "n_known": pa.array(found["n_known"], pa.int64()),
-                "train_tokens": pa.array(np.full(len(texts), train_tokens), pa.int64()),
+                "train_tokens": pa.array(np.full(len(group), train_tokens), pa.int64()),
                 "base_score": pa.array(found["base_score"], pa.float64()), "score": pa.array(found["score"], pa.float64()),
                 "n_bytes": pa.array(found["n_bytes"], pa.int64()),
                 "bits_per_byte": pa.array(-found["score"] / math.log10(2) / found["n_bytes"], pa.float64()),

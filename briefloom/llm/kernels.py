@@ -7,6 +7,8 @@ random byte values (Rabin-Karp, from prefix sums) with a bit mixer on top.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 
@@ -37,6 +39,12 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+@functools.cache
+def _chunk_powers() -> tuple[np.ndarray, np.ndarray]:
+    """The powers that word hashes use, made once per process; not to be written to."""
+    return _powers(_BASE, _CHUNK)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; a null has no bytes."""
     if isinstance(texts, pa.ChunkedArray):
@@ -78,7 +86,8 @@ class Words:
         while i < len(out):
             begin = self.start[i]
             j = max(i + 1, int(np.searchsorted(self.end, begin + _CHUNK, "right")))
-            up, down = _powers(_BASE, int(self.end[j - 1] - begin))
+            n = int(self.end[j - 1] - begin)
+            up, down = (p[:n] for p in _chunk_powers()) if n <= _CHUNK else _powers(_BASE, n)
             total = np.zeros(len(up) + 1, np.uint64)
             np.cumsum(values[self.raw[begin : self.end[j - 1]]] * up, out=total[1:])
             s, e = self.start[i:j] - begin, self.end[i:j] - begin

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from briefloom.llm import context_tree
 from briefloom.llm.context_tree import (
     context_tree_scores, grams_of, log_estimate, log_gamma, op12_context_tree, planes, stream, unplaned,
 )
+from briefloom.llm.kernels import Words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -116,6 +118,41 @@ def test_streams_grams_and_planes(monkeypatch):
     assert unplaned(planes(values), np.int64).tolist() == values.tolist()
 
 
+@pytest.mark.parametrize("depth", [3, 6, 7])
+def test_a_block_cuts_its_texts_once_and_looks_up_every_key(monkeypatch, depth):
+    texts = pa.array([t for _, t, *_ in rows_of()], pa.large_string())
+    cut = []
+    monkeypatch.setattr(context_tree, "Words", lambda *a, **k: cut.append(1) or Words(*a, **k))
+    monkeypatch.setattr(context_tree, "SLICE", 500)
+    block = context_tree.Block(texts, depth)
+    streams = [stream((t or "").encode()) for t in texts.to_pylist()]
+    grams = grams_of(streams, depth)
+    past = [bytes([10]) * depth + s for s in streams]
+    want = [int.from_bytes(p[i - depth : i][::-1] + p[i : i + 1], "big") for p in past for i in range(depth, len(p))]
+    assert grams.tolist() == want
+    hashes = Words(texts, fold_case=True).hashes
+    assert [k.tolist() for k in block.keys] == [sorted(set(want)), sorted(set(hashes.tolist()))]
+    coded = list(block.coded((block.keys[0] % np.uint64(97)).astype(np.float32), (block.keys[1] % np.uint64(97)).astype(np.int64)))
+    assert len(cut) == len(block.slices) > 1
+    bits, sizes, n_words, counts = (np.concatenate(x) for x in zip(*coded))
+    ends = np.cumsum([len(s) for s in streams])
+    assert bits.tolist() == [sum(int(g) % 97 for g in grams[e - len(s) : e]) for e, s in zip(ends, streams)]
+    assert sizes.tolist() == [len(s) for s in streams] and n_words.tolist() == [len(s.split()) for s in streams]
+    assert counts.tolist() == [int(h) % 97 for h in hashes]
+
+
+@pytest.mark.parametrize("places", [3, 300, 70_000])
+def test_keys_are_ordered_by_place(places):
+    which = np.random.default_rng(5).integers(0, places, 2000)
+    which[which == 1] = 2
+    order, present, first, last = context_tree.by_place(which, places)
+    assert order.tolist() == np.argsort(which, kind="stable").tolist()
+    assert [(p, which[order[a:b]].tolist()) for p, a, b in zip(present, first, last)] == [
+        (p, [p] * int((which == p).sum())) for p in sorted(set(which.tolist()))
+    ]
+    assert all(len(x) == 0 for x in context_tree.by_place(which[:0], places))
+
+
 @pytest.mark.parametrize("depth", [3, 5, 6])
 def test_scores_are_those_of_the_walk_over_all_nodes(spark, depth):
     rows = rows_of()
