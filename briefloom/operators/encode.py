@@ -1,8 +1,8 @@
 """Text -> fixed-length id arrays.
 
 A vocabulary is limited by its size argument, so it is sent to the executors once and
-every row is encoded where it lies: no explode, no join, no regrouping of tokens. The
-lookup itself is an Arrow kernel over the whole batch. A table too large to send is
+every row is encoded where it lies: no explode, no join, no regrouping of tokens. Texts are
+cut and looked up by an Arrow kernel, in steps of limited size. A table too large to send is
 joined instead (``encode_by_join``), with the same result.
 """
 
@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from briefloom.functions.text import word_tokens
+from briefloom.functions.overlap import steps
+from briefloom.functions.text import word_text, word_tokens
+from briefloom.functions.tokens import BYTES_PER_STEP, spaced, words
 from briefloom.operators.split import SplitRatios, split_exact
 from briefloom.operators.vocab import EOS_ID, PAD_ID, UNKNOWN_ID
 from briefloom.scaling import MAX_BROADCAST_ROWS, left_lookup, materialise, row_count_at_most
@@ -74,23 +77,37 @@ def regroup(values: pa.Array, lengths) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, values)
 
 
-def id_lookup(vocab: DataFrame, unknown: int = UNKNOWN_ID, max_rows: int = MAX_BROADCAST_ROWS):
-    """A function ``array<string> column -> array<int> column`` for a (word, id) table."""
-    sent = send_table(vocab.select("word", "id"), max_rows)
-    if sent is None:
-        return None
+def kept_tokens(text: Column, max_length: int, unicode: bool = False) -> Column:
+    """The tokens that fit: the end mark takes one place."""
+    return F.slice(word_tokens(text, unicode), F.lit(1), F.lit(max_length - 1))
 
-    @F.arrow_udf(IDS)
-    def lookup(tokens: pa.Array) -> pa.Array:
-        found = looked_up(tokens.flatten(), sent.value.mapping("word", "id"), pa.int32(), unknown)
-        return regroup(found, pc.list_value_length(tokens))
 
-    return lookup
+# Bytes of a text for each place of its ids, up to which a task receives it as it is.
+WHOLE_BYTES = 16
 
 
-def kept_tokens(text: Column, max_length: int, unicode: bool = False) -> Column:
-    """The tokens that fit: the end mark takes one place."""
-    return F.slice(word_tokens(text, unicode), F.lit(1), F.lit(max_length - 1))
+def kept_text(text: Column, max_length: int, unicode: bool = False) -> Column:
+    """A text whose first ``max_length - 1`` tokens (see ``word_text``) are ``kept_tokens``: a long one has only these."""
+    kept = F.array_join(kept_tokens(text, max_length, unicode), " ")
+    return F.when(F.octet_length(text) > WHOLE_BYTES * max_length, kept).otherwise(word_text(text, unicode))
+
+
+def coded_texts(texts: pa.Array, cut, ids: dict, most: int, unknown: int = UNKNOWN_ID) -> pa.Array:
+    """The ids of the first ``most`` tokens that ``cut`` finds in each text.
+
+    Tokens are strings for texts of limited size at a time, whatever the batch holds; ids are all that is kept.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = []
+    for r in list(steps(sizes, BYTES_PER_STEP)) or [slice(0, 0)]:
+        tokens = cut(texts[r])
+        found = looked_up(tokens.flatten(), ids, pa.int32(), unknown)
+        counts = np.diff(tokens.offsets.to_numpy())
+        if len(counts) and counts.max() > most:
+            place = np.arange(len(found)) - np.repeat(np.cumsum(counts) - counts, counts)
+            found, counts = found.filter(pa.array(place < most)), np.minimum(counts, most)
+        parts.append(regroup(found, pa.array(counts)))
+    return pa.concat_arrays(parts)
 
 
 def finish(ids: Column, max_length: int, pad: int = PAD_ID, eos: int = EOS_ID) -> Column:
@@ -131,12 +148,21 @@ def encode_features(
     return coded.withColumns(features).drop("_in", "_out")
 
 
-def word_encoder(vocab: DataFrame, unicode: bool = False, max_rows: int = MAX_BROADCAST_ROWS):
-    """``encode`` function over a word vocabulary, or ``None`` if it is too large to send."""
-    lookup = id_lookup(vocab, max_rows=max_rows)
-    if lookup is None:
+def word_encoder(vocab: DataFrame, unicode: bool = False, max_rows: int = MAX_BROADCAST_ROWS, unknown: int = UNKNOWN_ID):
+    """``encode`` function over a (word, id) vocabulary, or ``None`` if it is too large to send."""
+    sent = send_table(vocab.select("word", "id"), max_rows)
+    if sent is None:
         return None
-    return lambda text, max_length: lookup(kept_tokens(text, max_length, unicode))
+    cut = spaced if unicode else words
+
+    def encode(text: Column, max_length: int) -> Column:
+        @F.arrow_udf(IDS)
+        def coded(texts: pa.Array) -> pa.Array:
+            return coded_texts(texts, cut, sent.value.mapping("word", "id"), max_length - 1, unknown)
+
+        return coded(kept_text(text, max_length, unicode))
+
+    return encode
 
 
 ROW = "_row"

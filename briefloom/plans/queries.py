@@ -44,6 +44,9 @@ LANDING_SCHEMA = T.StructType(
 # Bytes of text that go to one CSV file: a multi-line file is read whole by one task.
 CSV_FILE_BYTES = 32 << 20
 
+# Rows that a task codes by a word vocabulary: they reach its Python in one batch, each with up to 16 kB of text.
+CODED_ROWS = 1_250
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, **limits: int) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), **limits)
@@ -205,14 +208,14 @@ def _feature_digest(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def encode_inputs(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = documents(spark, sf_dir, task_rows=CODED_ROWS)
     encoder = encode.word_encoder(_vocab(docs))
     coded = encode.encode_features(docs, encoder, dialogue="text", summary=None)
     return _feature_digest(coded, "doc_id")
 
 
 def encode_labels(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = documents(spark, sf_dir, task_rows=CODED_ROWS)
     encoder = encode.word_encoder(_vocab(docs))
     ids = encoder(F.col("text"), encode.MAX_TARGET)
     coded = docs.select("doc_id", ids.alias("ids"))
@@ -295,7 +298,7 @@ def length_profile(spark, sf_dir):
 
 
 def collate_batches(spark, sf_dir):
-    rows = document_pairs(spark, sf_dir)
+    rows = document_pairs(spark, sf_dir, task_rows=CODED_ROWS)
     encoder = encode.word_encoder(_vocab(documents(spark, sf_dir)))
     end = F.array(F.lit(vocab.EOS_ID))
     coded = splits.split_exact(rows, "id").select(

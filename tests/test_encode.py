@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,3 +253,48 @@ def test_batches_of_ids_do_not_follow_the_row_groups_of_a_file(spark, tmp_path,
     pieces = queries.documents(session, str(tmp_path)).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(pieces) > 10 and max(r["count"] for r in pieces) <= 60
     assert sorted(map(str, queries.collate_batches(session, str(tmp_path)).collect())) == want
+
+
+@pytest.mark.parametrize("unicode", [False, True])
+def test_texts_reach_the_encoder_and_long_ones_only_with_the_tokens_that_fit(spark, words, unicode):
+    cases = [*(t for _, *both in TEXTS for t in both), "The K K CAT dog", "cat-dog\n\tcat İ", "x " * 300 + "cat", "é dog " * 40, "cat" * 500]
+    rows = spark.createDataFrame([(t,) for t in cases], "text string").coalesce(1)
+    table = {r["word"]: r["id"] for r in words.collect()}
+    encoder = encode.word_encoder(words, unicode)
+    for most in (1, 2, 7, 100):
+        got = rows.select("text", encode.kept_tokens(F.col("text"), most, unicode).alias("tokens"), encoder(F.col("text"), most).alias("ids"))
+        for r in got.collect():
+            assert r["ids"] == [table.get(t, vocab.UNKNOWN_ID) for t in r["tokens"]]
+    sent = rows.select(encode.kept_text(F.col("text"), 7, unicode).alias("t"), F.octet_length(F.col("text")).alias("n"))
+    assert all(len(r["t"].split()) <= 6 for r in sent.filter(f"n > {7 * encode.WHOLE_BYTES}").collect())
+
+
+def test_token_strings_are_held_for_a_step_of_texts(monkeypatch):
+    """The most bytes that Arrow holds do not grow with the tokens of the batch."""
+    text = " ".join(f"w{k % 50}" for k in range(1000))
+    ids = {f"w{k}": k for k in range(40)}
+    texts = pa.array([text] * 2000)
+    before, pool = pa.total_allocated_bytes(), []
+    cut = encode.words
+
+    def watched(part):
+        tokens = cut(part)
+        pool.append(pa.total_allocated_bytes() - before)
+        assert len(tokens.flatten()) <= encode.BYTES_PER_STEP
+        return tokens
+
+    got = encode.coded_texts(texts, watched, ids, 600)
+    assert got.to_pylist() == [[k % 50 if k % 50 < 40 else vocab.UNKNOWN_ID for k in range(600)]] * 2000
+    assert len(pool) > 5 and max(pool) < 2000 * 1000 * 4
+
+
+@pytest.mark.parametrize("name", ["collate_batches", "encode_inputs", "encode_labels"])
+def test_a_task_codes_a_limited_number_of_rows(spark, monkeypatch, name):
+    dealt = []
+    monkeypatch.setattr(queries, "spread", lambda df, **limits: dealt.append(scaling.spread(df, small=10, **limits)) or dealt[-1])
+    want = sorted(map(str, queries.QUERIES[name](spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(queries, "CODED_ROWS", 40)
+    dealt.clear()
+    assert sorted(map(str, queries.QUERIES[name](spark, "/root/testdata/sf0.001").collect())) == want
+    pieces = dealt[0].groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in pieces) <= 50
