@@ -607,7 +607,8 @@ def _zip_archives(docs: DataFrame) -> DataFrame:
             name = f"corpus-{frame['doc_id'].iloc[0]}.zip"
             yield pd.DataFrame({"path": [name], "content": [buffer.getvalue()]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "path string, content binary")
+    # as text: pandas turns the ids of a batch in which one is null into floats
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "path string, content binary")
 
 
 def zip_ingest(spark, sf_dir):

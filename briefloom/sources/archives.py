@@ -14,17 +14,21 @@ from pyspark.sql import types as T
 
 from briefloom.operators.validate import NA_VALUES
 from briefloom.sources.csv import CORPUS_SCHEMA
+from briefloom.sources.csv_split import CELL_LIMIT
 
 # Member suffix (case counts) and the error for an archive without one.
 CSV_SUFFIX = ".csv"
 NO_CSV_MESSAGE = "No CSV file found in ZIP archive."
 CHUNK_ROWS = 5_000
+# Characters after which a chunk ends: rows of long cells go on in small chunks.
+CHUNK_CHARS = 16 << 20
 # A binary value holds no more.
 MAX_ARCHIVE = 2**31 - 1
 
 
 def _member_rows(stream, names: list[str], missing: set[str], where: str) -> Iterator[list[list]]:
     """Chunks of rows of one CSV stream, columns found by name; a malformed row is an error."""
+    csv.field_size_limit(CELL_LIMIT)
     reader = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
     header = next(reader, [])
     lacking = [n for n in names if n not in header]
@@ -32,15 +36,17 @@ def _member_rows(stream, names: list[str], missing: set[str], where: str) -> Ite
         raise ValueError(f"columns {lacking} missing in the header of {where}")
     places = [header.index(n) for n in names]
     chunk: list[list] = []
+    chars = 0
     for row in reader:
         if not row:  # an empty line
             continue
         if len(row) != len(header):
             raise ValueError(f"{len(row)} cells instead of {len(header)} in line {reader.line_num} of {where}")
         chunk.append([None if row[p] in missing else row[p] for p in places])
-        if len(chunk) == CHUNK_ROWS:
+        chars += sum(map(len, row))
+        if len(chunk) == CHUNK_ROWS or chars >= CHUNK_CHARS:
             yield chunk
-            chunk = []
+            chunk, chars = [], 0
     if chunk:
         yield chunk
 
