@@ -411,13 +411,34 @@ def rouge_l_whole(spark, sf_dir):
     return _rouge("rougeL", whole_predictions(spark, sf_dir))
 
 
+# Ids that are put in order by one group.
+GROUP_IDS = 100
+
+
+def _with_next(docs: DataFrame) -> DataFrame:
+    """(id, prediction, reference): the text of the language's next document, and the own one; a language's last has no row.
+
+    Ids are put in order within groups of ``GROUP_IDS``, each with the first document of the next group there is at its end:
+    only (lang, group) pairs are put in order over a whole language.
+    """
+    docs = docs.select("doc_id", "lang", "text", F.floor(F.col("doc_id") / GROUP_IDS).alias("group"))
+    # null ids are the first group: it has none before it
+    upwards = Window.partitionBy("lang").orderBy("group")
+    links = docs.select("lang", "group").distinct().withColumn("before", F.lag(F.struct("group")).over(upwards))
+    firsts = docs.groupBy("lang", "group").agg(F.min(F.struct("doc_id", "text")).alias("first")).alias("f")
+    heads = firsts.join(
+        links.filter(F.col("before").isNotNull()).alias("l"),
+        F.col("f.lang").eqNullSafe(F.col("l.lang")) & (F.col("f.group") == F.col("l.group")),
+    ).select("f.first.*", "f.lang", "l.before.group", F.lit(True).alias("head"))
+    inside = Window.partitionBy("lang", "group").orderBy("head", "doc_id", "text")
+    rows = docs.withColumn("head", F.lit(False)).unionByName(heads).withColumn("prediction", F.lead("text").over(inside))
+    kept = rows.filter(~F.col("head") & F.col("prediction").isNotNull())
+    return kept.select(F.col("doc_id").cast("string").alias("id"), "prediction", F.col("text").alias("reference"))
+
+
 def rouge_lsum_whole(spark, sf_dir):
     """Whole texts on both sides, line by line: each document against the next one of its language."""
-    following = Window.partitionBy("lang", F.floor(F.col("doc_id") / 100)).orderBy("doc_id")
-    rows = documents(spark, sf_dir).select(
-        F.col("doc_id").cast("string").alias("id"), F.lead("text").over(following).alias("prediction"), F.col("text").alias("reference")
-    )
-    return _rouge("rougeLsum", rows.filter(F.col("prediction").isNotNull()))
+    return _rouge("rougeLsum", _with_next(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 def rouge_lsum(spark, sf_dir):

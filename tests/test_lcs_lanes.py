@@ -11,7 +11,7 @@ import pytest
 
 from briefloom.functions.lcs import covered_places, lcs_positions, union_lcs_hits
 from briefloom.functions.lcs_lanes import MAX_LANES, lcs_lengths, union_hits, union_hits_of_rows
-from briefloom.plans.queries import QUERIES
+from briefloom.plans.queries import QUERIES, _with_next
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -115,3 +115,19 @@ def test_union_hits_of_a_batch():
     batches = (pa.array([None, *rows], kind)[1:] for rows in (left, right))
     assert union_hits_of_rows(*batches).tolist() == [union_lcs_hits(a or [], b) for a, b in zip(left, right)]
     assert union_hits_of_rows(pa.array([], kind), pa.array([], kind)).tolist() == []
+
+
+def test_every_document_meets_the_next_of_its_language(spark, tmp_path):
+    """Also across groups of ids, over gaps, and with null and repeated ids."""
+    rng = random.Random(5)
+    ids = [None, None, 3, 7, 7, 99, 100, 101, 250, 251, 9_000, 10**12, 10**12, 10**12 + 1]
+    rows = [(i, " ".join(words(rng, 6, 4)), lang) for lang in ("a", "b", None) for i in ids] + [(5, "alone", "c"), (105, None, "a")]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = [(r["id"], r["prediction"], r["reference"]) for r in _with_next(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()]
+    want = []
+    for lang in ("a", "b", "c", None):
+        own = sorted((r for r in rows if r[2] == lang), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+        want += [(None if x[0] is None else str(x[0]), y[1], x[1]) for x, y in zip(own, own[1:]) if y[1] is not None]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 3 * 13
+    assert QUERIES["rougeLsum_whole"](spark, str(tmp_path)).count() == len(got)
