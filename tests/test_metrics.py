@@ -304,6 +304,48 @@ def test_fewest_chunks_of_long_rows():
     assert time.perf_counter() - started < 60
 
 
+def test_fewest_chunks_give_up_no_choice():
+    """Rows with more choices than are kept at first: the fewest chunks are found, with and without keys."""
+    rng = random.Random(21)
+    rows = []
+    for _ in range(300):
+        # the right side's three pieces are moved, and copies of its words lie before and between them
+        text = rng.choices("abcdefg", k=9)
+        pieces = [text[:3], text[3:6], text[6:]]
+        rng.shuffle(pieces)
+        noise = [rng.choices("abcdefg", k=rng.randint(0, 3)) for _ in pieces]
+        rows.append(([w for n, p in zip(noise, pieces) for w in n + p], text))
+    lists = [pa.array([r[side] for r in rows], pa.list_(pa.string())) for side in (0, 1)]
+    matches, chunks, exact = fewest_chunks(*lists, states=2)
+    want = [most_links_by_trying_all(*r) for r in rows]
+    assert (matches - chunks).tolist() == want and exact.all()
+    rows = [(left[:7], right[:6]) for left, right in rows]
+    stages = [pa.array([[f(w) for w in r[side]] for r in rows], pa.list_(pa.string())) for f in (str, lambda w: "x" if w in "abc" else w) for side in (0, 1)]
+    matches, chunks, exact = fewest_chunks(*stages, states=1)
+    assert list(zip(matches.tolist(), chunks.tolist())) == [fewest_by_trying_all(*r, lambda w: "x" if w in "abc" else w) for r in rows]
+    assert exact.all()
+
+
+def most_links_by_trying_all(left, right):
+    links = [(i, j) for i in range(len(left) - 1) for j in range(len(right) - 1) if left[i : i + 2] == right[j : j + 2]]
+
+    def agree(a, b):
+        return a[0] - a[1] == b[0] - b[1] or abs(a[0] - b[0]) > 1 and abs(a[1] - b[1]) > 1
+
+    def most(some):
+        return max(1 + most([b for b in some[1:] if agree(some[0], b)]), most(some[1:])) if some else 0
+
+    return most(links)
+
+
+def test_words_that_repeat_in_long_rows():
+    """A piece repeated thousands of times is decided by bounds, not by trying."""
+    line = ["a", "b", "c"]
+    rows = [(line * 120 + ["x"] + line * 100, line * 150), (["a"] * 300 + ["b"] + ["a"] * 300, ["a"] * 400 + ["c"])]
+    matches, chunks, _ = fewest_chunks(*[pa.array([r[side] for r in rows], pa.list_(pa.string())) for side in (0, 1)])
+    assert (matches.tolist(), chunks.tolist()) == ([450, 400], [2, 2])
+
+
 def test_words_that_meet_nothing_cost_no_choices(monkeypatch):
     """Of a long text only the words that occur opposite are searched."""
     asked = []
